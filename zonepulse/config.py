@@ -60,7 +60,7 @@ class MetricConfig:
     # whose state per key is constant.
     stream_distinct: str = "exact"
     # Rows above which a computed side is joined by shuffle instead of being broadcast.
-    broadcast_row_limit: int = 500_000
+    broadcast_row_limit: int = 200_000
     # Copies of each small-side row when a skewed key must be joined by shuffle.
     salt_buckets: int = 32
 

@@ -1,0 +1,33 @@
+"""Join a large side with a lookup table of unknown size, without trusting estimates."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from zonepulse.config import MetricConfig
+
+_SALT = "_salt"
+
+
+def fits_broadcast(df: DataFrame, cfg: MetricConfig) -> bool:
+    """True when the table has no more rows than the configured limit; reads at most that many."""
+    return df.limit(cfg.broadcast_row_limit + 1).count() <= cfg.broadcast_row_limit
+
+
+def join_lookup(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], spread_by: Column,
+                cfg: MetricConfig, how: str = "inner") -> DataFrame:
+    """Join ``rows`` with ``lookup``: broadcast when its size was checked, else salted.
+
+    Beyond the limit both sides are shuffled on the keys and a salt.  ``spread_by`` (an id of the
+    large side) spreads one key over ``salt_buckets`` tasks; each lookup row is repeated once per
+    bucket.  The result is the same either way.
+    """
+    if fits_broadcast(lookup, cfg):
+        return rows.join(F.broadcast(lookup), list(keys), how)
+    buckets = F.sequence(F.lit(0).cast("long"), F.lit(cfg.salt_buckets - 1).cast("long"))
+    salted_rows = rows.withColumn(_SALT, F.pmod(F.xxhash64(spread_by), F.lit(cfg.salt_buckets)))
+    salted_lookup = lookup.withColumn(_SALT, F.explode(buckets))
+    return salted_rows.join(salted_lookup, [*keys, _SALT], how).drop(_SALT)

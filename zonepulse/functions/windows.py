@@ -38,19 +38,13 @@ def flatten_window(df: DataFrame) -> DataFrame:
     )
 
 
-def _interval(n: int) -> Column:
+def interval(n: int) -> Column:
     return F.expr(f"INTERVAL {n} MINUTES")
 
 
-def window_bounds(pane_start: Column, size: int, offset: int) -> list[Column]:
-    """Start and end of the window that begins ``offset`` minutes before a pane."""
-    start = pane_start - _interval(offset)
-    return [start.alias("window_start"), (start + _interval(size)).alias("window_end")]
-
-
 def covering_starts(pane_start: Column, size: int, slide: int) -> Column:
     """Array with the starts of the ``size / slide`` windows that cover a slide-sized pane."""
-    return F.array(*[pane_start - _interval(k * slide) for k in range(size // slide)])
+    return F.array(*[pane_start - interval(k * slide) for k in range(size // slide)])
 
 
 def roll_up_panes(panes: DataFrame, size: int, slide: int) -> DataFrame:
@@ -64,5 +58,5 @@ def roll_up_panes(panes: DataFrame, size: int, slide: int) -> DataFrame:
     return panes.select(
         F.explode(covering_starts(F.col("window.start"), size, slide)).alias("window_start"), *rest
     ).select(
-        "window_start", (F.col("window_start") + _interval(size)).alias("window_end"), *rest
+        "window_start", (F.col("window_start") + interval(size)).alias("window_end"), *rest
     )

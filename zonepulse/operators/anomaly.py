@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonepulse.config import DEFAULTS, MetricConfig
+from zonepulse.functions.joins import join_lookup
 from zonepulse.functions.windows import (
     EVENT_TIME,
     ensure_watermark,
     flatten_window,
+    interval,
     roll_up_panes,
     sliding,
     tumbling,
@@ -72,12 +74,11 @@ def flag_deliveries(orders: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFram
 
     The windows' thresholds are gathered per slide-sized pane, so a delivery meets all its windows
     in one lookup and only flagged rows are multiplied.  The lookup table holds one row per pane
-    and zone: it is computed once, counted, and broadcast when below the configured row limit.
-    Beyond it, both sides are shuffled on (pane, zone, salt) so that a hot zone is split.
+    and zone; it is computed once, and its size decides how it is joined.
     """
     size, slide = cfg.anomaly_minutes, cfg.anomaly_slide
     windows = delivery_anomalies(orders, cfg).filter(F.col("anomaly_threshold").isNotNull())
-    step = F.expr(f"INTERVAL {slide} MINUTES")
+    step = interval(slide)
     lookup = materialise(
         windows.select(
             "zone_id",
@@ -94,16 +95,8 @@ def flag_deliveries(orders: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFram
     rows = delivered_with_time(orders).select(
         tumbling(slide), "event_id", "order_id", "zone_id", EVENT_TIME, _VALUE,
     ).withColumn("pane_start", F.col("window.start")).drop("window")
-    keys = ["pane_start", "zone_id"]
-    if lookup.count() <= cfg.broadcast_row_limit:
-        lookup = F.broadcast(lookup)
-    else:
-        rows = rows.withColumn("salt", F.pmod(F.xxhash64("event_id"), F.lit(cfg.salt_buckets)))
-        lookup = lookup.withColumn(
-            "salt", F.explode(F.sequence(F.lit(0), F.lit(cfg.salt_buckets - 1)).cast("array<bigint>")))
-        keys.append("salt")
     return (
-        rows.join(lookup, keys)
+        join_lookup(rows, lookup, ["pane_start", "zone_id"], F.col("event_id"), cfg)
         .filter(F.col(_VALUE) > F.col("lowest"))
         .select("event_id", "order_id", "zone_id", EVENT_TIME, _VALUE, F.explode("ws").alias("w"))
         .filter(F.col(_VALUE) > F.col("w.anomaly_threshold"))

@@ -9,10 +9,11 @@ from zonepulse.config import DEFAULTS, MetricConfig
 from zonepulse.functions.expressions import share
 from zonepulse.functions.windows import (
     EVENT_TIME,
+    covering_starts,
     ensure_watermark,
-    flatten_window,
+    interval,
     minutes,
-    sliding,
+    tumbling,
 )
 from zonepulse.model import BUSY_STATES
 
@@ -42,15 +43,19 @@ def utilisation(couriers: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
     Rows collapse to one per (window, zone, courier) before the shuffle.
     """
     online = couriers.filter(~F.col("status").isin("OFFLINE", "BREAK"))
+    size, slide = cfg.utilisation_minutes, cfg.utilisation_slide
     per_courier = (
-        online.groupBy(sliding(cfg.utilisation_minutes, cfg.utilisation_slide), "zone_id",
-                       "courier_id")
-        .agg(F.max(F.col("status").isin(*BUSY_STATES)).alias("busy"))
+        online.select(
+            F.explode(covering_starts(tumbling(slide)["start"], size, slide)).alias("window_start"),
+            "zone_id", "courier_id", F.col("status").isin(*BUSY_STATES).alias("busy"))
+        .groupBy("window_start", "zone_id", "courier_id").agg(F.max("busy").alias("busy"))
     )
-    counted = per_courier.groupBy("window", "zone_id").agg(
+    counted = per_courier.groupBy("window_start", "zone_id").agg(
         F.count(F.lit(1)).alias("online_couriers"), F.count_if(F.col("busy")).alias("busy_couriers"))
-    return flatten_window(counted).withColumn(
-        "utilisation", share(F.col("busy_couriers"), F.col("online_couriers")))
+    return counted.select(
+        "window_start", (F.col("window_start") + interval(size)).alias("window_end"), "zone_id",
+        "online_couriers", "busy_couriers",
+        share(F.col("busy_couriers"), F.col("online_couriers")).alias("utilisation"))
 
 
 def sessions(couriers: DataFrame) -> DataFrame:
@@ -93,13 +98,13 @@ def gap_sessions(couriers: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame
             .select("courier_id", F.col("window.start").alias("session_start"),
                     F.col("window.end").alias("session_end"), "event_count")
         )
-    step = F.expr(f"INTERVAL {gap} MINUTES")
+    step = interval(gap)
     panes = (
-        rows.groupBy("courier_id", F.window(EVENT_TIME, minutes(gap)).alias("pane"))
+        rows.groupBy("courier_id", tumbling(gap)["start"].alias("pane_start"))
         .agg(F.min(EVENT_TIME).alias("first"), F.max(EVENT_TIME).alias("last"),
              F.count(F.lit(1)).alias("n"))
     )
-    order = Window.partitionBy("courier_id").orderBy("first")
+    order = Window.partitionBy("courier_id").orderBy("pane_start")
     starts_new = F.col("first") > F.lag("last").over(order) + step
     chained = panes.withColumn("new", F.coalesce(starts_new, F.lit(True)).cast("long")).withColumn(
         "session", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
@@ -130,8 +135,8 @@ def quality_flags(couriers: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFram
 def orphaned_deliveries(orders: DataFrame, couriers: DataFrame) -> DataFrame:
     """Orders in transit whose courier dropped out and that were not delivered afterwards.
 
-    Drops are reduced to one row per order before the join; join and final aggregate share the
-    partitioning by order.
+    Drops and trips are reduced to one row per order before the join, with map-side combine, so
+    an id shared by very many rows is no burden; the join needs no further shuffle.
     """
     drops = (
         couriers.filter((F.col("status") == "OFFLINE")
@@ -139,20 +144,22 @@ def orphaned_deliveries(orders: DataFrame, couriers: DataFrame) -> DataFrame:
                         & F.col("order_id").isNotNull())
         .groupBy("order_id")
         .agg(F.min(EVENT_TIME).alias("drop_time"),
-             F.min_by("courier_id", F.struct(EVENT_TIME, "event_id")).alias("dropped_courier_id"))
+             F.min_by(F.struct("zone_id", "courier_id"), F.struct(EVENT_TIME, "event_id"))
+             .alias("place"))
     )
+
     def seen(status: str):
         return F.max(F.when(F.col("status") == status, F.col(EVENT_TIME)))
 
     trips = (
         orders.filter(F.col("status").isin("IN_TRANSIT", "DELIVERED"))
         .groupBy("order_id")
-        .agg(F.min("zone_id").alias("zone_id"), seen("IN_TRANSIT").alias("in_transit_time"),
-             seen("DELIVERED").alias("delivered_time"))
+        .agg(seen("IN_TRANSIT").alias("in_transit_time"), seen("DELIVERED").alias("delivered_time"))
     )
     lost = F.col("delivered_time").isNull() | (F.col("delivered_time") < F.col("drop_time"))
     return (
         drops.join(trips, "order_id")
         .filter(F.col("in_transit_time").isNotNull() & lost)
-        .select("order_id", "zone_id", "dropped_courier_id", "drop_time", "in_transit_time")
+        .select("order_id", "place.zone_id", F.col("place.courier_id").alias("dropped_courier_id"),
+                "drop_time", "in_transit_time")
     )

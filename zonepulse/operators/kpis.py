@@ -14,6 +14,7 @@ from zonepulse.functions.windows import (
     covering_starts,
     ensure_watermark,
     flatten_window,
+    interval,
     roll_up_panes,
     sliding,
     tumbling,
@@ -121,7 +122,7 @@ def windowed_kpis(orders: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
     def part(window_start: Column, size: int, kind: Column, present: Column) -> Column:
         return F.when(present, F.struct(
             window_start.alias("window_start"),
-            (window_start + F.expr(f"INTERVAL {size} MINUTES")).alias("window_end"),
+            (window_start + interval(size)).alias("window_end"),
             kind.alias("window_type"),
         ))
 
@@ -213,7 +214,7 @@ def surge_signal(orders: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
     size, back = cfg.surge_minutes, cfg.surge_lookback_windows
     demand = demand_windows(orders, cfg, size=size)
     shift = F.explode(F.sequence(F.lit(0), F.lit(back))).alias("ahead")
-    step = F.expr(f"INTERVAL {size} MINUTES")
+    step = interval(size)
     totals = (
         demand.select("window_start", "zone_id", "pending_demand", shift)
         .select(

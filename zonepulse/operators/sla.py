@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from zonepulse.config import DEFAULTS, MetricConfig
 from zonepulse.functions.expressions import sla_breached
+from zonepulse.functions.joins import join_lookup
 from zonepulse.functions.percentiles import discrete_percentiles
 from zonepulse.functions.windows import ensure_watermark, flatten_window, tumbling
 from zonepulse.model import METRIC_TABLES
@@ -14,13 +15,14 @@ from zonepulse.model import METRIC_TABLES
 _PERCENTS = {"p50_prep": 50, "p95_prep": 95, "p99_prep": 99}
 
 
-def enrich(events: DataFrame, restaurants: DataFrame) -> DataFrame:
-    """Left join with the restaurant dimension (its own zone is dropped).
+def enrich(events: DataFrame, restaurants: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
+    """Left join of events with the restaurant dimension (its own zone is dropped).
 
-    No broadcast hint: Spark broadcasts the dimension when its size is below the threshold and
-    otherwise sort-merges, where AQE splits a restaurant that holds too many rows.
+    The dimension is broadcast after its size was checked; a larger one is joined by shuffle with
+    busy restaurants spread over several tasks.
     """
-    return events.join(restaurants.drop("zone_id"), "restaurant_id", "left")
+    return join_lookup(events, restaurants.drop("zone_id"), ["restaurant_id"], F.col("event_id"),
+                       cfg, "left")
 
 
 def delivered_with_prep(orders: DataFrame) -> DataFrame:
@@ -47,25 +49,31 @@ def restaurant_sla(orders: DataFrame, restaurants: DataFrame, cfg: MetricConfig
                  *[F.col("p")[i].alias(name) for i, name in enumerate(_PERCENTS)])
     else:
         agg = discrete_percentiles(rows, keys, "actual_prep_minutes", _PERCENTS, "order_count")
-    enriched = enrich(flatten_window(agg), restaurants)
-    return enriched.select(
-        *[F.col(p).cast("double").alias(p) for p in _PERCENTS],
-        "window_start", "window_end", "restaurant_id", "restaurant_name", "zone_id",
-        F.col("cuisine_type").alias("cuisine"), "sla_tier", "order_count",
-        sla_breached(F.col("sla_tier"), F.col("p95_prep"), cfg).alias("sla_breached"),
-    ).select(*METRIC_TABLES["restaurant_sla"].columns)
-
-
-def prep_estimate_error(orders: DataFrame, restaurants: DataFrame,
-                        cfg: MetricConfig = DEFAULTS) -> DataFrame:
-    """Half-hour SLA view with the mean difference of actual and estimated preparation time."""
-    size = 30
-    base = restaurant_sla(orders, restaurants, cfg, size=size)
-    keys = ["window_start", "window_end", "restaurant_id", "zone_id"]
-    error = flatten_window(
-        delivered_with_prep(orders)
-        .groupBy(tumbling(size), "restaurant_id", "zone_id")
-        .agg(F.avg(F.col("actual_prep_minutes") - F.col("estimated_prep_minutes"))
-             .alias("avg_prep_error"))
-    )
-    return base.join(error, keys, "left")
+    return _describe(agg, restaurants, cfg).select(*METRIC_TABLES["restaurant_sla"].columns)
+
+
+def _describe(agg: DataFrame, restaurants: DataFrame, cfg: MetricConfig) -> DataFrame:
+    """Add the restaurant's attributes and the verdict to aggregated groups.
+
+    One row per group is left here, so Spark may choose the join from the sizes it sees.
+    """
+    named = flatten_window(agg).join(restaurants.drop("zone_id"), "restaurant_id", "left")
+    breached = sla_breached(F.col("sla_tier"), F.col("p95_prep"), cfg)
+    return named.withColumnsRenamed({"cuisine_type": "cuisine"}).withColumns({
+        **{p: F.col(p).cast("double") for p in _PERCENTS}, "sla_breached": breached})
+
+
+def prep_estimate_error(orders: DataFrame, restaurants: DataFrame, cfg: MetricConfig = DEFAULTS,
+                        size: int = 30) -> DataFrame:
+    """SLA view of a bounded feed with the mean of actual minus estimated preparation time."""
+    keys = ["window", "restaurant_id", "zone_id"]
+    error = F.col("actual_prep_minutes") - F.col("estimated_prep_minutes")
+    rows = delivered_with_prep(orders).select(
+        tumbling(size), "restaurant_id", "zone_id", "actual_prep_minutes",
+        error.cast("long").alias("error"))
+    agg = discrete_percentiles(
+        rows, keys, "actual_prep_minutes", _PERCENTS, "order_count",
+        totals={"error_sum": F.sum("error"), "error_count": F.count("error")})
+    mean = F.when(F.col("error_count") > 0, F.col("error_sum") / F.col("error_count"))
+    return _describe(agg, restaurants, cfg).withColumn("avg_prep_error", mean).select(
+        *METRIC_TABLES["restaurant_sla"].columns, "avg_prep_error")

@@ -7,8 +7,7 @@ feed; nothing is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from zonepulse.model import COURIERS, ORDERS, VEHICLES
 
@@ -18,148 +17,135 @@ _ZONES = ("CENTRO", "SALAMANCA", "CHAMBERI", "RETIRO", "LATINA", "MONCLOA", "TET
           "ARGANZUELA", "CHAMARTIN", "MALASANA")
 _CUISINES = ("SPANISH", "ITALIAN", "JAPANESE", "AMERICAN", "MEXICAN", "CHINESE", "INDIAN",
              "MIDDLE_EASTERN", "THAI", "HEALTHY", "DESSERT")
+_SHIFT_MICROS = 14_400_000_000
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
+def _pick(values: tuple[str, ...], index: str) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), CAST({index} AS INT) + 1)"
 
 
-def _restaurant_id(number: Column) -> Column:
-    text = number.cast("string")
-    return F.concat(F.lit("R"), F.when(number < 10000, F.lpad(text, 4, "0")).otherwise(text))
+def _restaurant_id(number: str) -> str:
+    return f"concat('R', IF({number} < 10000, lpad({number}, 4, '0'), CAST({number} AS STRING)))"
 
 
-def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    k, u = F.col("event_id"), F.col("user_id")
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    return events.select(
-        k.alias("k"), u.alias("u"), "value",
-        (F.col("event_type") == "error").alias("canc"),
-        (F.lit(_EPOCH) + F.floor((micros - _EPOCH) / 30)).alias("t0"),
-        (5 + (k * 7) % 40).alias("prep"),
-        (10 + F.floor(F.col("value") / 4)).cast("long").alias("deliv"),
-        _pick(_ZONES, u % 10).alias("zone_id"),
-    )
+_BASE = (
+    "event_id AS k", "user_id AS u", "value", "event_type = 'error' AS canc",
+    f"{_EPOCH} + (unix_micros(CAST(ts AS TIMESTAMP)) - {_EPOCH}) div 30 AS t0",
+    "5 + (event_id * 7) % 40 AS prep",
+    "10 + CAST(floor(value / 4) AS BIGINT) AS deliv",
+    f"{_pick(_ZONES, 'user_id % 10')} AS zone_id",
+)
 
 
-def _stage(seq: int, status: str, offset: Column | int, present: Column) -> Column:
-    """One lifecycle step, or null when the order does not reach it."""
-    return F.when(present, F.struct(
-        F.lit(seq).alias("seq"), F.lit(status).alias("status"),
-        (offset if isinstance(offset, Column) else F.lit(offset)).cast("long").alias("off"),
-    ))
+def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(*_BASE)
+
+
+# Lifecycle steps: sequence number, status, seconds after placement, condition.
+_STEPS = (
+    (0, "PLACED", "0", "true"),
+    (1, "CANCELLED", "60", "canc"),
+    (2, "REFUNDED", "300", "canc AND k % 3 = 0"),
+    (1, "CONFIRMED", "30", "NOT canc"),
+    (2, "PREPARING", "35", "NOT canc"),
+    (3, "READY_FOR_PICKUP", "35 + prep * 60", "NOT canc"),
+    (4, "PICKED_UP", "95 + prep * 60", "NOT canc AND k % 100 <> 0"),
+    (5, "IN_TRANSIT", "105 + prep * 60", "NOT canc"),
+    (6, "DELIVERED", "105 + (prep + deliv) * 60", "NOT canc AND k % 24 <> 15"),
+)
+_EXPLODED_STEPS = "explode(array({})) AS step".format(", ".join(
+    f"IF({condition}, named_struct('seq', {seq}, 'status', '{status}', "
+    f"'off', CAST({offset} AS BIGINT)), NULL)"
+    for seq, status, offset, condition in _STEPS))
+
+_ARRIVAL = "t0 + step.off * 1000000"
+_ORDER_COLUMNS = {
+    "schema_version": "'1.0.0'",
+    "event_id": "concat('E', k, '-', step.seq)",
+    "order_id": "concat('O', k)",
+    "customer_id": "concat('U', u)",
+    "restaurant_id": _restaurant_id("(k % 120 + 1)"),
+    "courier_id": "IF(step.seq >= 4, concat('C', u * 10), NULL)",
+    "zone_id": "zone_id",
+    "status": "step.status",
+    "event_time": f"timestamp_micros({_ARRIVAL} - "
+                  "IF((k + step.seq) % 20 = 0, (60 + k % 241) * 1000000, 0))",
+    "ingestion_time": f"timestamp_micros({_ARRIVAL})",
+    "order_value_eur": "round(value + 5, 2)",
+    "item_count": "1",
+    "is_promo": "false",
+    "promo_code": "CAST(NULL AS STRING)",
+    "payment_method": "'CARD'",
+    "estimated_prep_minutes": "IF(NOT canc AND step.seq >= 1, CAST(prep + k % 3 AS INT), NULL)",
+    "actual_prep_minutes": "IF(NOT canc AND step.seq >= 3, CAST(prep AS INT), NULL)",
+    "estimated_delivery_minutes": "CAST(NULL AS INT)",
+    "actual_delivery_minutes": "IF(step.seq = 6, CAST(deliv AS INT), NULL)",
+    "cancellation_reason": "IF(step.status = 'CANCELLED', 'CUSTOMER_REQUEST', NULL)",
+    "device_id": "CASE WHEN k % 37 = 0 THEN NULL WHEN u < 12 THEN concat('DEV-FRAUD-', u div 4) "
+                 "ELSE concat('DEV-', u) END",
+    "platform": "'ANDROID'",
+    "is_duplicate": "is_duplicate",
+    "is_late": "(k + step.seq) % 20 = 0",
+    "metadata": "CAST(map() AS MAP<STRING, STRING>)",
+}
+
+_COURIER_COLUMNS = {
+    "schema_version": "'1.0.0'",
+    "event_id": "concat('CE', k, '-', c)",
+    "courier_id": "concat('C', u * 10 + c)",
+    "order_id": "IF(k % 8 >= 6 AND c = 0, concat('O', k), NULL)",
+    "zone_id": "zone_id",
+    "status": "CASE WHEN k % 8 < 5 THEN 'ONLINE_IDLE' WHEN k % 8 = 5 THEN 'HEADING_TO_RESTAURANT' "
+              "WHEN k % 8 = 6 THEN 'HEADING_TO_CUSTOMER' ELSE 'OFFLINE' END",
+    "event_time": "timestamp_micros(t0)",
+    "ingestion_time": "timestamp_micros(t0)",
+    "latitude": "round(40.4168D + CAST(k % 41 - 20 AS DOUBLE) / 1000, 6)",
+    "longitude": "round(-3.7038D + CAST(k % 37 - 18 AS DOUBLE) / 1000, 6)",
+    "location_accuracy_meters": "CAST(IF(k % 60 = 0, 120, 3 + k % 23) AS FLOAT)",
+    "speed_kmh": "CAST(IF(k % 200 = 0, 250, k % 45) AS FLOAT)",
+    "battery_pct": "CAST(5 + k % 96 AS INT)",
+    "vehicle_type": _pick(VEHICLES, "u % 5"),
+    "active_session_id": f"concat('S', u * 10 + c, '-', (t0 - {_EPOCH}) div {_SHIFT_MICROS})",
+    "session_start_time": f"timestamp_micros(t0 - (t0 - {_EPOCH}) % {_SHIFT_MICROS})",
+    "deliveries_completed_this_session": "0",
+    "is_heartbeat": "false",
+    "is_duplicate": "false",
+    "is_late": "false",
+    "offline_reason": "IF(k % 8 = 7, IF(k % 3 = 0, 'MID_DELIVERY_DROP', 'SHIFT_END'), NULL)",
+    "metadata": "CAST(map() AS MAP<STRING, STRING>)",
+}
 
 
 def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lifecycle events with late rows and flagged duplicates, in the declared schema."""
-    canc, live = F.col("canc"), ~F.col("canc")
-    k, prep, deliv = F.col("k"), F.col("prep"), F.col("deliv")
-    stages = F.array(
-        _stage(0, "PLACED", 0, F.lit(True)),
-        _stage(1, "CANCELLED", 60, canc),
-        _stage(2, "REFUNDED", 300, canc & (k % 3 == 0)),
-        _stage(1, "CONFIRMED", 30, live),
-        _stage(2, "PREPARING", 35, live),
-        _stage(3, "READY_FOR_PICKUP", 35 + prep * 60, live),
-        _stage(4, "PICKED_UP", 95 + prep * 60, live & (k % 100 != 0)),
-        _stage(5, "IN_TRANSIT", 105 + prep * 60, live),
-        _stage(6, "DELIVERED", 105 + (prep + deliv) * 60, live & (k % 24 != 15)),
-    )
-    seq = F.col("step.seq")
-    copies = F.when((k + seq) % 50 == 0, F.array(F.lit(False), F.lit(True))).otherwise(
-        F.array(F.lit(False)))
-    steps = (
+    return (
         _base(spark, sf_dir)
-        .withColumn("step", F.explode(stages))
-        .filter(F.col("step").isNotNull())
-        .withColumn("is_duplicate", F.explode(copies))
+        .selectExpr("*", _EXPLODED_STEPS)
+        .where("step IS NOT NULL")
+        .selectExpr("*", "explode(IF((k + step.seq) % 50 = 0, array(false, true), array(false))) "
+                         "AS is_duplicate")
+        .selectExpr(*[f"{_ORDER_COLUMNS[f.name]} AS {f.name}" for f in ORDERS.fields])
     )
-    arrival = F.col("t0") + F.col("step.off") * 1_000_000
-    late = (k + seq) % 20 == 0
-    delay = F.when(late, (60 + k % 241) * 1_000_000).otherwise(F.lit(0))
-    text = F.concat
-    columns = {
-        "schema_version": F.lit("1.0.0"),
-        "event_id": text(F.lit("E"), k.cast("string"), F.lit("-"), seq.cast("string")),
-        "order_id": text(F.lit("O"), k.cast("string")),
-        "customer_id": text(F.lit("U"), F.col("u").cast("string")),
-        "restaurant_id": _restaurant_id(k % 120 + 1),
-        "courier_id": F.when(seq >= 4, text(F.lit("C"), (F.col("u") * 10).cast("string"))),
-        "zone_id": F.col("zone_id"),
-        "status": F.col("step.status"),
-        "event_time": F.timestamp_micros(arrival - delay),
-        "ingestion_time": F.timestamp_micros(arrival),
-        "order_value_eur": F.round(F.col("value") + 5, 2),
-        "item_count": F.lit(1),
-        "is_promo": F.lit(False),
-        "promo_code": F.lit(None).cast("string"),
-        "payment_method": F.lit("CARD"),
-        "estimated_prep_minutes": F.when(live & (seq >= 1), (prep + k % 3).cast("int")),
-        "actual_prep_minutes": F.when(live & (seq >= 3), prep.cast("int")),
-        "estimated_delivery_minutes": F.lit(None).cast("int"),
-        "actual_delivery_minutes": F.when(seq == 6, deliv.cast("int")),
-        "cancellation_reason": F.when(F.col("step.status") == "CANCELLED",
-                                      F.lit("CUSTOMER_REQUEST")),
-        "device_id": F.when(k % 37 == 0, F.lit(None).cast("string"))
-            .when(F.col("u") < 12,
-                  text(F.lit("DEV-FRAUD-"), F.floor(F.col("u") / 4).cast("string")))
-            .otherwise(text(F.lit("DEV-"), F.col("u").cast("string"))),
-        "platform": F.lit("ANDROID"),
-        "is_duplicate": F.col("is_duplicate"),
-        "is_late": late,
-        "metadata": F.create_map().cast("map<string,string>"),
-    }
-    return steps.select(*[columns[f.name].alias(f.name) for f in ORDERS.fields])
 
 
 def couriers_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Courier status events in the declared schema: ``u % 10 + 1`` couriers per event row."""
-    k, u, c = F.col("k"), F.col("u"), F.col("c")
-    rows = _base(spark, sf_dir).withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), u % 10)))
-    courier = (u * 10 + c).cast("string")
-    phase = k % 8
-    seen_at = F.timestamp_micros(F.col("t0"))
-    shift = F.floor((F.col("t0") - _EPOCH) / 14_400_000_000)
-    columns = {
-        "schema_version": F.lit("1.0.0"),
-        "event_id": F.concat(F.lit("CE"), k.cast("string"), F.lit("-"), c.cast("string")),
-        "courier_id": F.concat(F.lit("C"), courier),
-        "order_id": F.when((phase >= 6) & (c == 0), F.concat(F.lit("O"), k.cast("string"))),
-        "zone_id": F.col("zone_id"),
-        "status": F.when(phase < 5, "ONLINE_IDLE").when(phase == 5, "HEADING_TO_RESTAURANT")
-            .when(phase == 6, "HEADING_TO_CUSTOMER").otherwise("OFFLINE"),
-        "event_time": seen_at,
-        "ingestion_time": seen_at,
-        "latitude": F.round(F.lit(40.4168) + (k % 41 - 20).cast("double") / 1000, 6),
-        "longitude": F.round(F.lit(-3.7038) + (k % 37 - 18).cast("double") / 1000, 6),
-        "location_accuracy_meters": F.when(k % 60 == 0, F.lit(120.0))
-            .otherwise((3 + k % 23).cast("double")).cast("float"),
-        "speed_kmh": F.when(k % 200 == 0, F.lit(250.0))
-            .otherwise((k % 45).cast("double")).cast("float"),
-        "battery_pct": (5 + k % 96).cast("int"),
-        "vehicle_type": _pick(VEHICLES, u % 5),
-        "active_session_id": F.concat(F.lit("S"), courier, F.lit("-"), shift.cast("string")),
-        "session_start_time": F.timestamp_micros(F.lit(_EPOCH) + shift * 14_400_000_000),
-        "deliveries_completed_this_session": F.lit(0),
-        "is_heartbeat": F.lit(False),
-        "is_duplicate": F.lit(False),
-        "is_late": F.lit(False),
-        "offline_reason": F.when(
-            phase == 7, F.when(k % 3 == 0, "MID_DELIVERY_DROP").otherwise("SHIFT_END")),
-        "metadata": F.create_map().cast("map<string,string>"),
-    }
-    return rows.select(*[columns[f.name].alias(f.name) for f in COURIERS.fields])
+    return (
+        _base(spark, sf_dir)
+        .selectExpr("*", "explode(sequence(0L, u % 10)) AS c")
+        .selectExpr(*[f"{_COURIER_COLUMNS[f.name]} AS {f.name}" for f in COURIERS.fields])
+    )
 
 
 def restaurants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Restaurant dimension from ``supplier``."""
-    n = F.col("s_suppkey")
-    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
-        _restaurant_id(n).alias("restaurant_id"),
-        F.col("s_name").alias("restaurant_name"),
-        _pick(_ZONES, n % 10).alias("zone_id"),
-        _pick(_CUISINES, n % 11).alias("cuisine_type"),
-        F.when(n % 10 < 2, "GOLD").when(n % 10 < 7, "SILVER").otherwise("BRONZE").alias("sla_tier"),
-        (8 + n % 18).cast("double").alias("avg_prep_mean"),
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").selectExpr(
+        f"{_restaurant_id('s_suppkey')} AS restaurant_id",
+        "s_name AS restaurant_name",
+        f"{_pick(_ZONES, 's_suppkey % 10')} AS zone_id",
+        f"{_pick(_CUISINES, 's_suppkey % 11')} AS cuisine_type",
+        "CASE WHEN s_suppkey % 10 < 2 THEN 'GOLD' WHEN s_suppkey % 10 < 7 THEN 'SILVER' "
+        "ELSE 'BRONZE' END AS sla_tier",
+        "CAST(8 + s_suppkey % 18 AS DOUBLE) AS avg_prep_mean",
     )
