@@ -69,3 +69,26 @@ def test_database_statements():
     assert "ON CONFLICT (window_start, window_end, zone_id) DO UPDATE SET pending_demand = " in sql
     for t in METRIC_TABLES.values():
         assert database.create_table_sql(t).count("\n") == len(t.columns) + 2
+
+
+def test_upsert_sink_stages_then_merges(monkeypatch, spark):
+    log = []
+
+    class Connection:
+        def cursor(self):
+            return self
+
+        def execute(self, sql):
+            log.append(sql.split()[0])
+
+        def commit(self):
+            log.append("commit")
+
+        def close(self):
+            log.append("close")
+
+    monkeypatch.setattr(database, "write_staging", lambda df, *a: log.append(f"staged {df.count()}"))
+    table = METRIC_TABLES["demand_staging"]
+    write = database.upsert_sink(table, "jdbc:none", {}, Connection)
+    write(spark.createDataFrame([], table.schema), 0)
+    assert log == ["staged 0", "CREATE", "INSERT", "commit", "close"]

@@ -1,17 +1,20 @@
 """Streams against their SQL, replay safety, late data and the supervisor."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.compare import difference
 from tests.conftest import at
 from zonepulse import MetricConfig
-from zonepulse.model import ORDERS
+from zonepulse.model import COURIERS, ORDERS
 from zonepulse.operators import kpis, quality
 from zonepulse.session import streaming_session
 from zonepulse.sinks.changelog import ChangelogTable
+from zonepulse.sources.decode import encode_json
 from zonepulse.sources.files import stream_parquet
 from zonepulse.streaming.jobs import JOBS, Feeds, clean_stream, start_metric
+from zonepulse.streaming.pipeline import Pipeline
 from zonepulse.streaming.supervisor import supervise
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -34,7 +37,7 @@ class Live:
     def feed(self, df):
         df.write.mode("append").parquet(self.inbox)
         stream = clean_stream(stream_parquet(self.session, self.inbox, ORDERS.schema),
-                              self.cfg, self.by_key)
+                              self.cfg.orders_watermark, self.by_key)
         query = start_metric(self.job, Feeds(stream), f"{self.root}/out", f"{self.root}/cp",
                              self.cfg, available_now=True)
         query.awaitTermination()
@@ -93,7 +96,7 @@ def test_failed_batch_is_repeated_without_double_counting(spark, raw_orders, tmp
         sink.write_batch(df, batch_id)
         raise RuntimeError("lost")
 
-    stream = clean_stream(stream_parquet(live.session, live.inbox, ORDERS.schema))
+    stream = clean_stream(stream_parquet(live.session, live.inbox, ORDERS.schema), "5 minutes")
     broken = (live.job.build(Feeds(stream), live.cfg).writeStream.outputMode("update")
               .option("checkpointLocation", f"{live.root}/cp/kpi_tumbling")
               .foreachBatch(write_then_die).trigger(availableNow=True).start())
@@ -103,6 +106,43 @@ def test_failed_batch_is_repeated_without_double_counting(spark, raw_orders, tmp
     assert [r.order_count for r in live.latest().collect()] == [3]
 
 
+def test_pipeline(spark, raw_orders, raw_couriers, restaurants, tmp_path):
+    """Messages in, archives, dead letters and all metric tables out."""
+    orders = raw_orders({"event_time": at(1)}, {"event_time": at(2), "is_duplicate": True},
+                        {"event_time": at(3), "status": "DELIVERED", "actual_prep_minutes": 30,
+                         "actual_delivery_minutes": 70},
+                        {"event_time": at(3), "customer_id": "u2", "status": "CANCELLED"})
+    fleet = raw_couriers({"event_time": at(1)}, {"event_time": at(4), "status": "OFFLINE"})
+    for feed, df, declared in (("orders", orders, ORDERS), ("couriers", fleet, COURIERS)):
+        good = df.select(encode_json(df, declared).alias("value"))
+        bad = spark.createDataFrame([("{broken",)], "value string")
+        good.unionByName(bad).select(F.col("value").cast("binary")).write.parquet(
+            f"{tmp_path}/in/{feed}")
+    session = streaming_session(spark, 2)
+    job = Pipeline(
+        session, lambda feed: stream_parquet(session, f"{tmp_path}/in/{feed}", "value binary"),
+        restaurants, f"{tmp_path}/out", f"{tmp_path}/cp", wire="json", available_now=True)
+    for name, start in job.starters().items():
+        query = start()
+        assert query.name == name
+        query.awaitTermination()
+
+    def latest(name):
+        return ChangelogTable.of(JOBS[name].table, f"{tmp_path}/out/metrics/{name}").latest(
+            session).collect()
+
+    assert spark.read.parquet(job.archive_path("orders")).count() == 3
+    assert [r.reason for r in spark.read.parquet(f"{tmp_path}/out/dead_letters/orders").collect()] == [
+        "malformed"]
+    assert [r.order_count for r in latest("kpi_tumbling")] == [1]
+    assert {r.cancellation_rate for r in latest("kpi_hopping")} == {0.5}
+    assert [(r.pending_demand, r.available_supply) for r in latest("demand_supply")] == [(1, 1)]
+    assert [(r.restaurant_name, r.sla_breached) for r in latest("restaurant_sla")] == [("One", True)]
+    assert {r.anomaly_count for r in latest("delivery_anomalies")} == {1}
+    assert [r.fraud_flags for r in latest("fraud_alerts")] == ["ACCOUNT_HOPPING"]
+    assert [r.status for r in latest("courier_positions")] == ["OFFLINE"]
+
+
 class _Query:
     def __init__(self, name):
         self.name, self.isActive = name, True

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonepulse.config import DEFAULTS, MetricConfig
-from zonepulse.functions.windows import EVENT_TIME, ensure_watermark
+from zonepulse.functions.windows import EVENT_TIME
 from zonepulse.sources.decode import CORRUPT
 
 
@@ -32,15 +31,14 @@ def dedup_by_flag(df: DataFrame) -> DataFrame:
     return df.filter(~F.coalesce(F.col("is_duplicate"), F.lit(False)))
 
 
-def dedup_by_key(df: DataFrame, keys: tuple[str, ...] = ("event_id",),
-                 cfg: MetricConfig = DEFAULTS) -> DataFrame:
+def dedup_by_key(df: DataFrame, keys: tuple[str, ...] = ("event_id",)) -> DataFrame:
     """Keep one row per key without trusting any mark.
 
-    On a stream the state of a key expires with the watermark; in batch the copies are dropped
-    with map-side combine before the shuffle on the key.
+    A stream must carry a watermark, with which the state of a key expires; in batch the copies
+    are dropped with map-side combine before the shuffle on the key.
     """
     if df.isStreaming:
-        return ensure_watermark(df, cfg.orders_watermark).dropDuplicatesWithinWatermark(list(keys))
+        return df.dropDuplicatesWithinWatermark(list(keys))
     return df.dropDuplicates(list(keys))
 
 

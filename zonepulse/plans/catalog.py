@@ -474,8 +474,9 @@ def _stream_metric(spark, sf_dir, name: str, by_key: bool = False) -> DataFrame:
 
     def start():
         feeds = Feeds(
-            clean_stream(orders.stream(session), by_key=by_key) if orders else None,
-            clean_stream(fleet.stream(session)) if fleet else None,
+            clean_stream(orders.stream(session), DEFAULTS.orders_watermark, by_key)
+            if orders else None,
+            clean_stream(fleet.stream(session), DEFAULTS.couriers_watermark) if fleet else None,
             testdata.restaurants(session, sf_dir))
         return start_metric(job, feeds, f"{root}/out", f"{root}/checkpoints", available_now=True)
 
@@ -539,7 +540,8 @@ def stream_courier_sessions(spark, sf_dir):
     sink = ChangelogTable(f"{root}/out", ["courier_id", "session_start"], _SESSION_SCHEMA)
 
     def start():
-        closed = couriers.gap_sessions(clean_stream(fleet.stream(session)), DEFAULTS)
+        closed = couriers.gap_sessions(
+            clean_stream(fleet.stream(session), DEFAULTS.couriers_watermark))
         return (closed.writeStream.outputMode("append").foreachBatch(sink.write_batch)
                 .option("checkpointLocation", f"{root}/checkpoint")
                 .trigger(availableNow=True).start())
@@ -554,6 +556,6 @@ def stream_archive(spark, sf_dir):
     orders, _ = _zones(spark, sf_dir, root, order_columns=("order_value_eur",))
     session = streaming_session(spark)
     replay(session, [orders], lambda: archive.archive_stream(
-        clean_stream(orders.stream(session)), f"{root}/out", f"{root}/checkpoint", "raw_archive",
+        clean_stream(orders.stream(session), DEFAULTS.orders_watermark), f"{root}/out", f"{root}/checkpoint", "raw_archive",
         available_now=True))
     return _archive_counts(files.read_archive(spark, f"{root}/out"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -40,3 +42,26 @@ def write_staging(df: DataFrame, table: MetricTable, url: str, staging: str,
     """
     (df.select(*table.columns).coalesce(connections).write
        .option("truncate", "true").mode("overwrite").jdbc(url, staging, properties=properties))
+
+
+def upsert_sink(table: MetricTable, url: str, properties: dict[str, str],
+                connect: Callable[[], object], connections: int = 8):
+    """A ``foreachBatch`` writer: stage the batch from the executors, then upsert it on the server.
+
+    ``connect`` opens a DB-API connection on the driver; only the upsert statement runs on it and
+    no rows pass through the driver.  Repeating a batch leaves the table as it is.
+    """
+    staging = f"{table.name}_staging"
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        write_staging(df, table, url, staging, properties, connections)
+        connection = connect()
+        try:
+            cursor = connection.cursor()
+            cursor.execute(create_table_sql(table))
+            cursor.execute(upsert_sql(table, staging))
+            connection.commit()
+        finally:
+            connection.close()
+
+    return write

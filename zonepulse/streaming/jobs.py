@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from zonepulse.config import DEFAULTS, MetricConfig
+from zonepulse.functions.windows import ensure_watermark
 from zonepulse.model import METRIC_TABLES, MetricTable
 from zonepulse.operators import anomaly, couriers, demand_supply, fraud, kpis, quality, sla
 from zonepulse.sinks.changelog import ChangelogTable
@@ -67,28 +68,34 @@ JOBS: dict[str, MetricJob] = {j.name: j for j in (
 )}
 
 
-def clean_stream(raw: DataFrame, cfg: MetricConfig = DEFAULTS, by_key: bool = False) -> DataFrame:
-    """Validate a stream and drop copies: by the producer's mark, or by event id with state."""
-    valid = quality.with_event_timestamp(quality.validate(raw))
-    return quality.dedup_by_key(valid, cfg=cfg) if by_key else quality.dedup_by_flag(valid)
+def clean_stream(raw: DataFrame, delay: str, by_key: bool = False) -> DataFrame:
+    """Validate and watermark a stream, and drop copies: by the producer's mark, or by event id.
+
+    Only the event id needs state, for as long as the watermark ``delay``.
+    """
+    valid = ensure_watermark(quality.with_event_timestamp(quality.validate(raw)), delay)
+    return quality.dedup_by_key(valid) if by_key else quality.dedup_by_flag(valid)
 
 
 def start_metric(job: MetricJob, feeds: Feeds, root: str, checkpoint_root: str,
                  cfg: MetricConfig = DEFAULTS, available_now: bool = False,
-                 interval: str = "30 seconds") -> StreamingQuery:
+                 interval: str = "30 seconds",
+                 write_batch: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
     """Start one metric; its changelog lies in ``root/<name>``.
 
+    ``write_batch`` puts another sink in place of the changelog; it must tolerate a repeated batch.
+
     Failures of a batch end the query and leave the checkpoint untouched, so a restart repeats the
     batch and overwrites what it had written.
     """
-    sink = ChangelogTable.of(job.table, f"{root}/{job.name}")
+    write = write_batch or ChangelogTable.of(job.table, f"{root}/{job.name}").write_batch
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return (
         job.build(feeds, cfg).writeStream
         .outputMode(job.output_mode)
         .queryName(job.name)
         .option("checkpointLocation", f"{checkpoint_root}/{job.name}")
-        .foreachBatch(sink.write_batch)
+        .foreachBatch(write)
         .trigger(**trigger)
         .start()
     )
