@@ -470,7 +470,9 @@ def _zones(spark, sf_dir, root, order_columns=(), courier_columns=()):
 def _stream_metric(spark, sf_dir, name: str, by_key: bool = False) -> DataFrame:
     job, root = JOBS[name], new_work_dir(spark, f"stream-{name}")
     orders, fleet = _zones(spark, sf_dir, root, job.order_columns, job.courier_columns)
-    session = streaming_session(spark)
+    # In update mode an extra batch without data only evicts state, which the next drop does too.
+    session = streaming_session(
+        spark, conf={"spark.sql.streaming.noDataMicroBatches.enabled": "false"})
 
     def start():
         feeds = Feeds(

@@ -46,15 +46,14 @@ def decode_avro(raw: DataFrame, feed: Feed, value: str = "value",
     from pyspark.sql.avro.functions import from_avro
 
     parsed = raw.select(
-        F.col(value).alias("raw_value"),
+        F.base64(F.col(value)).alias("raw_value"),
         from_avro(F.col(value), feed.avro_schema(), {"mode": "PERMISSIVE"}).alias("data"),
     )
-    if keep_raw:
-        # from_avro reports no text for a bad record: null out means it could not be decoded.
-        corrupt = F.when(F.col("data.event_id").isNull() & F.col("data.event_time").isNull(),
-                         F.base64("raw_value"))
-        return parsed.select("raw_value", corrupt.alias(CORRUPT), "data.*")
-    return parsed.select("data.*")
+    if not keep_raw:
+        return parsed.select("data.*")
+    # from_avro reports no text for a bad record; both required fields are null then.
+    bad = F.col("data.event_id").isNull() & F.col("data.event_time").isNull()
+    return parsed.select("raw_value", F.when(bad, F.col("raw_value")).alias(CORRUPT), "data.*")
 
 
 def encode_json(df: DataFrame, feed: Feed) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from zonepulse.sources.files import stream_parquet
 
-DROP_HOURS = 6
+DROP_HOURS = 8
 
 
 class DropZone:
