@@ -334,6 +334,15 @@ FROM (SELECT * FROM c WHERE status = 'OFFLINE' AND offline_reason = 'MID_DELIVER
 JOIN (SELECT * FROM o WHERE status = 'IN_TRANSIT') t USING (order_id)
 WHERE NOT EXISTS (SELECT 1 FROM o v WHERE v.order_id = d.order_id AND v.status = 'DELIVERED'
                                        AND v.event_time >= d.event_time)""",
+    # Reported once both watermarks are past the redelivery time of four hours.
+    "stream_orphaned_deliveries": """
+SELECT order_id, d.zone_id, d.courier_id AS dropped_courier_id, d.event_time AS drop_time
+FROM (SELECT * FROM c WHERE status = 'OFFLINE' AND offline_reason = 'MID_DELIVERY_DROP') d
+WHERE order_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM o WHERE o.order_id = d.order_id AND o.status IN ('DELIVERED', 'CANCELLED')
+                  AND o.event_time BETWEEN d.event_time - INTERVAL 4 HOUR AND d.event_time + INTERVAL 4 HOUR)
+  AND d.event_time + INTERVAL 4 HOUR <= date_trunc('millisecond', least(
+        (SELECT max(event_time) FROM o) - INTERVAL 5 MINUTE, (SELECT max(event_time) FROM c) - INTERVAL 3 MINUTE))""",
     "orders_per_minute": f"""
 SELECT {_tumbling(1)}, zone_id, count(*) AS order_count FROM o WHERE status = 'PLACED' GROUP BY ALL""",
     "revenue_per_hour": f"""
@@ -491,6 +500,7 @@ _COLUMNS: dict[str, str] = {
     "courier_quality_flags": "event_id courier_id zone_id event_timestamp speed_kmh "
                              "location_accuracy_meters battery_pct quality_flags",
     "orphaned_deliveries": "order_id zone_id dropped_courier_id drop_time in_transit_time",
+    "stream_orphaned_deliveries": "order_id zone_id dropped_courier_id drop_time",
     "orders_per_minute": f"{_ZONE_KEYS} order_count",
     "revenue_per_hour": "window_start window_end delivered_count total_revenue",
     "order_durations": "order_id placed_to_delivered_min ready_to_pickup_min pickup_to_delivered_min",

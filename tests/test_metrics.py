@@ -8,7 +8,9 @@ from zonepulse import MetricConfig
 from zonepulse.functions.percentiles import discrete_percentiles
 from zonepulse.operators import anomaly, demand_supply, fraud, kpis, sla
 from zonepulse.operators import couriers as fleet
-from zonepulse.session import RECOMMENDED_CONF
+from zonepulse.model import METRIC_TABLES
+from zonepulse.session import RECOMMENDED_CONF, sized_conf
+from zonepulse.streaming.jobs import JOBS, Feeds
 
 
 def test_only_confirmed(orders):
@@ -226,3 +228,19 @@ def test_config(tmp_path):
     with pytest.raises(ValueError):
         MetricConfig(cancel_minutes=7, cancel_slide=5)
     assert RECOMMENDED_CONF["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_outputs_follow_the_table_contracts(orders, couriers, restaurants):
+    """Names, order and types: a sink may bind by position."""
+    feeds = Feeds(orders({}), couriers({}), restaurants)
+    for job in JOBS.values():
+        got = [(f.name, f.dataType) for f in job.build(feeds, MetricConfig()).schema.fields]
+        assert got == [(f.name, f.dataType) for f in job.table.schema.fields], job.name
+    both = kpis.windowed_kpis(feeds.orders)
+    assert both.columns == METRIC_TABLES["windowed_kpis"].columns
+
+
+def test_shuffle_sizing():
+    assert sized_conf(12 << 40, 8000)[
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "98304"
+    assert sized_conf(1, 8)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "16"

@@ -31,6 +31,7 @@ class MetricConfig:
     surge_minutes: int = 5
     surge_lookback_windows: int = 6
     session_gap_minutes: int = 30
+    redelivery_minutes: int = 240
 
     # Preparation limits per tier (minutes, breached when p95 is above).
     sla_limits: dict[str, int] = field(

@@ -132,6 +132,12 @@ def quality_flags(couriers: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFram
     ).filter(F.col("quality_flags") != "")
 
 
+def _drops(couriers: DataFrame) -> DataFrame:
+    return couriers.filter((F.col("status") == "OFFLINE")
+                           & (F.col("offline_reason") == "MID_DELIVERY_DROP")
+                           & F.col("order_id").isNotNull())
+
+
 def orphaned_deliveries(orders: DataFrame, couriers: DataFrame) -> DataFrame:
     """Orders in transit whose courier dropped out and that were not delivered afterwards.
 
@@ -139,10 +145,7 @@ def orphaned_deliveries(orders: DataFrame, couriers: DataFrame) -> DataFrame:
     an id shared by very many rows is no burden; the join needs no further shuffle.
     """
     drops = (
-        couriers.filter((F.col("status") == "OFFLINE")
-                        & (F.col("offline_reason") == "MID_DELIVERY_DROP")
-                        & F.col("order_id").isNotNull())
-        .groupBy("order_id")
+        _drops(couriers).groupBy("order_id")
         .agg(F.min(EVENT_TIME).alias("drop_time"),
              F.min_by(F.struct("zone_id", "courier_id"), F.struct(EVENT_TIME, "event_id"))
              .alias("place"))
@@ -163,3 +166,28 @@ def orphaned_deliveries(orders: DataFrame, couriers: DataFrame) -> DataFrame:
         .select("order_id", "place.zone_id", F.col("place.courier_id").alias("dropped_courier_id"),
                 "drop_time", "in_transit_time")
     )
+
+
+def orphaned_deliveries_live(orders: DataFrame, couriers: DataFrame,
+                             cfg: MetricConfig = DEFAULTS) -> DataFrame:
+    """Dropped orders of two streams that did not end within the redelivery time (append mode).
+
+    A left outer interval join: state of both sides expires once the watermark is past the
+    redelivery time, which is also when an unmatched drop is reported.
+    """
+    orders = ensure_watermark(orders, cfg.orders_watermark)
+    couriers = ensure_watermark(couriers, cfg.couriers_watermark)
+    drops = _drops(couriers).select(
+        "order_id", "zone_id", F.col("courier_id").alias("dropped_courier_id"),
+        F.col(EVENT_TIME).alias("drop_time"))
+    ends = orders.filter(F.col("status").isin("DELIVERED", "CANCELLED")).select(
+        F.col("order_id").alias("ended_order_id"), F.col(EVENT_TIME).alias("end_time"))
+    horizon = interval(cfg.redelivery_minutes)
+    in_time = ((F.col("order_id") == F.col("ended_order_id"))
+               & (F.col("end_time") >= F.col("drop_time") - horizon)
+               & (F.col("end_time") <= F.col("drop_time") + horizon))
+    return (
+        drops.join(ends, in_time, "left_outer")
+        .filter(F.col("ended_order_id").isNull())
+        .select("order_id", "zone_id", "dropped_courier_id", "drop_time")
+    )

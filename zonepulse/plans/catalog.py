@@ -552,6 +552,34 @@ def stream_courier_sessions(spark, sf_dir):
     return sink.latest(spark)
 
 
+_ORPHAN_SCHEMA = T.StructType([
+    T.StructField("order_id", T.StringType()),
+    T.StructField("zone_id", T.StringType()),
+    T.StructField("dropped_courier_id", T.StringType()),
+    T.StructField("drop_time", T.TimestampType()),
+])
+
+
+@query
+def stream_orphaned_deliveries(spark, sf_dir):
+    root = new_work_dir(spark, "stream-orphans")
+    orders, fleet = _zones(spark, sf_dir, root, ("status", "order_id"),
+                           ("status", "order_id", "zone_id", "courier_id", "offline_reason"))
+    session = streaming_session(spark)
+    sink = ChangelogTable(f"{root}/out", ["order_id"], _ORPHAN_SCHEMA)
+
+    def start():
+        lost = couriers.orphaned_deliveries_live(
+            clean_stream(orders.stream(session), DEFAULTS.orders_watermark),
+            clean_stream(fleet.stream(session), DEFAULTS.couriers_watermark))
+        return (lost.writeStream.outputMode("append").foreachBatch(sink.write_batch)
+                .option("checkpointLocation", f"{root}/checkpoint")
+                .trigger(availableNow=True).start())
+
+    replay(session, [orders, fleet], start)
+    return sink.latest(spark)
+
+
 @query
 def stream_archive(spark, sf_dir):
     root = new_work_dir(spark, "stream-archive")

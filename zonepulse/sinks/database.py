@@ -38,9 +38,10 @@ def write_staging(df: DataFrame, table: MetricTable, url: str, staging: str,
                   properties: dict[str, str], connections: int = 8) -> None:
     """Write changed rows from the executors into a staging table, columns bound by name.
 
-    ``connections`` bounds the number of concurrent database sessions.
+    ``connections`` bounds the number of concurrent database sessions.  The rows are repartitioned
+    to it; coalescing would narrow the stateful stage that produces them.
     """
-    (df.select(*table.columns).coalesce(connections).write
+    (df.select(*table.columns).repartition(connections).write
        .option("truncate", "true").mode("overwrite").jdbc(url, staging, properties=properties))
 
 
