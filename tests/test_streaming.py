@@ -121,7 +121,8 @@ def test_pipeline(spark, raw_orders, raw_couriers, restaurants, tmp_path):
     session = streaming_session(spark, 2)
     job = Pipeline(
         session, lambda feed: stream_parquet(session, f"{tmp_path}/in/{feed}", "value binary"),
-        restaurants, f"{tmp_path}/out", f"{tmp_path}/cp", wire="json", available_now=True)
+        restaurants, f"{tmp_path}/out", f"{tmp_path}/cp", wire="json", available_now=True,
+        files_per_batch=2)
     for name, start in job.starters().items():
         query = start()
         assert query.name == name

@@ -28,6 +28,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--config", help="JSON file with metric settings")
     p.add_argument("--interval", default="30 seconds", help="time between micro-batches")
     p.add_argument("--max-offsets", type=int, help="messages per feed and micro-batch")
+    p.add_argument("--files-per-batch", type=int,
+                   help="archive files per feed and micro-batch; default: one per source partition")
     p.add_argument("--state-partitions", type=int, default=64,
                    help="partitions of all state; fixed by the first start")
     return p.parse_args(argv)
@@ -47,7 +49,8 @@ def main(argv: list[str] | None = None) -> None:
 
     cfg = MetricConfig.from_json(args.config) if args.config else DEFAULTS
     job = Pipeline(spark, messages, read_restaurants(spark, args.restaurants), args.root,
-                   args.checkpoints, args.wire, cfg, interval=args.interval)
+                   args.checkpoints, args.wire, cfg, interval=args.interval,
+                   files_per_batch=args.files_per_batch)
     supervise(spark.streams, job.starters())
 
 

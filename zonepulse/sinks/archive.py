@@ -38,10 +38,18 @@ def write_metric(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def archive_stream(df: DataFrame, path: str, checkpoint: str, name: str,
-                   available_now: bool = False, interval: str = "1 minute"):
-    """Append every event of a stream to the hourly archive, exactly once."""
+                   available_now: bool = False, interval: str = "1 minute",
+                   files_per_batch: int | None = None):
+    """Append every event of a stream to the hourly archive, exactly once.
+
+    Each task writes a file per hour it sees; ``files_per_batch`` evens a micro-batch out over
+    that many tasks first, where the source has far more partitions than the batch needs files.
+    """
+    events = with_raw_partitions(df)
+    if files_per_batch:
+        events = events.repartition(files_per_batch)
     writer = (
-        with_raw_partitions(df).writeStream.format("parquet").queryName(name)
+        events.writeStream.format("parquet").queryName(name)
         .option("checkpointLocation", checkpoint).option("path", path)
         .partitionBy(*RAW_PARTITIONS)
     )

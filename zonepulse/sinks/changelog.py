@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from zonepulse.model import MetricTable
 
@@ -43,8 +43,10 @@ class ChangelogTable:
     def _snapshot_upto(self, spark: SparkSession) -> int | None:
         try:
             log = spark.read.schema(_LOG).parquet(f"{self.path}/snapshot_log")
-        except AnalysisException:
-            return None
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
         return log.agg(F.max("upto")).first()[0]
 
     def _versions(self, spark: SparkSession) -> DataFrame:

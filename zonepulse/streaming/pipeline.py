@@ -42,6 +42,7 @@ class Pipeline:
     cfg: MetricConfig = DEFAULTS
     available_now: bool = False
     interval: str = "30 seconds"
+    files_per_batch: int | None = None
 
     def archive_path(self, feed: str) -> str:
         return f"{self.root}/raw/{feed}"
@@ -53,7 +54,7 @@ class Pipeline:
         """Decode, validate and archive a feed."""
         events = quality.dedup_by_flag(quality.validate(self._decoded(feed)))
         return archive_stream(events, self.archive_path(feed), f"{self.checkpoints}/land_{feed}",
-                              f"land_{feed}", self.available_now, self.interval)
+                              f"land_{feed}", self.available_now, self.interval, self.files_per_batch)
 
     def reject(self, feed: str) -> StreamingQuery:
         """Keep the messages that ``land`` drops, with the reason."""
