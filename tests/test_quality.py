@@ -34,6 +34,13 @@ def test_decode_and_dead_letters(spark):
     assert kept[0].metadata == {"a": "b"}
 
 
+def test_decode_of_some_fields(spark):
+    decoded = decode_json(_raw(spark, json.dumps(GOOD), "{oops"), ORDERS,
+                          columns=["event_id", "event_time"])
+    assert decoded.columns == ["event_id", "event_time"]
+    assert [r.event_id for r in quality.validate(decoded).collect()] == ["e1"]
+
+
 def test_one_bad_field_does_not_reject_the_event(spark):
     bad = {**GOOD, "item_count": "many"}
     decoded = decode_json(_raw(spark, json.dumps(bad)), ORDERS, keep_raw=True)

@@ -93,9 +93,10 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decode_json_orders(spark, sf_dir):
     feed = testdata.orders_feed(spark, sf_dir)
     raw = feed.select(encode_json(feed, ORDERS).cast("binary").alias("value"))
-    return quality.with_event_timestamp(decode_json(raw, ORDERS)).select(
-        "event_id", "order_id", "zone_id", "status", "event_timestamp", "ingestion_time",
-        "order_value_eur", "estimated_prep_minutes", "device_id", "is_late")
+    wanted = ("event_id", "order_id", "zone_id", "status", "event_time", "ingestion_time",
+              "order_value_eur", "estimated_prep_minutes", "device_id", "is_late")
+    decoded = decode_json(raw, ORDERS, columns=wanted)
+    return quality.with_event_timestamp(decoded).drop("event_time")
 
 
 @query
@@ -115,8 +116,8 @@ def dim_restaurant(spark, sf_dir):
 
 @query
 def validate_orders(spark, sf_dir):
-    return quality.validate(decode_json(_messages(spark, sf_dir), ORDERS)).select(
-        "event_id", "order_id", "status", "event_time")
+    wanted = ("event_id", "order_id", "status", "event_time")
+    return quality.validate(decode_json(_messages(spark, sf_dir), ORDERS, columns=wanted))
 
 
 @query

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,26 +15,27 @@ CORRUPT = "_corrupt_record"
 
 def _normalise_times(feed: Feed, df: DataFrame, keep: list[str]) -> DataFrame:
     """Epoch milliseconds become timestamps; columns come out in feed order."""
-    times = set(feed.time_columns)
+    times, present = set(feed.time_columns), set(df.columns)
     return df.select(
         *keep,
         *[
             F.timestamp_millis(F.col(f.name)).alias(f.name) if f.name in times else F.col(f.name)
-            for f in feed.fields
+            for f in feed.fields if f.name in present
         ],
     )
 
 
-def decode_json(raw: DataFrame, feed: Feed, value: str = "value",
-                keep_raw: bool = False) -> DataFrame:
-    """Decode JSON messages.
+def decode_json(raw: DataFrame, feed: Feed, value: str = "value", keep_raw: bool = False,
+                columns: Sequence[str] | None = None) -> DataFrame:
+    """Decode JSON messages; ``columns`` names the fields to parse, all by default.
 
     A malformed message yields a row of nulls, which ``quality.validate`` drops.  With
     ``keep_raw`` the text (``raw_value``) and Spark's corrupt-record column stay, so
     ``quality.dead_letters`` can tell why a row was rejected.
     """
     text = F.col(value).cast("string")
-    schema = T.StructType(feed.json_schema.fields + (
+    fields = [f for f in feed.json_schema.fields if columns is None or f.name in columns]
+    schema = T.StructType(fields + (
         [T.StructField(CORRUPT, T.StringType())] if keep_raw else []))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = raw.select(text.alias("raw_value"), F.from_json(text, schema, options).alias("data"))
