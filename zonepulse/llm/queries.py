@@ -3,11 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from zonepulse.llm import byte_bpe, simhash
+from zonepulse.llm import byte_bpe, one_bit_search, pseudonyms, quality, simhash, syncmers, toxicity
 from zonepulse.llm.tables import read
 
 
+# A real run takes its key from a secret store; this one is for the registered queries.
+PSEUDONYM_KEY = "registered-query-key"
+
+
+def op1_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edited_pairs(read(spark, sf_dir, "documents"))
+
+
+def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY, counts=True)
+
+
+def op3_one_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return one_bit_search.search(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(read(spark, sf_dir, "documents"))
 
@@ -16,5 +34,15 @@ def op6_simhash_bk_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_byte_bpe, op6_simhash_bk_tree)}
+def op7_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (op1_syncmer_fingerprints, op2_feistel_pseudonyms, op3_one_bit_codes, op4_byte_bpe, op6_simhash_bk_tree, op7_toxic_passages, op8_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
