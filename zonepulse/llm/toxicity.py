@@ -1,20 +1,22 @@
 """Toxic passages as maximal scoring segments of token log-odds.
 
-Each word scores the log-odds of meeting it in a toxic rather than a clean document, under a
-Dirichlet prior, shrunk by its standard error; all words without a weight score a small negative
-constant.  The scan of Ruzzo and Tompa finds every maximal segment in linear time.  What scores
+A word, or a longer word's beginning, scores the log-odds of meeting it in a toxic rather than a
+clean document, under a Dirichlet prior, shrunk by its standard error; all words without a weight
+score a small negative constant.  The scan of Ruzzo and Tompa finds every maximal segment in linear time.  What scores
 chance alone gives in clean text follows an extreme-value law (Karlin and Altschul): the number of
 segments of score S or more expected in n tokens is K n exp(-lambda S).  Lambda comes from the
 scores' distribution in clean text, K from the best segments of clean documents.  A segment is a
-passage if that expectation is small; a document's score is a logistic function of the negative
-logarithm of its least one, fitted on labelled rows that the weights have not seen.
+passage if that expectation is small; a document's score is a logistic function of how unlikely its
+best segments are together, fitted on labelled rows that the weights have not seen.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,9 +34,16 @@ PRIOR_FLAT, PRIOR_BACKGROUND = 0.5, 100.0
 SHRINK = 1.64
 # Score of a word without a weight; ends a passage after some clean words.
 CLEAN_SCORE = -0.5
+# Best segments per document that the fit of the last step looks at.
+FIT_SEGMENTS = 64
 # Passages expected by chance in a document, below which a segment is reported.
 MAX_EXPECTED = 0.01
 
+# Lengths of the beginnings of longer words that count as tokens too (compounds, endings).
+PREFIXES = range(4, 9)
+# Words whose score a worker remembers before it starts afresh.
+MEMORY_WORDS = 500_000
+
 _WORD = re.compile(r"\w+")
 
 
@@ -46,11 +55,27 @@ class ToxicityModel:
     intercept: float
     slope: float
 
-    def evidence(self, score: float, tokens: int) -> float:
-        """Negative logarithm of the expected number of such segments; 0 if one is no surprise."""
-        if score <= 0 or not tokens:
-            return 0.0
-        return max(0.0, self.rate * score - math.log(self.factor * tokens))
+    def surprise(self, score: float, tokens: int) -> float:
+        """Negative logarithm of the number of segments that good expected by chance."""
+        return self.rate * score - math.log(self.factor * tokens)
+
+    def evidence(self, scores: Sequence[float], tokens: int) -> float:
+        """How far the best segments together are beyond chance; 0 if not at all.
+
+        By the sum statistic of Karlin and Altschul (1993): the chance that the surprises of the
+        best r segments sum to x or more is about exp(-x) x^(r-1) / (r! (r-1)!).  The r for which
+        that is least counts, for a price of log 2 per further segment.
+        """
+        best, total = 0.0, 0.0
+        found = sorted((self.surprise(s, tokens) for s in scores), reverse=True)
+        for r, one in enumerate(found, 1):
+            total += one
+            if one <= 0 or total <= 0:
+                break
+            log_chance = (-total + (r - 1) * math.log(total) - math.lgamma(r + 1) - math.lgamma(r)
+                          + (r - 1) * math.log(2))
+            best = max(best, -log_chance)
+        return best
 
     def probability(self, evidence: float) -> float:
         return 1.0 / (1.0 + math.exp(-(self.intercept + self.slope * evidence)))
@@ -94,28 +119,51 @@ def tokens_of(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
-def _scores(model_weights: dict[str, float], tokens: list[str]) -> np.ndarray:
-    get = model_weights.get
-    return np.array([get(t, CLEAN_SCORE) for t in tokens])
+def features_of(word: str) -> list[str]:
+    """The word, and its beginnings marked as such."""
+    return [word, *(word[:n] + "*" for n in PREFIXES if n < len(word))]
+
+
+class _Scorer(dict):
+    """Scores of the words a worker has met: the greatest weight among a word's features."""
+
+    def __init__(self, weights: dict[str, float]):
+        super().__init__()
+        self._weights = weights
 
+    def __missing__(self, word: str) -> float:
+        found = [w for w in map(self._weights.get, features_of(word)) if w is not None]
+        score = max(found, default=CLEAN_SCORE)
+        if len(self) >= MEMORY_WORDS:
+            self.clear()
+        self[word] = score
+        return score
 
-def _best(weights: dict[str, float], text: str | None) -> tuple[int, float]:
-    tokens = tokens_of(text)
-    if not tokens:
-        return 0, 0.0
-    segments = maximal_segments(_scores(weights, tokens))
-    return len(tokens), max((s for _, _, s in segments), default=0.0)
+    def scores(self, tokens: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, tokens), float, len(tokens))
+
+    def segments(self, tokens: list[str]) -> list[tuple[int, int, float]]:
+        return maximal_segments(self.scores(tokens)) if tokens else []
+
+    def segment_scores(self, text: str | None) -> tuple[int, list[float]]:
+        """Number of tokens and the scores of all segments."""
+        tokens = tokens_of(text)
+        return len(tokens), [s for _, _, s in self.segments(tokens)]
 
 
 def _word_counts(sample: DataFrame) -> DataFrame:
-    """``word, y0, y1``: occurrences in clean and toxic documents, combined before the shuffle."""
+    """``word, y0, y1``: occurrences of words and beginnings in clean and toxic documents, combined
+    before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: dict[str, list[int]] = {}
+            words = [Counter(), Counter()]
             for text, y in zip(batch["text"], batch["y"], strict=True):
-                toxic = y.as_py()
-                for t in tokens_of(text.as_py()):
-                    counts.setdefault(t, [0, 0])[toxic] += 1
+                words[y.as_py()].update(tokens_of(text.as_py()))
+            counts: dict[str, list[int]] = {}
+            for toxic, counter in enumerate(words):
+                for word, n in counter.items():
+                    for feature in features_of(word):
+                        counts.setdefault(feature, [0, 0])[toxic] += n
             yield pa.RecordBatch.from_arrays(
                 [pa.array(counts, pa.string()), pa.array([c[0] for c in counts.values()], pa.int64()),
                  pa.array([c[1] for c in counts.values()], pa.int64())], ["word", "y0", "y1"])
@@ -130,7 +178,9 @@ def _weighted_words(counts: DataFrame) -> tuple[dict[str, float], dict[str, int]
 
     Only weighted words reach the driver; the sample bounds them.
     """
-    n0, n1, words = counts.agg(F.sum("y0"), F.sum("y1"), F.count(F.lit(1))).first()
+    whole = ~F.col("word").endswith("*")
+    n0, n1, words = counts.filter(whole).agg(
+        F.sum("y0"), F.sum("y1"), F.count(F.lit(1))).first()
     if not n0 or not n1:
         return {}, {}, float(n0 or 0)
     total = n0 + n1
@@ -198,23 +248,23 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> ToxicityM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            best = [_best(weights, t.as_py()) for t in batch["text"]]
+            scorer = _Scorer(weights)
+            found = [scorer.segment_scores(t.as_py()) for t in batch["text"]]
             yield pa.RecordBatch.from_arrays(
-                [batch["y"], pa.array([n for n, _ in best], pa.int64()),
-                 pa.array([s for _, s in best], pa.float64())], ["y", "n", "s"])
-
-    unseen = sample.filter(second).select("text", "y").mapInArrow(run, "y int, n long, s double")
-    rows_ = unseen.collect()  # three numbers per row of the bounded sample
-    y = np.array([r.y for r in rows_], float)
-    n = np.array([r.n for r in rows_], float)
-    s = np.array([r.s for r in rows_], float)
-    clean_rows = (y == 0) & (n > 0)
-    chance = (n * np.exp(-rate * s))[clean_rows].sum() if clean_rows.any() else 0.0
-    factor = clean_rows.sum() / chance if chance > 0 else 1.0
-    model = ToxicityModel(weights, rate, float(factor), 0.0, 0.0)
-    evidence = np.array([model.evidence(a, int(b)) for a, b in zip(s, n, strict=True)])
+                [batch["y"], pa.array([n for n, _ in found], pa.int64()),
+                 pa.array([heapq.nlargest(FIT_SEGMENTS, s) for _, s in found],
+                          pa.list_(pa.float64()))], ["y", "n", "s"])
+
+    unseen = sample.filter(second).select("text", "y").mapInArrow(
+        run, "y int, n long, s array<double>").collect()  # some numbers per row of the sample
+    y = np.array([r.y for r in unseen], float)
+    clean_rows = [r for r in unseen if not r.y and r.n]
+    chance = sum(r.n * math.exp(-rate * max(r.s, default=0.0)) for r in clean_rows)
+    factor = len(clean_rows) / chance if chance > 0 else 1.0
+    model = ToxicityModel(weights, rate, factor, 0.0, 0.0)
+    evidence = np.array([model.evidence(r.s, r.n) for r in unseen])
     intercept, slope = _logistic(evidence, y) if len(y) else (0.0, 0.0)
-    return ToxicityModel(weights, rate, float(factor), intercept, slope)
+    return ToxicityModel(weights, rate, factor, intercept, slope)
 
 
 def passages(docs: DataFrame, model: ToxicityModel,
@@ -227,6 +277,7 @@ def passages(docs: DataFrame, model: ToxicityModel,
     names = ["doc_id", "start", "end", "score", "expected", "passage"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(model.weights)
         for batch in batches:
             out: list[tuple] = []
             for doc_id, value in zip(batch["doc_id"], batch["text"], strict=True):
@@ -235,9 +286,8 @@ def passages(docs: DataFrame, model: ToxicityModel,
                 words = list(_WORD.finditer(text))
                 if not words:
                     continue
-                scores = _scores(model.weights, [w.group().lower() for w in words])
-                for first, end, score in maximal_segments(scores):
-                    expected = math.exp(math.log(model.factor * len(words)) - model.rate * score)
+                for first, end, score in scorer.segments([w.group().lower() for w in words]):
+                    expected = math.exp(-model.surprise(score, len(words)))
                     if expected <= max_expected:
                         a, b = words[first].start(), words[end - 1].end()
                         out.append((doc_id.as_py(), a, b, score, expected, text[a:b]))
@@ -258,14 +308,15 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     of a text without any toxic word.  Rows are kept as they are, repeated ones and null ids too.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(model.weights)
         for batch in batches:
             scores, counts = [], []
             for value in batch["text"]:
                 tokens = tokens_of(value.as_py())
-                found = maximal_segments(_scores(model.weights, tokens)) if tokens else []
-                evidence = [model.evidence(s, len(tokens)) for _, _, s in found]
-                scores.append(model.probability(max(evidence, default=0.0)))
-                counts.append(sum(e >= -math.log(MAX_EXPECTED) for e in evidence))
+                found = [s for _, _, s in scorer.segments(tokens)]
+                scores.append(model.probability(model.evidence(found, len(tokens))))
+                counts.append(sum(model.surprise(s, len(tokens)) >= -math.log(MAX_EXPECTED)
+                                  for s in found))
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(scores, pa.float64()), pa.array(counts, pa.int64())],
                 ["doc_id", "score", "n_passages"])
@@ -281,11 +332,12 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
     """Rows of ``docs`` that score below the threshold, all columns as they were."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(model.weights)
         for batch in batches:
             keep = []
             for value in batch["text"]:
-                n, best = _best(model.weights, value.as_py())
-                keep.append(model.probability(model.evidence(best, n)) < threshold)
+                n, found = scorer.segment_scores(value.as_py())
+                keep.append(model.probability(model.evidence(found, n)) < threshold)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
