@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm import byte_bpe, one_bit_search, pseudonyms, quality, simhash, syncmers, toxicity
+from zonepulse.llm import byte_bpe, exact_substrings, mixing, one_bit_search, pseudonyms, quality, simhash, syncmers, toxicity
 from zonepulse.llm.tables import read
 
 
@@ -30,6 +30,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(read(spark, sf_dir, "documents"))
 
 
+def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.document_rates(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_simhash_bk_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -44,5 +48,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_syncmer_fingerprints, op2_feistel_pseudonyms, op3_one_bit_codes, op4_byte_bpe, op6_simhash_bk_tree, op7_toxic_passages, op8_quality_rules)}
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_substrings.without_repeats(read(spark, sf_dir, "documents")).drop("kept")
+
+
+QUERIES = {f.__name__: f for f in (op1_syncmer_fingerprints, op2_feistel_pseudonyms, op3_one_bit_codes, op4_byte_bpe, op5_soft_mixing, op6_simhash_bk_tree, op7_toxic_passages, op8_quality_rules,
+                                     op10_suffix_array_dedup)}
 ORACLE_SQL: dict[str, str] = {}
