@@ -164,6 +164,29 @@ def encode_documents(docs: DataFrame, rank_file: str = RANK_FILE) -> DataFrame:
         run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
+def encode_checked(docs: DataFrame, rank_file: str = RANK_FILE) -> DataFrame:
+    """``doc_id, n_tokens, ids, exact``: the ids, and whether they decode to the text's very bytes.
+
+    Edge cases are those of ``encode_documents``.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = encoder(rank_file)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                texts = [t.as_py() or "" for t in part["text"]]
+                ids = [bpe.encode(t) for t in texts]
+                exact = [bpe.decode(i) == t.encode() for i, t in zip(ids, texts, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], pa.array([len(i) for i in ids], pa.int64()),
+                     pa.array(ids, pa.list_(pa.int32())), pa.array(exact, pa.bool_())],
+                    ["doc_id", "n_tokens", "ids", "exact"])
+
+    return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(
+        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, "
+             "ids array<int>, exact boolean")
+
+
 def decode_documents(encoded: DataFrame, rank_file: str = RANK_FILE) -> DataFrame:
     """``doc_id`` and the bytes that ``ids`` stand for; null ids give no bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm import byte_bpe, exact_substrings, mixing, one_bit_search, pseudonyms, quality, simhash, syncmers, toxicity
+from zonepulse.llm import byte_bpe, exact_substrings, licences, mixing, one_bit_search, pseudonyms, quality, simhash, syncmers, toxicity
 from zonepulse.llm.tables import read
 
 
@@ -48,10 +48,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def op9_licence_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(read(spark, sf_dir, "documents"))
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_substrings.without_repeats(read(spark, sf_dir, "documents")).drop("kept")
 
 
 QUERIES = {f.__name__: f for f in (op1_syncmer_fingerprints, op2_feistel_pseudonyms, op3_one_bit_codes, op4_byte_bpe, op5_soft_mixing, op6_simhash_bk_tree, op7_toxic_passages, op8_quality_rules,
-                                     op10_suffix_array_dedup)}
-ORACLE_SQL: dict[str, str] = {}
+                                     op9_licence_digests, op10_suffix_array_dedup)}
+ORACLE_SQL: dict[str, str] = {"op9_licence_digests": licences.oracle_sql()}
