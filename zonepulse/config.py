@@ -31,7 +31,8 @@ class MetricConfig:
     surge_minutes: int = 5
     surge_lookback_windows: int = 6
     session_gap_minutes: int = 30
-    redelivery_minutes: int = 240
+    # How long a stream remembers an order of which nothing is heard.
+    order_silence_hours: int = 48
 
     # Preparation limits per tier (minutes, breached when p95 is above).
     sla_limits: dict[str, int] = field(
@@ -60,10 +61,6 @@ class MetricConfig:
     # "exact" de-duplicates (window, key, id) before counting; "approx" uses a HyperLogLog sketch,
     # whose state per key is constant.
     stream_distinct: str = "exact"
-    # Rows above which a computed side is joined by shuffle instead of being broadcast.
-    broadcast_row_limit: int = 200_000
-    # Copies of each small-side row when a skewed key must be joined by shuffle.
-    salt_buckets: int = 32
 
     def __post_init__(self) -> None:
         for size, slide in (

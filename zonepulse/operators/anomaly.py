@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonepulse.config import DEFAULTS, MetricConfig
-from zonepulse.functions.joins import join_lookup
 from zonepulse.functions.windows import (
     EVENT_TIME,
     ensure_watermark,
@@ -17,7 +16,6 @@ from zonepulse.functions.windows import (
     tumbling,
 )
 from zonepulse.model import METRIC_TABLES
-from zonepulse.session import materialise
 
 _VALUE = "actual_delivery_minutes"
 
@@ -74,12 +72,12 @@ def flag_deliveries(orders: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFram
 
     The windows' thresholds are gathered per slide-sized pane, so a delivery meets all its windows
     in one lookup and only flagged rows are multiplied.  The lookup table holds one row per pane
-    and zone; it is computed once, and its size decides how it is joined.
+    and zone; Spark chooses the join from the bytes it measures.
     """
     size, slide = cfg.anomaly_minutes, cfg.anomaly_slide
     windows = delivery_anomalies(orders, cfg).filter(F.col("anomaly_threshold").isNotNull())
     step = interval(slide)
-    lookup = materialise(
+    lookup = (
         windows.select(
             "zone_id",
             F.explode(F.transform(
@@ -96,7 +94,7 @@ def flag_deliveries(orders: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFram
         tumbling(slide), "event_id", "order_id", "zone_id", EVENT_TIME, _VALUE,
     ).withColumn("pane_start", F.col("window.start")).drop("window")
     return (
-        join_lookup(rows, lookup, ["pane_start", "zone_id"], F.col("event_id"), cfg)
+        rows.join(lookup, ["pane_start", "zone_id"])
         .filter(F.col(_VALUE) > F.col("lowest"))
         .select("event_id", "order_id", "zone_id", EVENT_TIME, _VALUE, F.explode("ws").alias("w"))
         .filter(F.col(_VALUE) > F.col("w.anomaly_threshold"))

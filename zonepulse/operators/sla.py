@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from zonepulse.config import DEFAULTS, MetricConfig
 from zonepulse.functions.expressions import sla_breached
-from zonepulse.functions.joins import join_lookup
 from zonepulse.functions.percentiles import discrete_percentiles
 from zonepulse.functions.windows import ensure_watermark, flatten_window, tumbling
 from zonepulse.model import METRIC_TABLES
@@ -15,14 +14,13 @@ from zonepulse.model import METRIC_TABLES
 _PERCENTS = {"p50_prep": 50, "p95_prep": 95, "p99_prep": 99}
 
 
-def enrich(events: DataFrame, restaurants: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
-    """Left join of events with the restaurant dimension (its own zone is dropped).
+def enrich(events: DataFrame, restaurants: DataFrame, how: str = "left") -> DataFrame:
+    """Join of events with the restaurant dimension (its own zone is dropped).
 
-    The dimension is broadcast after its size was checked; a larger one is joined by shuffle with
-    busy restaurants spread over several tasks.
+    Without a hint: Spark broadcasts the dimension if the bytes it measures are few, and else splits
+    the partitions of busy restaurants.
     """
-    return join_lookup(events, restaurants.drop("zone_id"), ["restaurant_id"], F.col("event_id"),
-                       cfg, "left")
+    return events.join(restaurants.drop("zone_id"), "restaurant_id", how)
 
 
 def delivered_with_prep(orders: DataFrame) -> DataFrame:
