@@ -1,8 +1,10 @@
 """Keyed upserts on plain Parquet.
 
-Every micro-batch writes the rows it changed into the folder of its batch id.  A replayed batch
-overwrites its own folder, so nothing is counted twice.  Readers take the newest row per key;
-``compact`` folds finished batches into a snapshot so that reads stay short.
+Every micro-batch writes the rows it changed into the folder of its run and batch id.  A replayed
+batch overwrites its own folder, so nothing is counted twice; a query that starts over from a new
+checkpoint is a new run, whose batches are newer than all of the runs before it.  Readers take the
+newest row per key; ``compact`` folds finished batches into a snapshot so that reads stay short,
+and deletes what the snapshot before it had covered.
 """
 
 from __future__ import annotations
@@ -15,12 +17,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonepulse.model import MetricTable
+from zonepulse.sinks import batches
 
-_LOG = T.StructType([T.StructField("upto", T.LongType())])
+_RUNS = T.StructType([T.StructField("run", T.LongType()), T.StructField("run_id", T.StringType())])
+_LOG = T.StructType([T.StructField("run", T.LongType()), T.StructField("upto", T.LongType())])
+
+Version = tuple[int, int]
 
 
 class ChangelogTable:
-    """Changelog of one keyed table below ``path``."""
+    """Changelog of one keyed table below ``path``; one query at a time writes to it."""
 
     def __init__(self, path: str, keys: Sequence[str], schema: T.StructType):
         self.path = path.rstrip("/")
@@ -35,48 +41,115 @@ class ChangelogTable:
     def _values(self) -> list[str]:
         return [c for c in self.schema.fieldNames() if c not in self.keys]
 
-    def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        """Store the changed rows of a micro-batch; fit for ``foreachBatch``."""
-        (df.select(*self.schema.fieldNames())
-           .write.mode("overwrite").parquet(f"{self.path}/changes/batch_id={batch_id}"))
+    def write_batch(self, df: DataFrame, batch_id: int, run_id: str | None = None) -> None:
+        """Store the changed rows of a micro-batch; fit for ``foreachBatch``.
+
+        ``run_id`` is by default the id of the streaming query, which lasts as long as its
+        checkpoint; batches outside of a query belong to one run of their own.
+        """
+        spark = df.sparkSession
+        run = self._run(spark, run_id or batches.run_id(spark))
+        (df.select(*self.schema.fieldNames()).write.mode("overwrite")
+           .parquet(self._folder((run, batch_id))))
+
+    def written(self, spark: SparkSession, batch_id: int, run_id: str | None = None) -> DataFrame:
+        """The rows of a batch as stored, for sinks beside the changelog."""
+        run = self._run(spark, run_id or batches.run_id(spark))
+        return spark.read.schema(self.schema).parquet(self._folder((run, batch_id)))
+
+    def _folder(self, version: Version) -> str:
+        return f"{self.path}/changes/run={version[0]}/batch_id={version[1]}"
 
-    def _snapshot_upto(self, spark: SparkSession) -> int | None:
+    def _small_table(self, spark: SparkSession, name: str, schema: T.StructType) -> list:
         try:
-            log = spark.read.schema(_LOG).parquet(f"{self.path}/snapshot_log")
+            return spark.read.schema(schema).parquet(f"{self.path}/{name}").collect()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return None
+                return []
             raise
-        return log.agg(F.max("upto")).first()[0]
-
-    def _versions(self, spark: SparkSession) -> DataFrame:
-        """Snapshot rows and newer changes with their ``batch_id``."""
-        schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
-        changes = (spark.read.schema(schema).option("basePath", f"{self.path}/changes")
-                   .parquet(f"{self.path}/changes"))
-        upto = self._snapshot_upto(spark)
-        if upto is None:
-            return changes
-        snapshot = spark.read.schema(self.schema).parquet(f"{self.path}/snapshots/upto={upto}")
-        return snapshot.withColumn("batch_id", F.lit(upto).cast("long")).unionByName(
-            changes.filter(F.col("batch_id") > upto))
+
+    def _run(self, spark: SparkSession, run_id: str) -> int:
+        """The number of a run; a new run gets the next one before it writes anything."""
+        known = {r.run_id: r.run for r in self._small_table(spark, "runs", _RUNS)}
+        if run_id not in known:
+            known[run_id] = max(known.values(), default=-1) + 1
+            (spark.createDataFrame([(known[run_id], run_id)], _RUNS).coalesce(1)
+             .write.mode("append").parquet(f"{self.path}/runs"))
+        return known[run_id]
+
+    def _fs(self, spark: SparkSession, path: str):
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _finished(self, spark: SparkSession) -> list[Version]:
+        """Versions whose folder is complete, in order; as many as batches since the compaction."""
+        pattern, fs = self._fs(spark, f"{self.path}/changes/run=*/batch_id=*/_SUCCESS")
+        found = []
+        for status in fs.globStatus(pattern) or []:
+            batch = status.getPath().getParent()
+            found.append((int(batch.getParent().getName().removeprefix("run=")),
+                          int(batch.getName().removeprefix("batch_id="))))
+        return sorted(found)
+
+    def _snapshots(self, spark: SparkSession) -> list[Version]:
+        """Published snapshots, by the last version they cover."""
+        return sorted({(r.run, r.upto) for r in self._small_table(spark, "snapshot_log", _LOG)})
+
+    def _snapshot_folder(self, version: Version) -> str:
+        return f"{self.path}/snapshots/run={version[0]}-upto={version[1]}"
+
+    def _versions(self, spark: SparkSession, upto: Version | None = None) -> DataFrame:
+        """Rows of the last snapshot and of newer finished batches, with ``run`` and ``batch_id``."""
+        snapshots = self._snapshots(spark)
+        since = snapshots[-1] if snapshots else (-1, -1)
+        newer = [v for v in self._finished(spark) if v > since and (upto is None or v <= upto)]
+        fields = [*self.schema.fields, T.StructField("run", T.LongType()),
+                  T.StructField("batch_id", T.LongType())]
+        rows = spark.createDataFrame([], T.StructType(fields))
+        if newer:
+            rows = (spark.read.schema(T.StructType(fields))
+                    .option("basePath", f"{self.path}/changes")
+                    .parquet(*[self._folder(v) for v in newer]))
+        if not snapshots:
+            return rows
+        snapshot = spark.read.schema(self.schema).parquet(self._snapshot_folder(since))
+        return snapshot.withColumns({"run": F.lit(since[0]).cast("long"),
+                                     "batch_id": F.lit(since[1]).cast("long")}).unionByName(rows)
+
+    def _newest(self, versions: DataFrame) -> DataFrame:
+        newest = F.max_by(F.struct(*self._values), F.struct("run", "batch_id")).alias("row")
+        return (versions.groupBy(*self.keys).agg(newest)
+                .select(*self.keys, "row.*").select(*self.schema.fieldNames()))
 
     def latest(self, spark: SparkSession) -> DataFrame:
         """Newest row per key."""
-        newest = F.max_by(F.struct(*self._values), F.col("batch_id")).alias("row")
-        return (self._versions(spark).groupBy(*self.keys).agg(newest)
-                .select(*self.keys, "row.*").select(*self.schema.fieldNames()))
+        return self._newest(self._versions(spark))
+
+    def folders(self, spark: SparkSession) -> int:
+        """Complete batch folders on disk."""
+        return len(self._finished(spark))
 
-    def compact(self, spark: SparkSession) -> int | None:
-        """Write the latest rows as a snapshot and publish it; returns the last batch it covers.
+    def compact(self, spark: SparkSession) -> Version | None:
+        """Write the latest rows as a snapshot and publish it; returns the last version it covers.
 
-        The snapshot is written completely before the log names it, so a reader or a lost job
-        never sees half of one.  Stop the writing query, or compact between its runs.
+        May run beside the writer: only finished batches up to a fixed one take part, and the
+        snapshot is complete before the log names it.  Deleted are the batches and the snapshot
+        that the snapshot before this one had replaced, so a reader that has just started is not
+        disturbed by one compaction.
         """
-        upto = self._versions(spark).agg(F.max("batch_id")).first()[0]
-        if upto is None or upto == self._snapshot_upto(spark):
-            return upto
-        self.latest(spark).write.mode("overwrite").parquet(f"{self.path}/snapshots/upto={upto}")
-        spark.range(1).select(F.lit(upto).cast("long").alias("upto")).write.mode(
-            "append").parquet(f"{self.path}/snapshot_log")
+        snapshots, finished = self._snapshots(spark), self._finished(spark)
+        before = snapshots[-1] if snapshots else None
+        if not finished or (before and finished[-1] <= before):
+            return before
+        upto = finished[-1]
+        (self._newest(self._versions(spark, upto)).write.mode("overwrite")
+         .parquet(self._snapshot_folder(upto)))
+        (spark.createDataFrame([upto], _LOG).coalesce(1).write.mode("append")
+         .parquet(f"{self.path}/snapshot_log"))
+        if before:
+            old = [self._folder(v) for v in finished if v <= before]
+            old += [self._snapshot_folder(v) for v in snapshots[:-1]]
+            for folder in old:
+                path, fs = self._fs(spark, folder)
+                fs.delete(path, True)
         return upto
