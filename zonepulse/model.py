@@ -35,6 +35,10 @@ BUSY_STATES = (
 )
 
 
+# Fixed value: namespace of both feeds' Avro records and enums.
+AVRO_NAMESPACE = "com.fooddelivery.streams.v1"
+
+
 @dataclass(frozen=True)
 class FeedField:
     name: str
@@ -42,6 +46,7 @@ class FeedField:
     optional: bool = False
     symbols: tuple[str, ...] | None = None
     enum: str | None = None
+    default: object = None  # on the wire; an optional field's default is null
 
 
 _SPARK_TYPES = {
@@ -82,7 +87,7 @@ class Feed:
         return json.dumps({
             "type": "record",
             "name": self.name,
-            "namespace": "zonepulse.feeds",
+            "namespace": AVRO_NAMESPACE,
             "fields": [_avro_field(f) for f in self.fields],
         })
 
@@ -98,47 +103,49 @@ def _avro_field(f: FeedField) -> dict:
         kind = f.kind
     if f.optional:
         return {"name": f.name, "type": ["null", kind], "default": None}
+    if f.default is not None:
+        return {"name": f.name, "type": kind, "default": f.default}
     return {"name": f.name, "type": kind}
 
 
-# Field order, types and optionality of the order feed on the wire.
-ORDERS = Feed("OrderEvent", (
-    FeedField("schema_version", "string"),
+# Names, field order, types, optionality and defaults of the order feed on the wire.
+ORDERS = Feed("OrderLifecycleEvent", (
+    FeedField("schema_version", "string", default="1.0.0"),
     FeedField("event_id", "string"),
     FeedField("order_id", "string"),
     FeedField("customer_id", "string"),
     FeedField("restaurant_id", "string"),
     FeedField("courier_id", "string", optional=True),
     FeedField("zone_id", "string"),
-    FeedField("status", "string", symbols=ORDER_STATES, enum="OrderState"),
+    FeedField("status", "string", symbols=ORDER_STATES, enum="OrderStatus"),
     FeedField("event_time", "millis"),
     FeedField("ingestion_time", "millis"),
     FeedField("order_value_eur", "double"),
     FeedField("item_count", "int"),
-    FeedField("is_promo", "boolean"),
+    FeedField("is_promo", "boolean", default=False),
     FeedField("promo_code", "string", optional=True),
-    FeedField("payment_method", "string", symbols=PAYMENT_METHODS, enum="Payment"),
+    FeedField("payment_method", "string", symbols=PAYMENT_METHODS, enum="PaymentMethod"),
     FeedField("estimated_prep_minutes", "int", optional=True),
     FeedField("actual_prep_minutes", "int", optional=True),
     FeedField("estimated_delivery_minutes", "int", optional=True),
     FeedField("actual_delivery_minutes", "int", optional=True),
     FeedField("cancellation_reason", "string", optional=True, symbols=CANCELLATION_REASONS,
-              enum="CancelReason"),
+              enum="CancellationReason"),
     FeedField("device_id", "string", optional=True),
-    FeedField("platform", "string", symbols=PLATFORMS, enum="ClientPlatform"),
-    FeedField("is_duplicate", "boolean"),
-    FeedField("is_late", "boolean"),
-    FeedField("metadata", "map"),
+    FeedField("platform", "string", symbols=PLATFORMS, enum="Platform"),
+    FeedField("is_duplicate", "boolean", default=False),
+    FeedField("is_late", "boolean", default=False),
+    FeedField("metadata", "map", default={}),
 ))
 
-# Field order, types and optionality of the courier feed on the wire.
-COURIERS = Feed("CourierEvent", (
-    FeedField("schema_version", "string"),
+# Names, field order, types, optionality and defaults of the courier feed on the wire.
+COURIERS = Feed("CourierStatusEvent", (
+    FeedField("schema_version", "string", default="1.0.0"),
     FeedField("event_id", "string"),
     FeedField("courier_id", "string"),
     FeedField("order_id", "string", optional=True),
     FeedField("zone_id", "string"),
-    FeedField("status", "string", symbols=COURIER_STATES, enum="CourierState"),
+    FeedField("status", "string", symbols=COURIER_STATES, enum="CourierStatus"),
     FeedField("event_time", "millis"),
     FeedField("ingestion_time", "millis"),
     FeedField("latitude", "double"),
@@ -146,16 +153,16 @@ COURIERS = Feed("CourierEvent", (
     FeedField("location_accuracy_meters", "float", optional=True),
     FeedField("speed_kmh", "float", optional=True),
     FeedField("battery_pct", "int", optional=True),
-    FeedField("vehicle_type", "string", symbols=VEHICLES, enum="Vehicle"),
+    FeedField("vehicle_type", "string", symbols=VEHICLES, enum="VehicleType"),
     FeedField("active_session_id", "string", optional=True),
     FeedField("session_start_time", "millis", optional=True),
-    FeedField("deliveries_completed_this_session", "int"),
-    FeedField("is_heartbeat", "boolean"),
-    FeedField("is_duplicate", "boolean"),
-    FeedField("is_late", "boolean"),
+    FeedField("deliveries_completed_this_session", "int", default=0),
+    FeedField("is_heartbeat", "boolean", default=False),
+    FeedField("is_duplicate", "boolean", default=False),
+    FeedField("is_late", "boolean", default=False),
     FeedField("offline_reason", "string", optional=True, symbols=OFFLINE_REASONS,
-              enum="OfflineCause"),
-    FeedField("metadata", "map"),
+              enum="OfflineReason"),
+    FeedField("metadata", "map", default={}),
 ))
 
 RESTAURANT_SCHEMA = T.StructType([
@@ -186,65 +193,89 @@ class MetricTable:
         return [c for c in self.columns if c not in self.keys]
 
 
-def _table(name: str, keys: str, columns: str, defaults: dict[str, object] | None = None):
-    return MetricTable(name, tuple(keys.split()), _parse(columns), defaults or {})
+def _table(name: str, keys: tuple[str, ...], columns: str,
+           defaults: dict[str, object] | None = None) -> MetricTable:
+    """``columns`` is Spark DDL."""
+    fields = []
+    for column in columns.split(","):
+        field, kind = column.split()
+        fields.append(T.StructField(field, _DDL_TYPES[kind]))
+    return MetricTable(name, keys, T.StructType(fields), defaults or {})
 
 
-_TYPE_NAMES = {
-    "ts": T.TimestampType(), "str": T.StringType(), "long": T.LongType(),
-    "double": T.DoubleType(), "bool": T.BooleanType(),
+_DDL_TYPES = {
+    "TIMESTAMP": T.TimestampType(), "STRING": T.StringType(), "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(), "BOOLEAN": T.BooleanType(),
 }
 
-
-def _parse(columns: str) -> T.StructType:
-    pairs = (c.split(":") for c in columns.split())
-    return T.StructType([T.StructField(n, _TYPE_NAMES[t]) for n, t in pairs])
-
-
+# Keys, columns, types and defaults of the metric tables.
 METRIC_TABLES: dict[str, MetricTable] = {t.name: t for t in (
     _table(
-        "windowed_kpis", "window_start window_end window_type zone_id",
-        "window_start:ts window_end:ts window_type:str zone_id:str order_count:long "
-        "total_revenue:double avg_prep_minutes:double cancellation_count:long "
-        "cancellation_rate:double",
+        "windowed_kpis", ("window_start", "window_end", "window_type", "zone_id"),
+        """window_start TIMESTAMP, window_end TIMESTAMP, window_type STRING, zone_id STRING,
+           order_count BIGINT, total_revenue DOUBLE, avg_prep_minutes DOUBLE,
+           cancellation_count BIGINT, cancellation_rate DOUBLE""",
         {"order_count": 0, "total_revenue": 0, "cancellation_count": 0, "cancellation_rate": 0},
     ),
     _table(
-        "demand_staging", "window_start window_end zone_id",
-        "window_start:ts window_end:ts zone_id:str pending_demand:long",
+        "_demand_staging", ("window_start", "window_end", "zone_id"),
+        """window_start TIMESTAMP, window_end TIMESTAMP, zone_id STRING, pending_demand BIGINT""",
         {"pending_demand": 0},
     ),
     _table(
-        "demand_supply_health", "window_start window_end zone_id",
-        "window_start:ts window_end:ts zone_id:str pending_demand:long available_supply:long "
-        "health_ratio:double health_status:str",
+        "demand_supply_health", ("window_start", "window_end", "zone_id"),
+        """window_start TIMESTAMP, window_end TIMESTAMP, zone_id STRING, pending_demand BIGINT,
+           available_supply BIGINT, health_ratio DOUBLE, health_status STRING""",
         {"pending_demand": 0, "available_supply": 0, "health_ratio": 0},
     ),
     _table(
-        # zone_id is part of the key: one restaurant may deliver into several zones.
-        "restaurant_sla", "window_start window_end restaurant_id zone_id",
-        "window_start:ts window_end:ts restaurant_id:str restaurant_name:str zone_id:str "
-        "cuisine:str sla_tier:str order_count:long p50_prep:double p95_prep:double "
-        "p99_prep:double sla_breached:bool",
+        # zone_id is part of the key: one restaurant may deliver into several zones.  A database
+        # made with the key below needs RESTAURANT_SLA_BY_RESTAURANT instead.
+        "restaurant_sla", ("window_start", "window_end", "restaurant_id", "zone_id"),
+        """window_start TIMESTAMP, window_end TIMESTAMP, restaurant_id STRING,
+           restaurant_name STRING, zone_id STRING, cuisine STRING, sla_tier STRING,
+           order_count BIGINT, p50_prep DOUBLE, p95_prep DOUBLE, p99_prep DOUBLE,
+           sla_breached BOOLEAN""",
         {"order_count": 0, "sla_breached": False},
     ),
     _table(
-        "delivery_anomalies", "window_start window_end zone_id",
-        "window_start:ts window_end:ts zone_id:str delivery_count:long mean_delivery_min:double "
-        "stddev_delivery_min:double anomaly_threshold:double anomaly_count:long "
-        "late_event_count:long",
+        "delivery_anomalies", ("window_start", "window_end", "zone_id"),
+        """window_start TIMESTAMP, window_end TIMESTAMP, zone_id STRING, delivery_count BIGINT,
+           mean_delivery_min DOUBLE, stddev_delivery_min DOUBLE, anomaly_threshold DOUBLE,
+           anomaly_count BIGINT, late_event_count BIGINT""",
         {"delivery_count": 0, "anomaly_count": 0, "late_event_count": 0},
     ),
     _table(
-        "fraud_alerts", "window_start window_end device_id",
-        "window_start:ts window_end:ts device_id:str distinct_customer_ids:long "
-        "cancellation_count:long refund_count:long total_order_value:double fraud_flags:str",
+        "fraud_alerts", ("window_start", "window_end", "device_id"),
+        """window_start TIMESTAMP, window_end TIMESTAMP, device_id STRING,
+           distinct_customer_ids BIGINT, cancellation_count BIGINT, refund_count BIGINT,
+           total_order_value DOUBLE, fraud_flags STRING""",
         {"distinct_customer_ids": 0, "cancellation_count": 0, "refund_count": 0,
          "total_order_value": 0},
     ),
     _table(
-        "courier_positions", "courier_id",
-        "courier_id:str zone_id:str latitude:double longitude:double speed_kmh:double status:str "
-        "vehicle_type:str position_time:ts updated_at:ts",
+        "courier_positions", ("courier_id",),
+        """courier_id STRING, zone_id STRING, latitude DOUBLE, longitude DOUBLE, speed_kmh DOUBLE,
+           status STRING, vehicle_type STRING, position_time TIMESTAMP, updated_at TIMESTAMP""",
     ),
 )}
+
+# The key without the zone, for databases that have it: an upsert then keeps the last zone.
+RESTAURANT_SLA_BY_RESTAURANT = MetricTable(
+    "restaurant_sla", ("window_start", "window_end", "restaurant_id"),
+    METRIC_TABLES["restaurant_sla"].schema, METRIC_TABLES["restaurant_sla"].defaults)
+
+# Tables of further live metrics.
+LIVE_TABLES: dict[str, MetricTable] = {t.name: t for t in (
+    _table("orders_per_minute", ("window_start", "window_end", "zone_id"),
+           "window_start TIMESTAMP, window_end TIMESTAMP, zone_id STRING, order_count BIGINT"),
+    _table("revenue_per_hour", ("window_start", "window_end"),
+           "window_start TIMESTAMP, window_end TIMESTAMP, delivered_count BIGINT, "
+           "total_revenue DOUBLE"),
+    _table("courier_sessions", ("courier_id", "session_start"),
+           "courier_id STRING, session_start TIMESTAMP, session_end TIMESTAMP, "
+           "event_count BIGINT"),
+    _table("orphaned_deliveries", ("order_id",),
+           "order_id STRING, zone_id STRING, dropped_courier_id STRING, drop_time TIMESTAMP, "
+           "in_transit_time TIMESTAMP, is_orphaned BOOLEAN"),
+)}
