@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import partial
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,10 +12,10 @@ from zonepulse.config import DEFAULTS, MetricConfig
 from zonepulse.functions.expressions import share
 from zonepulse.functions.windows import (
     EVENT_TIME,
-    covering_starts,
     ensure_watermark,
     interval,
     minutes,
+    roll_up_panes,
     tumbling,
 )
 from zonepulse.model import BUSY_STATES
@@ -40,14 +43,17 @@ def latest_positions(couriers: DataFrame) -> DataFrame:
 def utilisation(couriers: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
     """Share of the couriers seen online in a sliding window that were busy in it, per zone.
 
-    Rows collapse to one per (window, zone, courier) before the shuffle.
+    Rows collapse to one per (pane, zone, courier) before the shuffle; panes, not rows, are repeated
+    for the windows that cover them.
     """
     online = couriers.filter(~F.col("status").isin("OFFLINE", "BREAK"))
     size, slide = cfg.utilisation_minutes, cfg.utilisation_slide
+    panes = (
+        online.groupBy(tumbling(slide), "zone_id", "courier_id")
+        .agg(F.max(F.col("status").isin(*BUSY_STATES)).alias("busy"))
+    )
     per_courier = (
-        online.select(
-            F.explode(covering_starts(tumbling(slide)["start"], size, slide)).alias("window_start"),
-            "zone_id", "courier_id", F.col("status").isin(*BUSY_STATES).alias("busy"))
+        roll_up_panes(panes, size, slide)
         .groupBy("window_start", "zone_id", "courier_id").agg(F.max("busy").alias("busy"))
     )
     counted = per_courier.groupBy("window_start", "zone_id").agg(
@@ -115,16 +121,41 @@ def gap_sessions(couriers: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame
     ).drop("session")
 
 
+def _with_previous_battery(couriers: DataFrame) -> DataFrame:
+    """Rows with ``previous_battery``, the level on the same courier's row before it.
+
+    Rows are ordered per courier and hour, so a courier with very many rows is spread over hours;
+    the first row of an hour looks up the last level of the courier's hour before it.
+    """
+    order = F.struct(EVENT_TIME, "event_id")
+    rows = couriers.withColumn("_hour", F.date_trunc("hour", F.col(EVENT_TIME)))
+    lasts = rows.groupBy("courier_id", "_hour").agg(
+        F.max_by(F.struct("battery_pct"), order).alias("last"))
+    before = lasts.select("courier_id", "_hour", F.lag("last").over(
+        Window.partitionBy("courier_id").orderBy("_hour")).alias("hour_before"))
+    in_hour = F.lag(F.struct("battery_pct")).over(
+        Window.partitionBy("courier_id", "_hour").orderBy(EVENT_TIME, "event_id"))
+    return (
+        rows.withColumn("_in_hour", in_hour).join(before, ["courier_id", "_hour"], "left")
+        .withColumn("previous_battery", F.when(F.col("_in_hour").isNotNull(), F.col(
+            "_in_hour.battery_pct")).otherwise(F.col("hour_before.battery_pct")))
+        .drop("_in_hour", "hour_before", "_hour")
+    )
+
+
 def quality_flags(couriers: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
-    """Suspicious courier rows: impossible speed, poor fix, or going offline on a low battery."""
+    """Suspicious courier rows: impossible speed, poor fix, or going offline after a low battery.
+
+    The battery is judged on the courier's row before the one that goes offline.
+    """
     flags = {
         "IMPOSSIBLE_SPEED": F.col("speed_kmh") >= cfg.impossible_speed_kmh,
         "POOR_ACCURACY": F.col("location_accuracy_meters") > cfg.poor_accuracy_meters,
         "LOW_BATTERY_OFFLINE": (F.col("status") == "OFFLINE")
-            & (F.col("battery_pct") <= cfg.low_battery_pct),
+            & (F.col("previous_battery") <= cfg.low_battery_pct),
     }
     names = F.concat_ws(", ", *[F.when(rule, F.lit(name)) for name, rule in flags.items()])
-    return couriers.select(
+    return _with_previous_battery(couriers).select(
         "event_id", "courier_id", "zone_id", EVENT_TIME,
         F.col("speed_kmh").cast("double").alias("speed_kmh"),
         F.col("location_accuracy_meters").cast("double").alias("location_accuracy_meters"),
@@ -139,55 +170,87 @@ def _drops(couriers: DataFrame) -> DataFrame:
 
 
 def orphaned_deliveries(orders: DataFrame, couriers: DataFrame) -> DataFrame:
-    """Orders in transit whose courier dropped out and that were not delivered afterwards.
+    """Orders whose courier dropped out in transit and that were not delivered afterwards.
 
-    Drops and trips are reduced to one row per order before the join, with map-side combine, so
-    an id shared by very many rows is no burden; the join needs no further shuffle.
+    The rule: of an order's drops the last one counts; the order was in transit at or before it;
+    and it was not delivered at or after it.  Drops are reduced to one row per order before the
+    join; what the join finds is combined per task before it is shuffled.
     """
     drops = (
         _drops(couriers).groupBy("order_id")
-        .agg(F.min(EVENT_TIME).alias("drop_time"),
-             F.min_by(F.struct("zone_id", "courier_id"), F.struct(EVENT_TIME, "event_id"))
-             .alias("place"))
+        .agg(F.max_by(F.struct(F.col(EVENT_TIME).alias("drop_time"), "zone_id",
+                               F.col("courier_id").alias("dropped_courier_id")),
+                      F.struct(EVENT_TIME, "event_id")).alias("d"))
     )
-
-    def seen(status: str):
-        return F.max(F.when(F.col("status") == status, F.col(EVENT_TIME)))
-
-    trips = (
-        orders.filter(F.col("status").isin("IN_TRANSIT", "DELIVERED"))
-        .groupBy("order_id")
-        .agg(seen("IN_TRANSIT").alias("in_transit_time"), seen("DELIVERED").alias("delivered_time"))
-    )
-    lost = F.col("delivered_time").isNull() | (F.col("delivered_time") < F.col("drop_time"))
+    steps = orders.filter(F.col("status").isin("IN_TRANSIT", "DELIVERED")).select(
+        "order_id", "status", F.col(EVENT_TIME).alias("at"))
+    drop = F.col("d.drop_time")
     return (
-        drops.join(trips, "order_id")
-        .filter(F.col("in_transit_time").isNotNull() & lost)
-        .select("order_id", "place.zone_id", F.col("place.courier_id").alias("dropped_courier_id"),
-                "drop_time", "in_transit_time")
+        steps.join(drops, "order_id").groupBy("order_id", "d")
+        .agg(F.max(F.when((F.col("status") == "IN_TRANSIT") & (F.col("at") <= drop), F.col("at")))
+             .alias("in_transit_time"),
+             F.max((F.col("status") == "DELIVERED") & (F.col("at") >= drop)).alias("delivered"))
+        .filter(F.col("in_transit_time").isNotNull() & ~F.col("delivered"))
+        .select("order_id", "d.zone_id", "d.dropped_courier_id", "d.drop_time", "in_transit_time")
     )
 
 
+_ORPHAN_FIELDS = ("order_id string, zone_id string, dropped_courier_id string, "
+                  "drop_time timestamp, in_transit_time timestamp, is_orphaned boolean")
+_ORPHAN_STATE = ("event_id string, zone_id string, courier_id string, drop_us long, "
+                 "transits array<long>, delivered_us long")
+
+
 def orphaned_deliveries_live(orders: DataFrame, couriers: DataFrame,
                              cfg: MetricConfig = DEFAULTS) -> DataFrame:
-    """Dropped orders of two streams that did not end within the redelivery time (append mode).
+    """The same rule over two streams (update mode): a row per order whenever its answer is known
+    anew, with ``is_orphaned``.
 
-    A left outer interval join: state of both sides expires once the watermark is past the
-    redelivery time, which is also when an unmatched drop is reported.
+    State per order is its last drop, the times it was in transit and its last delivery.  It is kept
+    until ``cfg.order_silence_hours`` pass without an event of the order; that bounds state and does
+    not take part in the answer, which is given at once.
     """
     orders = ensure_watermark(orders, cfg.orders_watermark)
     couriers = ensure_watermark(couriers, cfg.couriers_watermark)
-    drops = _drops(couriers).select(
-        "order_id", "zone_id", F.col("courier_id").alias("dropped_courier_id"),
-        F.col(EVENT_TIME).alias("drop_time"))
-    ends = orders.filter(F.col("status").isin("DELIVERED", "CANCELLED")).select(
-        F.col("order_id").alias("ended_order_id"), F.col(EVENT_TIME).alias("end_time"))
-    horizon = interval(cfg.redelivery_minutes)
-    in_time = ((F.col("order_id") == F.col("ended_order_id"))
-               & (F.col("end_time") >= F.col("drop_time") - horizon)
-               & (F.col("end_time") <= F.col("drop_time") + horizon))
-    return (
-        drops.join(ends, in_time, "left_outer")
-        .filter(F.col("ended_order_id").isNull())
-        .select("order_id", "zone_id", "dropped_courier_id", "drop_time")
-    )
+    drops = _drops(couriers).select("order_id", EVENT_TIME, F.lit("DROP").alias("step"), "event_id",
+                                    "zone_id", "courier_id")
+    steps = orders.filter(F.col("status").isin("IN_TRANSIT", "DELIVERED") & F.col(
+        "order_id").isNotNull()).select(
+        "order_id", EVENT_TIME, F.col("status").alias("step"), "event_id",
+        F.lit(None).cast("string").alias("zone_id"), F.lit(None).cast("string").alias("courier_id"))
+    silence_ms = cfg.order_silence_hours * 3_600_000
+    return steps.unionByName(drops).groupBy("order_id").applyInPandasWithState(
+        partial(_follow_order, silence_ms), _ORPHAN_FIELDS, _ORPHAN_STATE, "update",
+        "EventTimeTimeout")
+
+
+def _follow_order(silence_ms: int, key, batches, state):
+    """One order's events of a micro-batch: update its state and tell whether it is orphaned."""
+    if state.hasTimedOut:
+        state.remove()
+        return
+    event_id, zone, courier, drop, transits, delivered = (
+        state.get if state.exists else (None, None, None, None, [], None))
+    transits, newest = set(transits or ()), 0
+    for pdf in batches:
+        times = pdf[EVENT_TIME].astype("datetime64[us]").astype("int64")
+        for row, t in zip(pdf.itertuples(index=False), times, strict=True):
+            t = int(t)
+            newest = max(newest, t)
+            if row.step == "IN_TRANSIT":
+                transits.add(t)
+            elif row.step == "DELIVERED":
+                delivered = t if delivered is None else max(delivered, t)
+            elif drop is None or (t, row.event_id) > (drop, event_id):
+                event_id, zone, courier, drop = row.event_id, row.zone_id, row.courier_id, t
+    state.update((event_id, zone, courier, drop, sorted(transits), delivered))
+    state.setTimeoutTimestamp(max(newest // 1000, state.getCurrentWatermarkMs()) + silence_ms)
+    if drop is None:
+        return
+    before = [t for t in transits if t <= drop]
+    lost = bool(before) and (delivered is None or delivered < drop)
+    yield pd.DataFrame({
+        "order_id": [key[0]], "zone_id": [zone], "dropped_courier_id": [courier],
+        "drop_time": pd.to_datetime([drop], unit="us"),
+        "in_transit_time": pd.to_datetime([max(before) if before else None], unit="us"),
+        "is_orphaned": [lost]})

@@ -46,9 +46,11 @@ def demand_windows(orders: DataFrame, cfg: MetricConfig = DEFAULTS,
                      "pending_demand")
 
 
-def supply_windows(couriers: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
+def supply_windows(couriers: DataFrame, cfg: MetricConfig = DEFAULTS,
+                   size: int | None = None) -> DataFrame:
     """Distinct idle couriers per window and zone."""
-    return _distinct(_idle(couriers, cfg), cfg.health_minutes, "courier_id", "available_supply")
+    return _distinct(_idle(couriers, cfg), size or cfg.health_minutes, "courier_id",
+                     "available_supply")
 
 
 def demand_windows_approx(orders: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:

@@ -76,14 +76,14 @@ def fraud_alerts(orders: DataFrame, cfg: MetricConfig = DEFAULTS,
 
 
 def multi_account_devices(orders: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
-    """Devices used by many customers, marked when most of their orders are cancelled."""
+    """Devices used by many customers that also have most of their orders cancelled."""
     rate = F.col("cancellation_count") / F.greatest(F.col("placed_count"), F.lit(1))
     return (
         device_activity(orders, cfg)
-        .filter(F.col("distinct_customer_ids") > cfg.multi_account_customers)
+        .filter((F.col("distinct_customer_ids") > cfg.multi_account_customers)
+                & (rate >= cfg.multi_account_cancel_rate))
         .select(
             "window_start", "window_end", "device_id", "distinct_customer_ids",
             "placed_count", "cancellation_count", rate.alias("cancellation_rate"),
-            (rate >= cfg.multi_account_cancel_rate).alias("is_suspicious"),
         )
     )

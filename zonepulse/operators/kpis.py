@@ -202,14 +202,16 @@ def order_durations(orders: DataFrame) -> DataFrame:
     )
 
 
-def surge_signal(orders: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
-    """Pending orders now against the average of the preceding windows, per zone.
+def surge_signal(orders: DataFrame, couriers: DataFrame,
+                 cfg: MetricConfig = DEFAULTS) -> DataFrame:
+    """Pending orders now against the average of the preceding windows and the idle couriers, per
+    zone: a surge is far more demand than just before, and more than couriers to serve it.
 
     The trailing average runs over a fixed number of windows and counts an empty window as zero.
     Each window's demand is sent forward to the windows that look back on it, so the work is
     spread over (window, zone) and no zone's history has to be ordered in one task.
     """
-    from zonepulse.operators.demand_supply import demand_windows
+    from zonepulse.operators.demand_supply import demand_windows, supply_windows
 
     size, back = cfg.surge_minutes, cfg.surge_lookback_windows
     demand = demand_windows(orders, cfg, size=size)
@@ -227,9 +229,13 @@ def surge_signal(orders: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
              (F.coalesce(F.sum("before"), F.lit(0)) / back).alias("trailing_demand"))
         .filter(F.col("pending_demand").isNotNull())
     )
+    supply = supply_windows(couriers, cfg, size=size).select(
+        "window_start", "zone_id", "available_supply")
     ratio = F.col("pending_demand") / F.greatest(F.col("trailing_demand"), F.lit(1.0))
-    return totals.select(
+    available = F.coalesce(F.col("available_supply"), F.lit(0))
+    return totals.join(supply, ["window_start", "zone_id"], "left").select(
         "window_start", (F.col("window_start") + step).alias("window_end"), "zone_id",
-        "pending_demand", "trailing_demand",
-        ratio.alias("surge_ratio"), (ratio >= cfg.surge_ratio).alias("is_surge"),
+        "pending_demand", "trailing_demand", available.alias("available_supply"),
+        ratio.alias("surge_ratio"),
+        ((ratio >= cfg.surge_ratio) & (F.col("pending_demand") > available)).alias("is_surge"),
     )

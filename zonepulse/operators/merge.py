@@ -106,7 +106,7 @@ def merge_windowed_kpis(current: DataFrame, delta: DataFrame) -> DataFrame:
 
 
 def merge_demand(current: DataFrame, delta: DataFrame) -> DataFrame:
-    return _merge_table("demand_staging", current, delta, {"pending_demand": add})
+    return _merge_table("_demand_staging", current, delta, {"pending_demand": add})
 
 
 def merge_restaurant_sla(current: DataFrame, delta: DataFrame) -> DataFrame:
@@ -146,10 +146,13 @@ def merge_health(current: DataFrame, delta: DataFrame) -> DataFrame:
 
 
 def merge_courier_positions(current: DataFrame, delta: DataFrame) -> DataFrame:
-    """The newer position of the two wins; equal times go to the delta."""
+    """The newer position of the two wins; of two with equal times the greater one by its values, so
+    that the answer does not depend on which side is the delta."""
+    values = [c for c in current.columns if c != "courier_id"]
+
     def pick(c: str):
-        return lambda old, new: F.when(
-            old("position_time") > new("position_time"), old(c)).otherwise(new(c))
+        def ranked(side) -> Column:
+            return F.struct(side("position_time"), *[side(v) for v in values])
+        return lambda old, new: F.when(ranked(old) > ranked(new), old(c)).otherwise(new(c))
 
-    values = [c for c in current.columns if c != "courier_id"]
     return merge_by_rules(current, delta, ["courier_id"], {}, {c: pick(c) for c in values})

@@ -25,6 +25,8 @@ STREAMING_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Rows of a session are merged in each task before they are shuffled.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # One store per partition of a stream-stream join instead of four.
     "spark.sql.streaming.join.stateFormatVersion": "3",
 }
