@@ -1,16 +1,21 @@
 """Run the live job: ``python -m zonepulse.app --root ... --checkpoints ... --restaurants ...``.
 
-Connection strings are read from ZONEPULSE_ORDERS_CONNECTION and ZONEPULSE_COURIERS_CONNECTION.
-The Kafka connector (and spark-avro for Avro messages) must be on the class path.
+Connection strings are read from ZONEPULSE_ORDERS_CONNECTION and ZONEPULSE_COURIERS_CONNECTION,
+those of a database from ZONEPULSE_DATABASE_USER and ZONEPULSE_DATABASE_PASSWORD.
+The Kafka connector (and spark-avro for Avro messages, a JDBC driver for a database) must be on the
+class path.
 """
 
 from __future__ import annotations
 
 import argparse
+import importlib
 import os
+from urllib.parse import urlsplit
 
 from zonepulse.config import DEFAULTS, MetricConfig
 from zonepulse.session import STREAMING_CONF, build_session
+from zonepulse.sinks.database import Database
 from zonepulse.sources import kafka
 from zonepulse.sources.files import read_restaurants
 from zonepulse.streaming.pipeline import Pipeline
@@ -28,13 +33,38 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--config", help="JSON file with metric settings")
     p.add_argument("--interval", default="30 seconds", help="time between micro-batches")
     p.add_argument("--max-offsets", type=int, help="messages per feed and micro-batch")
-    p.add_argument("--files-per-batch", type=int,
-                   help="archive files per feed and micro-batch; default: one per source partition")
+    p.add_argument("--max-files", type=int, default=1000,
+                   help="files that a query takes from another one's folder per micro-batch")
+    p.add_argument("--keep-batches", type=int, default=2880,
+                   help="micro-batches kept between the queries; the longest outage to survive")
+    p.add_argument("--trust-producer-flag", action="store_true",
+                   help="drop only copies that the producer marked, not by event id")
+    p.add_argument("--database", help="JDBC address; metrics are upserted there")
+    p.add_argument("--database-module", help="DB-API module that connects to it, e.g. psycopg2")
+    p.add_argument("--metric-archive", help="folder for a dated archive of all changed metric rows")
     p.add_argument("--state-partitions", type=int, default=64,
                    help="partitions of all state; fixed by the first start")
     return p.parse_args(argv)
 
 
+def database(args: argparse.Namespace) -> Database | None:
+    """The database sink that the arguments ask for."""
+    if not args.database:
+        return None
+    if not args.database_module:
+        raise SystemExit("--database needs --database-module")
+    module = importlib.import_module(args.database_module)
+    user = os.environ["ZONEPULSE_DATABASE_USER"]
+    password = os.environ["ZONEPULSE_DATABASE_PASSWORD"]
+    address = urlsplit(args.database.removeprefix("jdbc:"))
+
+    def connect():
+        return module.connect(host=address.hostname, port=address.port,
+                              dbname=address.path.lstrip("/"), user=user, password=password)
+
+    return Database(args.database, {"user": user, "password": password}, connect)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = build_session(conf={
@@ -50,7 +80,9 @@ def main(argv: list[str] | None = None) -> None:
     cfg = MetricConfig.from_json(args.config) if args.config else DEFAULTS
     job = Pipeline(spark, messages, read_restaurants(spark, args.restaurants), args.root,
                    args.checkpoints, args.wire, cfg, interval=args.interval,
-                   files_per_batch=args.files_per_batch)
+                   by_key=not args.trust_producer_flag, keep_batches=args.keep_batches,
+                   max_files=args.max_files, database=database(args),
+                   metric_archive=args.metric_archive)
     supervise(spark.streams, job.starters())
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zonepulse.sinks.batches import run_id
+
 RAW_PARTITIONS = ("year", "month", "day", "hour")
 METRIC_PARTITIONS = ("year", "month", "day")
 
@@ -29,6 +31,48 @@ def _write(df: DataFrame, path: str, partitions: tuple[str, ...], mode: str) ->
     (df.hint("rebalance", *partitions).write.mode(mode).partitionBy(*partitions).parquet(path))
 
 
+# Innermost partition of what a stream writes, so that a repeated batch replaces its own files.
+BATCH = "batch"
+
+
+def _write_batch(df: DataFrame, path: str, partitions: tuple[str, ...], batch_id: int) -> None:
+    label = f"{run_id(df.sparkSession)}.{batch_id}"
+    (df.withColumn(BATCH, F.lit(label)).hint("rebalance", *partitions)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partitions, BATCH).parquet(path))
+
+
+def write_raw_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Add a micro-batch to the hourly archive, exactly once."""
+    _write_batch(with_raw_partitions(df), path, RAW_PARTITIONS, batch_id)
+
+
+def write_metric_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Add the rows a metric changed in a micro-batch to the dated archive, exactly once."""
+    _write_batch(with_metric_partitions(df), path, METRIC_PARTITIONS, batch_id)
+
+
+def compact_hour(spark: SparkSession, path: str, year: int, month: int, day: int, hour: int) -> int:
+    """Rewrite the many small files of an hour that is over as few full ones; returns their rows.
+
+    The new files are complete in a folder of their own before they replace the old ones; rows are
+    read from there, so a failed run leaves either the old files or a full copy.
+    """
+    folder = f"{path}/year={year}/month={month}/day={day}/hour={hour}"
+    full = f"{path}/_compacted/{year}-{month}-{day}-{hour}"
+    rows = spark.read.option("basePath", folder).parquet(folder).drop(BATCH)
+    rows.hint("rebalance").write.mode("overwrite").parquet(full)
+    whole = spark.read.parquet(full)
+    count = whole.count()
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [s.getPath() for s in fs.listStatus(hadoop(folder))]
+    fs.rename(hadoop(full), hadoop(f"{folder}/{BATCH}=compacted"))
+    for p in old:
+        fs.delete(p, True)
+    return count
+
+
 def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
     _write(with_raw_partitions(df), path, RAW_PARTITIONS, mode)
 

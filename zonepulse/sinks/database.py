@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -45,24 +46,47 @@ def write_staging(df: DataFrame, table: MetricTable, url: str, staging: str,
        .option("truncate", "true").mode("overwrite").jdbc(url, staging, properties=properties))
 
 
-def upsert_sink(table: MetricTable, url: str, properties: dict[str, str],
-                connect: Callable[[], object], connections: int = 8):
-    """A ``foreachBatch`` writer: stage the batch from the executors, then upsert it on the server.
+@dataclass(frozen=True)
+class Database:
+    """A relational database as sink of the metrics.
 
-    ``connect`` opens a DB-API connection on the driver; only the upsert statement runs on it and
-    no rows pass through the driver.  Repeating a batch leaves the table as it is.
+    ``connect`` opens a DB-API connection on the driver; rows go from the executors over JDBC.
     """
-    staging = f"{table.name}_staging"
 
-    def write(df: DataFrame, batch_id: int) -> None:
-        write_staging(df, table, url, staging, properties, connections)
-        connection = connect()
+    url: str
+    properties: dict[str, str]
+    connect: Callable[[], object]
+    connections: int = 8
+
+    def create_tables(self, tables: Iterable[MetricTable]) -> None:
+        """Make what is missing; once, at start-up."""
+        self._run([create_table_sql(t) for t in tables])
+
+    def _run(self, statements: list[str]) -> None:
+        connection = self.connect()
         try:
             cursor = connection.cursor()
-            cursor.execute(create_table_sql(table))
-            cursor.execute(upsert_sql(table, staging))
+            for statement in statements:
+                cursor.execute(statement)
             connection.commit()
         finally:
             connection.close()
 
+    def sink(self, table: MetricTable, query: str) -> Callable[[DataFrame, int], None]:
+        return upsert_sink(table, self, f"{query}_staging")
+
+
+def upsert_sink(table: MetricTable, database: Database,
+                staging: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer: stage the batch from the executors, then upsert it on the server.
+
+    Only the upsert statement runs on the driver's connection.  ``staging`` belongs to one query:
+    two queries may write to one table at the same time.  Repeating a batch leaves the table as it
+    is.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        write_staging(df, table, database.url, staging, database.properties, database.connections)
+        database._run([upsert_sql(table, staging)])
+
     return write

@@ -29,7 +29,8 @@ def decode_json(raw: DataFrame, feed: Feed, value: str = "value", keep_raw: bool
                 columns: Sequence[str] | None = None) -> DataFrame:
     """Decode JSON messages; ``columns`` names the fields to parse, all by default.
 
-    A malformed message yields a row of nulls, which ``quality.validate`` drops.  With
+    A message is parsed once: fields come out of a generator, which filters do not cross.  A
+    malformed message yields a row of nulls, which ``quality.validate`` drops.  With
     ``keep_raw`` the text (``raw_value``) and Spark's corrupt-record column stay, so
     ``quality.dead_letters`` can tell why a row was rejected.
     """
@@ -38,9 +39,10 @@ def decode_json(raw: DataFrame, feed: Feed, value: str = "value", keep_raw: bool
     schema = T.StructType(fields + (
         [T.StructField(CORRUPT, T.StringType())] if keep_raw else []))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = raw.select(text.alias("raw_value"), F.from_json(text, schema, options).alias("data"))
+    parsed = raw.select(text.alias("raw_value"), F.inline(F.array(
+        F.from_json(text, schema, options))))
     keep = ["raw_value", CORRUPT] if keep_raw else []
-    return _normalise_times(feed, parsed.select("raw_value", "data.*"), keep)
+    return _normalise_times(feed, parsed, keep)
 
 
 def decode_avro(raw: DataFrame, feed: Feed, value: str = "value",
@@ -50,13 +52,14 @@ def decode_avro(raw: DataFrame, feed: Feed, value: str = "value",
 
     parsed = raw.select(
         F.base64(F.col(value)).alias("raw_value"),
-        from_avro(F.col(value), feed.avro_schema(), {"mode": "PERMISSIVE"}).alias("data"),
+        F.inline(F.array(from_avro(F.col(value), feed.avro_schema(), {"mode": "PERMISSIVE"}))),
     )
     if not keep_raw:
-        return parsed.select("data.*")
+        return parsed.drop("raw_value")
     # from_avro reports no text for a bad record; both required fields are null then.
-    bad = F.col("data.event_id").isNull() & F.col("data.event_time").isNull()
-    return parsed.select("raw_value", F.when(bad, F.col("raw_value")).alias(CORRUPT), "data.*")
+    bad = F.col("event_id").isNull() & F.col("event_time").isNull()
+    return parsed.select("raw_value", F.when(bad, F.col("raw_value")).alias(CORRUPT),
+                         *feed.schema.fieldNames())
 
 
 def encode_json(df: DataFrame, feed: Feed) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from zonepulse.config import DEFAULTS, MetricConfig
 from zonepulse.functions.windows import ensure_watermark
-from zonepulse.model import METRIC_TABLES, MetricTable
+from zonepulse.model import LIVE_TABLES, METRIC_TABLES, MetricTable
 from zonepulse.operators import anomaly, couriers, demand_supply, fraud, kpis, quality, sla
 from zonepulse.sinks.changelog import ChangelogTable
 
@@ -40,31 +40,45 @@ class MetricJob:
     output_mode: str = "update"
 
 
-def _job(name: str, table: str, build, orders: str = "", couriers: str = "") -> MetricJob:
-    return MetricJob(name, build, METRIC_TABLES[table], tuple(orders.split()),
-                     tuple(couriers.split()))
+def _job(name: str, table: str, build: Callable[[Feeds, MetricConfig], DataFrame],
+         orders: tuple[str, ...] = (), couriers: tuple[str, ...] = (),
+         output_mode: str = "update") -> MetricJob:
+    return MetricJob(name, build, {**METRIC_TABLES, **LIVE_TABLES}[table], orders, couriers,
+                     output_mode)
 
 
 JOBS: dict[str, MetricJob] = {j.name: j for j in (
     _job("kpi_tumbling", "windowed_kpis", lambda f, c: kpis.tumbling_kpis(f.orders, c),
-         "zone_id status order_value_eur estimated_prep_minutes"),
+         ("zone_id", "status", "order_value_eur", "estimated_prep_minutes")),
     _job("kpi_hopping", "windowed_kpis", lambda f, c: kpis.hopping_cancellations(f.orders, c),
-         "zone_id status"),
+         ("zone_id", "status")),
     _job("demand_supply", "demand_supply_health",
          lambda f, c: demand_supply.demand_supply_health(f.orders, f.couriers, c),
-         "zone_id status order_id", "zone_id status courier_id"),
+         ("zone_id", "status", "order_id"), ("zone_id", "status", "courier_id")),
     _job("restaurant_sla", "restaurant_sla",
          lambda f, c: sla.restaurant_sla(f.orders, f.restaurants, c),
-         "zone_id status restaurant_id actual_prep_minutes"),
+         ("zone_id", "status", "restaurant_id", "actual_prep_minutes")),
     _job("delivery_anomalies", "delivery_anomalies",
          lambda f, c: anomaly.delivery_anomalies(f.orders, c),
-         "zone_id status actual_delivery_minutes is_late"),
+         ("zone_id", "status", "actual_delivery_minutes", "is_late")),
     _job("fraud_alerts", "fraud_alerts", lambda f, c: fraud.fraud_alerts(f.orders, c),
-         "device_id customer_id status order_value_eur"),
+         ("device_id", "customer_id", "status", "order_value_eur")),
     _job("courier_positions", "courier_positions",
          lambda f, c: couriers.latest_positions(f.couriers).withColumn(
              "updated_at", F.current_timestamp()),
-         "", "courier_id zone_id latitude longitude speed_kmh status vehicle_type"),
+         (), ("courier_id", "zone_id", "latitude", "longitude", "speed_kmh", "status",
+              "vehicle_type")),
+    _job("orders_per_minute", "orders_per_minute", lambda f, c: kpis.orders_per_minute(f.orders, c),
+         ("zone_id", "status")),
+    _job("revenue_per_hour", "revenue_per_hour", lambda f, c: kpis.revenue_per_hour(f.orders, c),
+         ("status", "order_value_eur")),
+    # Sessions that have ended only: a session is told once, when the watermark is past its gap.
+    _job("courier_sessions", "courier_sessions", lambda f, c: couriers.gap_sessions(f.couriers, c),
+         (), ("courier_id",), "append"),
+    _job("orphaned_deliveries", "orphaned_deliveries",
+         lambda f, c: couriers.orphaned_deliveries_live(f.orders, f.couriers, c),
+         ("status", "order_id"),
+         ("status", "order_id", "zone_id", "courier_id", "offline_reason")),
 )}
 
 

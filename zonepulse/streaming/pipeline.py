@@ -1,8 +1,9 @@
 """The whole live job as named, restartable queries.
 
-Each feed is decoded once, by the query that lands it in an hourly Parquet archive.  The metrics
-stream from those archives, so every metric reads only its own columns and no message is parsed
-once per metric.  Messages that cannot be used go to a dead-letter folder.
+Each feed is read and parsed once, by the query that lands it: usable rows go to an hourly archive
+and to a bounded folder of batches, the others to dead letters.  A second query per feed drops
+copies by event id, once for all metrics, and hands the rest on through another bounded folder,
+from which every metric reads its own columns.
 """
 
 from __future__ import annotations
@@ -17,10 +18,13 @@ from pyspark.sql.streaming import StreamingQuery
 from zonepulse.config import DEFAULTS, MetricConfig
 from zonepulse.model import COURIERS, ORDERS, Feed
 from zonepulse.operators import quality
-from zonepulse.sinks.archive import archive_stream
+from zonepulse.sinks.archive import write_metric_batch, write_raw_batch
+from zonepulse.sinks.batches import BatchFolder
+from zonepulse.sinks.changelog import ChangelogTable
+from zonepulse.sinks.database import Database
 from zonepulse.sources.decode import decode_avro, decode_json
 from zonepulse.sources.files import stream_parquet
-from zonepulse.streaming.jobs import JOBS, Feeds, clean_stream, start_metric
+from zonepulse.streaming.jobs import JOBS, Feeds, MetricJob, clean_stream, start_metric
 
 _FEEDS: dict[str, Feed] = {"orders": ORDERS, "couriers": COURIERS}
 _DECODERS = {"json": decode_json, "avro": decode_avro}
@@ -30,7 +34,10 @@ _DECODERS = {"json": decode_json, "avro": decode_avro}
 class Pipeline:
     """Where the job reads and writes.
 
-    ``messages`` opens the raw stream (a binary ``value`` column) of a feed by name.
+    ``messages`` opens the raw stream (a binary ``value`` column) of a feed by name.  ``by_key``
+    drops copies by event id within the watermark; without it only rows that the producer marked
+    are dropped.  ``keep_batches`` bounds the folders between the queries, ``max_files`` what one
+    micro-batch takes from them.
     """
 
     spark: SparkSession
@@ -42,51 +49,106 @@ class Pipeline:
     cfg: MetricConfig = DEFAULTS
     available_now: bool = False
     interval: str = "30 seconds"
-    files_per_batch: int | None = None
+    by_key: bool = True
+    keep_batches: int = 2880
+    max_files: int | None = 1000
+    compact_every: int = 100
+    database: Database | None = None
+    metric_archive: str | None = None
 
     def archive_path(self, feed: str) -> str:
         return f"{self.root}/raw/{feed}"
 
-    def _decoded(self, feed: str, keep_raw: bool = False) -> DataFrame:
-        return _DECODERS[self.wire](self.messages(feed), _FEEDS[feed], keep_raw=keep_raw)
+    def dead_letters_path(self, feed: str) -> str:
+        return f"{self.root}/dead_letters/{feed}"
 
-    def land(self, feed: str) -> StreamingQuery:
-        """Decode, validate and archive a feed."""
-        events = quality.dedup_by_flag(quality.validate(self._decoded(feed)))
-        return archive_stream(events, self.archive_path(feed), f"{self.checkpoints}/land_{feed}",
-                              f"land_{feed}", self.available_now, self.interval, self.files_per_batch)
+    def _landing(self, feed: str) -> BatchFolder:
+        return BatchFolder(f"{self.root}/landing/{feed}", self.keep_batches)
+
+    def _clean(self, feed: str) -> BatchFolder:
+        return BatchFolder(f"{self.root}/clean/{feed}", self.keep_batches)
 
-    def reject(self, feed: str) -> StreamingQuery:
-        """Keep the messages that ``land`` drops, with the reason."""
+    def _delay(self, feed: str) -> str:
+        return self.cfg.orders_watermark if feed == "orders" else self.cfg.couriers_watermark
+
+    def _start(self, df: DataFrame, name: str, write: Callable[[DataFrame, int], None]
+               ) -> StreamingQuery:
         trigger = {"availableNow": True} if self.available_now else {"processingTime": self.interval}
-        return (
-            quality.dead_letters(self._decoded(feed, keep_raw=True))
-            .withColumn("rejected_at", F.current_timestamp())
-            .writeStream.format("parquet").queryName(f"reject_{feed}")
-            .option("path", f"{self.root}/dead_letters/{feed}")
-            .option("checkpointLocation", f"{self.checkpoints}/reject_{feed}")
-            .trigger(**trigger).start()
-        )
-
-    def _landed(self, feed: str) -> DataFrame:
-        stream = stream_parquet(self.spark, self.archive_path(feed), _FEEDS[feed].schema)
-        delay = self.cfg.orders_watermark if feed == "orders" else self.cfg.couriers_watermark
-        return clean_stream(stream, delay)
+        return (df.writeStream.queryName(name).foreachBatch(write)
+                .option("checkpointLocation", f"{self.checkpoints}/{name}").trigger(**trigger).start())
+
+    def decoded(self, feed: str) -> DataFrame:
+        """Parsed messages with their text and what is wrong with it."""
+        return _DECODERS[self.wire](self.messages(feed), _FEEDS[feed], keep_raw=True)
+
+    def land(self, feed: str) -> StreamingQuery:
+        """Parse a feed once and split each micro-batch into usable rows and dead letters."""
+        landing, columns = self._landing(feed), _FEEDS[feed].schema.fieldNames()
+        landing.create(self.spark, _FEEDS[feed].schema)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch.persist()
+            try:
+                usable = quality.dedup_by_flag(quality.validate(batch)).select(*columns)
+                write_raw_batch(usable, self.archive_path(feed), batch_id)
+                BatchFolder(self.dead_letters_path(feed), 1 << 62).write(
+                    quality.dead_letters(batch).withColumn("rejected_at", F.current_timestamp()),
+                    batch_id)
+                landing.write(usable, batch_id)
+            finally:
+                batch.unpersist()
+
+        return self._start(self.decoded(feed), f"land_{feed}", write)
+
+    def clean(self, feed: str) -> StreamingQuery:
+        """Drop copies of landed rows, once for all metrics."""
+        schema, folder = _FEEDS[feed].schema, self._clean(feed)
+        folder.create(self.spark, schema)
+        landed = stream_parquet(self.spark, self._landing(feed).pattern, schema, self.max_files)
+        rows = clean_stream(landed, self._delay(feed), self.by_key).select(*schema.fieldNames())
+        return self._start(rows, f"clean_{feed}", folder.write)
+
+    def _cleaned(self, feed: str) -> DataFrame:
+        stream = stream_parquet(self.spark, self._clean(feed).pattern, _FEEDS[feed].schema,
+                                self.max_files)
+        return clean_stream(stream, self._delay(feed))
+
+    def _sink(self, job: MetricJob) -> Callable[[DataFrame, int], None]:
+        """The changelog, and from what it stored the database and the dated archive, if any."""
+        table = ChangelogTable.of(job.table, f"{self.root}/metrics/{job.name}")
+        to_database = self.database.sink(job.table, job.name) if self.database else None
+        dated = self.metric_archive and "window_start" in job.table.columns
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            table.write_batch(batch, batch_id)
+            if to_database or dated:
+                rows = table.written(batch.sparkSession, batch_id)
+                if to_database:
+                    to_database(rows, batch_id)
+                if dated:
+                    write_metric_batch(rows, f"{self.metric_archive}/{job.name}", batch_id)
+            if batch_id % self.compact_every == self.compact_every - 1:
+                table.compact(batch.sparkSession)
+
+        return write
 
     def metric(self, name: str) -> StreamingQuery:
         job = JOBS[name]
-        feeds = Feeds(self._landed("orders") if job.order_columns else None,
-                      self._landed("couriers") if job.courier_columns else None,
+        feeds = Feeds(self._cleaned("orders") if job.order_columns else None,
+                      self._cleaned("couriers") if job.courier_columns else None,
                       self.restaurants)
         return start_metric(job, feeds, f"{self.root}/metrics", f"{self.checkpoints}/metrics",
-                            self.cfg, self.available_now, self.interval)
+                            self.cfg, self.available_now, self.interval, self._sink(job))
 
     def starters(self) -> dict[str, Callable[[], StreamingQuery]]:
         """Query name to starter, landing first; made for ``supervisor.supervise``."""
+        if self.database:
+            self.database.create_tables({j.table.name: j.table for j in JOBS.values()}.values())
         out: dict[str, Callable[[], StreamingQuery]] = {}
         for feed in _FEEDS:
             out[f"land_{feed}"] = lambda feed=feed: self.land(feed)
-            out[f"reject_{feed}"] = lambda feed=feed: self.reject(feed)
+        for feed in _FEEDS:
+            out[f"clean_{feed}"] = lambda feed=feed: self.clean(feed)
         for name in JOBS:
             out[name] = lambda name=name: self.metric(name)
         return out
