@@ -246,6 +246,18 @@ SELECT year(event_time) AS year, month(event_time) AS month, day(event_time) AS
        hour(event_time) AS hour, count(*) AS event_count, sum(order_value_eur) AS order_value
 FROM o GROUP BY ALL"""
 
+# Of an order's drops the last one counts; in transit at or before it, not delivered at or after it.
+_ORPHANS = """
+SELECT order_id, zone_id, courier_id AS dropped_courier_id, event_time AS drop_time, in_transit_time
+FROM (SELECT d.*, (SELECT max(t.event_time) FROM o t WHERE t.order_id = d.order_id
+                   AND t.status = 'IN_TRANSIT' AND t.event_time <= d.event_time) AS in_transit_time
+      FROM (SELECT * FROM c WHERE status = 'OFFLINE' AND offline_reason = 'MID_DELIVERY_DROP'
+                              AND order_id IS NOT NULL
+            QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY event_time DESC, event_id DESC) = 1) d) _q
+WHERE in_transit_time IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM o v WHERE v.order_id = _q.order_id AND v.status = 'DELIVERED'
+                                       AND v.event_time >= _q.event_time)"""
+
 # Message text of the events that carry no order: JSON without an id, and no JSON at all.
 _REJECTS = """
 SELECT props AS raw_value FROM events UNION ALL SELECT url FROM pages"""
@@ -288,6 +300,13 @@ GROUP BY 1""",
 SELECT event_id, restaurant_id, restaurant_name, x.zone_id, cuisine_type, sla_tier, actual_prep_minutes
 FROM o x LEFT JOIN (SELECT * EXCLUDE (zone_id) FROM dim) USING (restaurant_id)
 WHERE status = 'DELIVERED' AND actual_prep_minutes IS NOT NULL""",
+    "enrich_orders_right": """
+SELECT d.restaurant_id, restaurant_name, event_id, actual_prep_minutes
+FROM (SELECT * FROM o WHERE status = 'DELIVERED' AND actual_prep_minutes IS NOT NULL) x
+RIGHT JOIN dim d ON d.restaurant_id = x.restaurant_id""",
+    "demand_windows_approx": f"SELECT *, true AS within_error FROM ({demand()})",
+    "supply_windows_approx": f"SELECT *, true AS within_error FROM ({supply()})",
+    "fraud_windows_approx": f"SELECT *, true AS within_error FROM ({devices()})",
     "sla_windows": sla(),
     "sla_30min": sla(size=30, extra=", avg(actual_prep_minutes - estimated_prep_minutes) AS avg_prep_error"),
     "anomaly_windows": anomalies(),
@@ -302,9 +321,9 @@ WHERE status = 'DELIVERED' AND actual_delivery_minutes > anomaly_threshold""",
     "fraud_windows": fraud(),
     "fraud_multi_account": f"""
 SELECT window_start, window_end, device_id, distinct_customer_ids, placed_count, cancellation_count,
-       cancellation_count / greatest(placed_count, 1) AS cancellation_rate,
-       cancellation_count / greatest(placed_count, 1) >= 0.5 AS is_suspicious
-FROM ({devices()}) WHERE distinct_customer_ids > 3""",
+       cancellation_count / greatest(placed_count, 1) AS cancellation_rate
+FROM ({devices()})
+WHERE distinct_customer_ids > 3 AND cancellation_count / greatest(placed_count, 1) >= 0.5""",
     "courier_latest_position": positions(),
     "courier_utilisation": f"""
 SELECT window_start, window_end, zone_id, count(DISTINCT courier_id) AS online_couriers,
@@ -325,24 +344,16 @@ SELECT * FROM (
          location_accuracy_meters, battery_pct,
          concat_ws(', ', CASE WHEN speed_kmh >= 200 THEN 'IMPOSSIBLE_SPEED' END,
                          CASE WHEN location_accuracy_meters > 100 THEN 'POOR_ACCURACY' END,
-                         CASE WHEN status = 'OFFLINE' AND battery_pct <= 10 THEN 'LOW_BATTERY_OFFLINE' END) AS quality_flags
-  FROM c) WHERE quality_flags <> ''""",
-    "orphaned_deliveries": """
-SELECT order_id, t.zone_id, d.courier_id AS dropped_courier_id, d.event_time AS drop_time,
-       t.event_time AS in_transit_time
-FROM (SELECT * FROM c WHERE status = 'OFFLINE' AND offline_reason = 'MID_DELIVERY_DROP') d
-JOIN (SELECT * FROM o WHERE status = 'IN_TRANSIT') t USING (order_id)
-WHERE NOT EXISTS (SELECT 1 FROM o v WHERE v.order_id = d.order_id AND v.status = 'DELIVERED'
-                                       AND v.event_time >= d.event_time)""",
-    # Reported once both watermarks are past the redelivery time of four hours.
-    "stream_orphaned_deliveries": """
-SELECT order_id, d.zone_id, d.courier_id AS dropped_courier_id, d.event_time AS drop_time
-FROM (SELECT * FROM c WHERE status = 'OFFLINE' AND offline_reason = 'MID_DELIVERY_DROP') d
-WHERE order_id IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM o WHERE o.order_id = d.order_id AND o.status IN ('DELIVERED', 'CANCELLED')
-                  AND o.event_time BETWEEN d.event_time - INTERVAL 4 HOUR AND d.event_time + INTERVAL 4 HOUR)
-  AND d.event_time + INTERVAL 4 HOUR <= date_trunc('millisecond', least(
-        (SELECT max(event_time) FROM o) - INTERVAL 5 MINUTE, (SELECT max(event_time) FROM c) - INTERVAL 3 MINUTE))""",
+                         CASE WHEN status = 'OFFLINE' AND before <= 10 THEN 'LOW_BATTERY_OFFLINE' END) AS quality_flags
+  FROM (SELECT *, lag(battery_pct) OVER (PARTITION BY courier_id ORDER BY event_time, event_id) AS before
+        FROM c)) WHERE quality_flags <> ''""",
+    "orphaned_deliveries": _ORPHANS,
+    "stream_orphaned_deliveries": _ORPHANS,
+    "stream_orders_per_minute": f"""
+SELECT {_tumbling(1)}, zone_id, count(*) AS order_count FROM o WHERE status = 'PLACED' GROUP BY ALL""",
+    "stream_revenue_per_hour": f"""
+SELECT {_tumbling(60)}, count(*) AS delivered_count, sum(order_value_eur) AS total_revenue
+FROM o WHERE status = 'DELIVERED' GROUP BY ALL""",
     "orders_per_minute": f"""
 SELECT {_tumbling(1)}, zone_id, count(*) AS order_count FROM o WHERE status = 'PLACED' GROUP BY ALL""",
     "revenue_per_hour": f"""
@@ -358,12 +369,14 @@ FROM (SELECT order_id, min(event_time) FILTER (status = 'PLACED') AS p,
              min(event_time) FILTER (status = 'DELIVERED') AS d
       FROM o GROUP BY order_id)""",
     "surge_signal": f"""
-SELECT *, pending_demand / greatest(trailing_demand, 1) AS surge_ratio,
-       pending_demand / greatest(trailing_demand, 1) >= 1.5 AS is_surge
+SELECT * EXCLUDE (available_supply), coalesce(available_supply, 0) AS available_supply,
+       pending_demand / greatest(trailing_demand, 1) AS surge_ratio,
+       pending_demand / greatest(trailing_demand, 1) >= 1.5
+         AND pending_demand > coalesce(available_supply, 0) AS is_surge
 FROM (SELECT window_start, window_end, zone_id, pending_demand,
              coalesce(sum(pending_demand) OVER (PARTITION BY zone_id ORDER BY window_start
                       RANGE BETWEEN INTERVAL 30 MINUTE PRECEDING AND INTERVAL 5 MINUTE PRECEDING), 0) / 6 AS trailing_demand
-      FROM ({demand()}))""",
+      FROM ({demand()})) LEFT JOIN ({supply()}) USING (window_start, window_end, zone_id)""",
     "merge_windowed_kpis": _merged(kpis_all, _KPI_KEYS, {
         **_plus("order_count", "cancellation_count"),
         "total_revenue": "coalesce(p.total_revenue, 0) + coalesce(n.total_revenue, 0)",
@@ -392,6 +405,7 @@ SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN sqrt(c_acctbal) END AS root FROM
 SELECT *, year(window_start) AS year, month(window_start) AS month, day(window_start) AS day
 FROM ({kpis_all()})""",
     "upsert_latest_view": _merged(kpis_all, _KPI_KEYS, _new(*_KPI_VALUES)),
+    "upsert_after_restart": _merged(kpis_all, _KPI_KEYS, _new(*_KPI_VALUES)),
     "publish_frame": """
 SELECT zone_id AS "key", count(*) AS message_count, count(*) FILTER (status = 'PLACED') AS placed_count
 FROM o GROUP BY zone_id""",
@@ -491,7 +505,7 @@ _COLUMNS: dict[str, str] = {
                                   "anomaly_threshold z_score",
     "fraud_windows": _FRAUD,
     "fraud_multi_account": "window_start window_end device_id distinct_customer_ids placed_count "
-                           "cancellation_count cancellation_rate is_suspicious",
+                           "cancellation_count cancellation_rate",
     "courier_latest_position": _POSITION,
     "courier_utilisation": f"{_ZONE_KEYS} online_couriers busy_couriers utilisation",
     "courier_sessions": "active_session_id courier_id session_start session_end event_count "
@@ -500,11 +514,19 @@ _COLUMNS: dict[str, str] = {
     "courier_quality_flags": "event_id courier_id zone_id event_timestamp speed_kmh "
                              "location_accuracy_meters battery_pct quality_flags",
     "orphaned_deliveries": "order_id zone_id dropped_courier_id drop_time in_transit_time",
-    "stream_orphaned_deliveries": "order_id zone_id dropped_courier_id drop_time",
+    "stream_orphaned_deliveries": "order_id zone_id dropped_courier_id drop_time in_transit_time",
+    "stream_orders_per_minute": f"{_ZONE_KEYS} order_count",
+    "stream_revenue_per_hour": "window_start window_end delivered_count total_revenue",
+    "enrich_orders_right": "restaurant_id restaurant_name event_id actual_prep_minutes",
+    "demand_windows_approx": f"{_DEMAND} within_error",
+    "supply_windows_approx": f"{_SUPPLY} within_error",
+    "fraud_windows_approx": "window_start window_end device_id distinct_customer_ids placed_count "
+                            "cancellation_count refund_count total_order_value within_error",
+    "upsert_after_restart": _KPI,
     "orders_per_minute": f"{_ZONE_KEYS} order_count",
     "revenue_per_hour": "window_start window_end delivered_count total_revenue",
     "order_durations": "order_id placed_to_delivered_min ready_to_pickup_min pickup_to_delivered_min",
-    "surge_signal": f"{_ZONE_KEYS} pending_demand trailing_demand surge_ratio is_surge",
+    "surge_signal": f"{_ZONE_KEYS} pending_demand trailing_demand available_supply surge_ratio is_surge",
     "merge_windowed_kpis": _KPI, "merge_demand": _DEMAND, "merge_restaurant_sla": _SLA,
     "merge_delivery_anomalies": _ANOMALY, "merge_fraud_alerts": _FRAUD,
     "merge_courier_positions": _POSITION, "merge_health": _HEALTH, "merge_replace": _DEMAND,

@@ -93,12 +93,73 @@ def test_lateness(raw_orders):
     assert rows["on_time"].event_share == 0.5
 
 
-def test_avro_reader_schema():
-    fields = {f["name"]: f for f in json.loads(ORDERS.avro_schema())["fields"]}
-    assert fields["event_time"]["type"] == {"type": "long", "logicalType": "timestamp-millis"}
-    assert fields["status"]["type"]["symbols"][0] == "PLACED"
-    assert fields["courier_id"]["type"] == ["null", "string"]
-    assert len(fields) == 25 and len(COURIERS.fields) == 22
+# The producers' schemas: record name, and (field, type, default); "?" marks an optional field.
+WIRE = {
+    "OrderLifecycleEvent": (ORDERS, [
+        ("schema_version", "string", "1.0.0"), ("event_id", "string"), ("order_id", "string"),
+        ("customer_id", "string"), ("restaurant_id", "string"), ("courier_id", "string?"),
+        ("zone_id", "string"), ("status", "OrderStatus"), ("event_time", "millis"),
+        ("ingestion_time", "millis"), ("order_value_eur", "double"), ("item_count", "int"),
+        ("is_promo", "boolean", False), ("promo_code", "string?"),
+        ("payment_method", "PaymentMethod"), ("estimated_prep_minutes", "int?"),
+        ("actual_prep_minutes", "int?"), ("estimated_delivery_minutes", "int?"),
+        ("actual_delivery_minutes", "int?"), ("cancellation_reason", "CancellationReason?"),
+        ("device_id", "string?"), ("platform", "Platform"), ("is_duplicate", "boolean", False),
+        ("is_late", "boolean", False), ("metadata", "map", {})]),
+    "CourierStatusEvent": (COURIERS, [
+        ("schema_version", "string", "1.0.0"), ("event_id", "string"), ("courier_id", "string"),
+        ("order_id", "string?"), ("zone_id", "string"), ("status", "CourierStatus"),
+        ("event_time", "millis"), ("ingestion_time", "millis"), ("latitude", "double"),
+        ("longitude", "double"), ("location_accuracy_meters", "float?"), ("speed_kmh", "float?"),
+        ("battery_pct", "int?"), ("vehicle_type", "VehicleType"),
+        ("active_session_id", "string?"), ("session_start_time", "millis?"),
+        ("deliveries_completed_this_session", "int", 0), ("is_heartbeat", "boolean", False),
+        ("is_duplicate", "boolean", False), ("is_late", "boolean", False),
+        ("offline_reason", "OfflineReason?"), ("metadata", "map", {})]),
+}
+ENUMS = {
+    "OrderStatus": ["PLACED", "CONFIRMED", "PREPARING", "READY_FOR_PICKUP", "PICKED_UP",
+                    "IN_TRANSIT", "DELIVERED", "CANCELLED", "REFUNDED"],
+    "PaymentMethod": ["CARD", "CASH", "WALLET", "VOUCHER"],
+    "CancellationReason": ["CUSTOMER_REQUEST", "RESTAURANT_UNAVAILABLE", "NO_COURIER",
+                           "FRAUD_SUSPECTED", "TIMEOUT"],
+    "Platform": ["IOS", "ANDROID", "WEB"],
+    "CourierStatus": ["ONLINE_IDLE", "ONLINE_ASSIGNED", "HEADING_TO_RESTAURANT", "AT_RESTAURANT",
+                      "HEADING_TO_CUSTOMER", "COMPLETED_DELIVERY", "OFFLINE", "BREAK"],
+    "VehicleType": ["BICYCLE", "SCOOTER", "MOTORCYCLE", "CAR", "WALKING"],
+    "OfflineReason": ["VOLUNTARY", "BATTERY_DEAD", "APP_CRASH", "MID_DELIVERY_DROP", "SHIFT_END"],
+}
+
+
+def _wire_field(name, kind, *default):
+    optional, kind = kind.endswith("?"), kind.rstrip("?")
+    if kind in ENUMS:
+        kind = {"type": "enum", "name": kind, "symbols": ENUMS[kind]}
+    kind = {"millis": {"type": "long", "logicalType": "timestamp-millis"},
+            "map": {"type": "map", "values": "string"}}.get(kind, kind) if isinstance(
+                kind, str) else kind
+    if optional:
+        return {"name": name, "type": ["null", kind], "default": None}
+    return {"name": name, "type": kind, **({"default": default[0]} if default else {})}
+
+
+@pytest.mark.parametrize("name", list(WIRE))
+def test_avro_schemas_are_compatible_both_ways(spark, name):
+    feed, fields = WIRE[name]
+    theirs = json.dumps({"type": "record", "name": name, "namespace": "com.fooddelivery.streams.v1",
+                         "fields": [_wire_field(*f) for f in fields]})
+    avro = spark._jvm.org.apache.avro
+
+    def parsed(text):
+        return avro.Schema.Parser().parse(text)
+
+    def verdict(reader, writer):
+        return avro.SchemaCompatibility.checkReaderWriterCompatibility(
+            parsed(reader), parsed(writer)).getType().name()
+
+    assert verdict(feed.avro_schema(), theirs) == verdict(theirs, feed.avro_schema()) == "COMPATIBLE"
+    ours = {f["name"]: f.get("default", "none") for f in json.loads(feed.avro_schema())["fields"]}
+    assert ours == {f["name"]: f.get("default", "none") for f in json.loads(theirs)["fields"]}
 
 
 CONNECTION = "Endpoint=sb://host.example.net/;SharedAccessKeyName=reader;SharedAccessKey=abc=="

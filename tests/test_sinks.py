@@ -32,15 +32,46 @@ def test_compaction_and_later_batches(spark, tmp_path):
     for i in range(3):
         table.write_batch(spark.createDataFrame([("a", i), (f"k{i}", i)], SCHEMA), i)
     before = _latest(spark, table)
-    assert table.compact(spark) == 2
-    assert table.compact(spark) == 2
+    assert table.compact(spark) == (0, 2)
+    assert table.compact(spark) == (0, 2)
     assert _latest(spark, table) == before
     table.write_batch(spark.createDataFrame([("a", 9)], SCHEMA), 10)
     assert _latest(spark, table) == {**before, "a": 9}
-    assert table.compact(spark) == 10
+    assert table.compact(spark) == (0, 10)
     assert _latest(spark, table) == {**before, "a": 9}
 
 
+def test_a_new_checkpoint_is_newer_than_all_before(spark, tmp_path):
+    table = _table(spark, tmp_path)
+    for i in range(3):
+        table.write_batch(spark.createDataFrame([("a", i), ("b", i)], SCHEMA), i, "first")
+    table.compact(spark)
+    table.write_batch(spark.createDataFrame([("a", 7)], SCHEMA), 0, "second")
+    assert _latest(spark, table) == {"a": 7, "b": 2}
+    assert table.compact(spark) == (1, 0)
+    table.write_batch(spark.createDataFrame([("b", 8)], SCHEMA), 1, "second")
+    assert _latest(spark, table) == {"a": 7, "b": 8}
+
+
+def test_folders_stay_few(spark, tmp_path):
+    table = _table(spark, tmp_path)
+    for i in range(9):
+        table.write_batch(spark.createDataFrame([("a", i), (f"k{i}", i)], SCHEMA), i)
+        if i % 3 == 2:
+            table.compact(spark)
+    assert table.folders(spark) <= 6
+    assert _latest(spark, table) == {"a": 8, **{f"k{i}": i for i in range(9)}}
+
+
+def test_an_unfinished_batch_is_not_read(spark, tmp_path):
+    table = _table(spark, tmp_path)
+    table.write_batch(spark.createDataFrame([("a", 1)], SCHEMA), 0)
+    spark.createDataFrame([("a", 2)], SCHEMA).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        f"{table.path}/changes/run=0/batch_id=1")
+    assert _latest(spark, table) == {"a": 1}
+
+
 def test_null_value_is_a_value(spark, tmp_path):
     table = _table(spark, tmp_path)
     table.write_batch(spark.createDataFrame([("a", 1)], SCHEMA), 0)
@@ -87,8 +118,14 @@ def test_upsert_sink_stages_then_merges(monkeypatch, spark):
         def close(self):
             log.append("close")
 
-    monkeypatch.setattr(database, "write_staging", lambda df, *a: log.append(f"staged {df.count()}"))
-    table = METRIC_TABLES["demand_staging"]
-    write = database.upsert_sink(table, "jdbc:none", {}, Connection)
-    write(spark.createDataFrame([], table.schema), 0)
-    assert log == ["staged 0", "CREATE", "INSERT", "commit", "close"]
+    monkeypatch.setattr(database, "write_staging",
+                        lambda df, t, url, staging, *a: log.append(f"{staging} {df.count()}"))
+    table = METRIC_TABLES["windowed_kpis"]
+    sink = database.Database("jdbc:none", {}, Connection)
+    sink.create_tables([table])
+    assert log == ["CREATE", "commit", "close"]
+    log.clear()
+    for query in ("kpi_tumbling", "kpi_hopping"):
+        sink.sink(table, query)(spark.createDataFrame([], table.schema), 0)
+    assert log == ["kpi_tumbling_staging 0", "INSERT", "commit", "close",
+                   "kpi_hopping_staging 0", "INSERT", "commit", "close"]

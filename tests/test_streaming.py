@@ -8,10 +8,12 @@ from tests.compare import difference
 from tests.conftest import at
 from zonepulse import MetricConfig
 from zonepulse.model import COURIERS, ORDERS
-from zonepulse.operators import kpis, quality
+from zonepulse.operators import couriers, kpis, quality
 from zonepulse.session import streaming_session
+from zonepulse.sinks import archive
+from zonepulse.sinks.batches import BatchFolder
 from zonepulse.sinks.changelog import ChangelogTable
-from zonepulse.sources.decode import encode_json
+from zonepulse.sources.decode import decode_json, encode_json
 from zonepulse.sources.files import stream_parquet
 from zonepulse.streaming.jobs import JOBS, Feeds, clean_stream, start_metric
 from zonepulse.streaming.pipeline import Pipeline
@@ -109,6 +111,7 @@ def test_failed_batch_is_repeated_without_double_counting(spark, raw_orders, tmp
 def test_pipeline(spark, raw_orders, raw_couriers, restaurants, tmp_path):
     """Messages in, archives, dead letters and all metric tables out."""
     orders = raw_orders({"event_time": at(1)}, {"event_time": at(2), "is_duplicate": True},
+                        {"event_time": at(1), "event_id": "e0"},
                         {"event_time": at(3), "status": "DELIVERED", "actual_prep_minutes": 30,
                          "actual_delivery_minutes": 70},
                         {"event_time": at(3), "customer_id": "u2", "status": "CANCELLED"})
@@ -122,7 +125,7 @@ def test_pipeline(spark, raw_orders, raw_couriers, restaurants, tmp_path):
     job = Pipeline(
         session, lambda feed: stream_parquet(session, f"{tmp_path}/in/{feed}", "value binary"),
         restaurants, f"{tmp_path}/out", f"{tmp_path}/cp", wire="json", available_now=True,
-        files_per_batch=2)
+        metric_archive=f"{tmp_path}/dated")
     for name, start in job.starters().items():
         query = start()
         assert query.name == name
@@ -132,9 +135,11 @@ def test_pipeline(spark, raw_orders, raw_couriers, restaurants, tmp_path):
         return ChangelogTable.of(JOBS[name].table, f"{tmp_path}/out/metrics/{name}").latest(
             session).collect()
 
-    assert spark.read.parquet(job.archive_path("orders")).count() == 3
-    assert [r.reason for r in spark.read.parquet(f"{tmp_path}/out/dead_letters/orders").collect()] == [
-        "malformed"]
+    assert spark.read.parquet(job.archive_path("orders")).count() == 4
+    assert [r.reason for r in spark.read.parquet(
+        f"{job.dead_letters_path('orders')}/*").collect()] == ["malformed"]
+    assert spark.read.parquet(f"{tmp_path}/dated/kpi_tumbling").select(
+        "order_count", "month").collect() == [(1, 1)]
     assert [r.order_count for r in latest("kpi_tumbling")] == [1]
     assert {r.cancellation_rate for r in latest("kpi_hopping")} == {0.5}
     assert [(r.pending_demand, r.available_supply) for r in latest("demand_supply")] == [(1, 1)]
@@ -144,6 +149,69 @@ def test_pipeline(spark, raw_orders, raw_couriers, restaurants, tmp_path):
     assert [r.status for r in latest("courier_positions")] == ["OFFLINE"]
 
 
+def test_a_message_is_parsed_once(spark, raw_orders):
+    df = raw_orders({"event_time": at(1)})
+    raw = df.select(encode_json(df, ORDERS).cast("binary").alias("value"))
+    for rows in (quality.dead_letters(decode_json(raw, ORDERS, keep_raw=True)),
+                 quality.clean(decode_json(raw, ORDERS))):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1
+
+
+def test_a_new_run_does_not_replace_what_an_old_one_archived(spark, raw_orders, tmp_path):
+    path = str(tmp_path / "raw")
+    for run, ids in (("a", ["1", "2"]), ("b", ["3"]), ("b", ["3", "4"])):
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", run)
+        archive.write_raw_batch(raw_orders(*[{"event_id": i, "event_time": at(5)} for i in ids]),
+                                path, 0)
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    assert sorted(r.event_id for r in spark.read.parquet(path).collect()) == ["1", "2", "3", "4"]
+    assert archive.compact_hour(spark, path, 2024, 1, 1, 0) == 4
+    left = spark.read.parquet(path)
+    assert sorted(r.event_id for r in left.collect()) == ["1", "2", "3", "4"]
+    assert len(left.inputFiles()) == 1
+
+
+def test_folders_between_queries_stay_bounded(spark, raw_orders, tmp_path):
+    folder = BatchFolder(str(tmp_path / "landing"), keep=3)
+    folder.create(spark, ORDERS.schema)
+    for i in range(8):
+        folder.write(raw_orders({"event_id": f"e{i}"}), i)
+    names = sorted(p.name for p in (tmp_path / "landing").iterdir() if not p.name.startswith("."))
+    assert names == ["batch.5", "batch.6", "batch.7", "start"]
+
+
+def test_dropped_orders_follow_one_rule_in_both_forms(spark, raw_orders, raw_couriers, tmp_path):
+    """Two drops, a new courier after the drop, deliveries between and after drops."""
+    drop = {"status": "OFFLINE", "offline_reason": "MID_DELIVERY_DROP"}
+    events = [("IN_TRANSIT", "twice", 5), ("DELIVERED", "twice", 12),      # drops at 10 and 15
+              ("IN_TRANSIT", "later", 12),                                 # only after the drop
+              ("IN_TRANSIT", "again", 5), ("IN_TRANSIT", "again", 20),     # reassigned, not delivered
+              ("IN_TRANSIT", "saved", 5), ("DELIVERED", "saved", 30)]
+    orders = raw_orders(*[{"order_id": o, "status": s, "event_time": at(t), "event_id": f"{o}{s}{t}"}
+                          for s, o, t in events])
+    fleet = raw_couriers(*[{**drop, "order_id": o, "event_time": at(t), "event_id": f"{o}{t}"}
+                           for o, t in (("twice", 10), ("twice", 15), ("later", 10), ("again", 10),
+                                        ("saved", 10))])
+    batch = couriers.orphaned_deliveries(quality.clean(orders), quality.clean(fleet))
+    want = {(r.order_id, r.drop_time, r.in_transit_time) for r in batch.collect()}
+    assert {(o, d.minute, t.minute) for o, d, t in want} == {("twice", 15, 5), ("again", 10, 5)}
+    session = streaming_session(spark, 2)
+    for name, df in (("o", orders), ("c", fleet)):
+        df.limit(0).write.parquet(f"{tmp_path}/{name}")
+    for low, high in ((0, 11), (11, 14), (14, 60)):
+        for name, df in (("o", orders), ("c", fleet)):
+            df.filter((F.col("event_time") >= at(low)) & (F.col("event_time") < at(high))
+                      ).write.mode("append").parquet(f"{tmp_path}/{name}")
+        feeds = Feeds(clean_stream(stream_parquet(session, f"{tmp_path}/o", ORDERS.schema), "5 minutes"),
+                      clean_stream(stream_parquet(session, f"{tmp_path}/c", COURIERS.schema), "5 minutes"))
+        start_metric(JOBS["orphaned_deliveries"], feeds, f"{tmp_path}/out", f"{tmp_path}/cp",
+                     available_now=True).awaitTermination()
+    table = ChangelogTable.of(JOBS["orphaned_deliveries"].table, f"{tmp_path}/out/orphaned_deliveries")
+    live = table.latest(spark).filter("is_orphaned").collect()
+    assert {(r.order_id, r.drop_time, r.in_transit_time) for r in live} == want
+
+
 class _Query:
     def __init__(self, name):
         self.name, self.isActive = name, True

@@ -173,9 +173,19 @@ def demand_windows(spark, sf_dir):
     return demand_supply.demand_windows(_orders(spark, sf_dir))
 
 
+def _beside_sketch(exact: DataFrame, sketch: DataFrame, count: str) -> DataFrame:
+    """Exact rows, each with whether the sketch has it too and is within four standard errors."""
+    keys = [c for c in ("window_start", "window_end", "zone_id", "device_id") if c in exact.columns]
+    near = F.abs(F.col("_sketch") - F.col(count)) <= F.greatest(F.lit(1.0), 0.2 * F.col(count))
+    return exact.join(sketch.select(*keys, F.col(count).alias("_sketch")), keys, "full_outer").select(
+        *exact.columns, F.coalesce(near, F.lit(False)).alias("within_error"))
+
+
 @query
 def demand_windows_approx(spark, sf_dir):
-    return demand_supply.demand_windows_approx(_orders(spark, sf_dir))
+    orders = _orders(spark, sf_dir)
+    return _beside_sketch(demand_supply.demand_windows(orders),
+                          demand_supply.demand_windows_approx(orders), "pending_demand")
 
 
 @query
@@ -190,7 +200,9 @@ def supply_windows(spark, sf_dir):
 
 @query
 def supply_windows_approx(spark, sf_dir):
-    return demand_supply.supply_windows_approx(_couriers(spark, sf_dir))
+    fleet = _couriers(spark, sf_dir)
+    return _beside_sketch(demand_supply.supply_windows(fleet),
+                          demand_supply.supply_windows_approx(fleet), "available_supply")
 
 
 @query
@@ -218,6 +230,14 @@ def enrich_orders(spark, sf_dir):
         "actual_prep_minutes")
 
 
+@query
+def enrich_orders_right(spark, sf_dir):
+    """Every restaurant, also those without a delivery."""
+    delivered = sla.delivered_with_prep(_orders(spark, sf_dir))
+    return sla.enrich(delivered, testdata.restaurants(spark, sf_dir), "right").select(
+        "restaurant_id", "restaurant_name", "event_id", "actual_prep_minutes")
+
+
 @query
 def sla_windows(spark, sf_dir):
     return sla.restaurant_sla(_orders(spark, sf_dir), testdata.restaurants(spark, sf_dir))
@@ -250,7 +270,10 @@ def fraud_windows(spark, sf_dir):
 
 @query
 def fraud_windows_approx(spark, sf_dir):
-    return fraud.fraud_alerts(_orders(spark, sf_dir), distinct="approx")
+    orders = _orders(spark, sf_dir)
+    return _beside_sketch(fraud.device_activity(orders),
+                          fraud.device_activity(orders, distinct="approx"),
+                          "distinct_customer_ids")
 
 
 @query
@@ -305,7 +328,7 @@ def order_durations(spark, sf_dir):
 
 @query
 def surge_signal(spark, sf_dir):
-    return kpis.surge_signal(_orders(spark, sf_dir))
+    return kpis.surge_signal(_orders(spark, sf_dir), _couriers(spark, sf_dir))
 
 
 # --- merge rules: the metric of one half of the feed merged into that of the other -----------
@@ -401,6 +424,19 @@ def upsert_latest_view(spark, sf_dir):
     return table.latest(spark)
 
 
+@query
+def upsert_after_restart(spark, sf_dir):
+    """Compaction, then a new checkpoint whose batch ids start again at zero."""
+    table = ChangelogTable.of(METRIC_TABLES["windowed_kpis"], new_work_dir(spark, "kpi-restart"))
+    orders = _orders(spark, sf_dir)
+    even, odd = _halves(orders)
+    for batch_id, part in enumerate((orders.limit(0), even, even)):
+        table.write_batch(kpis.windowed_kpis(part), batch_id, "first")
+    table.compact(spark)
+    table.write_batch(kpis.windowed_kpis(odd), 0, "second")
+    return table.latest(spark)
+
+
 @query
 def publish_frame(spark, sf_dir):
     messages = kafka.publish_frame(_orders(spark, sf_dir), ORDERS)
@@ -472,8 +508,9 @@ def _stream_metric(spark, sf_dir, name: str, by_key: bool = False) -> DataFrame:
     job, root = JOBS[name], new_work_dir(spark, f"stream-{name}")
     orders, fleet = _zones(spark, sf_dir, root, job.order_columns, job.courier_columns)
     # In update mode an extra batch without data only evicts state, which the next drop does too.
+    append = job.output_mode == "append"
     session = streaming_session(
-        spark, conf={"spark.sql.streaming.noDataMicroBatches.enabled": "false"})
+        spark, conf={"spark.sql.streaming.noDataMicroBatches.enabled": str(append).lower()})
 
     def start():
         feeds = Feeds(
@@ -527,58 +564,26 @@ def stream_dedup(spark, sf_dir):
     return _stream_metric(spark, sf_dir, "kpi_tumbling", by_key=True)
 
 
-_SESSION_SCHEMA = T.StructType([
-    T.StructField("courier_id", T.StringType()),
-    T.StructField("session_start", T.TimestampType()),
-    T.StructField("session_end", T.TimestampType()),
-    T.StructField("event_count", T.LongType()),
-])
-
-
 @query
 def stream_courier_sessions(spark, sf_dir):
-    root = new_work_dir(spark, "stream-sessions")
-    _, fleet = _zones(spark, sf_dir, root, courier_columns=("courier_id",))
-    session = streaming_session(spark)
-    sink = ChangelogTable(f"{root}/out", ["courier_id", "session_start"], _SESSION_SCHEMA)
+    """Sessions that had ended when the feed did; the ones still open are not told."""
+    return _stream_metric(spark, sf_dir, "courier_sessions")
 
-    def start():
-        closed = couriers.gap_sessions(
-            clean_stream(fleet.stream(session), DEFAULTS.couriers_watermark))
-        return (closed.writeStream.outputMode("append").foreachBatch(sink.write_batch)
-                .option("checkpointLocation", f"{root}/checkpoint")
-                .trigger(availableNow=True).start())
 
-    replay(session, [fleet], start)
-    return sink.latest(spark)
+@query
+def stream_orphaned_deliveries(spark, sf_dir):
+    return _stream_metric(spark, sf_dir, "orphaned_deliveries").filter("is_orphaned").drop(
+        "is_orphaned")
 
 
-_ORPHAN_SCHEMA = T.StructType([
-    T.StructField("order_id", T.StringType()),
-    T.StructField("zone_id", T.StringType()),
-    T.StructField("dropped_courier_id", T.StringType()),
-    T.StructField("drop_time", T.TimestampType()),
-])
+@query
+def stream_orders_per_minute(spark, sf_dir):
+    return _stream_metric(spark, sf_dir, "orders_per_minute")
 
 
 @query
-def stream_orphaned_deliveries(spark, sf_dir):
-    root = new_work_dir(spark, "stream-orphans")
-    orders, fleet = _zones(spark, sf_dir, root, ("status", "order_id"),
-                           ("status", "order_id", "zone_id", "courier_id", "offline_reason"))
-    session = streaming_session(spark)
-    sink = ChangelogTable(f"{root}/out", ["order_id"], _ORPHAN_SCHEMA)
-
-    def start():
-        lost = couriers.orphaned_deliveries_live(
-            clean_stream(orders.stream(session), DEFAULTS.orders_watermark),
-            clean_stream(fleet.stream(session), DEFAULTS.couriers_watermark))
-        return (lost.writeStream.outputMode("append").foreachBatch(sink.write_batch)
-                .option("checkpointLocation", f"{root}/checkpoint")
-                .trigger(availableNow=True).start())
-
-    replay(session, [orders, fleet], start)
-    return sink.latest(spark)
+def stream_revenue_per_hour(spark, sf_dir):
+    return _stream_metric(spark, sf_dir, "revenue_per_hour")
 
 
 @query
