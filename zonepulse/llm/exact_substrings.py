@@ -33,12 +33,13 @@ from zonepulse.llm.tables import written
 
 LENGTH = 100
 GRAM = 32
-# Starts per step, when runs are narrowed down.
+# Starts per step, when runs are narrowed down, and bytes that all strings of a step cover.
 STEP = 9
-# Bytes handled at once in a task, and bytes in one suffix array beyond which a step that is larger
-# still is settled by hashes of its strings.
+CORE = LENGTH - STEP + 1
+# Bytes handled at once in a task, and symbols in one suffix array; common bytes that more symbols
+# than the last number hang on are settled by hashes of their strings.
 SLICE_BYTES = 2 << 20
-ARRAY_BYTES, MOST_BYTES = 1 << 15, 1 << 20
+ARRAY_SYMBOLS, MOST_SYMBOLS = 1 << 14, 1 << 18
 # Documents in the sample for frequent anchors, and when an anchor is frequent: both must hold.
 SAMPLE_DOCS, FREQUENT_RUNS, FREQUENT_SHARE = 20_000, 50, 0.001
 
@@ -319,41 +320,36 @@ class _Steps:
         self.count = most - least + 1                              # strings
         self.text_start = anchor[run] - most                       # of the first string, in its text
         self.rank = rank[run]                                      # of the text among all
-        core = base[run] + (anchor - first)[run] - step * STEP
-        self.core = self.hashed.of(core, core + LENGTH - STEP + 1, step)
+        self.core_start = base[run] + (anchor - first)[run] - step * STEP
+        self.core = self.hashed.of(self.core_start, self.core_start + CORE, step)
         self.whole = self.hashed.of(self.start, self.start + self.count + LENGTH - 1, most)
 
 
 def _strings_that_repeat(s: _Steps, chosen: np.ndarray) -> np.ndarray:
     """Among the strings of some steps, a mask of those equal to an earlier one, step by step.
 
-    Their suffixes are sorted; equal strings are neighbours among the suffixes that start one.
+    Steps come sorted by their common bytes, which are one symbol of the text whose suffixes are
+    sorted.  So a string has ``STEP`` symbols; equal strings are neighbours among the suffixes
+    that start one.
     """
     counts = s.count[chosen]
     owner = np.repeat(np.arange(len(chosen)), counts)
     offset = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     at = s.start[chosen][owner] + offset
     when = (s.rank[chosen][owner].astype(np.int64) << 40) | (s.text_start[chosen][owner] + offset)
-    lengths = counts + LENGTH - 1
-    if lengths.sum() > MOST_BYTES:
+    sizes = counts + STEP - 1
+    if sizes.sum() > MOST_SYMBOLS:
         key = s.hashed.of(at, at + LENGTH)
         order = np.lexsort((when, key))
         same = np.append(False, key[order][1:] == key[order][:-1])
     else:
-        # Bytes count from 1; 0 ends each piece and is in no string.
-        ends = np.cumsum(lengths + 1)
-        text = np.zeros(ends[-1], np.int64)
-        begin = ends - lengths - 1
-        for b, n, a in zip(begin.tolist(), lengths.tolist(), s.start[chosen].tolist(), strict=True):
-            text[b:b + n] = s.data[a:a + n]
-            text[b:b + n] += 1
+        text, begin = _symbols(s, chosen, sizes)
         number = np.full(len(text), -1)
         number[begin[owner] + offset] = np.arange(len(at))
         order = number[np.array(suffix_array(text.tolist()))]
         order = order[order >= 0]
-        window = np.lib.stride_tricks.sliding_window_view(s.data, LENGTH)
-        rows = window[at[order]]
-        same = np.append(False, (rows[1:] == rows[:-1]).all(axis=1))
+        strings = np.lib.stride_tricks.sliding_window_view(text, STEP)[(begin[owner] + offset)[order]]
+        same = np.append(False, (strings[1:] == strings[:-1]).all(axis=1))
     bunch = np.cumsum(~same) - 1
     earliest = np.full(bunch[-1] + 1 if len(bunch) else 0, np.iinfo(np.int64).max)
     np.minimum.at(earliest, bunch, when[order])
@@ -362,6 +358,25 @@ def _strings_that_repeat(s: _Steps, chosen: np.ndarray) -> np.ndarray:
     return repeats
 
 
+def _symbols(s: _Steps, chosen: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The steps' bytes, counted from 1, each piece with a 0 behind it; and where pieces begin.
+
+    Common bytes are one symbol above 256, the same for steps whose common bytes are the same.
+    """
+    ends = np.cumsum(sizes + 1)
+    begin = ends - sizes - 1
+    before = s.core_start[chosen] - s.start[chosen]
+    piece = np.repeat(np.arange(len(chosen)), sizes)
+    symbol = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    source = s.start[chosen][piece] + symbol + np.where(symbol > before[piece], CORE - 1, 0)
+    text = np.zeros(ends[-1] if len(ends) else 0, np.int64)
+    text[begin[piece] + symbol] = s.data[source].astype(np.int64) + 1
+    bytes_ = np.lib.stride_tricks.sliding_window_view(s.data, CORE)[s.core_start[chosen]]
+    changes = np.append(True, (bytes_[1:] != bytes_[:-1]).any(axis=1))
+    text[begin + before] = 256 + np.cumsum(changes)
+    return text, begin
+
+
 def repeats_among(rank: np.ndarray, place: np.ndarray, bodies: list[bytes]
                   ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Which strings of some runs equal an earlier one: ``run, first start, last start``.
@@ -382,10 +397,10 @@ def repeats_among(rank: np.ndarray, place: np.ndarray, bodies: list[bytes]
     kinds, bunch = kinds[open_], bunch[open_]
     # Steps with equal common bytes go into one suffix array, several of them up to a size.
     cut = np.flatnonzero(np.append(True, bunch[1:] != bunch[:-1])) if len(bunch) else np.zeros(0, int)
-    size = np.cumsum(s.count[kinds] + LENGTH)
+    size = np.cumsum(s.count[kinds] + STEP)
     begin = 0
     for k, end in enumerate(np.append(cut[1:], len(kinds)).tolist() if len(cut) else []):
-        if end < len(kinds) and size[cut[k + 1]] - (size[begin - 1] if begin else 0) < ARRAY_BYTES:
+        if end < len(kinds) and size[cut[k + 1]] - (size[begin - 1] if begin else 0) < ARRAY_SYMBOLS:
             continue
         chosen = kinds[begin:end]
         begin = end
