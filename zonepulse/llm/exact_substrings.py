@@ -14,8 +14,9 @@ equal anchors at equal places.
    suffix array, built by linear grouping, brings equal strings next to each other.
 
 An anchor may be very frequent with ever different surroundings (a line that many texts share).
-Anchors frequent in a bounded sample are dealt out by both hashes, and their strings one by one by
-a hash of their own; the sample decides about the way only, not about the result.
+Anchors frequent in a bounded sample are dealt out by both hashes, and their steps, and strings
+where steps differ, one by one by hashes of their own; the sample decides about the way only, not
+about the result.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ CORE = LENGTH - STEP + 1
 SLICE_BYTES = 2 << 20
 ARRAY_SYMBOLS, MOST_SYMBOLS = 1 << 14, 1 << 18
 # Documents in the sample for frequent anchors, and when an anchor is frequent: both must hold.
-SAMPLE_DOCS, FREQUENT_RUNS, FREQUENT_SHARE = 20_000, 50, 0.001
+SAMPLE_DOCS, FREQUENT_RUNS, FREQUENT_SHARE = 20_000, 100, 0.01
 
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
@@ -461,38 +462,53 @@ def _compared(runs: DataFrame) -> DataFrame:
 
 
 def _one_by_one(runs: DataFrame) -> DataFrame:
-    """Repeats among the runs of frequent anchors: every string by itself, known by two hashes.
+    """Repeats among the runs of frequent anchors, without a task that sees all of an anchor's.
 
-    The earliest of equal strings is found with partial sums, so a string that a third of all
-    texts have is no burden.
+    Equal steps are settled first.  Where steps with equal common bytes differ, the earliest of
+    each kind give their strings, each known by two hashes.  The earliest of equal steps or strings
+    is found with partial sums, so that what a third of all texts have is no burden.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             doc, tie = _keys(batch)
-            bodies = batch["body"].to_pylist()
-            first, last, _ = _unpacked(batch["place"].to_numpy())
-            sizes = np.array([len(b) for b in bodies], np.int64)
-            hashed = _Hashed(np.frombuffer(b"".join(bodies), np.uint8))
-            count = last - first + 1
-            row = np.repeat(np.arange(len(count)), count)
-            offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            at = (np.cumsum(sizes) - sizes)[row] + offset
+            s = _Steps(np.zeros(len(doc), np.int64), batch["place"].to_numpy(),
+                       batch["body"].to_pylist())
+            owner = np.repeat(np.arange(len(s.run)), s.count)
+            begin = np.cumsum(s.count) - s.count
+            at = s.start[owner] + np.arange(len(owner)) - begin[owner]
+            strings = pa.StructArray.from_arrays(
+                [pa.array(s.hashed.of(at, at + LENGTH).view(np.int64)),
+                 pa.array(s.hashed.of(at, at + LENGTH // 2, 1).view(np.int64))], ["w1", "w2"])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashed.of(at, at + LENGTH).view(np.int64)),
-                 pa.array(hashed.of(at, at + LENGTH // 2, 1).view(np.int64)),
-                 _doc_array(doc[row]), pa.array(tie[row]), pa.array(first[row] + offset)],
-                ["w1", "w2", "doc", "tie", "at"])
-
-    strings = written(runs.mapInArrow(run, "w1 long, w2 long, doc long, tie long, at long"),
-                      "strings")
+                [pa.array(s.core.view(np.int64)), pa.array(s.whole.view(np.int64)),
+                 _doc_array(doc[s.run]), pa.array(tie[s.run]), pa.array(s.text_start),
+                 pa.array(s.count.astype(np.int32)),
+                 pa.ListArray.from_arrays(pa.array(np.append(begin, len(owner)), pa.int32()), strings)],
+                ["core", "whole", "doc", "tie", "at", "n", "strings"])
+
+    steps = written(runs.mapInArrow(
+        run, "core long, whole long, doc long, tie long, at long, n int, "
+             "strings array<struct<w1: long, w2: long>>"), "steps")
+    kinds = written(steps.groupBy("core", "whole").agg(
+        F.min(F.struct("doc", "tie", "at", "strings")).alias("e"), F.count(F.lit(1)).alias("times")),
+        "kinds")
+    place = F.struct("doc", "tie", "at")
+    again = steps.drop("strings").join(
+        kinds.filter("times > 1").select("core", "whole", F.struct("e.doc", "e.tie", "e.at").alias("first")),
+        ["core", "whole"]).filter(place > F.col("first")).select(
+        "doc", "tie", F.col("at").alias("first"), (F.col("at") + F.col("n") - 1).alias("last"))
+    several = kinds.groupBy("core").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+    strings = written(kinds.join(several.select("core"), "core").select(
+        "e.doc", "e.tie", "e.at", F.posexplode("e.strings").alias("i", "s")).select(
+        "doc", "tie", (F.col("at") + F.col("i")).alias("at"), "s.w1", "s.w2"), "strings")
     first = written(strings.groupBy("w1", "w2").agg(
-        F.min(F.struct("doc", "tie", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1").drop("n"), "first-strings")
-    return strings.join(first, ["w1", "w2"]).filter(F.struct("doc", "tie", "at") > F.col("first")
-                                                    ).select("doc", "tie", F.col("at").alias("first"),
-                                                             F.col("at").alias("last"))
+        F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
+        .filter("times > 1").drop("times"), "first-strings")
+    single = strings.join(first, ["w1", "w2"]).filter(place > F.col("first")).select(
+        "doc", "tie", F.col("at").alias("first"), F.col("at").alias("last"))
+    return again.unionByName(single)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
