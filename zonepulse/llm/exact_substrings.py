@@ -22,7 +22,7 @@ about the result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,7 @@ STEP = 9
 CORE = LENGTH - STEP + 1
 # Bytes handled at once in a task, and symbols in one suffix array; common bytes that more symbols
 # than the last number hang on are settled by hashes of their strings.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 ARRAY_SYMBOLS, MOST_SYMBOLS = 1 << 14, 1 << 18
 # Documents in the sample for frequent anchors, and when an anchor is frequent: both must hold.
 SAMPLE_DOCS, FREQUENT_RUNS, FREQUENT_SHARE = 20_000, 100, 0.01
@@ -129,7 +129,7 @@ def runs_of(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     return text, grams[p].view(np.int64), c.view(np.int64), first - base, last - base, p - base
 
 
-def _sliced(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+def _sliced(texts: Iterable[bytes]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
     """Texts in slices of bounded size: their numbers, the offsets of their parts, the parts.
 
     A text longer than a slice is cut into parts that overlap, so that each start is in one part.
@@ -180,8 +180,7 @@ def _runs(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, tie = _keys(batch)
-            texts = [(t.as_py() or "").encode() for t in batch["text"]]
-            for numbers, offsets, parts in _sliced(texts):
+            for numbers, offsets, parts in _sliced(t.as_py().encode() for t in batch["text"]):
                 text, h, c, first, last, anchor = runs_of(parts)
                 if not len(text):
                     continue
@@ -553,8 +552,9 @@ def kept_bytes(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, i
     return b"".join(out), removed + stop - begin, count + 1
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of every row; ``kept`` is binary.
+def without_repeats(docs: DataFrame, with_bytes: bool = True) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of every row; ``kept`` is binary
+    and null unless asked for.
 
     Earlier is by ascending id, null ids first, then by position; texts with equal ids follow each
     other by a hash of the text.  Rows that repeat both id and text are one text: none is removed
@@ -570,13 +570,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     ).select("doc", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             rows = []
             for text, spans_ in zip(batch["text"], batch["spans"], strict=True):
                 data = text.as_py().encode()
                 kept, removed, count = kept_bytes(
                     data, [(s["first"], s["last"]) for s in spans_.as_py() or []])
-                rows.append((len(data), removed, count, hashlib.sha256(kept).hexdigest(), kept))
+                rows.append((len(data), removed, count, hashlib.sha256(kept).hexdigest(),
+                             kept if with_bytes else None))
             columns = list(zip(*rows, strict=True)) or [()] * 5
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays(

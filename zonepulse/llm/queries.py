@@ -53,7 +53,8 @@ def op9_licence_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_substrings.without_repeats(read(spark, sf_dir, "documents")).drop("kept")
+    return exact_substrings.without_repeats(
+        read(spark, sf_dir, "documents"), with_bytes=False).drop("kept")
 
 
 QUERIES = {f.__name__: f for f in (op1_syncmer_fingerprints, op2_feistel_pseudonyms, op3_one_bit_codes, op4_byte_bpe, op5_soft_mixing, op6_simhash_bk_tree, op7_toxic_passages, op8_quality_rules,
