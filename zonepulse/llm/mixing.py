@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonepulse.llm.tables import numbered, written
+from zonepulse.llm.tables import written
 from zonepulse.llm.training import TRAIN_ROWS
 
 # Words are hashed to so many buckets; the classifier's size hangs on nothing else.
@@ -159,7 +159,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domain: str, rows: int = TRA
 
 
 def posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
-    """``row_no, doc_id, n_tokens, p`` of every row; ``p`` has one probability per domain."""
+    """``doc_id, n_tokens, p`` of every row; ``p`` has one probability per domain."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,13 +167,12 @@ def posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
         for batch in batches:
             found = [memory.of(t.as_py()) for t in batch["text"]]
             yield pa.RecordBatch.from_arrays(
-                [batch["row_no"], batch["doc_id"], pa.array([len(b) for b in found], pa.int64()),
+                [batch["doc_id"], pa.array([len(b) for b in found], pa.int64()),
                  pa.array([model.posterior(b).tolist() for b in found], pa.list_(pa.float64()))],
-                ["row_no", "doc_id", "n_tokens", "p"])
+                ["doc_id", "n_tokens", "p"])
 
-    text = docs["text"].cast("string").alias("text")
-    return numbered(docs.select("doc_id", text)).mapInArrow(
-        run, f"row_no long, doc_id {kind}, n_tokens long, p array<double>")
+    return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(
+        run, f"doc_id {kind}, n_tokens long, p array<double>")
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:

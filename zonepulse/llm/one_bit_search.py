@@ -216,7 +216,9 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id",
     pieces by a hash of the id, and its queries are sent to each, so no group grows with a list.
     """
     kind = vectors.schema[id_col].dataType
-    rows = usable(vectors, id_col, vector_col).dropDuplicates(["id"])
+    # Of vectors with one id the least counts.
+    rows = written(usable(vectors, id_col, vector_col).groupBy("id").agg(F.min("v").alias("v")),
+                   "usable")
     head = rows.select(F.size("v").alias("n")).first()
     schema = f"query_id {kind.simpleString()}, vec_id {kind.simpleString()}, score double, part int"
     if head is None:

@@ -28,11 +28,3 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """True where crc32 of the id as text leaves ``fold`` modulo ``folds``; false for null ids."""
     rest = F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds))
     return F.coalesce(rest == fold, F.lit(False))
-
-
-def numbered(df: DataFrame, row: str = "row_no") -> DataFrame:
-    """Add a number per input row, so that rows with equal or null ids stay apart.
-
-    The number depends on the scan's splits alone, so a repeated task gives the same ones.
-    """
-    return df.withColumn(row, F.monotonically_increasing_id())
