@@ -258,6 +258,18 @@ WHERE in_transit_time IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM o v WHERE v.order_id = _q.order_id AND v.status = 'DELIVERED'
                                        AND v.event_time >= _q.event_time)"""
 
+# Rows whose 5-minute window the watermark had not passed: half-hour drops, one second of delay; the
+# watermark of a drop follows from the drops before it.
+_IN_TIME = """(
+  SELECT o.* FROM (SELECT *, epoch_us(ingestion_time) // 1800000000 AS drop_no FROM o) o
+  JOIN (SELECT drop_no, max(newest) OVER (ORDER BY drop_no ROWS BETWEEN UNBOUNDED PRECEDING
+                                          AND 1 PRECEDING) - INTERVAL 1 SECOND AS watermark
+        FROM (SELECT epoch_us(ingestion_time) // 1800000000 AS drop_no,
+                     date_trunc('millisecond', max(event_time)) AS newest FROM o GROUP BY 1)) w
+  ON o.drop_no = w.drop_no
+  WHERE w.watermark IS NULL
+     OR time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE > w.watermark)"""
+
 # Message text of the events that carry no order: JSON without an id, and no JSON at all.
 _REJECTS = """
 SELECT props AS raw_value FROM events UNION ALL SELECT url FROM pages"""
@@ -444,6 +456,8 @@ FROM ({fraud()})""",
     "stream_fraud": fraud(),
     "stream_courier_latest": positions(),
     "stream_dedup": kpi_tumbling(),
+    "stream_fraud_short_drops": fraud(),
+    "stream_kpi_late_rows": kpi_tumbling(_IN_TIME),
 }
 
 # Columns compared to six decimals, and whole numbers compared as BIGINT.
@@ -548,6 +562,7 @@ _COLUMNS: dict[str, str] = {
     "stream_kpi_tumbling": _KPI, "stream_kpi_hopping": _KPI, "stream_demand_supply": _HEALTH,
     "stream_sla": _SLA, "stream_anomaly": _ANOMALY, "stream_fraud": _FRAUD,
     "stream_courier_latest": _POSITION, "stream_dedup": _KPI,
+    "stream_fraud_short_drops": _FRAUD, "stream_kpi_late_rows": _KPI,
 }
 
 

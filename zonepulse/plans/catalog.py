@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonepulse.config import DEFAULTS
+from zonepulse.config import DEFAULTS, MetricConfig
 from zonepulse.model import COURIERS, METRIC_TABLES, ORDERS
 from zonepulse.operators import (
     anomaly,
@@ -26,13 +26,14 @@ from zonepulse.operators import (
     serving,
     sla,
 )
+from zonepulse.plans import testdata
+from zonepulse.plans.replay import DropZone, replay, replay_in_batches
 from zonepulse.session import new_work_dir, prepare, streaming_session
 from zonepulse.sinks import archive
 from zonepulse.sinks.changelog import ChangelogTable
-from zonepulse.sources import files, kafka, testdata
+from zonepulse.sources import files, kafka
 from zonepulse.sources.decode import decode_json, encode_json
 from zonepulse.streaming.jobs import JOBS, Feeds, clean_stream, start_metric
-from zonepulse.streaming.replay import DropZone, replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -586,6 +587,35 @@ def stream_revenue_per_hour(spark, sf_dir):
     return _stream_metric(spark, sf_dir, "revenue_per_hour")
 
 
+def _short_drops(spark, sf_dir, name: str, cfg: MetricConfig) -> DataFrame:
+    """A metric over half-hour drops, one per micro-batch of one continuous query."""
+    job, root = JOBS[name], new_work_dir(spark, f"short-{name}")
+    zone = DropZone(testdata.orders_feed(spark, sf_dir), f"{root}/orders",
+                    list(dict.fromkeys((*_FEED_COLUMNS, *job.order_columns))), drop_seconds=1800)
+    session = streaming_session(
+        spark, conf={"spark.sql.streaming.noDataMicroBatches.enabled": "false"})
+
+    def start():
+        rows = clean_stream(zone.stream(session, max_files=1), cfg.orders_watermark)
+        return start_metric(job, Feeds(rows), f"{root}/out", f"{root}/checkpoints", cfg,
+                            available_now=True)
+
+    replay_in_batches(zone, start)
+    return ChangelogTable.of(job.table, f"{root}/out/{name}").latest(spark)
+
+
+@query
+def stream_fraud_short_drops(spark, sf_dir):
+    """Hourly windows that no single micro-batch holds."""
+    return _short_drops(spark, sf_dir, "fraud_alerts", DEFAULTS)
+
+
+@query
+def stream_kpi_late_rows(spark, sf_dir):
+    """A watermark shorter than the lateness: rows of windows it has passed are dropped."""
+    return _short_drops(spark, sf_dir, "kpi_tumbling", MetricConfig(orders_watermark="1 second"))
+
+
 @query
 def stream_archive(spark, sf_dir):
     root = new_work_dir(spark, "stream-archive")

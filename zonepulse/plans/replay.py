@@ -15,15 +15,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from zonepulse.sources.files import stream_parquet
 
-DROP_HOURS = 8
+DROP_SECONDS = 8 * 3600
 
 
 class DropZone:
     """Stages a bounded feed once and releases it drop by drop into a stream's input folder."""
 
-    def __init__(self, feed: DataFrame, root: str, columns: Sequence[str]):
+    def __init__(self, feed: DataFrame, root: str, columns: Sequence[str],
+                 drop_seconds: int = DROP_SECONDS):
         self.stage, self.inbox = f"{root}/stage", f"{root}/inbox"
-        drop = F.floor(F.unix_seconds(F.col("ingestion_time")) / (DROP_HOURS * 3600))
+        drop = F.floor(F.unix_seconds(F.col("ingestion_time")) / drop_seconds)
         kept = feed.select(*columns, drop.alias("drop"))
         self.schema = T.StructType([f for f in kept.schema.fields if f.name != "drop"])
         self.spark = feed.sparkSession
@@ -44,8 +45,8 @@ class DropZone:
         (self._staged().filter(F.col("drop") == drop).drop("drop")
          .write.mode("append").parquet(self.inbox))
 
-    def stream(self, spark: SparkSession) -> DataFrame:
-        return stream_parquet(spark, self.inbox, self.schema)
+    def stream(self, spark: SparkSession, max_files: int | None = None) -> DataFrame:
+        return stream_parquet(spark, self.inbox, self.schema, max_files)
 
 
 def replay(spark: SparkSession, zones: Sequence[DropZone], start: Callable[[], StreamingQuery]) -> None:
@@ -59,3 +60,17 @@ def replay(spark: SparkSession, zones: Sequence[DropZone], start: Callable[[], S
         query.awaitTermination()
         if query.exception():
             raise query.exception()
+
+
+def replay_in_batches(zone: DropZone, start: Callable[[], StreamingQuery]) -> None:
+    """Release all drops, one file each, and run a query that takes one file per micro-batch.
+
+    Files are read in the order they were written, so each micro-batch is a drop.
+    """
+    for drop in zone.drops():
+        (zone._staged().filter(F.col("drop") == drop).drop("drop").coalesce(1)
+         .write.mode("append").parquet(zone.inbox))
+    query = start()
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
