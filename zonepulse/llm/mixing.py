@@ -71,16 +71,17 @@ class Mix:
     targets: np.ndarray
     step: float
     gaps: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    least: float = 0.0
 
     def rates(self, posteriors: np.ndarray) -> np.ndarray:
-        return rates(posteriors, self.step, self.gaps)
+        return rates(posteriors, self.step, self.gaps, self.least)
 
 
-def rates(posteriors: np.ndarray, step: float, gaps: np.ndarray) -> np.ndarray:
-    """Rates after the projected steps so far, from one copy each."""
+def rates(posteriors: np.ndarray, step: float, gaps: np.ndarray, least: float = 0.0) -> np.ndarray:
+    """Rates of at least ``least`` after the projected steps so far, from one copy each."""
     r = np.ones(len(posteriors))
     for gap in gaps:
-        r = np.maximum(0.0, r + step * (posteriors @ gap))
+        r = np.maximum(least, r + step * (posteriors @ gap))
     return r
 
 
@@ -179,13 +180,15 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def _totals(table: DataFrame, width: int, step: float, gaps: np.ndarray) -> np.ndarray:
+def _totals(table: DataFrame, width: int, step: float, gaps: np.ndarray,
+            least: float) -> np.ndarray:
     """Expected tokens per domain at the rates so far, summed over the cluster."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width)
         for batch in batches:
             p = _matrix(batch["p"], width)
-            total += (p * (batch["n_tokens"].to_numpy() * rates(p, step, gaps))[:, None]).sum(axis=0)
+            total += (p * (batch["n_tokens"].to_numpy() * rates(p, step, gaps, least))[:, None]
+                      ).sum(axis=0)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(width), pa.int32()), pa.array(total)], ["domain", "tokens"])
 
@@ -217,12 +220,13 @@ def fit_mix(table: DataFrame, model: DomainModel, weights: Mapping[str, float] |
 
     ``weights`` are the wanted shares per domain, by default each domain's share to the power
     ``TEMPERATURE``, which lifts small domains.  ``budget`` is the wanted number of tokens, by
-    default the least at which no domain has to shrink, so that no document need be left out.
+    default the least at which no domain has to shrink; rates are then at least 1, so that no
+    document is left out, and else at least 0.
     """
-    width = len(model.domains)
-    now = _totals(table, width, 0.0, np.zeros((0, width)))
+    width, least = len(model.domains), 1.0 if budget is None else 0.0
+    now = _totals(table, width, 0.0, np.zeros((0, width)), least)
     if now.sum() <= 0:
-        return Mix(model, now, 0.0, np.zeros((0, width)))
+        return Mix(model, now, 0.0, np.zeros((0, width)), least)
     if weights is None:
         wanted = (now / now.sum()) ** TEMPERATURE
     else:
@@ -241,8 +245,8 @@ def fit_mix(table: DataFrame, model: DomainModel, weights: Mapping[str, float] |
         if np.abs(gap).max() <= TOLERANCE:
             break
         gaps = np.vstack([gaps, gap])
-        total = _totals(table, width, step, gaps)
-    return Mix(model, targets, step, gaps)
+        total = _totals(table, width, step, gaps, least)
+    return Mix(model, targets, step, gaps, least)
 
 
 def copies_of(rate: Column, doc_id: Column) -> Column:
