@@ -9,12 +9,18 @@ lines, which finds notices that name one.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-COPYRIGHT_LINE = (r"(?im)^[ \t#*/;-]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$")
-COPYRIGHT_HINT = r"(?i)copyright|\(c\)|©|all rights reserved"
+from zonepulse.llm.syncmers import let
+
+# Marks of comments before a copyright line, and its beginnings, in lower case.
+COMMENT_MARKS = " \t#*/;-"
+COPYRIGHT_STARTS = ["copyright", "(c)", "©", "all rights reserved"]
 
 # Spellings that count as equal, in lower case, as a licence list matches them; fixed values.
 EQUIVALENT = [
@@ -130,21 +136,27 @@ def known_texts() -> list[tuple[str, str]]:
     return [*FULL_TEXTS, *notices, *tags]
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form of a text; empty for a null one."""
-    plain = F.coalesce(text, F.lit(""))
-    plain = F.when(plain.rlike(COPYRIGHT_HINT),
-                   F.regexp_replace(plain, COPYRIGHT_LINE, "")).otherwise(plain)
-    plain = F.lower(plain)
+def canonical_lines(text: Column) -> Column:
+    """The canonical form of every line that has one, in order.
+
+    Their concatenation with blanks is that of the text, for a line's end is white space.
+    """
+    plain = F.lower(F.coalesce(text, F.lit("")))
     for spelling, one in EQUIVALENT:
         plain = F.replace(plain, F.lit(spelling), F.lit(one))
-    return F.trim(F.regexp_replace(plain, r"[^\p{L}\p{N}]+", " "))
 
+    def kept(line: Column) -> Column:
+        start = F.ltrim(line, F.lit(COMMENT_MARKS))
+        return ~reduce(or_, [start.startswith(s) for s in COPYRIGHT_STARTS])
 
-def digest(text: Column) -> Column:
-    """SHA-256 of the canonical form; null where nothing is left of it."""
-    form = canonical(text)
-    return F.when(form != "", F.sha2(form, 256))
+    forms = F.transform(F.filter(F.split(plain, "\n"), kept), lambda line: F.trim(
+        F.regexp_replace(line, r"[^\p{L}\p{N}]+", " ")))
+    return F.filter(forms, lambda form: form != "")
+
+
+def digest(lines: Column) -> Column:
+    """SHA-256 of the canonical form of a text, from its lines'; null if there are none."""
+    return F.when(F.size(lines) > 0, F.sha2(F.array_join(lines, " "), 256))
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
@@ -152,7 +164,7 @@ def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = Non
     schema = T.StructType([T.StructField("licence", T.StringType()),
                            T.StructField("text", T.StringType())])
     rows = spark.createDataFrame(known if known is not None else known_texts(), schema)
-    return (rows.select(digest(F.col("text")).alias("digest"), "licence")
+    return (rows.select(digest(canonical_lines(F.col("text"))).alias("digest"), "licence")
             .filter(F.col("digest").isNotNull())
             .groupBy("digest").agg(F.min("licence").alias("licence")))
 
@@ -165,20 +177,32 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     of ``digest, licence``.  Null and empty texts have no digest and no notices; rows are kept one
     by one, repeated ones and null ids too; other columns are not looked at.
     """
-    known = known if known is not None else known_digests(docs.sparkSession)
+    if known is None:
+        # The built-in table is a constant of this module, of less than a megabyte.
+        known = F.broadcast(known_digests(docs.sparkSession))
     text = docs["text"].cast("string")
-    keys = [docs["doc_id"], F.xxhash64(text).alias("_text")]
-    whole = docs.select(*keys, digest(text).alias("digest")).join(known, "digest", "left")
-    lines = (docs.select(*keys, F.explode(F.array_distinct(F.split(text, "\n"))).alias("line"))
-             .select("doc_id", "_text", digest(F.col("line")).alias("digest"))
-             .filter(F.col("digest").isNotNull()).join(known, "digest")
-             .groupBy("doc_id", "_text").agg(F.array_join(F.sort_array(F.collect_set("licence")), ",")
-                                             .alias("notices"))
-             .withColumnsRenamed({"doc_id": "_id", "_text": "_of"}))
-    both = whole.join(lines, F.col("doc_id").eqNullSafe(F.col("_id"))
-                      & (F.col("_text") == F.col("_of")), "left")
-    return both.select("doc_id", F.col("digest").alias("canonical_sha256"), "licence",
-                       F.coalesce("notices", F.lit("")).alias("notices"))
+
+    def units(lines: Column) -> Column:
+        whole = F.array(F.struct(F.lit(True).alias("whole"), digest(lines).alias("digest")))
+        single = F.transform(F.array_distinct(lines), lambda line: F.struct(
+            F.lit(False).alias("whole"), F.sha2(line, 256).alias("digest")))
+        return F.concat(whole, single)
+
+    found = (
+        docs.select("doc_id", F.xxhash64(text).alias("_text"),
+                    F.explode(let(canonical_lines(text), units)).alias("u"))
+        .select("doc_id", "_text", "u.whole", "u.digest").join(known, "digest", "left")
+        .filter(F.col("whole") | F.col("licence").isNotNull()))
+    by_text = found.groupBy("doc_id", "_text").agg(
+        F.count_if("whole").alias("times"),
+        F.max(F.when(F.col("whole"), F.col("digest"))).alias("canonical_sha256"),
+        F.max(F.when(F.col("whole"), F.col("licence"))).alias("licence"),
+        F.array_join(F.sort_array(F.collect_set(F.when(~F.col("whole"), F.col("licence")))), ",")
+        .alias("notices"))
+    # Rows that repeat an id and its text come out as often as they went in.
+    return by_text.select(
+        "doc_id", "canonical_sha256", "licence", "notices",
+        F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int"))).alias("_copy")).drop("_copy")
 
 
 def oracle_sql() -> str:
@@ -187,10 +211,12 @@ def oracle_sql() -> str:
         return "'" + s.replace("'", "''") + "'"
 
     def form(column: str) -> str:
-        sql = f"regexp_replace({column}, {quoted(COPYRIGHT_LINE)}, '', 'g')"
-        sql = f"lower(CASE WHEN regexp_matches({column}, {quoted(COPYRIGHT_HINT)}) THEN {sql} ELSE {column} END)"
+        sql = f"lower({column})"
         for spelling, one in EQUIVALENT:
             sql = f"replace({sql}, {quoted(spelling)}, {quoted(one)})"
+        starts = "|".join(s.replace("(", "\\(").replace(")", "\\)") for s in COPYRIGHT_STARTS)
+        line = f"(?m)^[{COMMENT_MARKS}]*(?:{starts})[^\n]*$"
+        sql = f"regexp_replace({sql}, {quoted(line)}, '', 'g')"
         sql = f"trim(regexp_replace({sql}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
         return f"nullif({sql}, '')"
 
