@@ -4,9 +4,10 @@ Vectors are dealt out to lists by the nearest of some centroids.  In its list a
 the signs of its rotated, unit-length difference from the centroid, packed into bits, with two
 scalars: the length of the difference and the inner product of the unit vector with its code.  From
 these a query's inner product with every vector of a list is estimated, with a bound on the error
-that holds with high probability.  Vectors whose upper bound reaches the k-th best lower bound are
-compared exactly, in double precision.  The estimator and its bound are those of RaBitQ (Gao and
-Long, 2024).
+that holds with high probability.  The lists nearest to a query give it a first k-th best score;
+all other lists are then scanned too, but for those that cannot reach that score, and only vectors
+whose upper bound reaches it are compared exactly, in double precision.  The estimator and its bound
+are those of RaBitQ (Gao and Long, 2024).
 """
 
 from __future__ import annotations
@@ -27,22 +28,24 @@ NEIGHBOURS = 20
 # Vectors that the centroids are fitted on at most, and rows that a list holds on average.
 FIT_ROWS = 20_000
 LIST_ROWS = 512
-MAX_LISTS = 4096
-# Lists a query looks into, and rows of a list in one piece.
-PROBES = 32
-PIECE_ROWS = 1024
+MAX_LISTS = 256
+# Lists that give a query its first k-th best score.
+FIRST_LISTS = 2
+# Vectors and queries that meet in one group at most.
+PIECE_ROWS, BLOCK_QUERIES = 8192, 16_384
 # Parts in which the candidates of a query are thinned before they meet.
 PARTS = 32
-# Standard errors in the bound; each estimate falls outside with a chance below 2 exp(-e**2 / 2).
-ERROR_WIDTH = 4.0
+# Standard errors in the bounds of an estimate and of a whole list.
+ERROR_WIDTH, LIST_WIDTH = 3.0, 5.0
 SEED = 20
 
 
 @dataclass(frozen=True)
 class Lists:
-    """Centroids and, per list, the number of pieces its rows are dealt to."""
+    """Centroids and, per list, the pieces its rows are dealt to and the greatest distance."""
     centroids: np.ndarray
     pieces: np.ndarray
+    radius: np.ndarray
 
     @property
     def dim(self) -> int:
@@ -137,31 +140,38 @@ def estimate(queries: np.ndarray, centroid: np.ndarray, turn: np.ndarray, codes:
     return value, ERROR_WIDTH * norm[:, None] * (length * spread) + 1e-4 * norm[:, None] * length
 
 
-def best_of_piece(q_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray,
-                  centroid: np.ndarray, turn: np.ndarray, k: int
+def best_of_piece(q_ids: np.ndarray, queries: np.ndarray, reach: np.ndarray, ids: np.ndarray,
+                  vectors: np.ndarray, centroid: np.ndarray, turn: np.ndarray, k: int
                   ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each query's best ``k`` in a piece as ``(query row, vector row, score)``, ties to smaller ids.
 
-    Vectors are given in ascending order of ids.
+    ``reach`` is the score per query that a result must reach.  Vectors are given in ascending
+    order of ids.
     """
     codes, length, fit = encode(vectors, centroid, turn)
     out_q, out_v, out_s = [], [], []
-    for start in range(0, len(queries), 1024):
-        block, block_ids = queries[start:start + 1024], q_ids[start:start + 1024]
+    for start in range(0, len(queries), 512):
+        block, block_ids = queries[start:start + 512], q_ids[start:start + 512]
         value, width = estimate(block, centroid, turn, codes, length, fit)
-        own = ids[None, :] == block_ids[:, None]
-        lower = np.where(own, -np.inf, value - width)
-        if len(ids) > k:
-            floor = np.partition(lower, len(ids) - k, axis=1)[:, len(ids) - k]
-        else:
-            floor = np.full(len(block), -np.inf)
-        rows, columns = np.nonzero((value + width >= floor[:, None]) & ~own)
+        own = np.searchsorted(ids, block_ids)
+        hit = np.flatnonzero((own < len(ids)) & (ids[np.minimum(own, len(ids) - 1)] == block_ids))
+        upper = value + width
+        upper[hit, own[hit]] = -np.inf
+        floor = reach[start:start + 512].copy()
+        if len(ids) > 4 * k:
+            # The exact k-th best of the vectors with the best estimates bounds the piece's own.
+            top = np.argpartition(-upper, 2 * k, axis=1)[:, :2 * k]
+            exact = np.einsum("id,ijd->ij", block, vectors[top])
+            exact[np.take_along_axis(upper, top, axis=1) == -np.inf] = -np.inf
+            floor = np.maximum(floor, np.partition(exact, k, axis=1)[:, k])
+        rows, columns = np.nonzero((upper >= floor[:, None]) & (upper > -np.inf))
         score = np.einsum("ij,ij->i", block[rows], vectors[columns])
+        enough = score >= floor[rows]
+        rows, columns, score = rows[enough], columns[enough], score[enough]
         order = np.lexsort((columns, -score, rows))
         rows, columns, score = rows[order], columns[order], score[order]
         first = np.searchsorted(rows, np.arange(len(block)))
-        place = np.arange(len(rows)) - first[rows]
-        kept = place < k
+        kept = np.arange(len(rows)) - first[rows] < k
         out_q.append(rows[kept] + start)
         out_v.append(columns[kept])
         out_s.append(score[kept])
@@ -173,38 +183,51 @@ def _fields(rows: DataFrame) -> str:
 
 
 def _assigned(rows: DataFrame, centroids: np.ndarray) -> DataFrame:
-    """``id, v, list`` with the nearest centroid of every vector."""
+    """``id, v, list, distance``: the nearest centroid of every vector and how far it is."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                yield pdf.assign(list=_nearest(_matrix(pdf["v"]), centroids).astype("int32"))
+                points = _matrix(pdf["v"])
+                nearest = _nearest(points, centroids)
+                gap = np.sqrt(((points - centroids[nearest]) ** 2).sum(axis=1))
+                yield pdf.assign(list=nearest.astype("int32"), distance=gap)
 
-    return rows.mapInPandas(run, f"{_fields(rows)}, list int")
+    return rows.mapInPandas(run, f"{_fields(rows)}, list int, distance double")
 
 
-def _probing(queries: DataFrame, lists: Lists, probes: int) -> DataFrame:
-    """A row per query, list and piece it looks into: the lists with the largest inner products."""
+def _probing(queries: DataFrame, lists: Lists, first: bool, blocks: int) -> DataFrame:
+    """A row per query, list, piece and block: either the first lists of a query, those with the
+    largest inner products, or all others that may reach its score ``reach``."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = min(probes, len(lists.centroids))
+        n = min(FIRST_LISTS, len(lists.centroids))
         for pdf in batches:
             if not len(pdf):
                 continue
-            score = _matrix(pdf["v"]) @ lists.centroids.T
-            top = np.argpartition(-score, n - 1, axis=1)[:, :n]
-            row = np.repeat(np.arange(len(pdf)), n)
-            chosen = top.ravel()
+            points = _matrix(pdf["v"])
+            score = points @ lists.centroids.T
+            wanted = np.zeros(score.shape, bool)
+            np.put_along_axis(wanted, np.argpartition(-score, n - 1, axis=1)[:, :n], True, axis=1)
+            if not first:
+                norm = np.sqrt((points ** 2).sum(axis=1))[:, None]
+                share = min(1.0, LIST_WIDTH / math.sqrt(lists.dim))
+                upper = score + norm * lists.radius * share
+                wanted = ~wanted & (upper >= pdf["reach"].to_numpy()[:, None])
+            row, chosen = np.nonzero(wanted)
             times = lists.pieces[chosen]
             piece = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
             row, chosen = np.repeat(row, times), np.repeat(chosen, times)
             yield pd.DataFrame({"id": pdf["id"].to_numpy()[row], "v": pdf["v"].to_numpy()[row],
+                                "reach": pdf["reach"].to_numpy()[row],
                                 "list": chosen.astype("int32"), "piece": piece.astype("int32")})
 
-    return queries.mapInPandas(run, f"{_fields(queries)}, list int, piece int")
+    asked = queries.mapInPandas(
+        run, f"{_fields(queries)}, reach double, list int, piece int")
+    return asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
 
 
 def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id",
-           vector_col: str = "embedding", k: int = NEIGHBOURS, probes: int = PROBES,
-           fit_rows: int = FIT_ROWS, list_rows: int = LIST_ROWS) -> DataFrame:
+           vector_col: str = "embedding", k: int = NEIGHBOURS, fit_rows: int = FIT_ROWS,
+           list_rows: int = LIST_ROWS) -> DataFrame:
     """Each query's ``k`` nearest by inner product: ``query_id, rank, vec_id, score``.
 
     ``is_query`` is a condition on ``id``.  Null and zero vectors and those with null or non-finite
@@ -213,41 +236,55 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id",
     gives no rows, other columns are not looked at.  Vectors must have one length.
 
     All vectors are indexed; centroids alone come from a bounded sample.  A large list is dealt to
-    pieces by a hash of the id, and its queries are sent to each, so no group grows with a list.
+    pieces and many queries to blocks, so no group grows with the table.
     """
     kind = vectors.schema[id_col].dataType
     # Of vectors with one id the least counts.
     rows = written(usable(vectors, id_col, vector_col).groupBy("id").agg(F.min("v").alias("v")),
                    "usable")
     head = rows.select(F.size("v").alias("n")).first()
-    schema = f"query_id {kind.simpleString()}, vec_id {kind.simpleString()}, score double, part int"
+    schema = (f"query_id {kind.simpleString()}, vec_id {kind.simpleString()}, score double, "
+              "part int")
     if head is None:
         return rows.sparkSession.createDataFrame([], f"query_id {kind.simpleString()}, rank int, "
                                                  f"vec_id {kind.simpleString()}, score double")
-    dim = head.n
-    centroids = fit_centroids(rows, dim, fit_rows, list_rows)
+    centroids = fit_centroids(rows, head.n, fit_rows, list_rows)
     placed = written(_assigned(rows, centroids), "vectors")
-    sizes = {r["list"]: r["count"] for r in placed.groupBy("list").count().collect()}
-    lists = Lists(centroids, np.array([max(1, -(-sizes.get(i, 0) // PIECE_ROWS))
-                                       for i in range(len(centroids))]))
-    pieces = F.element_at(F.array(*[F.lit(int(p)) for p in lists.pieces]), F.col("list") + 1)
-    held = placed.withColumn("piece", F.pmod(F.xxhash64("id"), pieces).cast("int"))
-    asked = _probing(placed.filter(is_query).select("id", "v"), lists, probes)
-    turn = rotation(dim)
-
-    def solve(key, queries: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(own):
+    sizes = {r["list"]: r for r in placed.groupBy("list").agg(
+        F.count(F.lit(1)).alias("n"), F.max("distance").alias("radius")).collect()}
+    lists = Lists(
+        centroids,
+        np.array([-(-sizes[i].n // PIECE_ROWS) if i in sizes else 0 for i in range(len(centroids))]),
+        np.array([sizes[i].radius if i in sizes else 0.0 for i in range(len(centroids))]))
+    queries = placed.filter(is_query).select("id", "v")
+    blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
+    pieces = F.element_at(F.array(*[F.lit(max(1, int(p))) for p in lists.pieces]), F.col("list") + 1)
+    held = placed.select(
+        "id", "v", "list", F.pmod(F.xxhash64("id"), pieces).cast("int").alias("piece"),
+        F.explode(F.array(*[F.lit(b) for b in range(blocks)])).alias("block"))
+    turn = rotation(head.n)
+
+    def solve(key, asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        if not len(asked) or not len(own):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "part": []})
         own = own.sort_values("id")
-        ids, q_ids = own["id"].to_numpy(), queries["id"].to_numpy()
-        q, v, s = best_of_piece(q_ids, _matrix(queries["v"]), ids,
+        ids, q_ids = own["id"].to_numpy(), asked["id"].to_numpy()
+        q, v, s = best_of_piece(q_ids, _matrix(asked["v"]), asked["reach"].to_numpy(), ids,
                                 _matrix(own["v"]), lists.centroids[key[0]], turn, k)
         return pd.DataFrame({"query_id": q_ids[q], "vec_id": ids[v], "score": s,
-                             "part": key[1] % PARTS})
-
-    found = (asked.groupBy("list", "piece").cogroup(held.groupBy("list", "piece"))
-             .applyInPandas(solve, schema))
-    return best(found, k)
+                             "part": key[0] % PARTS})
+
+    def found_in(asked: DataFrame) -> DataFrame:
+        by = ("list", "piece", "block")
+        return asked.groupBy(*by).cogroup(held.groupBy(*by)).applyInPandas(solve, schema)
+
+    unbounded = queries.withColumn("reach", F.lit(-math.inf))
+    first = written(found_in(_probing(unbounded, lists, True, blocks)), "first-lists")
+    reach = best(first, k).filter(F.col("rank") == k).select(
+        F.col("query_id").alias("id"), F.col("score").alias("reach"))
+    bounded = queries.join(reach, "id", "left").select(
+        "id", "v", F.coalesce("reach", F.lit(-math.inf)).alias("reach"))
+    return best(first.unionByName(found_in(_probing(bounded, lists, False, blocks))), k)
 
 
 def best(found: DataFrame, k: int) -> DataFrame:
