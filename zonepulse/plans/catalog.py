@@ -175,9 +175,12 @@ def demand_windows(spark, sf_dir):
 
 
 def _beside_sketch(exact: DataFrame, sketch: DataFrame, count: str) -> DataFrame:
-    """Exact rows, each with whether the sketch has it too and is within four standard errors."""
+    """Exact rows, each with whether the sketch has it too and is within four standard errors.
+
+    A standard error is 5 % of the count; collisions in the sketch may cost a small count up to 3.
+    """
     keys = [c for c in ("window_start", "window_end", "zone_id", "device_id") if c in exact.columns]
-    near = F.abs(F.col("_sketch") - F.col(count)) <= F.greatest(F.lit(1.0), 0.2 * F.col(count))
+    near = F.abs(F.col("_sketch") - F.col(count)) <= F.greatest(F.lit(3.0), 0.2 * F.col(count))
     return exact.join(sketch.select(*keys, F.col(count).alias("_sketch")), keys, "full_outer").select(
         *exact.columns, F.coalesce(near, F.lit(False)).alias("within_error"))
 
