@@ -125,3 +125,19 @@ def test_awkward_rows(spark, empty):
     assert by[1][0].n_bytes == by[2][0].n_bytes == by[5][0].n_removed == 0
     assert bytes(by[4][0].kept).startswith(b"tail")
     assert E.without_repeats(empty).count() == 0
+
+
+@pytest.mark.parametrize("frequent", [50, 1])
+def test_rows_that_repeat_id_and_text_are_one_text(spark, monkeypatch, frequent):
+    monkeypatch.setattr(E, "FREQUENT_RUNS", frequent)
+    one, two = (" ".join(f"{w}{i * i}" for i in range(60)) for w in "ab")
+    mixed = one[:150] + two[150:]
+    rows = [(1, one), (1, one), (2, two), (None, "null " + mixed), (None, "null " + mixed), (1, one)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {}
+    for r in E.without_repeats(df).collect():
+        found.setdefault(r.doc_id, []).append((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256))
+    want = dict(zip([None, 1, 2], slow(["null " + mixed, one, two]), strict=True))
+    assert want[None][1] == 0 and 0 < want[1][1] < len(one)
+    assert {d: len(f) for d, f in found.items()} == {None: 2, 1: 3, 2: 1}
+    assert all(set(f) == {want[d]} for d, f in found.items())

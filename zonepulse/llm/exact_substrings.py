@@ -510,20 +510,26 @@ def _one_by_one(runs: DataFrame) -> DataFrame:
     return again.unionByName(single)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``doc, tie, text``: the id, and a hash of the text where ids are not unique."""
+def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``doc, tie, text``: the id, and a hash of the text where ids are not unique.
+
+    Once for every row, and once with one row per ``doc, tie``.
+    """
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     doubled = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter(
         (F.col("n") > 1) | F.col("doc_id").isNull()).limit(1).count()
     tie = F.xxhash64(text) if doubled else F.lit(0).cast("long")
-    return docs.select(F.col("doc_id").cast("long").alias("doc"), tie.alias("tie"),
-                       text.alias("text"))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc"), tie.alias("tie"),
+                        text.alias("text"))
+    # Texts are written once more only where some id repeats.
+    return keyed, written(keyed.dropDuplicates(["doc", "tie"]), "texts") if doubled else keyed
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """``doc, tie, first, last``: runs of starts of strings that also start earlier.
 
-    ``docs`` has ``doc, tie, text`` as ``_keyed`` gives them.
+    ``docs`` has ``doc, tie, text`` as ``_keyed`` gives them, one row per ``doc, tie``: of two equal
+    rows the second would be a repeat of the first, and the spans hold for both.
     """
     found = written(_settled(_runs(docs, _frequent(docs))), "runs")
     whole = found.filter("repeat").select(
@@ -561,8 +567,8 @@ def without_repeats(docs: DataFrame, with_bytes: bool = True) -> DataFrame:
     for another, and each gets the same result.  Null texts count as empty, texts under 100 bytes
     lose nothing, an empty table gives no rows, other columns are not looked at.
     """
-    keyed = _keyed(docs)
-    spans = repeated_spans(keyed).groupBy("doc", "tie").agg(
+    keyed, once = _keyed(docs)
+    spans = repeated_spans(once).groupBy("doc", "tie").agg(
         F.collect_list(F.struct("first", "last")).alias("spans"))
     both = keyed.join(
         spans.withColumnsRenamed({"doc": "_doc", "tie": "_tie"}),
