@@ -6,7 +6,7 @@ import pytest
 
 import corpus_pipeline
 from tests.llm.test_simhash import groups, slow_fingerprint
-from zonepulse.llm import byte_bpe, toxicity
+from zonepulse.llm import byte_bpe, simhash, toxicity
 from zonepulse.llm import mixing, pseudonyms
 from zonepulse.llm.queries import PSEUDONYM_KEY, QUERIES
 
@@ -52,3 +52,13 @@ def test_stages_keep_the_columns_and_take_awkward_rows(spark, sf_dir, documents,
     assert out.columns == documents.columns
     assert out.count() > 0
     assert corpus_pipeline.STAGES[k][1](spark, df.limit(0), sf_dir).count() == 0
+
+
+def test_an_empty_labels_table_rejects_no_document(spark, documents, labels, tmp_path):
+    some = documents.limit(40)
+    some.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.limit(0).write.parquet(str(tmp_path / "labels.parquet"))
+    kept = {r.doc_id for r in simhash.keep_first(spark.read.parquet(
+        str(tmp_path / "documents.parquet"))).select("doc_id").collect()}
+    got = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").collect()}
+    assert got == kept and len(got) > 30

@@ -94,3 +94,15 @@ def test_awkward_rows(spark, awkward, empty, corpus):
     flat = X.fit(awkward, none)
     assert {r.score for r in X.score_documents(awkward, flat).collect()} == {0.5}
     assert X.score_documents(empty, flat).count() == 0
+
+
+@pytest.mark.parametrize("toxic", [None, 0, 1])
+def test_without_labels_of_both_kinds_nothing_is_dropped(spark, awkward, toxic):
+    rows = [] if toxic is None else [(i, toxic) for i in range(12)]
+    model = X.fit(awkward, spark.createDataFrame(rows, "doc_id long, toxic int"))
+    assert X.drop_toxic(awkward, model).count() == awkward.count()
+
+
+def test_weights_without_a_fitted_score_drop_nothing(awkward):
+    model = X.ToxicityModel({"word": 1.0}, 1.0, 1.0, 0.0, 0.0)
+    assert X.drop_toxic(awkward, model).count() == awkward.count()

@@ -77,6 +77,11 @@ class ToxicityModel:
             best = max(best, -log_chance)
         return best
 
+    @property
+    def tells(self) -> bool:
+        """Whether scores differ between texts at all."""
+        return bool(self.weights) and self.slope > 0
+
     def probability(self, evidence: float) -> float:
         return 1.0 / (1.0 + math.exp(-(self.intercept + self.slope * evidence)))
 
@@ -237,7 +242,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float,
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> ToxicityModel:
     """Fit on about ``rows`` labelled documents at most, none of them held out.
 
-    Without labels of both kinds no word has a weight and every text gets the same score.
+    Without labels of both kinds no word has a weight and every text gets the same score;
+    ``drop_toxic`` then keeps all rows.
     """
     allowed = ~held_out(F.col("doc_id"), FOLDS, HELD_OUT)
     sample = written(labelled_sample(docs, labels, "toxic", allowed, rows), "toxic-sample")
@@ -330,7 +336,14 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
-    """Rows of ``docs`` that score below the threshold, all columns as they were."""
+    """Rows of ``docs`` that score below the threshold, all columns as they were.
+
+    A model that gives every text the same score, as one fitted without usable labels of both kinds
+    does, rejects nothing: all rows stay.
+    """
+    if not model.tells:
+        return docs
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(model.weights)
         for batch in batches:
