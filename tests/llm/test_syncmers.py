@@ -88,3 +88,12 @@ def test_no_python_on_the_main_path(documents, capsys):
 def test_likeness(spark, a, b, want):
     df = spark.createDataFrame([(a, b)], "a array<int>, b array<int>")
     assert df.select(syncmers.likeness(F.col("a"), F.col("b")).alias("x")).first().x == want
+
+
+def test_texts_of_four_words_have_fingerprints_of_their_own(spark):
+    rows = [(i, f"one{i} two{i * 3} three{i * 7} four{i * 11}") for i in range(60)]
+    rows += [(60 + i, f"{i:02d}" * 30) for i in range(20)]       # one long word, cut into four
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [r.fingerprint for r in syncmers.fingerprints(df).collect()]
+    assert "" not in found and len(set(found)) == len(rows)
+    assert all(r.near_next == 0 for r in syncmers.edited_pairs(df).collect())

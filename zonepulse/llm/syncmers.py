@@ -38,7 +38,8 @@ def words_of(text: Column) -> Column:
 def anchors(text: Column) -> Column:
     """``array<struct<pos: int, hash: long>>``: the closed syncmers of a text by word position.
 
-    A text of one to three words has one anchor, all of it; one without words has none.
+    A text of words without any closed syncmer (all of one to three words, some of four) has one
+    anchor, all of it; one without words has none.
     """
     inner = RUN_WORDS - INNER_WORDS + 1
     # Inner pairs that cover all words of a run, to hash the run from.
@@ -59,8 +60,8 @@ def anchors(text: Column) -> Column:
                            lambda a, b: F.xxhash64(a, b))
         whole = F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64(words).alias("hash")))
         none = F.array().cast("array<struct<pos:int,hash:bigint>>")
-        return (F.when(n >= RUN_WORDS, let(pairs, closed))
-                .when(n > 0, whole).otherwise(none))
+        some = let(let(pairs, closed), lambda a: F.when(F.size(a) > 0, a).otherwise(whole))
+        return F.when(n >= RUN_WORDS, some).when(n > 0, whole).otherwise(none)
 
     return let(words_of(text), of)
 
