@@ -77,3 +77,32 @@ def test_awkward_rows(spark, awkward, empty, corpus):
     assert {r.domain for r in M.document_rates(with_domain, none).collect()} == {"all"}
     assert M.document_rates(empty, none).count() == 0
     assert M.mixed(empty, labels).count() == 0
+
+
+@pytest.mark.parametrize("shares", [(0.9, 0.08, 0.015, 0.005), (0.7, 0.2, 0.09, 0.01)])
+@pytest.mark.parametrize("sharp", [1.0, 0.98])
+def test_small_domains_beside_a_hot_one_reach_their_targets(spark, shares, sharp):
+    rows, d = [], len(shares)
+    for k, share in enumerate(shares):
+        p = [sharp if j == k else (1 - sharp) / (d - 1) for j in range(d)]
+        rows += [(len(rows) + i, 10 + i % 7, p) for i in range(int(2000 * share))]
+    table = spark.createDataFrame(rows, "doc_id long, n_tokens long, p array<double>")
+    model = M.DomainModel(tuple("abcd"), np.zeros(d), np.zeros((1, d)))
+    weights = {"a": 0.6, "b": 0.2, "c": 0.12, "d": 0.08}
+    total = float(sum(r[1] for r in rows))
+    for mix in (M.fit_mix(table, model, weights, total), M.fit_mix(table, model)):
+        p, n = np.array([r[2] for r in rows]), np.array([r[1] for r in rows])
+        found = (n * mix.rates(p)) @ p
+        assert np.allclose((mix.targets - found) / total, mix.residual, atol=1e-9)
+        if mix.least == 0.0 or sharp == 1.0:
+            assert (np.abs(found / mix.targets - 1) <= 0.015).all()
+
+
+def test_targets_out_of_reach_are_reported(spark, caplog):
+    rows = [(i, 10, [0.5, 0.5]) for i in range(20)]
+    table = spark.createDataFrame(rows, "doc_id long, n_tokens long, p array<double>")
+    model = M.DomainModel(("a", "b"), np.zeros(2), np.zeros((1, 2)))
+    mix = M.fit_mix(table, model, {"a": 0.9, "b": 0.1}, 200.0)
+    assert np.allclose(mix.residual, [0.4, -0.4], atol=1e-3)
+    assert "mix misses its targets" in caplog.text
+    assert np.allclose(mix.rates(np.array([[0.5, 0.5]])), 1.0, atol=1e-3)

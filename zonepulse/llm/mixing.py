@@ -2,14 +2,15 @@
 
 A classifier fitted on the labelled table predicts for every document the probability that it
 belongs to each domain.  Each document then gets a rate, how many times it should be seen, such
-that the expected tokens per domain match the targets: nonnegative least squares by projected
-gradient steps.  A step moves a document's rate by its posteriors' inner product with the domains'
-gaps, so that a rate follows from the posteriors and the few gaps so far; documents stay where they
-are, and each round sums up one number per domain.
+that the expected tokens per domain match the targets: nonnegative least squares with a ridge that
+holds rates near one copy.  At its solution a rate is one plus the posteriors' inner product with
+one number per domain, or the least rate allowed.  Newton's method finds these numbers: documents
+stay where they are, and each round sums up some numbers per pair of domains.
 """
 
 from __future__ import annotations
 
+import logging
 import re
 import zlib
 from collections import Counter
@@ -30,10 +31,15 @@ BUCKETS = 1 << 15
 SMOOTHING = 0.5
 # Target weights are the domains' shares to this power, unless given.
 TEMPERATURE = 0.5
-ROUNDS, TOLERANCE = 60, 1e-3
+# Gaps to reach, as shares of all tokens and of a domain's own target; and the ridges tried for it.
+TOLERANCE, OWN_TOLERANCE = 1e-3, 1e-2
+RIDGES = (1e-3, 1e-4, 1e-5, 1e-6)
+# Parts of a Newton step looked at in one round.
+PARTS = (1.0, 0.5, 0.25, 1 / 16, 1 / 256)
 MEMORY_WORDS = 500_000
 
 _WORD = re.compile(r"\w+")
+_LOG = logging.getLogger(__name__)
 
 
 class _Buckets(dict):
@@ -66,12 +72,14 @@ class DomainModel:
 
 @dataclass(frozen=True)
 class Mix:
-    """A fitted mix: the classifier, step size and the scaled gaps of every round."""
+    """A fitted mix: the classifier, step size, gaps to step along, and how far each domain's
+    expected tokens are from its target, as a share of all tokens."""
     model: DomainModel
     targets: np.ndarray
     step: float
     gaps: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     least: float = 0.0
+    residual: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     def rates(self, posteriors: np.ndarray) -> np.ndarray:
         return rates(posteriors, self.step, self.gaps, self.least)
@@ -180,38 +188,60 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def _totals(table: DataFrame, width: int, step: float, gaps: np.ndarray,
-            least: float) -> np.ndarray:
-    """Expected tokens per domain at the rates so far, summed over the cluster."""
+def _moments(table: DataFrame, points: np.ndarray, least: float) -> list[tuple]:
+    """``value, tokens, curvature`` at each point, summed over the cluster.
+
+    A point has a number per domain and rates ``max(least, 1 + p @ point)``.  Expected tokens are
+    the value's gradient by the point, the curvature is their derivative.
+    """
+    width = points.shape[1]
+    size = 1 + width + width * width
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(width)
+        total = np.zeros((len(points), size))
         for batch in batches:
-            p = _matrix(batch["p"], width)
-            total += (p * (batch["n_tokens"].to_numpy() * rates(p, step, gaps, least))[:, None]
-                      ).sum(axis=0)
+            p, n = _matrix(batch["p"], width), batch["n_tokens"].to_numpy().astype(float)
+            for k, point in enumerate(points):
+                z = p @ point
+                free = 1.0 + z >= least
+                value = np.where(free, z + z * z / 2, least * z - (1.0 - least) ** 2 / 2)
+                rate = np.maximum(least, 1.0 + z)
+                total[k, 0] += (n * value).sum()
+                total[k, 1:width + 1] += (n * rate) @ p
+                total[k, width + 1:] += ((p * (n * free)[:, None]).T @ p).ravel()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(range(width), pa.int32()), pa.array(total)], ["domain", "tokens"])
-
-    sums = (table.select("n_tokens", "p").mapInArrow(run, "domain int, tokens double")
-            .groupBy("domain").agg(F.sum("tokens").alias("tokens")).collect())
-    out = np.zeros(width)
-    for r in sums:
-        out[r.domain] = r.tokens
-    return out
-
-
-def _step(table: DataFrame, model: DomainModel, scale: float) -> float:
-    """The reciprocal of the greatest curvature, from the domains' summed products."""
-    d = len(model.domains)
-    products = [F.sum(F.col("n_tokens") * F.get("p", i) * F.get("p", j)) for i in range(d)
-                for j in range(i, d)]
-    values = iter(table.agg(*[p.alias(f"c{k}") for k, p in enumerate(products)]).first())
-    gram = np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            gram[i, j] = gram[j, i] = next(values) or 0.0
-    top = float(np.linalg.eigvalsh(gram).max()) / scale
-    return 1.0 / top if top > 0 else 0.0
+            [pa.array(range(total.size), pa.int32()), pa.array(total.ravel())], ["i", "x"])
+
+    out = np.zeros(len(points) * size)
+    for r in (table.select("n_tokens", "p").mapInArrow(run, "i int, x double")
+              .groupBy("i").agg(F.sum("x").alias("x")).collect()):
+        out[r.i] = r.x
+    return [(row[0], row[1:width + 1], row[width + 1:].reshape(width, width))
+            for row in out.reshape(len(points), size)]
+
+
+def _solved(table: DataFrame, targets: np.ndarray, scale: float, least: float, ridge: float,
+            allowed: np.ndarray, point: np.ndarray, at: tuple) -> tuple[np.ndarray, tuple]:
+    """The point where tokens and ridge add up to the targets, from a point and its moments.
+
+    The value less the targets' share is convex, so Newton steps that lower it lead there; the
+    rounds end when the rest is far below what is allowed, or no part of a step lowers it.
+    """
+    def height(x: np.ndarray, value: float) -> float:
+        return (value - targets @ x) / scale + ridge * (x @ x) / 2
+
+    while True:
+        slope = (at[1] - targets) / scale + ridge * point
+        if (np.abs(slope) <= allowed / scale / 10).all():
+            return point, at
+        step = np.linalg.solve(at[2] / scale + ridge * np.eye(len(point)), -slope)
+        points = np.array([point + part * step for part in PARTS])
+        found = _moments(table, points, least)
+        heights = [height(x, f[0]) for x, f in zip(points, found, strict=True)]
+        best = int(np.argmin(heights))
+        if not heights[best] < height(point, at[0]):
+            return point, at
+        point, at = points[best], found[best]
 
 
 def fit_mix(table: DataFrame, model: DomainModel, weights: Mapping[str, float] | None = None,
@@ -222,9 +252,15 @@ def fit_mix(table: DataFrame, model: DomainModel, weights: Mapping[str, float] |
     ``TEMPERATURE``, which lifts small domains.  ``budget`` is the wanted number of tokens, by
     default the least at which no domain has to shrink; rates are then at least 1, so that no
     document is left out, and else at least 0.
+
+    Of the ridges the greatest counts at which every gap is within the tolerances.  If there is
+    none, as soft posteriors cannot reach all targets, it is the greatest that is about as near as
+    the nearest, and the gaps left are logged; ``residual`` has them in any case.
     """
     width, least = len(model.domains), 1.0 if budget is None else 0.0
-    now = _totals(table, width, 0.0, np.zeros((0, width)), least)
+    point = np.zeros(width)
+    at = _moments(table, point[None], least)[0]
+    now = at[1]
     if now.sum() <= 0:
         return Mix(model, now, 0.0, np.zeros((0, width)), least)
     if weights is None:
@@ -237,16 +273,21 @@ def fit_mix(table: DataFrame, model: DomainModel, weights: Mapping[str, float] |
         budget = float((now[present] / wanted[present]).max())
     targets = budget * wanted
     scale = now.sum()
-    step = _step(table, model, scale)
-    gaps = np.zeros((0, width))
-    total = now
-    for _ in range(ROUNDS):
-        gap = (targets - total) / scale
-        if np.abs(gap).max() <= TOLERANCE:
+    allowed = np.clip(OWN_TOLERANCE * targets, OWN_TOLERANCE * TOLERANCE * scale, TOLERANCE * scale)
+    tried = []
+    for ridge in RIDGES:
+        point, at = _solved(table, targets, scale, least, ridge, allowed, point, at)
+        tried.append((float((np.abs(targets - at[1]) / allowed).max()), point, at[1]))
+        if tried[-1][0] <= 1:
             break
-        gaps = np.vstack([gaps, gap])
-        total = _totals(table, width, step, gaps, least)
-    return Mix(model, targets, step, gaps, least)
+    nearest = min(t[0] for t in tried)
+    excess, point, total = next(t for t in tried if t[0] <= max(1.0, 1.1 * nearest))
+    residual = (targets - total) / scale
+    if excess > 1:
+        _LOG.warning("mix misses its targets: %s", {
+            d: f"{t / scale:.4f} wanted, {r:+.4f} missing"
+            for d, t, r in zip(model.domains, targets, residual, strict=True)})
+    return Mix(model, targets, 1.0, point[None], least, residual)
 
 
 def copies_of(rate: Column, doc_id: Column) -> Column:
