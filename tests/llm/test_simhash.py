@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from zonepulse.llm import simhash
@@ -107,3 +108,17 @@ def test_components_of_a_chain_and_a_star(spark):
     df = spark.createDataFrame(links, "u long, v long")
     roots = {r.node: r.root for r in components(df).collect()}
     assert roots == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
+
+
+def test_a_repeated_id_costs_no_unique_text(spark):
+    """Rows of one id in different groups, in one group, and a copy under a greater id."""
+    a, b, c = ("alpha beta gamma delta epsilon zeta", "one two three four five six seven",
+               "north south east west up down left")
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "x"), (3, c, "y"), (3, c, "x"), (3, c, "x"), (4, c, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for shuffled in (df, df.repartition(5), df.orderBy(F.desc("doc_id"), "source")):
+        kept = sorted(tuple(r) for r in simhash.keep_first(shuffled).collect())
+        assert [r[:2] for r in kept] == [(1, a), (2, b), (3, c)]
+        assert simhash.keep_first(shuffled).columns == df.columns
+        first = kept if shuffled is df else first
+        assert kept == first

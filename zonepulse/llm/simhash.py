@@ -49,8 +49,8 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the SimHash of every whole text as a signed 64-bit ``fp``.
+def fingerprints(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, the ``carried`` columns and the SimHash of every whole text as a signed ``fp``.
 
     Null and empty texts have fingerprint zero; rows, null ids included, are kept as they are.
     """
@@ -58,10 +58,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         for batch in batches:
             found = np.array([fingerprint(t.as_py()) for t in batch["text"]], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(found.view(np.int64))], ["doc_id", "fp"])
+                [*[batch[c] for c in kept], pa.array(found.view(np.int64))], [*kept, "fp"])
 
-    return docs.select("doc_id", docs["text"].cast("string").alias("text")).mapInArrow(
-        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
+    kept = ["doc_id", *carried]
+    kinds = [f"{c} {docs.schema[c].dataType.simpleString()}" for c in kept]
+    return docs.select(*kept, docs["text"].cast("string").alias("text")).mapInArrow(
+        run, ", ".join([*kinds, "fp long"]))
 
 
 class BkTree:
@@ -213,23 +215,41 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, tree_size: int = TREE
     no other, an empty table gives no rows, and other columns are not looked at.
     """
     rows = written(fingerprints(docs), "simhash")
-    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    roots = components(links(distinct.select("fp"), radius, tree_size))
-    rooted = written(
-        distinct.join(roots, F.col("fp") == F.col("node"), "left")
-        .select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted")
+    rooted = _rooted(rows, radius, tree_size)
     least = written(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "least")
     named = written(rooted.join(least, "root").select("fp", "component_id"), "named")
     return rows.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _rooted(rows: DataFrame, radius: int, tree_size: int) -> DataFrame:
+    """Every fingerprint of ``rows`` with the least id that has it and its component's ``root``."""
+    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
+    roots = components(links(distinct.select("fp"), radius, tree_size))
+    return written(
+        distinct.join(roots, F.col("fp") == F.col("node"), "left")
+        .select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted")
+
+
 def keep_first(docs: DataFrame, radius: int = RADIUS, tree_size: int = TREE_SIZE) -> DataFrame:
-    """The documents that are the first of their group; all columns stay.
+    """One document of each group, the one with the least id; all columns stay.
 
-    Of rows that repeat an id one is kept.  Rows with a null id name no group and all stay.
+    An id may name several texts, and they may belong to different groups, so a row is known by its
+    id and a hash of all its columns: of a group's rows with the least id the one with the least
+    hashes (of the text, then of the row) stays, and a row that repeats it wholly does not.  Every
+    run keeps the same rows.  Rows with a null id name no group and all stay.  Columns of a map
+    type take no part in the hash.
     """
-    groups = near_duplicates(docs.select("doc_id", "text"), radius, tree_size)
-    firsts = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter(F.col("doc_id").isNull()))
+    hashable = [c for c, kind in docs.dtypes if "map<" not in kind]
+    marked = docs.withColumns({"_text_hash": F.xxhash64("text"), "_row_hash": F.xxhash64(*hashable)})
+    rows = written(fingerprints(marked, ("_text_hash", "_row_hash")).filter(
+        F.col("doc_id").isNotNull()), "simhash")
+    order = F.struct("doc_id", "_text_hash", "_row_hash")
+    rooted = _rooted(rows, radius, tree_size)
+    firsts = (rows.groupBy("fp").agg(F.min(order).alias("first")).join(rooted, "fp")
+              .groupBy("root").agg(F.min("first").alias("first"))
+              .select("first.doc_id", "first._row_hash"))
+    key = ["doc_id", "_row_hash"]
+    named = marked.join(firsts, key, "left_semi").dropDuplicates(key)
+    return named.unionByName(marked.filter(F.col("doc_id").isNull())).drop(
+        "_text_hash", "_row_hash")
