@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm import byte_bpe, exact_substrings, filter_audit, licences, mixing, one_bit_search, pseudonyms, quality, simhash, syncmers, toxicity
+from zonepulse.llm import byte_bpe, exact_substrings, filter_audit, licences, merkle, mixing, one_bit_search, pseudonyms, quality, simhash, syncmers, toxicity
 from zonepulse.llm.tables import read
 
 
@@ -57,13 +57,19 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         read(spark, sf_dir, "documents"), with_bytes=False).drop("kept")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.check_tampered(read(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 QUERIES = {f.__name__: f for f in (op1_syncmer_fingerprints, op2_feistel_pseudonyms, op3_one_bit_codes, op4_byte_bpe, op5_soft_mixing, op6_simhash_bk_tree, op7_toxic_passages, op8_quality_rules,
-                                     op9_licence_digests, op10_suffix_array_dedup, op13_filter_audit)}
+                                     op9_licence_digests, op10_suffix_array_dedup, op12_merkle_manifest,
+                                     op13_filter_audit)}
 ORACLE_SQL: dict[str, str] = {
     "op9_licence_digests": licences.oracle_sql(),
+    "op12_merkle_manifest": merkle.oracle_sql(),
     "op13_filter_audit": filter_audit.oracle_sql(),
 }
