@@ -14,7 +14,7 @@ from zonepulse.llm.queries import PSEUDONYM_KEY, QUERIES
 def test_stages():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "simhash", "pseudonyms", "mixing", "byte_bpe"]
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_run_against_a_plain_version(spark, sf_dir, documents, labels):

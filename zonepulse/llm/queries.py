@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm import byte_bpe, exact_substrings, filter_audit, licences, merkle, mixing, one_bit_search, pseudonyms, quality, simhash, syncmers, toxicity
+from zonepulse.llm import byte_bpe, exact_substrings, filter_audit, licences, merkle, mixing, one_bit_search, packing, pseudonyms, quality, simhash, syncmers, toxicity
 from zonepulse.llm.tables import read
 
 
@@ -57,6 +57,10 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         read(spark, sf_dir, "documents"), with_bytes=False).drop("kept")
 
 
+def op11_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.check_tampered(read(spark, sf_dir, "documents"))
 
@@ -66,7 +70,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_syncmer_fingerprints, op2_feistel_pseudonyms, op3_one_bit_codes, op4_byte_bpe, op5_soft_mixing, op6_simhash_bk_tree, op7_toxic_passages, op8_quality_rules,
-                                     op9_licence_digests, op10_suffix_array_dedup, op12_merkle_manifest,
+                                     op9_licence_digests, op10_suffix_array_dedup, op11_best_two_fit, op12_merkle_manifest,
                                      op13_filter_audit)}
 ORACLE_SQL: dict[str, str] = {
     "op9_licence_digests": licences.oracle_sql(),
