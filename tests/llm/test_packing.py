@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -16,11 +17,12 @@ from zonepulse.llm import packing
 from zonepulse.llm.queries import QUERIES
 
 
-@pytest.fixture(scope="module")
-def library():
-    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
-    return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+_TOKENIZER = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+_TOKENIZER.encode_special_tokens = True
+
+
+def library_ids(text):
+    return [*_TOKENIZER.encode(text or "", add_special_tokens=False).ids, 0]
 
 
 def one_by_one(lengths, capacity):
@@ -83,19 +85,32 @@ def test_lengths_out_of_range_are_refused():
     assert packing.best_two_fit({}, 10) == []
 
 
-@given(st.text(st.characters(exclude_categories=["Cs"]), max_size=80))
+@given(st.lists(st.none() | st.text(st.characters(exclude_categories=["Cs"])
+                                    | st.sampled_from(" \t\n\x0b\x1f'sé\u0301"), max_size=40), max_size=6))
 @settings(max_examples=300, deadline=None)
-def test_any_text_has_the_ids_of_the_library(text):
-    tokenizer = packing._known(packing.TOKENIZER_FILE)._tokenizer
-    ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
-    assert np.frombuffer(packing.document_ids(text), "<u4").tolist() == ids
+def test_any_texts_have_the_ids_of_the_library(texts):
+    whole = pa.array([None, *texts], pa.string())
+    got = packing.document_ids(whole.slice(1))
+    assert [np.frombuffer(i, "<u4").tolist() for i in got] == [library_ids(t) for t in texts]
+
+
+@given(st.lists(st.text(st.characters(max_codepoint=127), max_size=30), max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_ascii_texts_have_the_ids_of_the_library(texts):
+    got = packing.document_ids(pa.array(texts, pa.string()))
+    assert [np.frombuffer(i, "<u4").tolist() for i in got] == [library_ids(t) for t in texts]
+
+
+def test_special_strings_are_text():
+    got = packing.document_ids(pa.array(["a<|endoftext|> <|startoftext|>"]))
+    assert np.frombuffer(got[0], "<u4").tolist() == library_ids("a<|endoftext|> <|startoftext|>")
 
 
-def check(rows, texts, library, capacity):
+def check(rows, texts, capacity):
     """``rows`` are a sound packing of all pieces of ``texts`` (id and text pairs)."""
     want = Counter()
     for i, text in texts:
-        ids = library(text)
+        ids = library_ids(text)
         for n, start in enumerate(range(0, len(ids), capacity)):
             cut = ids[start:start + capacity]
             want[i, n, start, len(cut), zlib.crc32(np.array(cut, "<u4").tobytes())] += 1
@@ -112,24 +127,24 @@ def check(rows, texts, library, capacity):
     return held
 
 
-def test_query_against_plain_packing(spark, documents, library):
+def test_query_against_plain_packing(spark, documents):
     rows = QUERIES["op11_best_two_fit"](spark, SF_DIR).collect()
     texts = [(r.doc_id, r.text) for r in documents.collect()]
-    held = check(rows, texts, library, 2048)
+    held = check(rows, texts, 2048)
     lengths = [r.length for r in rows]
     assert len(held) == len(one_by_one(lengths, 2048))
     assert len(held) <= 1.02 * -(-sum(lengths) // 2048) + 1
 
 
 @pytest.mark.parametrize("capacity", [1, 7, 2048])
-def test_awkward_rows(awkward, empty, library, capacity):
+def test_awkward_rows(awkward, empty, capacity):
     df = awkward.repartition(5).withColumnsRenamed({"fp": "piece", "key": "sequence_id"})
     packed = packing.pack(df, capacity, with_ids=True)
     assert packed.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "ids",
                               "sequence_id", "offset"]
     rows = packed.collect()
     texts = [(r.doc_id, r.text) for r in awkward.collect()]
-    held = check(rows, texts, library, capacity)
+    held = check(rows, texts, capacity)
     assert len(held) == len(one_by_one([r.length for r in rows], capacity))
     whole = {r.sequence_id: r.ids for r in packing.sequences(packed).collect()}
     assert whole.keys() == held.keys()
@@ -138,9 +153,9 @@ def test_awkward_rows(awkward, empty, library, capacity):
     assert packing.pack(empty).count() == 0
 
 
-def test_a_full_memory_starts_afresh(monkeypatch, library):
-    monkeypatch.setattr(packing, "CACHE_ENTRIES", 2)
-    known = packing._Known(packing._known(packing.TOKENIZER_FILE)._tokenizer)
-    words = ["one", "two", "three", "z" * 100, "one"]
-    assert [np.frombuffer(known[w], "<u4").tolist() for w in words] == [library(w)[:-1] for w in words]
-    assert len(known) <= 2
+def test_a_full_memory_starts_afresh():
+    encoder = packing.Encoder(packing.TOKENIZER_FILE, cache_entries=2)
+    for text in ["one two three", "z" * 100 + " one", "four five six", "one two", "seven"] * 2:
+        (ids,) = encoder.encode(pa.array([text]))
+        assert np.frombuffer(ids, "<u4").tolist() == library_ids(text)[:-1]
+    assert len(encoder._strings.newer) <= 5 and len(encoder._words.older) <= 5

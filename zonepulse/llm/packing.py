@@ -14,13 +14,15 @@ import re
 import zlib
 from bisect import bisect_right, insort
 from collections import Counter
-from collections.abc import Iterator, Mapping
+from collections.abc import Collection, Iterator, Mapping
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, pairwise
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,45 +35,132 @@ SEQUENCE_TOKENS = 2048
 # The id that ends every document.
 END_ID = 0
 
-# The tokenizer never looks across these blanks, so what lies between them can be encoded alone.
-_BETWEEN_BLANKS = re.compile(r"[^ \t\n\r]+")
-# Strings whose ids a worker remembers, and the longest of them.
-CACHE_ENTRIES = 300_000
+# A character that no text between blanks shares a token with: it stands between strings that are
+# encoded at once.  Strings that hold it are encoded alone.
+_MARK = "\x1f"
+# What the tokenizer takes as one word in a lower-case ASCII string without blanks or apostrophes.
+_WORDS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+# Fixed value: the suffix of tokens that end a word.
+_WORD_END = "</w>"
+# Strings of which a worker remembers the ids, per generation, and the longest of them.
+CACHE_ENTRIES = 400_000
 _CACHED_CHARS = 48
 # Documents encoded between two batches of output rows.
-_SLICE = 256
+_SLICE = 2048
 
 
-class _Known(dict):
-    """Little-endian ids of strings between blanks; starts afresh when full."""
+class _Memory:
+    """Ids of strings in two generations: when the newer one is full, the older one is forgotten."""
 
-    def __init__(self, tokenizer: Tokenizer):
-        super().__init__()
-        self._tokenizer = tokenizer
+    def __init__(self, entries: int):
+        self._entries = entries
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, string: str) -> bytes:
-        ids = self._tokenizer.encode(string, add_special_tokens=False).ids
-        data = np.array(ids, "<u4").tobytes()
-        if len(string) <= _CACHED_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[string] = data
-        return data
+    def known(self, strings: Collection[str]) -> dict[str, bytes]:
+        """What is remembered of ``strings``; what was about to be forgotten is kept on."""
+        newer, older = self.newer.get, self.older.get
+        found = {s: ids for s in strings if (ids := newer(s))}
+        if len(found) < len(strings) and self.older:
+            again = {s: ids for s in strings if s not in found and (ids := older(s))}
+            self.newer |= again
+            found |= again
+        return found
+
+    def keep(self, new: dict[str, bytes]) -> None:
+        if len(self.newer) >= self._entries:
+            self.newer, self.older = {}, self.newer
+        self.newer.update((s, ids) for s, ids in new.items() if len(s) <= _CACHED_CHARS)
+
+
+class Encoder:
+    """Ids of whole texts, four little-endian bytes each.
+
+    The tokenizer never looks across blanks, so what stands between them is encoded once and
+    remembered, and so are the words that ASCII strings are made of.  What is new comes to the
+    tokenizer many strings at a time.
+    """
+
+    def __init__(self, tokenizer_file: str, cache_entries: int = CACHE_ENTRIES):
+        self._tokenizer = Tokenizer.from_file(tokenizer_file)
+        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        (self._mark,) = self._ids(_MARK)
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends_word[[i for t, i in vocabulary.items() if t.endswith(_WORD_END)]] = True
+        self._strings, self._words = _Memory(cache_entries), _Memory(cache_entries)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    @staticmethod
+    def _cut(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        data = ids.tobytes()
+        return [data[i:j] for i, j in zip((4 * starts).tolist(), (4 * ends).tolist(), strict=True)]
+
+    def _of_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of ASCII words: each ends with the only token of its that can end a word."""
+        if not words:
+            return {}
+        ids = self._ids(" ".join(words))
+        ends = np.flatnonzero(self._ends_word[ids]) + 1
+        return dict(zip(words, self._cut(ids, np.concatenate([[0], ends[:-1]]), ends), strict=True))
+
+    def _of_any(self, strings: list[str]) -> dict[str, bytes]:
+        """Ids of strings without blanks."""
+        alone = {s: self._ids(s).tobytes() for s in strings if _MARK in s}
+        together = [s for s in strings if _MARK not in s]
+        if not together:
+            return alone
+        ids = self._ids(f" {_MARK} ".join(together))
+        marks = np.flatnonzero(ids == self._mark)
+        found = self._cut(ids, np.concatenate([[0], marks + 1]), np.concatenate([marks, [ids.size]]))
+        return alone | dict(zip(together, found, strict=True))
+
+    def _of_strings(self, strings: list[str]) -> list[bytes]:
+        """Ids of distinct strings without blanks, by what is remembered where it can be."""
+        here = self._strings.known(strings)
+        worded, others = {}, []
+        for s in strings:
+            if s not in here:
+                if s.isascii() and "'" not in s:
+                    worded[s] = _WORDS.findall(s.lower())
+                else:
+                    others.append(s)
+        needed = set(chain.from_iterable(worded.values()))
+        words = self._words.known(needed)
+        new_words = self._of_words([w for w in needed if w not in words])
+        words |= new_words
+        new = {s: b"".join(map(words.__getitem__, w)) for s, w in worded.items()}
+        new |= self._of_any(others)
+        here |= new
+        self._words.keep(new_words)
+        self._strings.keep(new)
+        return list(map(here.__getitem__, strings))
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text; none for null and empty ones."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
+        strings = split.flatten().dictionary_encode()
+        ids = pa.array(self._of_strings(strings.dictionary.to_pylist()), pa.large_binary())
+        taken = ids.take(strings.indices)
+        _, offsets, data = taken.buffers()
+        ends = np.frombuffer(offsets, np.int64)[taken.offset:taken.offset + len(taken) + 1]
+        of_text = split.offsets.to_numpy() - split.offsets[0].as_py()
+        whole = memoryview(data or b"")
+        return [bytes(whole[i:j]) for i, j in pairwise(ends[of_text].tolist())]
 
 
 @lru_cache(maxsize=2)
-def _known(tokenizer_file: str) -> _Known:
-    """One tokenizer and its memory per worker process."""
-    tokenizer = Tokenizer.from_file(tokenizer_file)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return _Known(tokenizer)
+def _encoder(tokenizer_file: str) -> Encoder:
+    """One encoder per worker process."""
+    return Encoder(tokenizer_file)
 
 
-def document_ids(text: str | None, tokenizer_file: str = TOKENIZER_FILE) -> bytes:
-    """Ids of a whole text and the end id, four little-endian bytes each."""
-    known = _known(tokenizer_file)
-    return b"".join([*map(known.__getitem__, _BETWEEN_BLANKS.findall(text or "")),
-                     END_ID.to_bytes(4, "little")])
+def document_ids(texts: pa.Array, tokenizer_file: str = TOKENIZER_FILE) -> list[bytes]:
+    """Per text its ids and the end id, four little-endian bytes each."""
+    end = END_ID.to_bytes(4, "little")
+    return [ids + end for ids in _encoder(tokenizer_file).encode(texts)]
 
 
 def pieces(docs: DataFrame, capacity: int = SEQUENCE_TOKENS, with_ids: bool = False,
@@ -98,9 +187,8 @@ def pieces(docs: DataFrame, capacity: int = SEQUENCE_TOKENS, with_ids: bool = Fa
             for first in range(0, batch.num_rows, _SLICE):
                 part = batch.slice(first, _SLICE)
                 rows, kept = [], []
-                for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(),
-                                        strict=True):
-                    ids = document_ids(text, tokenizer_file)
+                for doc_id, ids in zip(part["doc_id"].to_pylist(),
+                                       document_ids(part["text"], tokenizer_file), strict=True):
                     for n, start in enumerate(range(0, len(ids), 4 * capacity)):
                         cut = ids[start:start + 4 * capacity]
                         length = len(cut) // 4
