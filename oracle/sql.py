@@ -210,14 +210,14 @@ _EVEN, _ODD = ("(SELECT * FROM {0} WHERE minute(ingestion_time) % 2 = 0)",
                "(SELECT * FROM {0} WHERE minute(ingestion_time) % 2 = 1)")
 
 
-def _merged(metric, keys: str, columns: dict[str, str], feeds: str = "o") -> str:
+def _merged(metric, keys: tuple[str, ...], columns: dict[str, str], feeds: str = "o") -> str:
     """Full join of the two halves: one side alone is kept, both follow the rule per column."""
     def half(text: str) -> str:
         return metric(*[text.format(f) for f in feeds])
 
-    on = " AND ".join(f"p.{k} = n.{k}" for k in keys.split())
-    key_columns = ", ".join(f"coalesce(p.{k}, n.{k}) AS {k}" for k in keys.split())
-    probe = keys.split()[0]
+    on = " AND ".join(f"p.{k} = n.{k}" for k in keys)
+    key_columns = ", ".join(f"coalesce(p.{k}, n.{k}) AS {k}" for k in keys)
+    probe = keys[0]
     values = ", ".join(
         f"CASE WHEN n.{probe} IS NULL THEN p.{c} WHEN p.{probe} IS NULL THEN n.{c} ELSE {rule} END AS {c}"
         for c, rule in columns.items())
@@ -236,8 +236,8 @@ def _old(*columns: str) -> dict[str, str]:
     return {c: f"p.{c}" for c in columns}
 
 
-_KPI_KEYS = "window_start window_end window_type zone_id"
-_ZONE_KEYS = "window_start window_end zone_id"
+_KPI_KEYS = ("window_start", "window_end", "window_type", "zone_id")
+_ZONE_KEYS = ("window_start", "window_end", "zone_id")
 _KPI_VALUES = ("order_count", "total_revenue", "avg_prep_minutes", "cancellation_count",
                "cancellation_rate")
 
@@ -396,13 +396,13 @@ FROM (SELECT window_start, window_end, zone_id, pending_demand,
         "cancellation_rate": "(p.cancellation_count + n.cancellation_count) / greatest(p.order_count + n.order_count, 1)",
     }),
     "merge_demand": _merged(demand, _ZONE_KEYS, _plus("pending_demand")),
-    "merge_restaurant_sla": _merged(sla, "window_start window_end restaurant_id zone_id", {
+    "merge_restaurant_sla": _merged(sla, ("window_start", "window_end", "restaurant_id", "zone_id"), {
         **_old("restaurant_name", "cuisine", "sla_tier"), **_plus("order_count"),
         **_new("p50_prep", "p95_prep", "p99_prep", "sla_breached")}),
     "merge_delivery_anomalies": _merged(anomalies, _ZONE_KEYS, {
         **_plus("delivery_count", "anomaly_count", "late_event_count"),
         **_new("mean_delivery_min", "stddev_delivery_min", "anomaly_threshold")}),
-    "merge_fraud_alerts": _merged(fraud, "window_start window_end device_id", {
+    "merge_fraud_alerts": _merged(fraud, ("window_start", "window_end", "device_id"), {
         "distinct_customer_ids": "greatest(p.distinct_customer_ids, n.distinct_customer_ids)",
         **_plus("cancellation_count", "refund_count", "total_order_value"), **_new("fraud_flags")}),
     "merge_courier_positions": positions(),
@@ -412,6 +412,7 @@ FROM (SELECT window_start, window_end, zone_id, pending_demand,
     "nan_to_null": """
 SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN sqrt(c_acctbal) END AS root FROM customer""",
     "raw_archive_roundtrip": _ARCHIVE,
+    "archive_after_compaction": _ARCHIVE,
     "stream_archive": _ARCHIVE,
     "agg_archive_roundtrip": f"""
 SELECT *, year(window_start) AS year, month(window_start) AS month, day(window_start) AS day
@@ -481,88 +482,114 @@ _WHOLE = (
 
 
 # Result columns per query.
-_KPI = f"{_KPI_KEYS} {' '.join(_KPI_VALUES)}"
-_DEMAND = f"{_ZONE_KEYS} pending_demand"
-_SUPPLY = f"{_ZONE_KEYS} available_supply"
-_HEALTH = f"{_ZONE_KEYS} pending_demand available_supply health_ratio health_status"
-_SLA = ("window_start window_end restaurant_id restaurant_name zone_id cuisine sla_tier order_count "
-        "p50_prep p95_prep p99_prep sla_breached")
-_ANOMALY = (f"{_ZONE_KEYS} delivery_count mean_delivery_min stddev_delivery_min anomaly_threshold "
-            "anomaly_count late_event_count")
-_FRAUD = ("window_start window_end device_id distinct_customer_ids cancellation_count refund_count "
-          "total_order_value fraud_flags")
-_POSITION = "courier_id zone_id latitude longitude speed_kmh status vehicle_type position_time"
-_SESSION = "courier_id session_start session_end event_count"
-_HOURLY = "year month day hour event_count"
-
-_COLUMNS: dict[str, str] = {
-    "decode_json_orders": "event_id order_id zone_id status event_timestamp ingestion_time "
-                          "order_value_eur estimated_prep_minutes device_id is_late",
-    "scan_json_files": "event_id status event_time order_value_eur actual_prep_minutes is_duplicate",
-    "dim_restaurant": "restaurant_id restaurant_name zone_id cuisine_type sla_tier avg_prep_mean",
-    "validate_orders": "event_id order_id status event_time",
-    "dead_letters": "raw_value reason message_count",
-    "dedup_by_flag": "event_id status event_time",
-    "dedup_by_key": "event_id status event_time",
-    "lateness_buckets": "lateness_bucket event_count flagged_late_count event_share",
+_KPI = (*_KPI_KEYS, *_KPI_VALUES)
+_DEMAND = (*_ZONE_KEYS, "pending_demand")
+_SUPPLY = (*_ZONE_KEYS, "available_supply")
+_HEALTH = (*_ZONE_KEYS, "pending_demand", "available_supply", "health_ratio", "health_status")
+_SLA = ("window_start", "window_end", "restaurant_id", "restaurant_name", "zone_id", "cuisine",
+        "sla_tier", "order_count", "p50_prep", "p95_prep", "p99_prep", "sla_breached")
+_ANOMALY = (*_ZONE_KEYS, "delivery_count", "mean_delivery_min", "stddev_delivery_min",
+            "anomaly_threshold", "anomaly_count", "late_event_count")
+_FRAUD = ("window_start", "window_end", "device_id", "distinct_customer_ids",
+          "cancellation_count", "refund_count", "total_order_value", "fraud_flags")
+_POSITION = ("courier_id", "zone_id", "latitude", "longitude", "speed_kmh", "status",
+             "vehicle_type", "position_time")
+_SESSION = ("courier_id", "session_start", "session_end", "event_count")
+_HOURLY = ("year", "month", "day", "hour", "event_count")
+
+_COLUMNS: dict[str, tuple[str, ...]] = {
+    "decode_json_orders": ("event_id", "order_id", "zone_id", "status", "event_timestamp",
+        "ingestion_time", "order_value_eur", "estimated_prep_minutes", "device_id", "is_late"),
+    "scan_json_files": ("event_id", "status", "event_time", "order_value_eur",
+        "actual_prep_minutes", "is_duplicate"),
+    "dim_restaurant": ("restaurant_id", "restaurant_name", "zone_id", "cuisine_type", "sla_tier",
+        "avg_prep_mean"),
+    "validate_orders": ("event_id", "order_id", "status", "event_time"),
+    "dead_letters": ("raw_value", "reason", "message_count"),
+    "dedup_by_flag": ("event_id", "status", "event_time"),
+    "dedup_by_key": ("event_id", "status", "event_time"),
+    "lateness_buckets": ("lateness_bucket", "event_count", "flagged_late_count", "event_share"),
     "raw_partition_columns": _HOURLY,
-    "kpi_tumbling": _KPI, "kpi_hopping": _KPI, "windowed_kpis_all": _KPI,
-    "demand_windows": _DEMAND, "demand_event_windows": _DEMAND,
-    "supply_windows": _SUPPLY, "supply_event_windows": _SUPPLY,
-    "demand_supply_health": _HEALTH, "health_from_supply_side": _HEALTH,
-    "enrich_orders": "event_id restaurant_id restaurant_name zone_id cuisine_type sla_tier "
-                     "actual_prep_minutes",
-    "sla_windows": _SLA, "sla_30min": f"{_SLA} avg_prep_error",
-    "anomaly_windows": _ANOMALY, "anomaly_10_2": _ANOMALY,
-    "anomaly_flagged_deliveries": "event_id order_id zone_id event_timestamp "
-                                  "actual_delivery_minutes window_start window_end "
-                                  "anomaly_threshold z_score",
+    "kpi_tumbling": _KPI,
+    "kpi_hopping": _KPI,
+    "windowed_kpis_all": _KPI,
+    "demand_windows": _DEMAND,
+    "demand_event_windows": _DEMAND,
+    "supply_windows": _SUPPLY,
+    "supply_event_windows": _SUPPLY,
+    "demand_supply_health": _HEALTH,
+    "health_from_supply_side": _HEALTH,
+    "enrich_orders": ("event_id", "restaurant_id", "restaurant_name", "zone_id", "cuisine_type",
+        "sla_tier", "actual_prep_minutes"),
+    "sla_windows": _SLA,
+    "sla_30min": (*_SLA, "avg_prep_error"),
+    "anomaly_windows": _ANOMALY,
+    "anomaly_10_2": _ANOMALY,
+    "anomaly_flagged_deliveries": ("event_id", "order_id", "zone_id", "event_timestamp",
+        "actual_delivery_minutes", "window_start", "window_end", "anomaly_threshold", "z_score"),
     "fraud_windows": _FRAUD,
-    "fraud_multi_account": "window_start window_end device_id distinct_customer_ids placed_count "
-                           "cancellation_count cancellation_rate",
+    "fraud_multi_account": ("window_start", "window_end", "device_id", "distinct_customer_ids",
+        "placed_count", "cancellation_count", "cancellation_rate"),
     "courier_latest_position": _POSITION,
-    "courier_utilisation": f"{_ZONE_KEYS} online_couriers busy_couriers utilisation",
-    "courier_sessions": "active_session_id courier_id session_start session_end event_count "
-                        "session_minutes is_closed",
-    "courier_gap_sessions": _SESSION, "stream_courier_sessions": _SESSION,
-    "courier_quality_flags": "event_id courier_id zone_id event_timestamp speed_kmh "
-                             "location_accuracy_meters battery_pct quality_flags",
-    "orphaned_deliveries": "order_id zone_id dropped_courier_id drop_time in_transit_time",
-    "stream_orphaned_deliveries": "order_id zone_id dropped_courier_id drop_time in_transit_time",
-    "stream_orders_per_minute": f"{_ZONE_KEYS} order_count",
-    "stream_revenue_per_hour": "window_start window_end delivered_count total_revenue",
-    "enrich_orders_right": "restaurant_id restaurant_name event_id actual_prep_minutes",
-    "demand_windows_approx": f"{_DEMAND} within_error",
-    "supply_windows_approx": f"{_SUPPLY} within_error",
-    "fraud_windows_approx": "window_start window_end device_id distinct_customer_ids placed_count "
-                            "cancellation_count refund_count total_order_value within_error",
+    "courier_utilisation": (*_ZONE_KEYS, "online_couriers", "busy_couriers", "utilisation"),
+    "courier_sessions": ("active_session_id", "courier_id", "session_start", "session_end",
+        "event_count", "session_minutes", "is_closed"),
+    "courier_gap_sessions": _SESSION,
+    "stream_courier_sessions": _SESSION,
+    "courier_quality_flags": ("event_id", "courier_id", "zone_id", "event_timestamp",
+        "speed_kmh", "location_accuracy_meters", "battery_pct", "quality_flags"),
+    "orphaned_deliveries": ("order_id", "zone_id", "dropped_courier_id", "drop_time",
+        "in_transit_time"),
+    "stream_orphaned_deliveries": ("order_id", "zone_id", "dropped_courier_id", "drop_time",
+        "in_transit_time"),
+    "stream_orders_per_minute": (*_ZONE_KEYS, "order_count"),
+    "stream_revenue_per_hour": ("window_start", "window_end", "delivered_count", "total_revenue"),
+    "enrich_orders_right": ("restaurant_id", "restaurant_name", "event_id", "actual_prep_minutes"),
+    "demand_windows_approx": (*_DEMAND, "within_error"),
+    "supply_windows_approx": (*_SUPPLY, "within_error"),
+    "fraud_windows_approx": ("window_start", "window_end", "device_id", "distinct_customer_ids",
+        "placed_count", "cancellation_count", "refund_count", "total_order_value", "within_error"),
     "upsert_after_restart": _KPI,
-    "orders_per_minute": f"{_ZONE_KEYS} order_count",
-    "revenue_per_hour": "window_start window_end delivered_count total_revenue",
-    "order_durations": "order_id placed_to_delivered_min ready_to_pickup_min pickup_to_delivered_min",
-    "surge_signal": f"{_ZONE_KEYS} pending_demand trailing_demand available_supply surge_ratio is_surge",
-    "merge_windowed_kpis": _KPI, "merge_demand": _DEMAND, "merge_restaurant_sla": _SLA,
-    "merge_delivery_anomalies": _ANOMALY, "merge_fraud_alerts": _FRAUD,
-    "merge_courier_positions": _POSITION, "merge_health": _HEALTH, "merge_replace": _DEMAND,
-    "nan_to_null": "c_custkey root",
-    "raw_archive_roundtrip": f"{_HOURLY} order_value", "stream_archive": f"{_HOURLY} order_value",
-    "agg_archive_roundtrip": f"{_KPI} year month day",
+    "orders_per_minute": (*_ZONE_KEYS, "order_count"),
+    "revenue_per_hour": ("window_start", "window_end", "delivered_count", "total_revenue"),
+    "order_durations": ("order_id", "placed_to_delivered_min", "ready_to_pickup_min",
+        "pickup_to_delivered_min"),
+    "surge_signal": (*_DEMAND, "trailing_demand", "available_supply", "surge_ratio", "is_surge"),
+    "merge_windowed_kpis": _KPI,
+    "merge_demand": _DEMAND,
+    "merge_restaurant_sla": _SLA,
+    "merge_delivery_anomalies": _ANOMALY,
+    "merge_fraud_alerts": _FRAUD,
+    "merge_courier_positions": _POSITION,
+    "merge_health": _HEALTH,
+    "merge_replace": _DEMAND,
+    "nan_to_null": ("c_custkey", "root"),
+    "archive_after_compaction": (*_HOURLY, "order_value"),
+    "raw_archive_roundtrip": (*_HOURLY, "order_value"),
+    "stream_archive": (*_HOURLY, "order_value"),
+    "agg_archive_roundtrip": (*_KPI, "year", "month", "day"),
     "upsert_latest_view": _KPI,
-    "publish_frame": "key message_count placed_count",
-    "serve_stat_cards": "card value",
-    "serve_orders_by_zone": "window_start zone_id order_count total_revenue",
-    "serve_current_by_zone": "zone_id rate_window_end cancellation_rate health_window_end "
-                             "health_ratio health_status",
-    "serve_worst_restaurants": "restaurant_id restaurant_name sla_tier worst_p95_prep "
-                               "breached_windows",
-    "serve_anomaly_series": "window_start zone_id mean_delivery_min anomaly_threshold "
-                            "anomaly_count late_event_count",
-    "serve_fraud_table": "window_start device_id distinct_customer_ids cancellation_count "
-                         "refund_count fraud_flags",
-    "stream_kpi_tumbling": _KPI, "stream_kpi_hopping": _KPI, "stream_demand_supply": _HEALTH,
-    "stream_sla": _SLA, "stream_anomaly": _ANOMALY, "stream_fraud": _FRAUD,
-    "stream_courier_latest": _POSITION, "stream_dedup": _KPI,
-    "stream_fraud_short_drops": _FRAUD, "stream_kpi_late_rows": _KPI,
+    "publish_frame": ("key", "message_count", "placed_count"),
+    "serve_stat_cards": ("card", "value"),
+    "serve_orders_by_zone": ("window_start", "zone_id", "order_count", "total_revenue"),
+    "serve_current_by_zone": ("zone_id", "rate_window_end", "cancellation_rate",
+        "health_window_end", "health_ratio", "health_status"),
+    "serve_worst_restaurants": ("restaurant_id", "restaurant_name", "sla_tier", "worst_p95_prep",
+        "breached_windows"),
+    "serve_anomaly_series": ("window_start", "zone_id", "mean_delivery_min", "anomaly_threshold",
+        "anomaly_count", "late_event_count"),
+    "serve_fraud_table": ("window_start", "device_id", "distinct_customer_ids",
+        "cancellation_count", "refund_count", "fraud_flags"),
+    "stream_kpi_tumbling": _KPI,
+    "stream_kpi_hopping": _KPI,
+    "stream_demand_supply": _HEALTH,
+    "stream_sla": _SLA,
+    "stream_anomaly": _ANOMALY,
+    "stream_fraud": _FRAUD,
+    "stream_courier_latest": _POSITION,
+    "stream_dedup": _KPI,
+    "stream_fraud_short_drops": _FRAUD,
+    "stream_kpi_late_rows": _KPI,
 }
 
 
@@ -573,7 +600,7 @@ def _finish(name: str, text: str) -> str:
             return f"round({c}, 6) AS {c}"
         return f"CAST({c} AS BIGINT) AS {c}" if c in _WHOLE else f'"{c}"'
 
-    columns = ", ".join(form(c) for c in _COLUMNS[name].split())
+    columns = ", ".join(form(c) for c in _COLUMNS[name])
     return f"{FEEDS}, answer AS ({text})\nSELECT {columns} FROM answer"
 
 

@@ -10,9 +10,10 @@ from zonepulse import MetricConfig
 from zonepulse.model import COURIERS, ORDERS
 from zonepulse.operators import couriers, kpis, quality
 from zonepulse.session import streaming_session
-from zonepulse.sinks import archive
-from zonepulse.sinks.batches import BatchFolder
+from zonepulse.sinks.archive import Archive
+from zonepulse.sinks.batches import NUMBER, HandOver
 from zonepulse.sinks.changelog import ChangelogTable
+from zonepulse.sinks.manifest import Folder
 from zonepulse.sources.decode import decode_json, encode_json
 from zonepulse.sources.files import stream_parquet
 from zonepulse.streaming.jobs import JOBS, Feeds, clean_stream, start_metric
@@ -135,10 +136,11 @@ def test_pipeline(spark, raw_orders, raw_couriers, restaurants, tmp_path):
         return ChangelogTable.of(JOBS[name].table, f"{tmp_path}/out/metrics/{name}").latest(
             session).collect()
 
-    assert spark.read.parquet(job.archive_path("orders")).count() == 4
+    assert job.archive("orders").read(spark, ORDERS.schema).count() == 4
     assert [r.reason for r in spark.read.parquet(
-        f"{job.dead_letters_path('orders')}/*").collect()] == ["malformed"]
-    assert spark.read.parquet(f"{tmp_path}/dated/kpi_tumbling").select(
+        f"{job.dead_letters_path('orders')}/data").collect()] == ["malformed"]
+    dated = Archive.of_metric(f"{tmp_path}/dated/kpi_tumbling")
+    assert dated.read(spark, JOBS["kpi_tumbling"].table.schema).select(
         "order_count", "month").collect() == [(1, 1)]
     assert [r.order_count for r in latest("kpi_tumbling")] == [1]
     assert {r.cancellation_rate for r in latest("kpi_hopping")} == {0.5}
@@ -158,29 +160,6 @@ def test_a_message_is_parsed_once(spark, raw_orders):
         assert plan.count("from_json") == 1
 
 
-def test_a_new_run_does_not_replace_what_an_old_one_archived(spark, raw_orders, tmp_path):
-    path = str(tmp_path / "raw")
-    for run, ids in (("a", ["1", "2"]), ("b", ["3"]), ("b", ["3", "4"])):
-        spark.sparkContext.setLocalProperty("sql.streaming.queryId", run)
-        archive.write_raw_batch(raw_orders(*[{"event_id": i, "event_time": at(5)} for i in ids]),
-                                path, 0)
-    spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
-    assert sorted(r.event_id for r in spark.read.parquet(path).collect()) == ["1", "2", "3", "4"]
-    assert archive.compact_hour(spark, path, 2024, 1, 1, 0) == 4
-    left = spark.read.parquet(path)
-    assert sorted(r.event_id for r in left.collect()) == ["1", "2", "3", "4"]
-    assert len(left.inputFiles()) == 1
-
-
-def test_folders_between_queries_stay_bounded(spark, raw_orders, tmp_path):
-    folder = BatchFolder(str(tmp_path / "landing"), keep=3)
-    folder.create(spark, ORDERS.schema)
-    for i in range(8):
-        folder.write(raw_orders({"event_id": f"e{i}"}), i)
-    names = sorted(p.name for p in (tmp_path / "landing").iterdir() if not p.name.startswith("."))
-    assert names == ["batch.5", "batch.6", "batch.7", "start"]
-
-
 def test_dropped_orders_follow_one_rule_in_both_forms(spark, raw_orders, raw_couriers, tmp_path):
     """Two drops, a new courier after the drop, deliveries between and after drops."""
     drop = {"status": "OFFLINE", "offline_reason": "MID_DELIVERY_DROP"}
@@ -272,3 +251,79 @@ def test_supervisor_gives_up_after_the_limit():
     streams = _Streams([("a", TRANSIENT), ("a", TRANSIENT)])
     with pytest.raises(RuntimeError):
         supervise(streams, _starters(streams, "a"), max_restarts=1)
+
+
+def _drain(spark):
+    """Wait until the listeners have heard of everything."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+
+
+def test_a_reader_that_was_down_longer_than_what_is_listed_loses_nothing(
+        spark, raw_orders, restaurants, tmp_path):
+    """One metric stops, the other goes on for many more batches than are kept, the first returns
+    twice; folders between the queries stay few throughout."""
+    session = streaming_session(spark, 2)
+    inbox = f"{tmp_path}/in"
+    spark.createDataFrame([], "value binary").write.parquet(inbox)
+    job = Pipeline(session, lambda feed: stream_parquet(session, inbox, "value binary"), restaurants,
+                   f"{tmp_path}/out", f"{tmp_path}/cp", wire="json", available_now=True,
+                   keep_batches=2, hand_over_files=1, compact_every=4)
+    readers = ["kpi_tumbling", "orders_per_minute"]
+    cleaned = HandOver(job.cleaned("orders").path, readers, 2, 1)
+    object.__setattr__(job, "cleaned", lambda feed: cleaned)
+    listener = job.listen()
+    listed = []
+
+    def turn(n, *names):
+        df = raw_orders({"event_time": at(n), "event_id": f"e{n}"},
+                        {"event_time": at(n), "event_id": f"e{max(n - 1, 0)}"})  # a copy of the last
+        bad = spark.createDataFrame([(None,)] if n % 2 else [("{",)], "value string")
+        df.select(encode_json(df, ORDERS).alias("value")).unionByName(bad).select(
+            F.col("value").cast("binary")).write.mode("append").parquet(inbox)
+        for start in (lambda: job.land("orders"), lambda: job.clean("orders"),
+                      *[lambda name=name: job.metric(name) for name in names]):
+            start().awaitTermination()
+        _drain(spark)
+        listed.append([len(Folder(spark, f"{tmp_path}/out/{stage}/orders").names())
+                       for stage in ("landing", "clean")])
+
+    def counts(name):
+        return {r.window_start: r.order_count for r in ChangelogTable.of(
+            JOBS[name].table, f"{tmp_path}/out/metrics/{name}").latest(session).collect()}
+
+    try:
+        for n in range(14):
+            down = 3 <= n < 8 or 9 <= n < 12
+            turn(n, *(readers[1:] if down else readers))
+    finally:
+        session.streams.removeListener(listener)
+    assert {t.minute: n for t, n in counts("orders_per_minute").items()} == {n: 1 for n in range(14)}
+    assert {t.minute: n for t, n in counts("kpi_tumbling").items()} == {
+        0: 5, 5: 5, 10: 4}
+    # The start folder and two or three batches of the landing; of the clean rows at most what is
+    # kept, or what the returning reader had to catch up with.
+    assert max(n for n, _ in listed) <= 5
+    assert max(n for _, n in listed[3:8] + listed[9:12]) <= 8
+    assert listed[-1][1] <= 5
+    assert Folder(spark, f"{cleaned.path}-backlog").names() == []
+
+
+def test_hand_over_numbers_go_on_with_a_new_checkpoint(spark, raw_orders, tmp_path):
+    folder = HandOver(str(tmp_path / "landing"), [], keep=3, files=1)
+    folder.create(spark, ORDERS.schema)
+    for run, batch in (("a", 0), ("a", 1), ("a", 1), ("b", 0), ("b", 1)):
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", run)
+        folder.write(raw_orders({"event_id": f"{run}{batch}"}), batch)
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    rows = spark.read.parquet(f"{folder.path}/0*").select("event_id", NUMBER).collect()
+    assert sorted(map(tuple, rows)) == [("b1", 3)]  # nobody reads, so only the newest stays
+    held = HandOver(str(tmp_path / "held"), ["slow"], keep=3, files=1)
+    for batch in range(8):
+        held.write(raw_orders({"event_id": f"e{batch}"}), batch)
+    assert [int(n) for n in Folder(spark, held.path).names()] == [5, 6, 7]
+    assert [int(n) for n in Folder(spark, f"{held.path}-backlog").names()] == list(range(5))
+    held.restore(spark, "slow")
+    assert [int(n) for n in Folder(spark, held.path).names()] == list(range(8))
+    held.report(spark, "slow", 6)
+    held.write(raw_orders({"event_id": "e8"}), 8)
+    assert [int(n) for n in Folder(spark, held.path).names()] == [6, 7, 8]

@@ -32,11 +32,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--wire", choices=("avro", "json"), default="avro")
     p.add_argument("--config", help="JSON file with metric settings")
     p.add_argument("--interval", default="30 seconds", help="time between micro-batches")
-    p.add_argument("--max-offsets", type=int, help="messages per feed and micro-batch")
+    p.add_argument("--max-offsets", type=int, default=1_000_000,
+                   help="messages per feed and micro-batch, so that a restart catches up in steps")
     p.add_argument("--max-files", type=int, default=1000,
                    help="files that a query takes from another one's folder per micro-batch")
     p.add_argument("--keep-batches", type=int, default=2880,
-                   help="micro-batches kept between the queries; the longest outage to survive")
+                   help="micro-batches listed between the queries; older ones wait aside for readers that are down")
     p.add_argument("--trust-producer-flag", action="store_true",
                    help="drop only copies that the producer marked, not by event id")
     p.add_argument("--database", help="JDBC address; metrics are upserted there")

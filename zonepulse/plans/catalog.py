@@ -28,7 +28,7 @@ from zonepulse.operators import (
 )
 from zonepulse.plans import testdata
 from zonepulse.plans.replay import DropZone, replay, replay_in_batches
-from zonepulse.session import new_work_dir, prepare, streaming_session
+from zonepulse.session import materialise, new_work_dir, prepare, streaming_session
 from zonepulse.sinks import archive
 from zonepulse.sinks.changelog import ChangelogTable
 from zonepulse.sources import files, kafka
@@ -624,7 +624,26 @@ def stream_archive(spark, sf_dir):
     root = new_work_dir(spark, "stream-archive")
     orders, _ = _zones(spark, sf_dir, root, order_columns=("order_value_eur",))
     session = streaming_session(spark)
+    stored = archive.Archive(f"{root}/out", compact_at=2)
+    rows = clean_stream(orders.stream(session), DEFAULTS.orders_watermark)
     replay(session, [orders], lambda: archive.archive_stream(
-        clean_stream(orders.stream(session), DEFAULTS.orders_watermark), f"{root}/out", f"{root}/checkpoint", "raw_archive",
-        available_now=True))
-    return _archive_counts(files.read_archive(spark, f"{root}/out"))
+        rows, stored, f"{root}/checkpoint", "raw_archive", available_now=True))
+    return _archive_counts(stored.read(spark, rows.schema))
+
+
+@query
+def archive_after_compaction(spark, sf_dir):
+    """Three compactions of every hour, with late rows, a repeated batch and a new run between."""
+    stored = archive.Archive(new_work_dir(spark, "compacted-archive"))
+    orders = materialise(_orders(spark, sf_dir).select("event_id", "event_time", "order_value_eur"))
+    part = F.pmod(F.xxhash64("event_id"), F.lit(6))
+    steps = [("first", 0), ("first", 1), None, ("first", 1), ("first", 2), None, ("second", 0),
+             ("second", 1), ("second", 2), ("second", 2), None]
+    number = {step: i for i, step in enumerate(dict.fromkeys(s for s in steps if s))}
+    for step in steps:
+        if step:
+            stored.write_batch(orders.filter(part == number[step]), step[1], step[0])
+        else:
+            for key in stored.keys(spark):
+                stored.compact(spark, key)
+    return _archive_counts(stored.read(spark, orders.schema))

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonepulse.sinks.batches import run_id
+from zonepulse.sinks.manifest import Folder, Manifest, newest_versions
 
 RAW_PARTITIONS = ("year", "month", "day", "hour")
 METRIC_PARTITIONS = ("year", "month", "day")
@@ -31,46 +33,124 @@ def _write(df: DataFrame, path: str, partitions: tuple[str, ...], mode: str) ->
     (df.hint("rebalance", *partitions).write.mode(mode).partitionBy(*partitions).parquet(path))
 
 
-# Innermost partition of what a stream writes, so that a repeated batch replaces its own files.
+# Innermost folder of what a stream writes: the batch, or the compacted rows of several batches.
 BATCH = "batch"
+_FULL = "full-"
 
 
-def _write_batch(df: DataFrame, path: str, partitions: tuple[str, ...], batch_id: int) -> None:
-    label = f"{run_id(df.sparkSession)}.{batch_id}"
-    (df.withColumn(BATCH, F.lit(label)).hint("rebalance", *partitions)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partitions, BATCH).parquet(path))
+class Archive:
+    """A partitioned archive that a stream adds to and that is compacted beside it.
 
+    Below ``path``, ``data`` holds the rows in folders per partition and batch, ``manifest`` one
+    manifest per partition that names the folders that count (``live``).  Readers plan from the
+    manifests, so what is half written, left by a crash or already replaced is never read:
 
-def write_raw_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Add a micro-batch to the hourly archive, exactly once."""
-    _write_batch(with_raw_partitions(df), path, RAW_PARTITIONS, batch_id)
+    - A batch writes its folders and then enters them, partition by partition.  Its repetition
+      leaves out the partitions that have it, also where it has been compacted since, and writes
+      the others anew.
+    - Compaction writes the rows of the small folders into one new folder and then swaps the names
+      in one step.  A crash before that leaves a folder that no one names; the next compaction
+      removes it.  Folders that were replaced stay until then, for readers that planned from them.
 
-
-def write_metric_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Add the rows a metric changed in a micro-batch to the dated archive, exactly once."""
-    _write_batch(with_metric_partitions(df), path, METRIC_PARTITIONS, batch_id)
-
-
-def compact_hour(spark: SparkSession, path: str, year: int, month: int, day: int, hour: int) -> int:
-    """Rewrite the many small files of an hour that is over as few full ones; returns their rows.
-
-    The new files are complete in a folder of their own before they replace the old ones; rows are
-    read from there, so a failed run leaves either the old files or a full copy.
+    One compaction of a partition at a time; batches may be added meanwhile.
     """
-    folder = f"{path}/year={year}/month={month}/day={day}/hour={hour}"
-    full = f"{path}/_compacted/{year}-{month}-{day}-{hour}"
-    rows = spark.read.option("basePath", folder).parquet(folder).drop(BATCH)
-    rows.hint("rebalance").write.mode("overwrite").parquet(full)
-    whole = spark.read.parquet(full)
-    count = whole.count()
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    old = [s.getPath() for s in fs.listStatus(hadoop(folder))]
-    fs.rename(hadoop(full), hadoop(f"{folder}/{BATCH}=compacted"))
-    for p in old:
-        fs.delete(p, True)
-    return count
+
+    def __init__(self, path: str, partitions: tuple[str, ...] = RAW_PARTITIONS,
+                 compact_at: int | None = None):
+        self.path = path.rstrip("/")
+        self.partitions, self.compact_at = partitions, compact_at
+
+    @classmethod
+    def of_metric(cls, path: str, compact_at: int | None = None) -> Archive:
+        return cls(path, METRIC_PARTITIONS, compact_at)
+
+    @property
+    def _data(self) -> str:
+        return f"{self.path}/data"
+
+    def _with_partitions(self, df: DataFrame) -> DataFrame:
+        return with_raw_partitions(df) if self.partitions == RAW_PARTITIONS else with_metric_partitions(df)
+
+    def _manifest(self, key: str) -> Manifest:
+        return Manifest(f"{self.path}/manifest/{key}")
+
+    def _folder(self, key: str) -> str:
+        """``2024-01-31-05`` lies in ``year=2024/month=1/day=31/hour=5``."""
+        parts = zip(self.partitions, key.split("-"), strict=True)
+        return "/".join([self._data, *[f"{name}={int(value)}" for name, value in parts]])
+
+    def _key(self) -> Column:
+        widths = {"year": 4}
+        return F.concat_ws("-", *[F.lpad(F.col(p).cast("string"), widths.get(p, 2), "0")
+                                  for p in self.partitions])
+
+    def write_batch(self, df: DataFrame, batch_id: int, run: str | None = None) -> None:
+        """Add a micro-batch, exactly once however often it is repeated.
+
+        ``df`` is read twice, so cache it.  The driver gets the partitions that the batch touches.
+        """
+        spark = df.sparkSession
+        run = run or run_id(spark)
+        rows, label = self._with_partitions(df), f"{run}.{batch_id}"
+        keys = sorted(r[0] for r in rows.select(self._key()).distinct().collect())
+        pending = [k for k in keys
+                   if self._manifest(k).read(spark)[1].get("runs", {}).get(run, -1) < batch_id]
+        if not pending:
+            return
+        if len(pending) < len(keys):
+            rows = rows.filter(self._key().isin(pending))
+        (rows.withColumn(BATCH, F.lit(label)).hint("rebalance", *self.partitions)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*self.partitions, BATCH).parquet(self._data))
+        for key in pending:
+            now = self._manifest(key).update(spark, lambda m, key=key: {
+                **m, "key": key, "live": [*m.get("live", []), label],
+                "runs": {**m.get("runs", {}), run: batch_id}})
+            if self.compact_at and len(self._small(now)) >= self.compact_at:
+                self.compact(spark, key)
+
+    @staticmethod
+    def _small(manifest: dict) -> list[str]:
+        return [b for b in manifest.get("live", []) if not b.startswith(_FULL)]
+
+    def compact(self, spark: SparkSession, key: str) -> bool:
+        """Make one folder of the small ones of a partition; false if there are fewer than two."""
+        version, now = self._manifest(key).read(spark)
+        small, here = self._small(now), Folder(spark, self._folder(key))
+        named = {*now.get("live", []), *now.get("replaced", [])}
+        lost = [n.removeprefix(f"{BATCH}=") for n in here.names() if n.startswith(f"{BATCH}={_FULL}")]
+        for gone in [*now.get("replaced", []), *[n for n in lost if n not in named]]:
+            here.delete(f"{BATCH}={gone}")
+        if len(small) < 2:
+            return False
+        full = f"{_FULL}{version}"
+        rows = spark.read.option("mergeSchema", "true").parquet(
+            *[f"{here.path}/{BATCH}={b}" for b in small])
+        rows.hint("rebalance").write.mode("overwrite").parquet(f"{here.path}/{BATCH}={full}")
+        self._manifest(key).update(spark, lambda m: {
+            **m, "live": [full, *[b for b in m["live"] if b not in small]], "replaced": small})
+        return True
+
+    def keys(self, spark: SparkSession) -> list[str]:
+        """The partitions there are, in order."""
+        return sorted(newest_versions(spark, f"{self.path}/manifest"))
+
+    def read(self, spark: SparkSession, schema: T.StructType, start: str | None = None,
+             end: str | None = None) -> DataFrame:
+        """What counts in the partitions from ``start`` to ``end`` (keys, inclusive), with the
+        partition columns.  The manifests are read by a job, however many there are."""
+        fields = [f for f in schema.fields if f.name not in self.partitions]
+        whole = T.StructType([*fields, *[T.StructField(p, T.IntegerType()) for p in self.partitions]])
+        newest = newest_versions(spark, f"{self.path}/manifest")
+        chosen = [p for k, p in newest.items() if (not start or k >= start) and (not end or k <= end)]
+        folders = []
+        if chosen:
+            live = spark.read.schema("key string, live array<string>").json(chosen)
+            folders = [f"{self._folder(r['key'])}/{BATCH}={b}" for r in live.collect() for b in r["live"]]
+        if not folders:
+            return spark.createDataFrame([], whole)
+        return (spark.read.schema(whole).option("basePath", self._data).parquet(*folders)
+                .select(*whole.fieldNames()))
 
 
 def write_raw(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -81,21 +161,33 @@ def write_metric(df: DataFrame, path: str, mode: str = "append") -> None:
     _write(with_metric_partitions(df), path, METRIC_PARTITIONS, mode)
 
 
-def archive_stream(df: DataFrame, path: str, checkpoint: str, name: str,
-                   available_now: bool = False, interval: str = "1 minute",
-                   files_per_batch: int | None = None):
-    """Append every event of a stream to the hourly archive, exactly once.
+def write_dead_letters(df: DataFrame, path: str, batch_id: int) -> None:
+    """Add a micro-batch's rejected messages under the day they were rejected on, exactly once.
 
-    Each task writes a file per hour it sees; ``files_per_batch`` evens a micro-batch out over
-    that many tasks first, where the source has far more partitions than the batch needs files.
+    A batch without any writes nothing.  A batch that is repeated on the next day goes by the day
+    that its row of the manifest names, so that it replaces its own.
     """
-    events = with_raw_partitions(df)
-    if files_per_batch:
-        events = events.repartition(files_per_batch)
-    writer = (
-        events.writeStream.format("parquet").queryName(name)
-        .option("checkpointLocation", checkpoint).option("path", path)
-        .partitionBy(*RAW_PARTITIONS)
-    )
+    if df.isEmpty():
+        return
+    spark = df.sparkSession
+    label = f"{run_id(spark)}.{batch_id}"
+    today = spark.range(1).select(F.current_date().cast("string")).first()[0]
+    begun = Manifest(f"{path}/batch").update(
+        spark, lambda m: None if m.get("batch") == label else {"batch": label, "date": today})
+    (df.withColumn("rejected_at", F.current_timestamp()).write.mode("overwrite")
+     .parquet(f"{path}/data/date={begun['date']}/{BATCH}={label}"))
+
+
+def archive_stream(df: DataFrame, archive: Archive, checkpoint: str, name: str,
+                   available_now: bool = False, interval: str = "1 minute"):
+    """Append every event of a stream to an archive, exactly once."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            archive.write_batch(batch, batch_id)
+        finally:
+            batch.unpersist()
+
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    return writer.trigger(**trigger).start()
+    return (df.writeStream.queryName(name).foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
