@@ -22,7 +22,9 @@ s AS (
   UNION ALL SELECT *, 3, 'READY_FOR_PICKUP', 35 + prep * 60 FROM b WHERE NOT canc
   UNION ALL SELECT *, 4, 'PICKED_UP', 95 + prep * 60 FROM b WHERE NOT canc AND k % 100 <> 0
   UNION ALL SELECT *, 5, 'IN_TRANSIT', 105 + prep * 60 FROM b WHERE NOT canc
-  UNION ALL SELECT *, 6, 'DELIVERED', 105 + (prep + deliv) * 60 FROM b WHERE NOT canc AND k % 24 <> 15),
+  UNION ALL SELECT *, 6, 'DELIVERED', 105 + (prep + deliv) * 60 FROM b WHERE NOT canc AND k % 24 <> 15
+  UNION ALL SELECT *, 7, 'IN_TRANSIT', 705 + prep * 60 FROM b WHERE NOT canc AND k % 120 IN (39, 87)
+  UNION ALL SELECT *, 8, 'DELIVERED', 1305 + prep * 60 FROM b WHERE NOT canc AND k % 120 = 39),
 orders_raw AS (
   SELECT concat('E', CAST(k AS STRING), '-', CAST(seq AS STRING)) AS event_id,
          concat('O', CAST(k AS STRING)) AS order_id,
@@ -34,7 +36,7 @@ orders_raw AS (
          round(value + 5, 2) AS order_value_eur,
          CASE WHEN NOT canc AND seq >= 1 THEN prep + k % 3 END AS estimated_prep_minutes,
          CASE WHEN NOT canc AND seq >= 3 THEN prep END AS actual_prep_minutes,
-         CASE WHEN seq = 6 THEN deliv END AS actual_delivery_minutes,
+         CASE WHEN seq = 6 THEN deliv WHEN seq = 8 THEN 20 END AS actual_delivery_minutes,
          CASE WHEN k % 37 = 0 THEN NULL
               WHEN u < 12 THEN concat('DEV-FRAUD-', CAST(u // 4 AS STRING))
               ELSE concat('DEV-', CAST(u AS STRING)) END AS device_id,
@@ -44,13 +46,20 @@ orders_feed AS (
   SELECT *, false AS is_duplicate FROM orders_raw
   UNION ALL SELECT *, true FROM orders_raw WHERE has_copy),
 o AS (SELECT * FROM orders_feed WHERE NOT is_duplicate),
+seen AS (
+  SELECT *, t0 AS seen_us FROM b CROSS JOIN (VALUES (0),(1),(2),(3),(4),(5),(6),(7),(8),(9)) AS r(c)
+  CROSS JOIN (VALUES (0)) AS x(d) WHERE c <= u % 10
+  UNION ALL
+  SELECT *, t0 + (165 + prep * 60 + d * 60) * 1000000 FROM b CROSS JOIN (VALUES (0)) AS r(c)
+  CROSS JOIN (VALUES (1), (2)) AS x(d)
+  WHERE NOT canc AND k % 24 = 15 AND (d = 1 OR k % 48 = 15)),
 c AS (
-  SELECT concat('CE', CAST(k AS STRING), '-', CAST(c AS STRING)) AS event_id,
+  SELECT concat('CE', CAST(k AS STRING), '-', CAST(c AS STRING), CASE WHEN d > 0 THEN concat('-d', CAST(d AS STRING)) ELSE '' END) AS event_id,
          concat('C', CAST(u * 10 + c AS STRING)) AS courier_id, zone_id,
          CASE WHEN k % 8 >= 6 AND c = 0 THEN concat('O', CAST(k AS STRING)) END AS order_id,
-         CASE WHEN k % 8 < 5 THEN 'ONLINE_IDLE' WHEN k % 8 = 5 THEN 'HEADING_TO_RESTAURANT'
+         CASE WHEN d > 0 THEN 'OFFLINE' WHEN k % 8 < 5 THEN 'ONLINE_IDLE' WHEN k % 8 = 5 THEN 'HEADING_TO_RESTAURANT'
               WHEN k % 8 = 6 THEN 'HEADING_TO_CUSTOMER' ELSE 'OFFLINE' END AS status,
-         make_timestamp(t0) AS event_time, make_timestamp(t0) AS ingestion_time,
+         make_timestamp(seen_us) AS event_time, make_timestamp(seen_us) AS ingestion_time,
          round(CAST(40.4168 AS DOUBLE) + CAST(k % 41 - 20 AS DOUBLE) / 1000, 6) AS latitude,
          round(CAST(-3.7038 AS DOUBLE) + CAST(k % 37 - 18 AS DOUBLE) / 1000, 6) AS longitude,
          CASE WHEN k % 60 = 0 THEN CAST(120 AS DOUBLE) ELSE CAST(3 + k % 23 AS DOUBLE) END AS location_accuracy_meters,
@@ -59,9 +68,8 @@ c AS (
          ['BICYCLE','SCOOTER','MOTORCYCLE','CAR','WALKING'][u % 5 + 1] AS vehicle_type,
          concat('S', CAST(u * 10 + c AS STRING), '-', CAST((t0 - 1704067200000000) // 14400000000 AS STRING)) AS active_session_id,
          make_timestamp(t0 - (t0 - 1704067200000000) % 14400000000) AS session_start_time,
-         CASE WHEN k % 8 = 7 THEN CASE WHEN k % 3 = 0 THEN 'MID_DELIVERY_DROP' ELSE 'SHIFT_END' END END AS offline_reason
-  FROM b CROSS JOIN (VALUES (0),(1),(2),(3),(4),(5),(6),(7),(8),(9)) AS r(c)
-  WHERE c <= u % 10),
+         CASE WHEN d > 0 OR k % 24 = 15 THEN 'MID_DELIVERY_DROP' WHEN k % 8 = 7 THEN 'SHIFT_END' END AS offline_reason
+  FROM seen),
 dim AS (
   SELECT concat('R', CASE WHEN s_suppkey < 10000 THEN lpad(CAST(s_suppkey AS STRING), 4, '0') ELSE CAST(s_suppkey AS STRING) END) AS restaurant_id,
          s_name AS restaurant_name,
@@ -246,17 +254,31 @@ SELECT year(event_time) AS year, month(event_time) AS month, day(event_time) AS
        hour(event_time) AS hour, count(*) AS event_count, sum(order_value_eur) AS order_value
 FROM o GROUP BY ALL"""
 
-# Of an order's drops the last one counts; in transit at or before it, not delivered at or after it.
-_ORPHANS = """
+
+
+def _orphans(drops: str = "true") -> str:
+    """Of an order's drops the last one counts; in transit at or before it, not delivered at or after
+    it, both within two hours."""
+    return f"""
 SELECT order_id, zone_id, courier_id AS dropped_courier_id, event_time AS drop_time, in_transit_time
 FROM (SELECT d.*, (SELECT max(t.event_time) FROM o t WHERE t.order_id = d.order_id
-                   AND t.status = 'IN_TRANSIT' AND t.event_time <= d.event_time) AS in_transit_time
+                   AND t.status = 'IN_TRANSIT' AND t.event_time <= d.event_time
+                   AND t.event_time >= d.event_time - INTERVAL 2 HOUR) AS in_transit_time
       FROM (SELECT * FROM c WHERE status = 'OFFLINE' AND offline_reason = 'MID_DELIVERY_DROP'
-                              AND order_id IS NOT NULL
+                              AND order_id IS NOT NULL AND {drops}
             QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY event_time DESC, event_id DESC) = 1) d) _q
 WHERE in_transit_time IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM o v WHERE v.order_id = _q.order_id AND v.status = 'DELIVERED'
-                                       AND v.event_time >= _q.event_time)"""
+                                       AND v.event_time >= _q.event_time
+                                       AND v.event_time <= _q.event_time + INTERVAL 2 HOUR)"""
+
+
+# The drops whose two hours are over for both feeds when the streams have read all.
+_TOLD_DROPS = """event_time + INTERVAL 2 HOUR < (
+  SELECT least((SELECT date_trunc('millisecond', max(event_time)) - INTERVAL 5 MINUTE FROM o
+                WHERE status IN ('IN_TRANSIT', 'DELIVERED')),
+               (SELECT date_trunc('millisecond', max(event_time)) - INTERVAL 3 MINUTE FROM c
+                WHERE offline_reason = 'MID_DELIVERY_DROP' AND order_id IS NOT NULL)))"""
 
 # Rows whose 5-minute window the watermark had not passed: half-hour drops, one second of delay; the
 # watermark of a drop follows from the drops before it.
@@ -307,6 +329,9 @@ GROUP BY 1""",
     "supply_windows": supply(),
     "supply_event_windows": supply(counted="count(*)"),
     "demand_supply_health": health(),
+    "demand_supply_health_resurfaced": health(f"""(
+SELECT order_id, zone_id, event_time, status FROM o
+UNION ALL SELECT order_id, zone_id, drop_time, 'PLACED' FROM ({_orphans()}))"""),
     "health_from_supply_side": health(join="RIGHT JOIN"),
     "enrich_orders": """
 SELECT event_id, restaurant_id, restaurant_name, x.zone_id, cuisine_type, sla_tier, actual_prep_minutes
@@ -359,8 +384,8 @@ SELECT * FROM (
                          CASE WHEN status = 'OFFLINE' AND before <= 10 THEN 'LOW_BATTERY_OFFLINE' END) AS quality_flags
   FROM (SELECT *, lag(battery_pct) OVER (PARTITION BY courier_id ORDER BY event_time, event_id) AS before
         FROM c)) WHERE quality_flags <> ''""",
-    "orphaned_deliveries": _ORPHANS,
-    "stream_orphaned_deliveries": _ORPHANS,
+    "orphaned_deliveries": _orphans(),
+    "stream_orphaned_deliveries": _orphans(_TOLD_DROPS),
     "stream_orders_per_minute": f"""
 SELECT {_tumbling(1)}, zone_id, count(*) AS order_count FROM o WHERE status = 'PLACED' GROUP BY ALL""",
     "stream_revenue_per_hour": f"""
@@ -517,7 +542,7 @@ _COLUMNS: dict[str, tuple[str, ...]] = {
     "demand_event_windows": _DEMAND,
     "supply_windows": _SUPPLY,
     "supply_event_windows": _SUPPLY,
-    "demand_supply_health": _HEALTH,
+    "demand_supply_health": _HEALTH, "demand_supply_health_resurfaced": _HEALTH,
     "health_from_supply_side": _HEALTH,
     "enrich_orders": ("event_id", "restaurant_id", "restaurant_name", "zone_id", "cuisine_type",
         "sla_tier", "actual_prep_minutes"),

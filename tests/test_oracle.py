@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle.sql import ORACLE_SQL as SQL
-from tests.compare import difference
+from tests.compare import difference, oracle_rows
 from zonepulse.plans.catalog import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -21,6 +21,12 @@ def test_batch_query(spark, name):
     assert difference(QUERIES[name](spark, SF_DIR), SQL[name], SF_DIR) == ""
 
 
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_every_answer_has_rows(name):
+    """A query that returns nothing must not pass for one that agrees."""
+    assert oracle_rows(SQL[name], SF_DIR)[1]
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns[:4] == ["window_start", "window_end", "window_type", "zone_id"]

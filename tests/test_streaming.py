@@ -160,35 +160,62 @@ def test_a_message_is_parsed_once(spark, raw_orders):
         assert plan.count("from_json") == 1
 
 
+def two_feeds(spark, session, tmp_path, name, steps, cfg=MetricConfig()):
+    """Feed a metric both feeds step by step; returns its table."""
+    job = JOBS[name]
+    for i, (orders, fleet) in enumerate(steps):
+        for label, df in (("o", orders), ("c", fleet)):
+            df.write.mode("append").parquet(f"{tmp_path}/{label}")
+        feeds = Feeds(
+            clean_stream(stream_parquet(session, f"{tmp_path}/o", ORDERS.schema), cfg.orders_watermark),
+            clean_stream(stream_parquet(session, f"{tmp_path}/c", COURIERS.schema), cfg.couriers_watermark))
+        start_metric(job, feeds, f"{tmp_path}/out", f"{tmp_path}/cp", cfg,
+                     available_now=True).awaitTermination()
+    return ChangelogTable.of(job.table, f"{tmp_path}/out/{name}").latest(spark)
+
+
 def test_dropped_orders_follow_one_rule_in_both_forms(spark, raw_orders, raw_couriers, tmp_path):
-    """Two drops, a new courier after the drop, deliveries between and after drops."""
+    """Two drops, a new courier after the drop, deliveries between and after drops, and steps too
+    far from the drop to count."""
     drop = {"status": "OFFLINE", "offline_reason": "MID_DELIVERY_DROP"}
     events = [("IN_TRANSIT", "twice", 5), ("DELIVERED", "twice", 12),      # drops at 10 and 15
               ("IN_TRANSIT", "later", 12),                                 # only after the drop
               ("IN_TRANSIT", "again", 5), ("IN_TRANSIT", "again", 20),     # reassigned, not delivered
-              ("IN_TRANSIT", "saved", 5), ("DELIVERED", "saved", 30)]
+              ("IN_TRANSIT", "saved", 5), ("DELIVERED", "saved", 30),
+              ("IN_TRANSIT", "too late", 5), ("DELIVERED", "too late", 131),
+              ("IN_TRANSIT", "in time", 5), ("DELIVERED", "in time", 130)]
     orders = raw_orders(*[{"order_id": o, "status": s, "event_time": at(t), "event_id": f"{o}{s}{t}"}
-                          for s, o, t in events])
+                          for s, o, t in events],
+                        {"order_id": "end", "event_time": at(300), "event_id": "end",
+                         "status": "IN_TRANSIT"})
     fleet = raw_couriers(*[{**drop, "order_id": o, "event_time": at(t), "event_id": f"{o}{t}"}
                            for o, t in (("twice", 10), ("twice", 15), ("later", 10), ("again", 10),
-                                        ("saved", 10))])
+                                        ("saved", 10), ("unknown", 10), ("too late", 10),
+                                        ("in time", 10))],
+                         {**drop, "order_id": "other", "event_time": at(300), "event_id": "end"})
     batch = couriers.orphaned_deliveries(quality.clean(orders), quality.clean(fleet))
     want = {(r.order_id, r.drop_time, r.in_transit_time) for r in batch.collect()}
-    assert {(o, d.minute, t.minute) for o, d, t in want} == {("twice", 15, 5), ("again", 10, 5)}
+    assert {(o, d.minute, t.minute) for o, d, t in want} == {
+        ("twice", 15, 5), ("again", 10, 5), ("too late", 10, 5)}
     session = streaming_session(spark, 2)
-    for name, df in (("o", orders), ("c", fleet)):
-        df.limit(0).write.parquet(f"{tmp_path}/{name}")
-    for low, high in ((0, 11), (11, 14), (14, 60)):
-        for name, df in (("o", orders), ("c", fleet)):
-            df.filter((F.col("event_time") >= at(low)) & (F.col("event_time") < at(high))
-                      ).write.mode("append").parquet(f"{tmp_path}/{name}")
-        feeds = Feeds(clean_stream(stream_parquet(session, f"{tmp_path}/o", ORDERS.schema), "5 minutes"),
-                      clean_stream(stream_parquet(session, f"{tmp_path}/c", COURIERS.schema), "5 minutes"))
-        start_metric(JOBS["orphaned_deliveries"], feeds, f"{tmp_path}/out", f"{tmp_path}/cp",
-                     available_now=True).awaitTermination()
-    table = ChangelogTable.of(JOBS["orphaned_deliveries"].table, f"{tmp_path}/out/orphaned_deliveries")
-    live = table.latest(spark).filter("is_orphaned").collect()
-    assert {(r.order_id, r.drop_time, r.in_transit_time) for r in live} == want
+
+    def between(low, high):
+        return [df.filter((F.col("event_time") >= at(low)) & (F.col("event_time") < at(high)))
+                for df in (orders, fleet)]
+
+    judged = two_feeds(spark, session, tmp_path, "judged_drops", [
+        between(*b) for b in ((0, 11), (11, 14), (14, 132), (132, 301))])
+    rows = judged.collect()
+    assert len(rows) == 8
+    assert {(r.order_id, r.drop_time.minute) for r in rows if not r.is_orphaned} == {
+        ("twice", 10), ("later", 10), ("saved", 10), ("unknown", 10), ("in time", 10)}
+    assert {(r.order_id, r.drop_time, r.in_transit_time)
+            for r in couriers.last_drops(judged).collect()} == want
+
+
+def test_dropped_orders_need_no_python_workers(raw_orders, raw_couriers):
+    plan = couriers.judged_drops(quality.clean(raw_orders()), quality.clean(raw_couriers()))
+    assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
 
 
 class _Query:

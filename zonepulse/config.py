@@ -31,8 +31,8 @@ class MetricConfig:
     surge_minutes: int = 5
     surge_lookback_windows: int = 6
     session_gap_minutes: int = 30
-    # How long a stream remembers an order of which nothing is heard.
-    order_silence_hours: int = 48
+    # How far from a courier's drop the steps of the order may lie.
+    orphan_hours: int = 2
 
     # Preparation limits per tier (minutes, breached when p95 is above).
     sla_limits: dict[str, int] = field(

@@ -275,7 +275,7 @@ LIVE_TABLES: dict[str, MetricTable] = {t.name: t for t in (
     _table("courier_sessions", ("courier_id", "session_start"),
            "courier_id STRING, session_start TIMESTAMP, session_end TIMESTAMP, "
            "event_count BIGINT"),
-    _table("orphaned_deliveries", ("order_id",),
-           "order_id STRING, zone_id STRING, dropped_courier_id STRING, drop_time TIMESTAMP, "
-           "in_transit_time TIMESTAMP, is_orphaned BOOLEAN"),
+    _table("judged_drops", ("order_id", "drop_time", "drop_event_id"),
+           "order_id STRING, drop_time TIMESTAMP, drop_event_id STRING, zone_id STRING, "
+           "dropped_courier_id STRING, in_transit_time TIMESTAMP, is_orphaned BOOLEAN"),
 )}

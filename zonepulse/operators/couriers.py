@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from functools import partial
-
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonepulse.config import DEFAULTS, MetricConfig
@@ -169,12 +166,14 @@ def _drops(couriers: DataFrame) -> DataFrame:
                            & F.col("order_id").isNotNull())
 
 
-def orphaned_deliveries(orders: DataFrame, couriers: DataFrame) -> DataFrame:
+def orphaned_deliveries(orders: DataFrame, couriers: DataFrame,
+                        cfg: MetricConfig = DEFAULTS) -> DataFrame:
     """Orders whose courier dropped out in transit and that were not delivered afterwards.
 
     The rule: of an order's drops the last one counts; the order was in transit at or before it;
-    and it was not delivered at or after it.  Drops are reduced to one row per order before the
-    join; what the join finds is combined per task before it is shuffled.
+    and it was not delivered at or after it, both within ``cfg.orphan_hours``.  Drops are reduced
+    to one row per order before the join; what the join finds is combined per task before it is
+    shuffled.
     """
     drops = (
         _drops(couriers).groupBy("order_id")
@@ -182,75 +181,58 @@ def orphaned_deliveries(orders: DataFrame, couriers: DataFrame) -> DataFrame:
                                F.col("courier_id").alias("dropped_courier_id")),
                       F.struct(EVENT_TIME, "event_id")).alias("d"))
     )
-    steps = orders.filter(F.col("status").isin("IN_TRANSIT", "DELIVERED")).select(
-        "order_id", "status", F.col(EVENT_TIME).alias("at"))
-    drop = F.col("d.drop_time")
+    steps = _steps(orders)
+    drop, bound = F.col("d.drop_time"), interval(60 * cfg.orphan_hours)
     return (
-        steps.join(drops, "order_id").groupBy("order_id", "d")
-        .agg(F.max(F.when((F.col("status") == "IN_TRANSIT") & (F.col("at") <= drop), F.col("at")))
-             .alias("in_transit_time"),
-             F.max((F.col("status") == "DELIVERED") & (F.col("at") >= drop)).alias("delivered"))
+        steps.join(drops, "order_id")
+        .filter((F.col("at") >= drop - bound) & (F.col("at") <= drop + bound))
+        .groupBy("order_id", "d").agg(*_judged(drop))
         .filter(F.col("in_transit_time").isNotNull() & ~F.col("delivered"))
         .select("order_id", "d.zone_id", "d.dropped_courier_id", "d.drop_time", "in_transit_time")
     )
 
 
-_ORPHAN_FIELDS = ("order_id string, zone_id string, dropped_courier_id string, "
-                  "drop_time timestamp, in_transit_time timestamp, is_orphaned boolean")
-_ORPHAN_STATE = ("event_id string, zone_id string, courier_id string, drop_us long, "
-                 "transits array<long>, delivered_us long")
+def _steps(orders: DataFrame) -> DataFrame:
+    return orders.filter(F.col("status").isin("IN_TRANSIT", "DELIVERED")).select(
+        "order_id", F.col("status").alias("step"), F.col(EVENT_TIME).alias("at"))
+
+
+def _judged(drop: Column) -> tuple[Column, Column]:
+    """What an order's steps say about a drop."""
+    return (
+        F.max(F.when((F.col("step") == "IN_TRANSIT") & (F.col("at") <= drop), F.col("at")))
+        .alias("in_transit_time"),
+        F.coalesce(F.max((F.col("step") == "DELIVERED") & (F.col("at") >= drop)), F.lit(False))
+        .alias("delivered"),
+    )
 
 
-def orphaned_deliveries_live(orders: DataFrame, couriers: DataFrame,
-                             cfg: MetricConfig = DEFAULTS) -> DataFrame:
-    """The same rule over two streams (update mode): a row per order whenever its answer is known
-    anew, with ``is_orphaned``.
+def judged_drops(orders: DataFrame, couriers: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
+    """Every drop of a stream with ``is_orphaned``, told once (append mode).
 
-    State per order is its last drop, the times it was in transit and its last delivery.  It is kept
-    until ``cfg.order_silence_hours`` pass without an event of the order; that bounds state and does
-    not take part in the answer, which is given at once.
+    The drops are joined with the steps of their order that lie within ``cfg.orphan_hours``, an
+    outer join with a time bound, so that a drop without any step is told too; the matches of a drop
+    are then combined.  A drop is told when the watermarks of both feeds have passed its bound, and
+    that is also how long both sides are kept.  ``last_drops`` makes orders of drops.
     """
-    orders = ensure_watermark(orders, cfg.orders_watermark)
-    couriers = ensure_watermark(couriers, cfg.couriers_watermark)
-    drops = _drops(couriers).select("order_id", EVENT_TIME, F.lit("DROP").alias("step"), "event_id",
-                                    "zone_id", "courier_id")
-    steps = orders.filter(F.col("status").isin("IN_TRANSIT", "DELIVERED") & F.col(
-        "order_id").isNotNull()).select(
-        "order_id", EVENT_TIME, F.col("status").alias("step"), "event_id",
-        F.lit(None).cast("string").alias("zone_id"), F.lit(None).cast("string").alias("courier_id"))
-    silence_ms = cfg.order_silence_hours * 3_600_000
-    return steps.unionByName(drops).groupBy("order_id").applyInPandasWithState(
-        partial(_follow_order, silence_ms), _ORPHAN_FIELDS, _ORPHAN_STATE, "update",
-        "EventTimeTimeout")
-
-
-def _follow_order(silence_ms: int, key, batches, state):
-    """One order's events of a micro-batch: update its state and tell whether it is orphaned."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    event_id, zone, courier, drop, transits, delivered = (
-        state.get if state.exists else (None, None, None, None, [], None))
-    transits, newest = set(transits or ()), 0
-    for pdf in batches:
-        times = pdf[EVENT_TIME].astype("datetime64[us]").astype("int64")
-        for row, t in zip(pdf.itertuples(index=False), times, strict=True):
-            t = int(t)
-            newest = max(newest, t)
-            if row.step == "IN_TRANSIT":
-                transits.add(t)
-            elif row.step == "DELIVERED":
-                delivered = t if delivered is None else max(delivered, t)
-            elif drop is None or (t, row.event_id) > (drop, event_id):
-                event_id, zone, courier, drop = row.event_id, row.zone_id, row.courier_id, t
-    state.update((event_id, zone, courier, drop, sorted(transits), delivered))
-    state.setTimeoutTimestamp(max(newest // 1000, state.getCurrentWatermarkMs()) + silence_ms)
-    if drop is None:
-        return
-    before = [t for t in transits if t <= drop]
-    lost = bool(before) and (delivered is None or delivered < drop)
-    yield pd.DataFrame({
-        "order_id": [key[0]], "zone_id": [zone], "dropped_courier_id": [courier],
-        "drop_time": pd.to_datetime([drop], unit="us"),
-        "in_transit_time": pd.to_datetime([max(before) if before else None], unit="us"),
-        "is_orphaned": [lost]})
+    steps = _steps(ensure_watermark(orders, cfg.orders_watermark)).withColumnRenamed(
+        "order_id", "step_order_id")
+    drops = _drops(ensure_watermark(couriers, cfg.couriers_watermark)).select(
+        "order_id", F.col(EVENT_TIME).alias("drop_time"), F.col("event_id").alias("drop_event_id"),
+        "zone_id", F.col("courier_id").alias("dropped_courier_id"))
+    hours = f"INTERVAL {cfg.orphan_hours} HOURS"
+    joined = drops.join(steps, F.expr(
+        f"order_id = step_order_id AND at >= drop_time - {hours} AND at <= drop_time + {hours}"),
+        "left_outer")
+    key = ["order_id", "drop_time", "drop_event_id", "zone_id", "dropped_courier_id"]
+    return joined.groupBy(*key).agg(*_judged(F.col("drop_time"))).select(
+        *key, "in_transit_time",
+        (F.col("in_transit_time").isNotNull() & ~F.col("delivered")).alias("is_orphaned"))
+
+
+def last_drops(judged: DataFrame) -> DataFrame:
+    """The orders that are orphaned, going by the last drop of each that ``judged_drops`` told."""
+    values = ("zone_id", "dropped_courier_id", "drop_time", "in_transit_time", "is_orphaned")
+    last = F.max_by(F.struct(*values), F.struct("drop_time", "drop_event_id")).alias("last")
+    return (judged.groupBy("order_id").agg(last).select("order_id", "last.*")
+            .filter("is_orphaned").drop("is_orphaned"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from zonepulse.config import DEFAULTS, MetricConfig
 from zonepulse.functions.expressions import health_ratio, health_status
-from zonepulse.functions.windows import ensure_watermark, flatten_window, tumbling
+from zonepulse.functions.windows import EVENT_TIME, ensure_watermark, flatten_window, tumbling
 from zonepulse.model import PENDING_STATES
 
 
@@ -98,10 +98,13 @@ def join_health(demand: DataFrame, supply: DataFrame, cfg: MetricConfig = DEFAUL
     return classify_health(demand.join(supply, keys, how), cfg)
 
 
-def demand_supply_health(orders: DataFrame, couriers: DataFrame,
-                         cfg: MetricConfig = DEFAULTS) -> DataFrame:
+def demand_supply_health(orders: DataFrame, couriers: DataFrame, cfg: MetricConfig = DEFAULTS,
+                         orphans: DataFrame | None = None) -> DataFrame:
     """Balance straight from both feeds.
 
+    ``orphans`` (``order_id, zone_id, drop_time``) are orders that lost their courier: they are
+    pending again in the window and zone of the drop.
+
     The feeds are stacked and counted by side, which keeps zones seen by one feed only (a full
     outer join of the two counts) and, unlike a stream-stream join, works in update mode.  On a
     stream the smaller progress of the two feeds drives the watermark.
@@ -113,6 +116,9 @@ def demand_supply_health(orders: DataFrame, couriers: DataFrame,
 
     both = side(_pending(orders, cfg), "order_id", "demand").unionByName(
         side(_idle(couriers, cfg), "courier_id", "supply"))
+    if orphans is not None:
+        again = orphans.select("order_id", "zone_id", F.col("drop_time").alias(EVENT_TIME))
+        both = both.unionByName(side(again, "order_id", "demand"))
     if both.isStreaming and cfg.stream_distinct == "approx":
         def ids(label: str) -> Column:
             return F.approx_count_distinct(F.when(F.col("side") == label, F.col("id")))

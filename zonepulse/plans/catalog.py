@@ -219,6 +219,14 @@ def demand_supply_health(spark, sf_dir):
     return demand_supply.demand_supply_health(_orders(spark, sf_dir), _couriers(spark, sf_dir))
 
 
+@query
+def demand_supply_health_resurfaced(spark, sf_dir):
+    """Orphaned orders await a courier again, from the window of the drop on."""
+    orders, fleet = _orders(spark, sf_dir), _couriers(spark, sf_dir)
+    return demand_supply.demand_supply_health(
+        orders, fleet, orphans=couriers.orphaned_deliveries(orders, fleet))
+
+
 @query
 def health_from_supply_side(spark, sf_dir):
     return demand_supply.join_health(
@@ -576,8 +584,8 @@ def stream_courier_sessions(spark, sf_dir):
 
 @query
 def stream_orphaned_deliveries(spark, sf_dir):
-    return _stream_metric(spark, sf_dir, "orphaned_deliveries").filter("is_orphaned").drop(
-        "is_orphaned")
+    """Orders orphaned by the last of their drops whose time to be delivered is over."""
+    return couriers.last_drops(_stream_metric(spark, sf_dir, "judged_drops"))
 
 
 @query

@@ -53,6 +53,9 @@ _STEPS = (
     (4, "PICKED_UP", "95 + prep * 60", "NOT canc AND k % 100 <> 0"),
     (5, "IN_TRANSIT", "105 + prep * 60", "NOT canc"),
     (6, "DELIVERED", "105 + (prep + deliv) * 60", "NOT canc AND k % 24 <> 15"),
+    # Of the orders whose courier dropped out, some get another courier and some of those arrive.
+    (7, "IN_TRANSIT", "705 + prep * 60", "NOT canc AND k % 120 IN (39, 87)"),
+    (8, "DELIVERED", "1305 + prep * 60", "NOT canc AND k % 120 = 39"),
 )
 _EXPLODED_STEPS = "explode(array({})) AS step".format(", ".join(
     f"IF({condition}, named_struct('seq', {seq}, 'status', '{status}', "
@@ -80,7 +83,7 @@ _ORDER_COLUMNS = {
     "estimated_prep_minutes": "IF(NOT canc AND step.seq >= 1, CAST(prep + k % 3 AS INT), NULL)",
     "actual_prep_minutes": "IF(NOT canc AND step.seq >= 3, CAST(prep AS INT), NULL)",
     "estimated_delivery_minutes": "CAST(NULL AS INT)",
-    "actual_delivery_minutes": "IF(step.seq = 6, CAST(deliv AS INT), NULL)",
+    "actual_delivery_minutes": "CAST(CASE step.seq WHEN 6 THEN deliv WHEN 8 THEN 20 END AS INT)",
     "cancellation_reason": "IF(step.status = 'CANCELLED', 'CUSTOMER_REQUEST', NULL)",
     "device_id": "CASE WHEN k % 37 = 0 THEN NULL WHEN u < 12 THEN concat('DEV-FRAUD-', u div 4) "
                  "ELSE concat('DEV-', u) END",
@@ -90,16 +93,21 @@ _ORDER_COLUMNS = {
     "metadata": "CAST(map() AS MAP<STRING, STRING>)",
 }
 
+# Drops number 1 and 2 follow the order's way into transit by two and three minutes.
+_AT = "t0 + IF(d > 0, 165 + prep * 60 + d * 60, 0) * 1000000"
+_DROPS = ("explode(CASE WHEN c > 0 OR canc OR k % 24 <> 15 THEN array(0) WHEN k % 48 = 15 "
+          "THEN array(0, 1, 2) ELSE array(0, 1) END) AS d")
+
 _COURIER_COLUMNS = {
     "schema_version": "'1.0.0'",
-    "event_id": "concat('CE', k, '-', c)",
+    "event_id": "concat('CE', k, '-', c, IF(d > 0, concat('-d', d), ''))",
     "courier_id": "concat('C', u * 10 + c)",
     "order_id": "IF(k % 8 >= 6 AND c = 0, concat('O', k), NULL)",
     "zone_id": "zone_id",
-    "status": "CASE WHEN k % 8 < 5 THEN 'ONLINE_IDLE' WHEN k % 8 = 5 THEN 'HEADING_TO_RESTAURANT' "
+    "status": "CASE WHEN d > 0 THEN 'OFFLINE' WHEN k % 8 < 5 THEN 'ONLINE_IDLE' WHEN k % 8 = 5 THEN 'HEADING_TO_RESTAURANT' "
               "WHEN k % 8 = 6 THEN 'HEADING_TO_CUSTOMER' ELSE 'OFFLINE' END",
-    "event_time": "timestamp_micros(t0)",
-    "ingestion_time": "timestamp_micros(t0)",
+    "event_time": f"timestamp_micros({_AT})",
+    "ingestion_time": f"timestamp_micros({_AT})",
     "latitude": "round(40.4168D + CAST(k % 41 - 20 AS DOUBLE) / 1000, 6)",
     "longitude": "round(-3.7038D + CAST(k % 37 - 18 AS DOUBLE) / 1000, 6)",
     "location_accuracy_meters": "CAST(IF(k % 60 = 0, 120, 3 + k % 23) AS FLOAT)",
@@ -112,7 +120,7 @@ _COURIER_COLUMNS = {
     "is_heartbeat": "false",
     "is_duplicate": "false",
     "is_late": "false",
-    "offline_reason": "IF(k % 8 = 7, IF(k % 3 = 0, 'MID_DELIVERY_DROP', 'SHIFT_END'), NULL)",
+    "offline_reason": "IF(d > 0 OR k % 8 = 7, IF(d > 0 OR k % 3 = 0, 'MID_DELIVERY_DROP', 'SHIFT_END'), NULL)",
     "metadata": "CAST(map() AS MAP<STRING, STRING>)",
 }
 
@@ -130,10 +138,12 @@ def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def couriers_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Courier status events in the declared schema: ``u % 10 + 1`` couriers per event row."""
+    """Courier status events in the declared schema: ``u % 10 + 1`` couriers per event row, and
+    the drops of couriers who had an order in transit."""
     return (
         _base(spark, sf_dir)
         .selectExpr("*", "explode(sequence(0L, u % 10)) AS c")
+        .selectExpr("*", _DROPS)
         .selectExpr(*[f"{_COURIER_COLUMNS[f.name]} AS {f.name}" for f in COURIERS.fields])
     )
 

@@ -75,10 +75,10 @@ JOBS: dict[str, MetricJob] = {j.name: j for j in (
     # Sessions that have ended only: a session is told once, when the watermark is past its gap.
     _job("courier_sessions", "courier_sessions", lambda f, c: couriers.gap_sessions(f.couriers, c),
          (), ("courier_id",), "append"),
-    _job("orphaned_deliveries", "orphaned_deliveries",
-         lambda f, c: couriers.orphaned_deliveries_live(f.orders, f.couriers, c),
+    _job("judged_drops", "judged_drops",
+         lambda f, c: couriers.judged_drops(f.orders, f.couriers, c),
          ("status", "order_id"),
-         ("status", "order_id", "zone_id", "courier_id", "offline_reason")),
+         ("status", "order_id", "zone_id", "courier_id", "offline_reason"), "append"),
 )}
 
 
