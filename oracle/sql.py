@@ -430,6 +430,9 @@ FROM (SELECT window_start, window_end, zone_id, pending_demand,
     "merge_fraud_alerts": _merged(fraud, ("window_start", "window_end", "device_id"), {
         "distinct_customer_ids": "greatest(p.distinct_customer_ids, n.distinct_customer_ids)",
         **_plus("cancellation_count", "refund_count", "total_order_value"), **_new("fraud_flags")}),
+    # Halves that were merged by sketches and moments agree with the whole feed.
+    "merge_sla_parts": sla(), "merge_device_parts": fraud(), "merge_demand_parts": demand(),
+    "merge_delivery_parts": anomalies(),
     "merge_courier_positions": positions(),
     "merge_health": _merged(health, _ZONE_KEYS, _new(
         "pending_demand", "available_supply", "health_ratio", "health_status"), feeds="oc"),
@@ -523,6 +526,8 @@ _SESSION = ("courier_id", "session_start", "session_end", "event_count")
 _HOURLY = ("year", "month", "day", "hour", "event_count")
 
 _COLUMNS: dict[str, tuple[str, ...]] = {
+    "merge_sla_parts": _SLA, "merge_device_parts": _FRAUD, "merge_demand_parts": _DEMAND,
+    "merge_delivery_parts": _ANOMALY,
     "decode_json_orders": ("event_id", "order_id", "zone_id", "status", "event_timestamp",
         "ingestion_time", "order_value_eur", "estimated_prep_minutes", "device_id", "is_late"),
     "scan_json_files": ("event_id", "status", "event_time", "order_value_eur",

@@ -11,7 +11,7 @@ from zonepulse.functions.percentiles import discrete_percentiles
 from zonepulse.functions.windows import ensure_watermark, flatten_window, tumbling
 from zonepulse.model import METRIC_TABLES
 
-_PERCENTS = {"p50_prep": 50, "p95_prep": 95, "p99_prep": 99}
+PERCENTS = {"p50_prep": 50, "p95_prep": 95, "p99_prep": 99}
 
 
 def enrich(events: DataFrame, restaurants: DataFrame, how: str = "left") -> DataFrame:
@@ -40,13 +40,13 @@ def restaurant_sla(orders: DataFrame, restaurants: DataFrame, cfg: MetricConfig
         tumbling(size or cfg.sla_minutes), "restaurant_id", "zone_id", "actual_prep_minutes")
     if rows.isStreaming:
         sketch = F.percentile_approx(
-            "actual_prep_minutes", [p / 100 for p in _PERCENTS.values()])
+            "actual_prep_minutes", [p / 100 for p in PERCENTS.values()])
         agg = rows.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("order_count"), sketch.alias("p")
         ).select(*keys, "order_count",
-                 *[F.col("p")[i].alias(name) for i, name in enumerate(_PERCENTS)])
+                 *[F.col("p")[i].alias(name) for i, name in enumerate(PERCENTS)])
     else:
-        agg = discrete_percentiles(rows, keys, "actual_prep_minutes", _PERCENTS, "order_count")
+        agg = discrete_percentiles(rows, keys, "actual_prep_minutes", PERCENTS, "order_count")
     return _describe(agg, restaurants, cfg).select(*METRIC_TABLES["restaurant_sla"].columns)
 
 
@@ -58,7 +58,7 @@ def _describe(agg: DataFrame, restaurants: DataFrame, cfg: MetricConfig) -> Data
     named = flatten_window(agg).join(restaurants.drop("zone_id"), "restaurant_id", "left")
     breached = sla_breached(F.col("sla_tier"), F.col("p95_prep"), cfg)
     return named.withColumnsRenamed({"cuisine_type": "cuisine"}).withColumns({
-        **{p: F.col(p).cast("double") for p in _PERCENTS}, "sla_breached": breached})
+        **{p: F.col(p).cast("double") for p in PERCENTS}, "sla_breached": breached})
 
 
 def prep_estimate_error(orders: DataFrame, restaurants: DataFrame, cfg: MetricConfig = DEFAULTS,
@@ -70,7 +70,7 @@ def prep_estimate_error(orders: DataFrame, restaurants: DataFrame, cfg: MetricCo
         tumbling(size), "restaurant_id", "zone_id", "actual_prep_minutes",
         error.cast("long").alias("error"))
     agg = discrete_percentiles(
-        rows, keys, "actual_prep_minutes", _PERCENTS, "order_count",
+        rows, keys, "actual_prep_minutes", PERCENTS, "order_count",
         totals={"error_sum": F.sum("error"), "error_count": F.count("error")})
     mean = F.when(F.col("error_count") > 0, F.col("error_sum") / F.col("error_count"))
     return _describe(agg, restaurants, cfg).withColumn("avg_prep_error", mean).select(

@@ -22,6 +22,7 @@ from zonepulse.operators import (
     fraud,
     kpis,
     merge,
+    partials,
     quality,
     serving,
     sla,
@@ -405,6 +406,33 @@ def nan_to_null(spark, sf_dir):
     return merge.nan_to_null(customers.select("c_custkey", F.sqrt("c_acctbal").alias("root")))
 
 
+# --- parts that add up: the merged halves are the whole ---------------------------------------
+
+
+@query
+def merge_sla_parts(spark, sf_dir):
+    merged = _merged(spark, sf_dir, partials.sla_parts, partials.merge_sla_parts)
+    return partials.sla_of_parts(merged, testdata.restaurants(spark, sf_dir))
+
+
+@query
+def merge_device_parts(spark, sf_dir):
+    return partials.fraud_of_parts(
+        _merged(spark, sf_dir, partials.device_parts, partials.merge_device_parts))
+
+
+@query
+def merge_demand_parts(spark, sf_dir):
+    return partials.demand_of_parts(
+        _merged(spark, sf_dir, partials.demand_parts, partials.merge_demand_parts))
+
+
+@query
+def merge_delivery_parts(spark, sf_dir):
+    return partials.anomalies_of_parts(
+        _merged(spark, sf_dir, partials.delivery_parts, partials.merge_delivery_parts))
+
+
 # --- sinks -----------------------------------------------------------------------------------
 
 
