@@ -273,12 +273,92 @@ WHERE in_transit_time IS NOT NULL
                                        AND v.event_time <= _q.event_time + INTERVAL 2 HOUR)"""
 
 
-# The drops whose two hours are over for both feeds when the streams have read all.
-_TOLD_DROPS = """event_time + INTERVAL 2 HOUR < (
-  SELECT least((SELECT date_trunc('millisecond', max(event_time)) - INTERVAL 5 MINUTE FROM o
-                WHERE status IN ('IN_TRANSIT', 'DELIVERED')),
-               (SELECT date_trunc('millisecond', max(event_time)) - INTERVAL 3 MINUTE FROM c
-                WHERE offline_reason = 'MID_DELIVERY_DROP' AND order_id IS NOT NULL)))"""
+def _both_newest(orders: str, couriers: str) -> str:
+    """The watermark that a query over both feeds ends with.
+
+    The feeds arrive in drops of eight hours and the query starts again for each: only a drop with
+    rows of both feeds moves the watermark, to where the slower of the two is.
+    """
+    def drops(feed: str, delay: int, where: str) -> str:
+        return (f"SELECT epoch_us(ingestion_time) // 28800000000 AS drop_no, "
+                f"date_trunc('millisecond', max(event_time)) - INTERVAL {delay} MINUTE AS newest "
+                f"FROM {feed} WHERE {where} GROUP BY 1")
+
+    return (f"(SELECT max(least(x.newest, y.newest)) FROM ({drops('o', 5, orders)}) x "
+            f"JOIN ({drops('c', 3, couriers)}) y USING (drop_no))")
+
+
+# The drops whose two hours are over when the streams have read all.
+_TOLD_DROPS = f"""event_time + INTERVAL 2 HOUR < {_both_newest(
+    "status IN ('IN_TRANSIT', 'DELIVERED')",
+    "offline_reason = 'MID_DELIVERY_DROP' AND order_id IS NOT NULL")}"""
+
+
+def _newest(feed: str, delay: int, where: str = "true") -> str:
+    """The watermark that a stream of these rows ends with."""
+    return (f"(SELECT date_trunc('millisecond', max(event_time)) - INTERVAL {delay} MINUTE "
+            f"FROM {feed} WHERE {where})")
+
+
+_SESSIONS = """
+SELECT active_session_id, courier_id, least(min(session_start_time), min(event_time)) AS session_start,
+       max(event_time) AS session_end, count(*) AS event_count,
+       (epoch_us(max(event_time)) - epoch_us(least(min(session_start_time), min(event_time)))) / 60000000 AS session_minutes,
+       count(*) FILTER (status = 'OFFLINE') > 0 AS is_closed
+FROM c GROUP BY active_session_id, courier_id"""
+
+_QUALITY_FLAGS = """
+SELECT * FROM (
+  SELECT event_id, courier_id, zone_id, event_time AS event_timestamp, speed_kmh,
+         location_accuracy_meters, battery_pct,
+         concat_ws(', ', CASE WHEN speed_kmh >= 200 THEN 'IMPOSSIBLE_SPEED' END,
+                         CASE WHEN location_accuracy_meters > 100 THEN 'POOR_ACCURACY' END,
+                         CASE WHEN status = 'OFFLINE' AND before <= 10 THEN 'LOW_BATTERY_OFFLINE' END) AS quality_flags
+  FROM (SELECT *, lag(battery_pct) OVER (PARTITION BY courier_id ORDER BY event_time, event_id) AS before
+        FROM c)) WHERE quality_flags <> ''"""
+
+_LIFE_STEPS = "status IN ('PLACED', 'READY_FOR_PICKUP', 'PICKED_UP', 'DELIVERED')"
+
+
+def _durations(over: str = "") -> str:
+    return f"""
+SELECT order_id, (epoch_us(d) - epoch_us(p)) / 60000000 AS placed_to_delivered_min,
+       (epoch_us(u) - epoch_us(r)) / 60000000 AS ready_to_pickup_min,
+       (epoch_us(d) - epoch_us(u)) / 60000000 AS pickup_to_delivered_min
+FROM (SELECT order_id, min(event_time) FILTER (status = 'PLACED') AS p,
+             min(event_time) FILTER (status = 'READY_FOR_PICKUP') AS r,
+             min(event_time) FILTER (status = 'PICKED_UP') AS u,
+             min(event_time) FILTER (status = 'DELIVERED') AS d
+      FROM o WHERE {_LIFE_STEPS} GROUP BY order_id {over})"""
+
+
+def _multi_account() -> str:
+    return f"""
+SELECT window_start, window_end, device_id, distinct_customer_ids, placed_count, cancellation_count,
+       cancellation_count / greatest(placed_count, 1) AS cancellation_rate
+FROM ({devices()})
+WHERE distinct_customer_ids > 3 AND cancellation_count / greatest(placed_count, 1) >= 0.5"""
+
+
+def _utilisation() -> str:
+    return f"""
+SELECT window_start, window_end, zone_id, count(DISTINCT courier_id) AS online_couriers,
+       count(DISTINCT courier_id) FILTER (status <> 'ONLINE_IDLE') AS busy_couriers,
+       count(DISTINCT courier_id) FILTER (status <> 'ONLINE_IDLE') / count(DISTINCT courier_id) AS utilisation
+FROM ({_sliding('c', 15, 5, "status NOT IN ('OFFLINE', 'BREAK')")}) GROUP BY ALL"""
+
+
+def _surge() -> str:
+    return f"""
+SELECT * EXCLUDE (available_supply), coalesce(available_supply, 0) AS available_supply,
+       pending_demand / greatest(trailing_demand, 1) AS surge_ratio,
+       pending_demand / greatest(trailing_demand, 1) >= 1.5
+         AND pending_demand > coalesce(available_supply, 0) AS is_surge
+FROM (SELECT window_start, window_end, zone_id, pending_demand,
+             coalesce(sum(pending_demand) OVER (PARTITION BY zone_id ORDER BY window_start
+                      RANGE BETWEEN INTERVAL 30 MINUTE PRECEDING AND INTERVAL 5 MINUTE PRECEDING), 0) / 6 AS trailing_demand
+      FROM ({demand()})) LEFT JOIN ({supply()}) USING (window_start, window_end, zone_id)"""
+
 
 # Rows whose 5-minute window the watermark had not passed: half-hour drops, one second of delay; the
 # watermark of a drop follows from the drops before it.
@@ -356,34 +436,18 @@ FROM o x JOIN ({anomalies()}) a
   ON a.zone_id = x.zone_id AND event_time >= window_start AND event_time < window_end
 WHERE status = 'DELIVERED' AND actual_delivery_minutes > anomaly_threshold""",
     "fraud_windows": fraud(),
-    "fraud_multi_account": f"""
-SELECT window_start, window_end, device_id, distinct_customer_ids, placed_count, cancellation_count,
-       cancellation_count / greatest(placed_count, 1) AS cancellation_rate
-FROM ({devices()})
-WHERE distinct_customer_ids > 3 AND cancellation_count / greatest(placed_count, 1) >= 0.5""",
+    "fraud_multi_account": _multi_account(),
+    "stream_fraud_multi_account": _multi_account(),
     "courier_latest_position": positions(),
-    "courier_utilisation": f"""
-SELECT window_start, window_end, zone_id, count(DISTINCT courier_id) AS online_couriers,
-       count(DISTINCT courier_id) FILTER (status <> 'ONLINE_IDLE') AS busy_couriers,
-       count(DISTINCT courier_id) FILTER (status <> 'ONLINE_IDLE') / count(DISTINCT courier_id) AS utilisation
-FROM ({_sliding('c', 15, 5, "status NOT IN ('OFFLINE', 'BREAK')")}) GROUP BY ALL""",
-    "courier_sessions": """
-SELECT active_session_id, courier_id, least(min(session_start_time), min(event_time)) AS session_start,
-       max(event_time) AS session_end, count(*) AS event_count,
-       (epoch_us(max(event_time)) - epoch_us(least(min(session_start_time), min(event_time)))) / 60000000 AS session_minutes,
-       count(*) FILTER (status = 'OFFLINE') > 0 AS is_closed
-FROM c GROUP BY active_session_id, courier_id""",
+    "courier_utilisation": _utilisation(),
+    "stream_courier_utilisation": f"""
+SELECT * FROM ({_utilisation()}) WHERE window_end <= {_newest('c', 3, "status NOT IN ('OFFLINE', 'BREAK')")}""",
+    "courier_sessions": _SESSIONS,
+    "stream_shift_sessions": _SESSIONS,
     "courier_gap_sessions": _gap_sessions(False),
     "stream_courier_sessions": _gap_sessions(True),
-    "courier_quality_flags": """
-SELECT * FROM (
-  SELECT event_id, courier_id, zone_id, event_time AS event_timestamp, speed_kmh,
-         location_accuracy_meters, battery_pct,
-         concat_ws(', ', CASE WHEN speed_kmh >= 200 THEN 'IMPOSSIBLE_SPEED' END,
-                         CASE WHEN location_accuracy_meters > 100 THEN 'POOR_ACCURACY' END,
-                         CASE WHEN status = 'OFFLINE' AND before <= 10 THEN 'LOW_BATTERY_OFFLINE' END) AS quality_flags
-  FROM (SELECT *, lag(battery_pct) OVER (PARTITION BY courier_id ORDER BY event_time, event_id) AS before
-        FROM c)) WHERE quality_flags <> ''""",
+    "courier_quality_flags": _QUALITY_FLAGS,
+    "stream_courier_quality_flags": f"SELECT * FROM ({_QUALITY_FLAGS}) WHERE event_timestamp < {_newest('c', 3)}",
     "orphaned_deliveries": _orphans(),
     "stream_orphaned_deliveries": _orphans(_TOLD_DROPS),
     "stream_orders_per_minute": f"""
@@ -396,24 +460,15 @@ SELECT {_tumbling(1)}, zone_id, count(*) AS order_count FROM o WHERE status = 'P
     "revenue_per_hour": f"""
 SELECT {_tumbling(60)}, count(*) AS delivered_count, sum(order_value_eur) AS total_revenue
 FROM o WHERE status = 'DELIVERED' GROUP BY ALL""",
-    "order_durations": """
-SELECT order_id, (epoch_us(d) - epoch_us(p)) / 60000000 AS placed_to_delivered_min,
-       (epoch_us(u) - epoch_us(r)) / 60000000 AS ready_to_pickup_min,
-       (epoch_us(d) - epoch_us(u)) / 60000000 AS pickup_to_delivered_min
-FROM (SELECT order_id, min(event_time) FILTER (status = 'PLACED') AS p,
-             min(event_time) FILTER (status = 'READY_FOR_PICKUP') AS r,
-             min(event_time) FILTER (status = 'PICKED_UP') AS u,
-             min(event_time) FILTER (status = 'DELIVERED') AS d
-      FROM o GROUP BY order_id)""",
-    "surge_signal": f"""
-SELECT * EXCLUDE (available_supply), coalesce(available_supply, 0) AS available_supply,
-       pending_demand / greatest(trailing_demand, 1) AS surge_ratio,
-       pending_demand / greatest(trailing_demand, 1) >= 1.5
-         AND pending_demand > coalesce(available_supply, 0) AS is_surge
-FROM (SELECT window_start, window_end, zone_id, pending_demand,
-             coalesce(sum(pending_demand) OVER (PARTITION BY zone_id ORDER BY window_start
-                      RANGE BETWEEN INTERVAL 30 MINUTE PRECEDING AND INTERVAL 5 MINUTE PRECEDING), 0) / 6 AS trailing_demand
-      FROM ({demand()})) LEFT JOIN ({supply()}) USING (window_start, window_end, zone_id)""",
+    "order_durations": _durations(),
+    # Orders that were delivered, or had been silent for six hours, when the feed ended.
+    "stream_order_durations": _durations(f"""
+HAVING coalesce(min(event_time) FILTER (status = 'DELIVERED'), max(event_time) + INTERVAL 6 HOUR)
+       < {_newest('o', 5, _LIFE_STEPS)}"""),
+    "surge_signal": _surge(),
+    "stream_surge_signal": f"""
+SELECT * FROM ({_surge()}) WHERE window_end <= {_both_newest(
+    "status IN ('PLACED', 'CONFIRMED', 'PREPARING', 'READY_FOR_PICKUP')", "status = 'ONLINE_IDLE'")}""",
     "merge_windowed_kpis": _merged(kpis_all, _KPI_KEYS, {
         **_plus("order_count", "cancellation_count"),
         "total_revenue": "coalesce(p.total_revenue, 0) + coalesce(n.total_revenue, 0)",
@@ -487,6 +542,9 @@ FROM ({fraud()})""",
     "stream_dedup": kpi_tumbling(),
     "stream_fraud_short_drops": fraud(),
     "stream_kpi_late_rows": kpi_tumbling(_IN_TIME),
+    "stream_rows_set_aside": f"""
+SELECT event_id, status, event_time FROM o WHERE status IN ('PLACED', 'CONFIRMED')
+  AND event_id NOT IN (SELECT event_id FROM {_IN_TIME})""",
 }
 
 # Columns compared to six decimals, and whole numbers compared as BIGINT.
@@ -526,6 +584,18 @@ _SESSION = ("courier_id", "session_start", "session_end", "event_count")
 _HOURLY = ("year", "month", "day", "hour", "event_count")
 
 _COLUMNS: dict[str, tuple[str, ...]] = {
+    "stream_rows_set_aside": ("event_id", "status", "event_time"),
+    "stream_fraud_multi_account": ("window_start", "window_end", "device_id",
+        "distinct_customer_ids", "placed_count", "cancellation_count", "cancellation_rate"),
+    "stream_courier_utilisation": (*_ZONE_KEYS, "online_couriers", "busy_couriers", "utilisation"),
+    "stream_shift_sessions": ("active_session_id", "courier_id", "session_start", "session_end",
+        "event_count", "session_minutes", "is_closed"),
+    "stream_courier_quality_flags": ("event_id", "courier_id", "zone_id", "event_timestamp",
+        "speed_kmh", "location_accuracy_meters", "battery_pct", "quality_flags"),
+    "stream_order_durations": ("order_id", "placed_to_delivered_min", "ready_to_pickup_min",
+        "pickup_to_delivered_min"),
+    "stream_surge_signal": (*_ZONE_KEYS, "pending_demand", "trailing_demand", "available_supply",
+        "surge_ratio", "is_surge"),
     "merge_sla_parts": _SLA, "merge_device_parts": _FRAUD, "merge_demand_parts": _DEMAND,
     "merge_delivery_parts": _ANOMALY,
     "decode_json_orders": ("event_id", "order_id", "zone_id", "status", "event_timestamp",

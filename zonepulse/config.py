@@ -31,6 +31,10 @@ class MetricConfig:
     surge_minutes: int = 5
     surge_lookback_windows: int = 6
     session_gap_minutes: int = 30
+    # How long a stream remembers a shift after OFFLINE, a shift that fell silent, and an order.
+    shift_linger_hours: int = 6
+    shift_silence_hours: int = 16
+    order_silence_hours: int = 6
     # How far from a courier's drop the steps of the order may lie.
     orphan_hours: int = 2
 

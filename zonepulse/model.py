@@ -205,7 +205,7 @@ def _table(name: str, keys: tuple[str, ...], columns: str,
 
 _DDL_TYPES = {
     "TIMESTAMP": T.TimestampType(), "STRING": T.StringType(), "BIGINT": T.LongType(),
-    "DOUBLE": T.DoubleType(), "BOOLEAN": T.BooleanType(),
+    "INT": T.IntegerType(), "DOUBLE": T.DoubleType(), "BOOLEAN": T.BooleanType(),
 }
 
 # Keys, columns, types and defaults of the metric tables.
@@ -275,6 +275,28 @@ LIVE_TABLES: dict[str, MetricTable] = {t.name: t for t in (
     _table("courier_sessions", ("courier_id", "session_start"),
            "courier_id STRING, session_start TIMESTAMP, session_end TIMESTAMP, "
            "event_count BIGINT"),
+    _table("fraud_multi_account", ("window_start", "window_end", "device_id"),
+           "window_start TIMESTAMP, window_end TIMESTAMP, device_id STRING, "
+           "distinct_customer_ids BIGINT, placed_count BIGINT, cancellation_count BIGINT, "
+           "cancellation_rate DOUBLE"),
+    _table("courier_utilisation", ("window_start", "window_end", "zone_id"),
+           "window_start TIMESTAMP, window_end TIMESTAMP, zone_id STRING, online_couriers BIGINT, "
+           "busy_couriers BIGINT, utilisation DOUBLE"),
+    _table("shift_sessions", ("active_session_id", "courier_id"),
+           "active_session_id STRING, courier_id STRING, session_start TIMESTAMP, "
+           "session_end TIMESTAMP, event_count BIGINT, session_minutes DOUBLE, is_closed BOOLEAN, "
+           "is_over BOOLEAN"),
+    _table("courier_quality_flags", ("event_id",),
+           "event_id STRING, courier_id STRING, zone_id STRING, event_timestamp TIMESTAMP, "
+           "speed_kmh DOUBLE, location_accuracy_meters DOUBLE, battery_pct INT, "
+           "quality_flags STRING"),
+    _table("order_durations", ("order_id",),
+           "order_id STRING, placed_to_delivered_min DOUBLE, ready_to_pickup_min DOUBLE, "
+           "pickup_to_delivered_min DOUBLE"),
+    _table("surge_signal", ("window_start", "window_end", "zone_id"),
+           "window_start TIMESTAMP, window_end TIMESTAMP, zone_id STRING, pending_demand BIGINT, "
+           "trailing_demand DOUBLE, available_supply BIGINT, surge_ratio DOUBLE, "
+           "is_surge BOOLEAN"),
     _table("judged_drops", ("order_id", "drop_time", "drop_event_id"),
            "order_id STRING, drop_time TIMESTAMP, drop_event_id STRING, zone_id STRING, "
            "dropped_courier_id STRING, in_transit_time TIMESTAMP, is_orphaned BOOLEAN"),

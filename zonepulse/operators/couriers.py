@@ -10,9 +10,11 @@ from zonepulse.functions.expressions import share
 from zonepulse.functions.windows import (
     EVENT_TIME,
     ensure_watermark,
+    flatten_window,
     interval,
     minutes,
     roll_up_panes,
+    sliding,
     tumbling,
 )
 from zonepulse.model import BUSY_STATES
@@ -41,24 +43,30 @@ def utilisation(couriers: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
     """Share of the couriers seen online in a sliding window that were busy in it, per zone.
 
     Rows collapse to one per (pane, zone, courier) before the shuffle; panes, not rows, are repeated
-    for the windows that cover them.
+    for the windows that cover them.  On a stream (append mode) a courier is one row of state per
+    window, and a window is told when the watermark passes its end.
     """
-    online = couriers.filter(~F.col("status").isin("OFFLINE", "BREAK"))
+    online = ensure_watermark(couriers, cfg.couriers_watermark).filter(
+        ~F.col("status").isin("OFFLINE", "BREAK"))
     size, slide = cfg.utilisation_minutes, cfg.utilisation_slide
+    busy = F.max(F.col("status").isin(*BUSY_STATES)).alias("busy")
+    counts = (F.count(F.lit(1)).alias("online_couriers"),
+              F.count_if(F.col("busy")).alias("busy_couriers"))
+    used = share(F.col("busy_couriers"), F.col("online_couriers")).alias("utilisation")
+    if online.isStreaming:
+        seen = online.groupBy(sliding(size, slide), "zone_id", "courier_id").agg(busy)
+        return flatten_window(seen.groupBy("window", "zone_id").agg(*counts)).select("*", used)
     panes = (
         online.groupBy(tumbling(slide), "zone_id", "courier_id")
-        .agg(F.max(F.col("status").isin(*BUSY_STATES)).alias("busy"))
+        .agg(busy)
     )
     per_courier = (
         roll_up_panes(panes, size, slide)
         .groupBy("window_start", "zone_id", "courier_id").agg(F.max("busy").alias("busy"))
     )
-    counted = per_courier.groupBy("window_start", "zone_id").agg(
-        F.count(F.lit(1)).alias("online_couriers"), F.count_if(F.col("busy")).alias("busy_couriers"))
-    return counted.select(
+    return per_courier.groupBy("window_start", "zone_id").agg(*counts).select(
         "window_start", (F.col("window_start") + interval(size)).alias("window_end"), "zone_id",
-        "online_couriers", "busy_couriers",
-        share(F.col("busy_couriers"), F.col("online_couriers")).alias("utilisation"))
+        "online_couriers", "busy_couriers", used)
 
 
 def sessions(couriers: DataFrame) -> DataFrame:
@@ -160,6 +168,18 @@ def quality_flags(couriers: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFram
     ).filter(F.col("quality_flags") != "")
 
 
+def flag_names(speed: float | None, accuracy: float | None, battery_before_offline: int | None,
+               cfg: MetricConfig) -> str:
+    """The same flags for one row at a time; a level is given only where the row goes offline."""
+    rules = {
+        "IMPOSSIBLE_SPEED": speed is not None and speed >= cfg.impossible_speed_kmh,
+        "POOR_ACCURACY": accuracy is not None and accuracy > cfg.poor_accuracy_meters,
+        "LOW_BATTERY_OFFLINE": battery_before_offline is not None
+            and battery_before_offline <= cfg.low_battery_pct,
+    }
+    return ", ".join(name for name, holds in rules.items() if holds)
+
+
 def _drops(couriers: DataFrame) -> DataFrame:
     return couriers.filter((F.col("status") == "OFFLINE")
                            & (F.col("offline_reason") == "MID_DELIVERY_DROP")

@@ -109,9 +109,16 @@ def demand_supply_health(orders: DataFrame, couriers: DataFrame, cfg: MetricConf
     outer join of the two counts) and, unlike a stream-stream join, works in update mode.  On a
     stream the smaller progress of the two feeds drives the watermark.
     """
+    counted = both_sides(orders, couriers, cfg, cfg.health_minutes, orphans)
+    return classify_health(flatten_window(counted), cfg)
+
+
+def both_sides(orders: DataFrame, couriers: DataFrame, cfg: MetricConfig, size: int,
+               orphans: DataFrame | None = None) -> DataFrame:
+    """Pending orders and idle couriers per ``window`` of ``size`` minutes and zone."""
     def side(events: DataFrame, id_column: str, label: str) -> DataFrame:
         return events.filter(F.col(id_column).isNotNull()).select(
-            tumbling(cfg.health_minutes), "zone_id",
+            tumbling(size), "zone_id",
             F.lit(label).alias("side"), F.col(id_column).alias("id"))
 
     both = side(_pending(orders, cfg), "order_id", "demand").unionByName(
@@ -122,13 +129,11 @@ def demand_supply_health(orders: DataFrame, couriers: DataFrame, cfg: MetricConf
     if both.isStreaming and cfg.stream_distinct == "approx":
         def ids(label: str) -> Column:
             return F.approx_count_distinct(F.when(F.col("side") == label, F.col("id")))
-        counted = both.groupBy("window", "zone_id").agg(
+        return both.groupBy("window", "zone_id").agg(
             ids("demand").alias("pending_demand"), ids("supply").alias("available_supply"))
-    else:
-        counted = both.dropDuplicates(["window", "zone_id", "side", "id"]).groupBy(
-            "window", "zone_id"
-        ).agg(
-            F.count_if(F.col("side") == "demand").alias("pending_demand"),
-            F.count_if(F.col("side") == "supply").alias("available_supply"),
-        )
-    return classify_health(flatten_window(counted), cfg)
+    return both.dropDuplicates(["window", "zone_id", "side", "id"]).groupBy(
+        "window", "zone_id"
+    ).agg(
+        F.count_if(F.col("side") == "demand").alias("pending_demand"),
+        F.count_if(F.col("side") == "supply").alias("available_supply"),
+    )

@@ -210,10 +210,29 @@ def surge_signal(orders: DataFrame, couriers: DataFrame,
     The trailing average runs over a fixed number of windows and counts an empty window as zero.
     Each window's demand is sent forward to the windows that look back on it, so the work is
     spread over (window, zone) and no zone's history has to be ordered in one task.
+
+    On a stream (append mode) the counts of a window become events of the long windows that cover
+    it, and a long window is told when the watermark passes its end.
     """
-    from zonepulse.operators.demand_supply import demand_windows, supply_windows
+    from zonepulse.operators.demand_supply import both_sides, demand_windows, supply_windows
 
     size, back = cfg.surge_minutes, cfg.surge_lookback_windows
+    if orders.isStreaming:
+        counted = both_sides(orders, couriers, cfg, size)
+        span = size * (back + 1)
+        current = F.col("window.end") == F.col("span.end")
+        totals = (
+            counted.select("window", "zone_id", "pending_demand", "available_supply", F.window(
+                F.window_time("window"), f"{span} minutes", f"{size} minutes").alias("span"))
+            .groupBy("span", "zone_id")
+            .agg(F.sum(F.when(current, F.col("pending_demand"))).alias("pending_demand"),
+                 F.sum(F.when(current, F.col("available_supply"))).alias("available_supply"),
+                 (F.coalesce(F.sum(F.when(~current, F.col("pending_demand"))), F.lit(0)) / back)
+                 .alias("trailing_demand"))
+            .filter(F.col("pending_demand") > 0)
+            .withColumn("window_start", F.col("span.end") - interval(size))
+        )
+        return _surge(totals, cfg)
     demand = demand_windows(orders, cfg, size=size)
     shift = F.explode(F.sequence(F.lit(0), F.lit(back))).alias("ahead")
     step = interval(size)
@@ -231,10 +250,15 @@ def surge_signal(orders: DataFrame, couriers: DataFrame,
     )
     supply = supply_windows(couriers, cfg, size=size).select(
         "window_start", "zone_id", "available_supply")
+    return _surge(totals.join(supply, ["window_start", "zone_id"], "left"), cfg)
+
+
+def _surge(totals: DataFrame, cfg: MetricConfig) -> DataFrame:
     ratio = F.col("pending_demand") / F.greatest(F.col("trailing_demand"), F.lit(1.0))
     available = F.coalesce(F.col("available_supply"), F.lit(0))
-    return totals.join(supply, ["window_start", "zone_id"], "left").select(
-        "window_start", (F.col("window_start") + step).alias("window_end"), "zone_id",
+    return totals.select(
+        "window_start", (F.col("window_start") + interval(cfg.surge_minutes)).alias("window_end"),
+        "zone_id",
         "pending_demand", "trailing_demand", available.alias("available_supply"),
         ratio.alias("surge_ratio"),
         ((ratio >= cfg.surge_ratio) & (F.col("pending_demand") > available)).alias("is_surge"),

@@ -35,6 +35,7 @@ from zonepulse.sinks.changelog import ChangelogTable
 from zonepulse.sources import files, kafka
 from zonepulse.sources.decode import decode_json, encode_json
 from zonepulse.streaming.jobs import JOBS, Feeds, clean_stream, start_metric
+from zonepulse.streaming.late import WINDOWED, LateRows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -589,6 +590,17 @@ def stream_anomaly(spark, sf_dir):
     return _stream_metric(spark, sf_dir, "delivery_anomalies")
 
 
+@query
+def stream_fraud_multi_account(spark, sf_dir):
+    return _stream_metric(spark, sf_dir, "fraud_multi_account")
+
+
+@query
+def stream_courier_utilisation(spark, sf_dir):
+    """Windows that were over when the feed ended."""
+    return _stream_metric(spark, sf_dir, "courier_utilisation")
+
+
 @query
 def stream_fraud(spark, sf_dir):
     return _stream_metric(spark, sf_dir, "fraud_alerts")
@@ -616,6 +628,30 @@ def stream_orphaned_deliveries(spark, sf_dir):
     return couriers.last_drops(_stream_metric(spark, sf_dir, "judged_drops"))
 
 
+@query
+def stream_shift_sessions(spark, sf_dir):
+    """Shifts as last told, those still open included."""
+    return _stream_metric(spark, sf_dir, "shift_sessions").drop("is_over")
+
+
+@query
+def stream_courier_quality_flags(spark, sf_dir):
+    """Flagged rows that the watermark had passed when the feed ended."""
+    return _stream_metric(spark, sf_dir, "courier_quality_flags")
+
+
+@query
+def stream_order_durations(spark, sf_dir):
+    """Orders that were over when the feed ended."""
+    return _stream_metric(spark, sf_dir, "order_durations")
+
+
+@query
+def stream_surge_signal(spark, sf_dir):
+    """Windows that were over when the feeds ended."""
+    return _stream_metric(spark, sf_dir, "surge_signal")
+
+
 @query
 def stream_orders_per_minute(spark, sf_dir):
     return _stream_metric(spark, sf_dir, "orders_per_minute")
@@ -626,33 +662,52 @@ def stream_revenue_per_hour(spark, sf_dir):
     return _stream_metric(spark, sf_dir, "revenue_per_hour")
 
 
-def _short_drops(spark, sf_dir, name: str, cfg: MetricConfig) -> DataFrame:
-    """A metric over half-hour drops, one per micro-batch of one continuous query."""
+def _short_drops(spark, sf_dir, name: str, cfg: MetricConfig) -> tuple[DataFrame, LateRows]:
+    """A metric over half-hour drops, one per micro-batch of one continuous query, and what came
+    too late for it."""
     job, root = JOBS[name], new_work_dir(spark, f"short-{name}")
     zone = DropZone(testdata.orders_feed(spark, sf_dir), f"{root}/orders",
                     list(dict.fromkeys((*_FEED_COLUMNS, *job.order_columns))), drop_seconds=1800)
     session = streaming_session(
         spark, conf={"spark.sql.streaming.noDataMicroBatches.enabled": "false"})
+    table = ChangelogTable.of(job.table, f"{root}/out/{name}")
+    late = LateRows(name, f"{root}/checkpoints/{name}", f"{root}/late", zone.schema,
+                    cfg) if name in WINDOWED else None
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.write_batch(batch, batch_id)
+        if late:
+            late.write(batch.sparkSession, batch_id)
 
     def start():
         rows = clean_stream(zone.stream(session, max_files=1), cfg.orders_watermark)
         return start_metric(job, Feeds(rows), f"{root}/out", f"{root}/checkpoints", cfg,
-                            available_now=True)
+                            available_now=True, write_batch=write)
 
     replay_in_batches(zone, start)
-    return ChangelogTable.of(job.table, f"{root}/out/{name}").latest(spark)
+    return table.latest(spark), late
 
 
 @query
 def stream_fraud_short_drops(spark, sf_dir):
     """Hourly windows that no single micro-batch holds."""
-    return _short_drops(spark, sf_dir, "fraud_alerts", DEFAULTS)
+    return _short_drops(spark, sf_dir, "fraud_alerts", DEFAULTS)[0]
+
+
+_IMPATIENT = MetricConfig(orders_watermark="1 second")
 
 
 @query
 def stream_kpi_late_rows(spark, sf_dir):
     """A watermark shorter than the lateness: rows of windows it has passed are dropped."""
-    return _short_drops(spark, sf_dir, "kpi_tumbling", MetricConfig(orders_watermark="1 second"))
+    return _short_drops(spark, sf_dir, "kpi_tumbling", _IMPATIENT)[0]
+
+
+@query
+def stream_rows_set_aside(spark, sf_dir):
+    """The rows that ``stream_kpi_late_rows`` drops: with those it counts they are the feed."""
+    late = _short_drops(spark, sf_dir, "kpi_tumbling", _IMPATIENT)[1]
+    return late.read(spark).select("event_id", "status", "event_time")
 
 
 @query

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from zonepulse.config import DEFAULTS, MetricConfig
 from zonepulse.functions.windows import ensure_watermark
 from zonepulse.model import LIVE_TABLES, METRIC_TABLES, MetricTable
-from zonepulse.operators import anomaly, couriers, demand_supply, fraud, kpis, quality, sla
+from zonepulse.operators import anomaly, couriers, demand_supply, fraud, kpis, lifecycles, quality, sla
 from zonepulse.sinks.changelog import ChangelogTable
 
 
@@ -75,6 +75,22 @@ JOBS: dict[str, MetricJob] = {j.name: j for j in (
     # Sessions that have ended only: a session is told once, when the watermark is past its gap.
     _job("courier_sessions", "courier_sessions", lambda f, c: couriers.gap_sessions(f.couriers, c),
          (), ("courier_id",), "append"),
+    _job("fraud_multi_account", "fraud_multi_account",
+         lambda f, c: fraud.multi_account_devices(f.orders, c),
+         ("device_id", "customer_id", "status", "order_value_eur")),
+    _job("courier_utilisation", "courier_utilisation",
+         lambda f, c: couriers.utilisation(f.couriers, c),
+         (), ("courier_id", "zone_id", "status"), "append"),
+    _job("shift_sessions", "shift_sessions", lambda f, c: lifecycles.shift_sessions(f.couriers, c),
+         (), ("courier_id", "active_session_id", "session_start_time", "status")),
+    _job("courier_quality_flags", "courier_quality_flags",
+         lambda f, c: lifecycles.quality_flags(f.couriers, c),
+         (), ("courier_id", "zone_id", "speed_kmh", "location_accuracy_meters", "battery_pct",
+              "status"), "append"),
+    _job("order_durations", "order_durations", lambda f, c: lifecycles.order_durations(f.orders, c),
+         ("order_id", "status"), (), "append"),
+    _job("surge_signal", "surge_signal", lambda f, c: kpis.surge_signal(f.orders, f.couriers, c),
+         ("zone_id", "status", "order_id"), ("zone_id", "status", "courier_id"), "append"),
     _job("judged_drops", "judged_drops",
          lambda f, c: couriers.judged_drops(f.orders, f.couriers, c),
          ("status", "order_id"),

@@ -23,6 +23,7 @@ from zonepulse.sinks.changelog import ChangelogTable
 from zonepulse.sinks.database import Database
 from zonepulse.sources.decode import decode_avro, decode_json
 from zonepulse.streaming.jobs import JOBS, Feeds, MetricJob, clean_stream, start_metric
+from zonepulse.streaming.late import WINDOWED, LateRows
 
 _FEEDS: dict[str, Feed] = {"orders": ORDERS, "couriers": COURIERS}
 _DECODERS = {"json": decode_json, "avro": decode_avro}
@@ -130,15 +131,22 @@ class Pipeline:
         return clean_stream(stream, self._delay(feed))
 
     def _sink(self, job: MetricJob) -> Callable[[DataFrame, int], None]:
-        """The changelog, and from what it stored the database and the dated archive, if any."""
+        """The changelog, the rows that came too late for it, and from what it stored the database
+        and the dated archive, if any."""
         table = ChangelogTable.of(job.table, f"{self.root}/metrics/{job.name}")
         to_database = self.database.sink(job.table, job.name) if self.database else None
+        late = None
+        if job.name in WINDOWED:
+            late = LateRows(job.name, f"{self.checkpoints}/metrics/{job.name}",
+                            f"{self.root}/late/{job.name}", ORDERS.schema, self.cfg)
         dated = None
         if self.metric_archive and "window_start" in job.table.columns:
             dated = Archive.of_metric(f"{self.metric_archive}/{job.name}", self.compact_every)
 
         def write(batch: DataFrame, batch_id: int) -> None:
             table.write_batch(batch, batch_id)
+            if late:
+                late.write(batch.sparkSession, batch_id)
             if to_database or dated:
                 rows = table.written(batch.sparkSession, batch_id)
                 if to_database:
