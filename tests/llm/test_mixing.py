@@ -49,22 +49,52 @@ def test_by_default_no_document_is_left_out(corpus):
     assert mixed.count() == sum(r.copies for r in rows)
 
 
-def test_rates_are_the_projected_least_squares_solution():
-    """Nonnegative least squares near one copy each: no feasible step lowers the loss."""
-    rng = np.random.default_rng(0)
-    p = rng.dirichlet([0.3] * 3, 200)
-    n = rng.integers(1, 50, 200)
-    targets = np.array([100.0, 4000.0, 900.0])
-    scale = (p * n[:, None]).sum()
-    step = scale / np.linalg.eigvalsh((p * n[:, None]).T @ p).max()
-    gaps = np.zeros((0, 3))
-    for _ in range(400):
-        total = (p * (n * M.rates(p, step, gaps))[:, None]).sum(axis=0)
-        gaps = np.vstack([gaps, (targets - total) / scale])
-    r = M.rates(p, step, gaps)
-    gradient = p @ gaps[-1]
-    assert (r >= 0).all()
-    assert (gradient[r == 0] <= 1e-4).all() and np.abs(gradient[r > 0]).max() < 1e-2
+def plain_descent(p, n, targets, least, rounds):
+    """The same least squares by plain projected gradient over the rates, one small step at a time."""
+    measure = np.linalg.pinv((p * n[:, None]).T @ p, rcond=1e-9, hermitian=True)
+    rate = np.ones(len(p))
+    for _ in range(rounds):
+        rate = np.maximum(least, rate + 0.5 * (p @ (measure @ (targets - (n * rate) @ p))))
+    gap = targets - (n * rate) @ p
+    return float(gap @ measure @ gap)
+
+
+@pytest.mark.parametrize("budget", [0.5, 1.0, None])
+@pytest.mark.parametrize("softness", [0.1, 0.5, 3.0])
+def test_fit_is_the_nonnegative_least_squares_solution(spark, budget, softness):
+    """Gaps are closed where an independent solver closes them; where the posteriors are too soft,
+    the loss is not above that of a thousand plain steps."""
+    rng = np.random.default_rng(7)
+    p = rng.dirichlet([softness] * 3, 300)
+    n = rng.integers(1, 50, 300).astype(float)
+    table = spark.createDataFrame(
+        [(i, int(t), q.tolist()) for i, (t, q) in enumerate(zip(n, p, strict=True))],
+        "doc_id long, n_tokens long, p array<double>").repartition(4)
+    model = M.DomainModel(("a", "b", "c"), np.zeros(3), np.zeros((1, 3)))
+    weights = {"a": 0.05, "b": 0.7, "c": 0.25}
+    mix = M.fit_mix(table, model, weights, budget and budget * n.sum())
+    rate, least = mix.rates(p), 0.0 if budget else 1.0
+    assert mix.least == least and (rate >= least).all()
+    gap = mix.targets - (n * rate) @ p
+    assert np.allclose(gap / n.sum(), mix.residual, atol=1e-9)
+    measure = np.linalg.pinv((p * n[:, None]).T @ p, rcond=1e-9, hermitian=True)
+    if budget and softness < 1:
+        assert (np.abs(mix.residual) <= M.TOLERANCE).all()
+    else:
+        assert gap @ measure @ gap <= 1.01 * plain_descent(p, n, mix.targets, least, 1000)
+
+
+def test_query_matches_its_targets(spark, documents, labels):
+    """Targets and expected tokens of the query's own rates, worked out on the driver."""
+    rows = {r.doc_id: r for r in M.document_rates(documents, labels).collect()}
+    model = M.fit_domains(documents, labels, "lang")
+    soft = [(r.doc_id, r.n_tokens, r.p) for r in M.posteriors(documents, model).collect()]
+    p, n = np.array([s[2] for s in soft]), np.array([s[1] for s in soft], float)
+    now = n @ p
+    wanted = np.sqrt(now / now.sum())
+    targets = (now / wanted).max() * wanted
+    reached = (n * np.array([rows[s[0]].rate for s in soft])) @ p
+    assert (np.abs(reached - targets) / now.sum() <= 0.002).all()
 
 
 def test_awkward_rows(spark, awkward, empty, corpus):

@@ -2,10 +2,11 @@
 
 A classifier fitted on the labelled table predicts for every document the probability that it
 belongs to each domain.  Each document then gets a rate, how many times it should be seen, such
-that the expected tokens per domain match the targets: nonnegative least squares with a ridge that
-holds rates near one copy.  At its solution a rate is one plus the posteriors' inner product with
-one number per domain, or the least rate allowed.  Newton's method finds these numbers: documents
-stay where they are, and each round sums up some numbers per pair of domains.
+that the expected tokens per domain match the targets: nonnegative least squares, by projected
+gradient steps from one copy each.  A step moves a rate by the inner product of its posteriors with
+one number per domain, and not below the least rate allowed; so documents stay where they are, and
+a round sums up some numbers per pair of domains.  Gaps are measured, and steps preconditioned, by
+the inverse of the domains' Gram matrix, which makes a hot domain and a rare one equally steep.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import logging
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,11 +32,12 @@ BUCKETS = 1 << 15
 SMOOTHING = 0.5
 # Target weights are the domains' shares to this power, unless given.
 TEMPERATURE = 0.5
-# Gaps to reach, as shares of all tokens and of a domain's own target; and the ridges tried for it.
+# Gaps to reach, as shares of all tokens and of a domain's own target.
 TOLERANCE, OWN_TOLERANCE = 1e-3, 1e-2
-RIDGES = (1e-3, 1e-4, 1e-5, 1e-6)
-# Parts of a Newton step looked at in one round.
-PARTS = (1.0, 0.5, 0.25, 1 / 16, 1 / 256)
+# The rounds end too when so many of them have not lowered the loss to this share of what it was.
+PATIENCE, PROGRESS = 5, 0.9
+# Lengths of a step that are looked at in one round.
+PARTS = (1.0, 0.5, 0.25, 1 / 16, 1 / 64)
 MEMORY_WORDS = 500_000
 
 _WORD = re.compile(r"\w+")
@@ -72,25 +74,24 @@ class DomainModel:
 
 @dataclass(frozen=True)
 class Mix:
-    """A fitted mix: the classifier, step size, gaps to step along, and how far each domain's
+    """A fitted mix: the classifier, the domains' numbers of each step, and how far each domain's
     expected tokens are from its target, as a share of all tokens."""
     model: DomainModel
     targets: np.ndarray
-    step: float
-    gaps: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    slopes: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     least: float = 0.0
     residual: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     def rates(self, posteriors: np.ndarray) -> np.ndarray:
-        return rates(posteriors, self.step, self.gaps, self.least)
+        return rates(posteriors, self.slopes, self.least)
 
 
-def rates(posteriors: np.ndarray, step: float, gaps: np.ndarray, least: float = 0.0) -> np.ndarray:
+def rates(posteriors: np.ndarray, slopes: Sequence[np.ndarray], least: float = 0.0) -> np.ndarray:
     """Rates of at least ``least`` after the projected steps so far, from one copy each."""
-    r = np.ones(len(posteriors))
-    for gap in gaps:
-        r = np.maximum(least, r + step * (posteriors @ gap))
-    return r
+    rate = np.ones(len(posteriors))
+    for slope in slopes:
+        rate = np.maximum(least, rate + posteriors @ slope)
+    return rate
 
 
 def _sample(docs: DataFrame, labels: DataFrame, domain: str, rows: int) -> DataFrame:
@@ -188,60 +189,62 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def _moments(table: DataFrame, points: np.ndarray, least: float) -> list[tuple]:
-    """``value, tokens, curvature`` at each point, summed over the cluster.
-
-    A point has a number per domain and rates ``max(least, 1 + p @ point)``.  Expected tokens are
-    the value's gradient by the point, the curvature is their derivative.
-    """
-    width = points.shape[1]
-    size = 1 + width + width * width
+def _looked_at(table: DataFrame, width: int, slopes: list[np.ndarray], steps: Sequence[np.ndarray],
+               least: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Where each of ``steps`` would lead after ``slopes``, summed over the cluster: the expected
+    tokens per domain, and the Gram matrix of the documents whose rates are free to move on."""
+    size = width + width * width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(points), size))
+        total = np.zeros((len(steps), size))
         for batch in batches:
             p, n = _matrix(batch["p"], width), batch["n_tokens"].to_numpy().astype(float)
-            for k, point in enumerate(points):
-                z = p @ point
-                free = 1.0 + z >= least
-                value = np.where(free, z + z * z / 2, least * z - (1.0 - least) ** 2 / 2)
-                rate = np.maximum(least, 1.0 + z)
-                total[k, 0] += (n * value).sum()
-                total[k, 1:width + 1] += (n * rate) @ p
-                total[k, width + 1:] += ((p * (n * free)[:, None]).T @ p).ravel()
+            now = rates(p, slopes, least)
+            for k, step in enumerate(steps):
+                rate = np.maximum(least, now + p @ step)
+                total[k, :width] += (n * rate) @ p
+                total[k, width:] += ((p * (n * (rate > least))[:, None]).T @ p).ravel()
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(total.size), pa.int32()), pa.array(total.ravel())], ["i", "x"])
 
-    out = np.zeros(len(points) * size)
+    out = np.zeros(len(steps) * size)
     for r in (table.select("n_tokens", "p").mapInArrow(run, "i int, x double")
               .groupBy("i").agg(F.sum("x").alias("x")).collect()):
         out[r.i] = r.x
-    return [(row[0], row[1:width + 1], row[width + 1:].reshape(width, width))
-            for row in out.reshape(len(points), size)]
+    return [(row[:width], row[width:].reshape(width, width)) for row in out.reshape(-1, size)]
+
+
+def _inverse(gram: np.ndarray, cut: float) -> np.ndarray:
+    return np.linalg.pinv(gram, rcond=cut, hermitian=True)
 
 
-def _solved(table: DataFrame, targets: np.ndarray, scale: float, least: float, ridge: float,
-            allowed: np.ndarray, point: np.ndarray, at: tuple) -> tuple[np.ndarray, tuple]:
-    """The point where tokens and ridge add up to the targets, from a point and its moments.
+def _descend(table: DataFrame, targets: np.ndarray, now: np.ndarray, gram: np.ndarray, least: float,
+             allowed: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Steps until all gaps are allowed, or the loss sinks no more; and the tokens they lead to.
 
-    The value less the targets' share is convex, so Newton steps that lower it lead there; the
-    rounds end when the rest is far below what is allowed, or no part of a step lowers it.
+    The loss is the gap measured by the inverse of the Gram matrix of all documents, in which it
+    curves by one at most: a step of the whole gap never raises it, and closes it where no rate
+    meets its bound.  Once rates have met it, the documents that are free to move make up less of
+    the Gram matrix and may move further; so each round also looks at parts of the step that is
+    preconditioned by theirs, and takes the lowest of all.
     """
-    def height(x: np.ndarray, value: float) -> float:
-        return (value - targets @ x) / scale + ridge * (x @ x) / 2
-
-    while True:
-        slope = (at[1] - targets) / scale + ridge * point
-        if (np.abs(slope) <= allowed / scale / 10).all():
-            return point, at
-        step = np.linalg.solve(at[2] / scale + ridge * np.eye(len(point)), -slope)
-        points = np.array([point + part * step for part in PARTS])
-        found = _moments(table, points, least)
-        heights = [height(x, f[0]) for x, f in zip(points, found, strict=True)]
+    measure = _inverse(gram, 1e-9)
+    free, slopes = measure, []
+    losses = [float((targets - now) @ measure @ (targets - now))]
+    while not (np.abs(targets - now) <= allowed).all():
+        gap = targets - now
+        steps = [part * (free @ gap) for part in PARTS] + [measure @ gap]
+        found = _looked_at(table, len(targets), slopes, steps, least)
+        heights = [float((targets - t) @ measure @ (targets - t)) for t, _ in found]
         best = int(np.argmin(heights))
-        if not heights[best] < height(point, at[0]):
-            return point, at
-        point, at = points[best], found[best]
+        if not heights[best] < losses[-1]:
+            break
+        slopes.append(steps[best])
+        now, free = found[best][0], _inverse(found[best][1], 1e-6)
+        losses.append(heights[best])
+        if len(losses) > PATIENCE and losses[-1] > PROGRESS * losses[-1 - PATIENCE]:
+            break
+    return slopes, now
 
 
 def fit_mix(table: DataFrame, model: DomainModel, weights: Mapping[str, float] | None = None,
@@ -253,16 +256,15 @@ def fit_mix(table: DataFrame, model: DomainModel, weights: Mapping[str, float] |
     default the least at which no domain has to shrink; rates are then at least 1, so that no
     document is left out, and else at least 0.
 
-    Of the ridges the greatest counts at which every gap is within the tolerances.  If there is
-    none, as soft posteriors cannot reach all targets, it is the greatest that is about as near as
-    the nearest, and the gaps left are logged; ``residual`` has them in any case.
+    The rounds end when every gap is within the tolerances.  Soft posteriors cannot reach all
+    targets; then they end when the loss sinks no more, and the gaps left are logged.  ``residual``
+    has them in any case.
     """
     width, least = len(model.domains), 1.0 if budget is None else 0.0
-    point = np.zeros(width)
-    at = _moments(table, point[None], least)[0]
-    now = at[1]
+    # With a bound far below, all documents are free: the first look has the whole Gram matrix.
+    now, gram = _looked_at(table, width, [], [np.zeros(width)], -1.0)[0]
     if now.sum() <= 0:
-        return Mix(model, now, 0.0, np.zeros((0, width)), least)
+        return Mix(model, now, np.zeros((0, width)), least)
     if weights is None:
         wanted = (now / now.sum()) ** TEMPERATURE
     else:
@@ -274,20 +276,13 @@ def fit_mix(table: DataFrame, model: DomainModel, weights: Mapping[str, float] |
     targets = budget * wanted
     scale = now.sum()
     allowed = np.clip(OWN_TOLERANCE * targets, OWN_TOLERANCE * TOLERANCE * scale, TOLERANCE * scale)
-    tried = []
-    for ridge in RIDGES:
-        point, at = _solved(table, targets, scale, least, ridge, allowed, point, at)
-        tried.append((float((np.abs(targets - at[1]) / allowed).max()), point, at[1]))
-        if tried[-1][0] <= 1:
-            break
-    nearest = min(t[0] for t in tried)
-    excess, point, total = next(t for t in tried if t[0] <= max(1.0, 1.1 * nearest))
-    residual = (targets - total) / scale
-    if excess > 1:
+    slopes, reached = _descend(table, targets, now, gram, least, allowed)
+    residual = (targets - reached) / scale
+    if (np.abs(residual) * scale > allowed).any():
         _LOG.warning("mix misses its targets: %s", {
             d: f"{t / scale:.4f} wanted, {r:+.4f} missing"
             for d, t, r in zip(model.domains, targets, residual, strict=True)})
-    return Mix(model, targets, 1.0, point[None], least, residual)
+    return Mix(model, targets, np.array(slopes).reshape(-1, width), least, residual)
 
 
 def copies_of(rate: Column, doc_id: Column) -> Column:
