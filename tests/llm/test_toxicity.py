@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+import re
 import zlib
 
 import numpy as np
@@ -39,6 +41,17 @@ def test_segments_are_the_maximal_ones(scores):
         assert score == sum(scores[start:end]) > 0
 
 
+@given(st.lists(st.integers(-60, 60), max_size=14), st.integers(0, 1000))
+def test_segments_one_by_one(scores, seed):
+    """Without ties the maximal segments are unique, ends and all."""
+    noise = np.random.default_rng(seed).normal(0, 1e-3, len(scores))
+    values = [s + e for s, e in zip(scores, noise, strict=True)]
+    found = X.maximal_segments(np.array(values)) if values else []
+    want = slow_segments(values)
+    assert [f[:2] for f in found] == [w[:2] for w in want]
+    assert np.allclose([f[2] for f in found], [w[2] for w in want])
+
+
 @pytest.fixture(scope="module")
 def corpus(spark):
     """Clean and toxic texts of made-up words; toxic ones hold a passage of bad words."""
@@ -71,6 +84,48 @@ def test_held_out_texts_and_passages(spark, corpus):
     assert sum((i in kept) == (not t) for i, t in toxic.items()) > 880
 
 
+def plain_score(model, text):
+    """The score again, from the weights, word by word and segment by segment."""
+    words = re.findall(r"\w+", (text or "").lower())
+    scores = []
+    for word in words:
+        toxic = [model.weights[f] for f in [word, *(word[:n] + "*" for n in range(4, min(9, len(word))))]
+                 if model.weights.get(f, 0) > 0]
+        scores.append(max(toxic) if toxic else model.weights.get(word, -0.5))
+    surprises = sorted((model.rate * s - math.log(model.factor * len(words))
+                        for _, _, s in slow_segments(scores)), reverse=True)
+    best = 0.0
+    for r in range(1, len(surprises) + 1):
+        x = sum(surprises[:r])
+        if surprises[r - 1] <= 0 or x <= 0:
+            break
+        chance = math.exp(-x) * x ** (r - 1) / (math.factorial(r) * math.factorial(r - 1)) * 2 ** (r - 1)
+        best = max(best, -math.log(chance))
+    return 1 / (1 + math.exp(-(model.intercept + model.slope * best)))
+
+
+def test_scores_against_a_plain_version(spark, corpus, documents, labels):
+    for docs, marks in (corpus[:2], (documents, labels)):
+        model = X.fit(docs, marks)
+        short = docs.filter("length(text) < 700").limit(60)
+        texts = {r.doc_id: r.text for r in short.collect()}
+        for r in X.score_documents(short, model).collect():
+            assert r.score == pytest.approx(plain_score(model, texts[r.doc_id]), rel=1e-6)
+
+
+def test_words_speak_for_both_sides(spark):
+    """A word met in clean texts only ends a passage that a neutral word would not."""
+    rows = [(i, "bad worse neutral " * 5 if i % 2 else "fine neutral " * 8) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    model = X.fit(docs, labels)
+    assert model.weights["bad"] > 0 > model.weights["fine"]
+    scorer = X._Scorer(model.weights)
+    ends = [[e for _, e, _ in scorer.segments(t.split())] for t in (
+        "bad x bad", "bad fine bad")]
+    assert ends == [[3], [1, 3]]
+
+
 def test_on_the_table(documents, labels):
     model = X.fit(documents, labels)
     rows = X.score_documents(documents, model).collect()

@@ -1,9 +1,10 @@
 """Toxic passages as maximal scoring segments of token log-odds.
 
-A word, or a longer word's beginning, scores the log-odds of meeting it in a toxic rather than a
-clean document, under a Dirichlet prior, shrunk by its standard error; all words without a weight
-score a small negative constant.  The scan of Ruzzo and Tompa finds every maximal segment in linear time.  What scores
-chance alone gives in clean text follows an extreme-value law (Karlin and Altschul): the number of
+A word scores the log-odds of meeting it in a toxic rather than a clean document, under a Dirichlet
+prior, shrunk towards zero by its standard error: above zero where it speaks for a toxic text, below
+where it speaks for a clean one.  A longer word whose beginning speaks for a toxic text scores as
+that.  Words that tell nothing score a small negative constant.  The scan of Ruzzo and Tompa finds
+every maximal segment in linear time.  What scores chance alone gives in clean text follows an extreme-value law (Karlin and Altschul): the number of
 segments of score S or more expected in n tokens is K n exp(-lambda S).  Lambda comes from the
 scores' distribution in clean text, K from the best segments of clean documents.  A segment is a
 passage if that expectation is small; a document's score is a logistic function of how unlikely its
@@ -32,7 +33,7 @@ FOLDS, HELD_OUT = 5, 0
 PRIOR_FLAT, PRIOR_BACKGROUND = 0.5, 100.0
 # Standard errors that a log-odds is moved towards zero.
 SHRINK = 1.64
-# Score of a word without a weight; ends a passage after some clean words.
+# Score of a word that tells nothing; ends a passage after some clean words.
 CLEAN_SCORE = -0.5
 # Best segments per document that the fit of the last step looks at.
 FIT_SEGMENTS = 64
@@ -130,15 +131,18 @@ def features_of(word: str) -> list[str]:
 
 
 class _Scorer(dict):
-    """Scores of the words a worker has met: the greatest weight among a word's features."""
+    """Scores of the words a worker has met: the greatest weight above zero of the word and its
+    beginnings, else the word's own below zero, else the constant."""
 
     def __init__(self, weights: dict[str, float]):
         super().__init__()
         self._weights = weights
 
     def __missing__(self, word: str) -> float:
-        found = [w for w in map(self._weights.get, features_of(word)) if w is not None]
-        score = max(found, default=CLEAN_SCORE)
+        known = self._weights.get
+        score = max(known(f, 0.0) for f in features_of(word))
+        if score <= 0:
+            score = known(word, CLEAN_SCORE)
         if len(self) >= MEMORY_WORDS:
             self.clear()
         self[word] = score
@@ -178,8 +182,8 @@ def _word_counts(sample: DataFrame) -> DataFrame:
 
 
 def _weighted_words(counts: DataFrame) -> tuple[dict[str, float], dict[str, int], float]:
-    """Weights of the words that tell toxic from clean text beyond their standard error, their
-    counts in clean text, and the number of clean tokens.
+    """Weights of the words that tell toxic from clean text beyond their standard error, of either
+    sign (of beginnings: above zero), their counts in clean text, and the number of clean tokens.
 
     Only weighted words reach the driver; the sample bounds them.
     """
@@ -197,8 +201,9 @@ def _weighted_words(counts: DataFrame) -> tuple[dict[str, float], dict[str, int]
 
     gap = log_odds(F.col("y1"), n1) - log_odds(F.col("y0"), n0)
     error = F.sqrt(1 / (F.col("y1") + prior) + 1 / (F.col("y0") + prior))
-    weight = gap - SHRINK * error
-    rows = counts.select("word", "y0", weight.alias("w")).filter("w > 0").collect()
+    weight = F.signum(gap) * F.greatest(F.abs(gap) - SHRINK * error, F.lit(0.0))
+    rows = counts.select("word", "y0", weight.alias("w")).filter(
+        (F.col("w") > 0) | (whole & (F.col("w") < 0))).collect()
     return {r.word: r.w for r in rows}, {r.word: r.y0 for r in rows}, float(n0)
 
 
@@ -207,7 +212,8 @@ def _rate(weights: dict[str, float], seen_clean: dict[str, int], clean: float) -
     if not weights:
         return 1.0
     values = np.array([weights[w] for w in weights])
-    share = np.array([seen_clean[w] + 0.5 for w in weights]) / (clean + 1.0)
+    share = np.array([seen_clean[w] + 0.5 * (weights[w] > 0) for w in weights]) / (clean + 1.0)
+    share /= max(1.0, share.sum())  # a word may stand beside its beginnings
     rest = max(0.0, 1.0 - share.sum())
 
     def excess(x: float) -> float:
