@@ -196,7 +196,7 @@ WHERE cancellation_count >= 3 OR distinct_customer_ids >= 2 OR refund_count >= 2
 def positions(c: str = "c") -> str:
     return f"""
 SELECT courier_id, zone_id, latitude, longitude, speed_kmh, status, vehicle_type,
-       event_time AS position_time
+       event_time AS position_time, event_id AS position_event_id
 FROM {c} QUALIFY row_number() OVER (PARTITION BY courier_id ORDER BY event_time DESC, event_id DESC) = 1"""
 
 
@@ -421,9 +421,9 @@ WHERE status = 'DELIVERED' AND actual_prep_minutes IS NOT NULL""",
 SELECT d.restaurant_id, restaurant_name, event_id, actual_prep_minutes
 FROM (SELECT * FROM o WHERE status = 'DELIVERED' AND actual_prep_minutes IS NOT NULL) x
 RIGHT JOIN dim d ON d.restaurant_id = x.restaurant_id""",
-    "demand_windows_approx": f"SELECT *, true AS within_error FROM ({demand()})",
-    "supply_windows_approx": f"SELECT *, true AS within_error FROM ({supply()})",
-    "fraud_windows_approx": f"SELECT *, true AS within_error FROM ({devices()})",
+    "demand_windows_approx": demand(),
+    "supply_windows_approx": supply(),
+    "fraud_windows_approx": devices(),
     "sla_windows": sla(),
     "sla_30min": sla(size=30, extra=", avg(actual_prep_minutes - estimated_prep_minutes) AS avg_prep_error"),
     "anomaly_windows": anomalies(),
@@ -579,7 +579,7 @@ _ANOMALY = (*_ZONE_KEYS, "delivery_count", "mean_delivery_min", "stddev_delivery
 _FRAUD = ("window_start", "window_end", "device_id", "distinct_customer_ids",
           "cancellation_count", "refund_count", "total_order_value", "fraud_flags")
 _POSITION = ("courier_id", "zone_id", "latitude", "longitude", "speed_kmh", "status",
-             "vehicle_type", "position_time")
+             "vehicle_type", "position_time", "position_event_id")
 _SESSION = ("courier_id", "session_start", "session_end", "event_count")
 _HOURLY = ("year", "month", "day", "hour", "event_count")
 
@@ -645,10 +645,10 @@ _COLUMNS: dict[str, tuple[str, ...]] = {
     "stream_orders_per_minute": (*_ZONE_KEYS, "order_count"),
     "stream_revenue_per_hour": ("window_start", "window_end", "delivered_count", "total_revenue"),
     "enrich_orders_right": ("restaurant_id", "restaurant_name", "event_id", "actual_prep_minutes"),
-    "demand_windows_approx": (*_DEMAND, "within_error"),
-    "supply_windows_approx": (*_SUPPLY, "within_error"),
+    "demand_windows_approx": _DEMAND,
+    "supply_windows_approx": _SUPPLY,
     "fraud_windows_approx": ("window_start", "window_end", "device_id", "distinct_customer_ids",
-        "placed_count", "cancellation_count", "refund_count", "total_order_value", "within_error"),
+        "placed_count", "cancellation_count", "refund_count", "total_order_value"),
     "upsert_after_restart": _KPI,
     "orders_per_minute": (*_ZONE_KEYS, "order_count"),
     "revenue_per_hour": ("window_start", "window_end", "delivered_count", "total_revenue"),

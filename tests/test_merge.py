@@ -2,7 +2,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tests.conftest import at
-from zonepulse.model import METRIC_TABLES
+from zonepulse.model import METRIC_TABLES, RESTAURANT_SLA_BY_RESTAURANT
 from zonepulse.operators import kpis, merge
 
 
@@ -59,11 +59,22 @@ def test_fraud(spark):
 
 
 def test_positions_take_the_newer(spark):
-    schema = "courier_id string, latitude double, position_time timestamp"
-    old = spark.createDataFrame([("a", 1.0, at(5)), ("b", 1.0, at(1))], schema)
-    new = spark.createDataFrame([("a", 2.0, at(4)), ("b", 2.0, at(1)), ("c", 2.0, at(0))], schema)
-    assert {r.courier_id: r.latitude for r in merge.merge_courier_positions(old, new).collect()} == {
-        "a": 1.0, "b": 2.0, "c": 2.0}
+    schema = "courier_id string, latitude double, position_time timestamp, position_event_id string"
+    old = spark.createDataFrame([("a", 1.0, at(5), "e1"), ("b", 9.0, at(1), "e1")], schema)
+    new = spark.createDataFrame([("a", 2.0, at(4), "e2"), ("b", 2.0, at(1), "e2"),
+                                 ("c", 2.0, at(0), "e3")], schema)
+    for pair in ((old, new), (new, old)):
+        assert {r.courier_id: r.latitude for r in merge.merge_courier_positions(*pair).collect()} == {
+            "a": 1.0, "b": 2.0, "c": 2.0}
+
+
+def test_sla_by_restaurant_alone(spark):
+    rows = [_rows(spark, "restaurant_sla", {"zone_id": z, "order_count": n, "p95_prep": p})
+            for z, n, p in (("Z1", 2, 10.0), ("Z2", 3, 20.0))]
+    apart = merge.merge_restaurant_sla(*rows).collect()
+    assert sorted((r.zone_id, r.order_count) for r in apart) == [("Z1", 2), ("Z2", 3)]
+    (one,) = merge.merge_restaurant_sla(*rows, contract=RESTAURANT_SLA_BY_RESTAURANT).collect()
+    assert (one.zone_id, one.order_count, one.p95_prep) == ("Z1", 5, 20.0)
 
 
 def test_replace(spark):

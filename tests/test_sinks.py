@@ -1,9 +1,14 @@
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import at
-from zonepulse.model import METRIC_TABLES
+from tests.test_archive import Crash
+from tests.test_archive import _dies as dies
+from zonepulse.model import LIVE_TABLES, METRIC_TABLES, RESTAURANT_SLA_BY_RESTAURANT
 from zonepulse.sinks import archive, database
 from zonepulse.sinks.changelog import ChangelogTable
+from zonepulse.sinks.manifest import Folder, Manifest
 from zonepulse.sources import files
 
 SCHEMA = "k string, v int"
@@ -72,6 +77,36 @@ def test_an_unfinished_batch_is_not_read(spark, tmp_path):
     assert _latest(spark, table) == {"a": 1}
 
 
+@pytest.mark.parametrize("call", [1, 2])
+@pytest.mark.parametrize("when", ["before", "after"])
+def test_a_batch_or_a_compaction_that_dies(spark, tmp_path, monkeypatch, call, when):
+    """The manifest is updated twice by a first batch (run, batch) and once by the others."""
+    table = _table(spark, tmp_path)
+    first = spark.createDataFrame([("a", 1)], SCHEMA)
+    dies(monkeypatch, Manifest, "update", call, when)
+    with pytest.raises(Crash):
+        table.write_batch(first, 0)
+    monkeypatch.undo()
+    assert _latest(spark, table) in ({}, {"a": 1})
+    table.write_batch(first, 0)
+    table.write_batch(spark.createDataFrame([("b", 2)], SCHEMA), 1)
+    for n in range(2, 5):
+        before = _latest(spark, table)
+        dies(monkeypatch, Manifest, "update", 1, when)
+        with pytest.raises(Crash):
+            table.compact(spark)
+        monkeypatch.undo()
+        assert _latest(spark, table) == before
+        table.write_batch(spark.createDataFrame([("b", n), (f"k{n}", n)], SCHEMA), n)
+        assert _latest(spark, table) == {**before, "b": n, f"k{n}": n}
+    assert table.compact(spark) == (0, 4)
+    assert _latest(spark, table) == {"a": 1, "b": 4, "k2": 2, "k3": 3, "k4": 4}
+    assert len(Folder(spark, table.path).names("snapshots")) <= 4
+    # A batch that was compacted before its checkpoint was written comes once more.
+    table.write_batch(spark.createDataFrame([("b", 4), ("k4", 4)], SCHEMA), 4)
+    assert _latest(spark, table) == {"a": 1, "b": 4, "k2": 2, "k3": 3, "k4": 4}
+
+
 def test_null_value_is_a_value(spark, tmp_path):
     table = _table(spark, tmp_path)
     table.write_batch(spark.createDataFrame([("a", 1)], SCHEMA), 0)
@@ -102,6 +137,47 @@ def test_database_statements():
         assert database.create_table_sql(t).count("\n") == len(t.columns) + 2
 
 
+def test_the_statements_run(spark):
+    """Every table is made and upserted into, by a database of this process."""
+    con = duckdb.connect()
+    for table in {**METRIC_TABLES, **LIVE_TABLES}.values():
+        con.execute(database.create_table_sql(table))
+        con.execute(database.create_table_sql(table))
+        con.execute(f"CREATE TABLE stage AS SELECT * FROM {table.name} LIMIT 0")
+        cells = {"TIMESTAMP": "TIMESTAMP '2024-01-01'", "STRING": "'{0}'", "BIGINT": "{0}",
+                 "INT": "{0}", "DOUBLE": "{0}", "BOOLEAN": "true"}
+        for n in (1, 2, 2):
+            con.execute("DELETE FROM stage")
+            con.execute("INSERT INTO stage SELECT " + ", ".join(
+                cells[f.dataType.simpleString().upper()].format(0 if f.name in table.keys else n)
+                for f in table.schema.fields))
+            con.execute(database.upsert_sql(table, "stage"))
+            (row,) = con.execute(f"SELECT * FROM {table.name}").fetchall()
+            got = dict(zip(table.columns, row, strict=True))
+            assert all(got[f.name] == n for f in table.schema.fields
+                       if f.name in table.values and f.dataType.simpleString() in ("bigint", "double", "int"))
+        con.execute("DROP TABLE stage")
+
+
+def test_a_database_whose_key_has_no_zone(spark, monkeypatch):
+    table, staged = METRIC_TABLES["restaurant_sla"], []
+    rows = [{"window_start": at(0), "window_end": at(15), "restaurant_id": r, "zone_id": z,
+             "order_count": n, "sla_breached": False}
+            for r, z, n in (("R1", "Z1", 1), ("R1", "Z2", 2), ("R2", "Z1", 3))]
+    df = spark.createDataFrame([tuple(r.get(c) for c in table.columns) for r in rows], table.schema)
+    monkeypatch.setattr(database, "write_staging",
+                        lambda d, t, *a: staged.append((t.keys, d.columns, d.collect())))
+    for contracts in ({}, {"restaurant_sla": RESTAURANT_SLA_BY_RESTAURANT}):
+        sink = database.Database("jdbc:none", {}, duckdb.connect, contracts=contracts)
+        monkeypatch.setattr(database.Database, "_run", lambda self, statements: None)
+        sink.sink(table, "restaurant_sla")(df, 0)
+    assert [len(r) for _, _, r in staged] == [3, 2]
+    keys, columns, got = staged[1]
+    assert keys == RESTAURANT_SLA_BY_RESTAURANT.keys and columns == table.columns
+    assert sorted((r.restaurant_id, r.zone_id, r.order_count) for r in got) == [
+        ("R1", "Z2", 2), ("R2", "Z1", 3)]
+
+
 def test_upsert_sink_stages_then_merges(monkeypatch, spark):
     log = []
 

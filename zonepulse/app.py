@@ -14,6 +14,7 @@ import os
 from urllib.parse import urlsplit
 
 from zonepulse.config import DEFAULTS, MetricConfig
+from zonepulse.model import RESTAURANT_SLA_BY_RESTAURANT
 from zonepulse.session import STREAMING_CONF, build_session
 from zonepulse.sinks.database import Database
 from zonepulse.sources import kafka
@@ -42,6 +43,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
                    help="drop only copies that the producer marked, not by event id")
     p.add_argument("--database", help="JDBC address; metrics are upserted there")
     p.add_argument("--database-module", help="DB-API module that connects to it, e.g. psycopg2")
+    p.add_argument("--sla-by-restaurant", action="store_true",
+                   help="the database's restaurant_sla has no zone in its key; the last zone stays")
     p.add_argument("--metric-archive", help="folder for a dated archive of all changed metric rows")
     p.add_argument("--state-partitions", type=int, default=64,
                    help="partitions of all state; fixed by the first start")
@@ -63,7 +66,8 @@ def database(args: argparse.Namespace) -> Database | None:
         return module.connect(host=address.hostname, port=address.port,
                               dbname=address.path.lstrip("/"), user=user, password=password)
 
-    return Database(args.database, {"user": user, "password": password}, connect)
+    contracts = {t.name: t for t in [RESTAURANT_SLA_BY_RESTAURANT] if args.sla_by_restaurant}
+    return Database(args.database, {"user": user, "password": password}, connect, contracts=contracts)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -13,6 +13,17 @@ def sum_if(condition: Column, value: Column) -> Column:
     return F.sum(F.when(condition, value))
 
 
+# Size of a distinct sketch: exact for a few hundred ids, and beyond that within HLL_ERROR, one
+# standard error, of the count.
+HLL_LG_K = 12
+HLL_ERROR = 1.04 / 2 ** (HLL_LG_K / 2)
+
+
+def approx_distinct(ids: Column | str) -> Column:
+    """Number of distinct values from a sketch of constant size; nulls do not count."""
+    return F.hll_sketch_estimate(F.hll_sketch_agg(ids, HLL_LG_K))
+
+
 def share(part: Column, whole: Column) -> Column:
     """``part / whole`` with 0.0 for an empty whole."""
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))

@@ -256,7 +256,8 @@ METRIC_TABLES: dict[str, MetricTable] = {t.name: t for t in (
     _table(
         "courier_positions", ("courier_id",),
         """courier_id STRING, zone_id STRING, latitude DOUBLE, longitude DOUBLE, speed_kmh DOUBLE,
-           status STRING, vehicle_type STRING, position_time TIMESTAMP, updated_at TIMESTAMP""",
+           status STRING, vehicle_type STRING, position_time TIMESTAMP, position_event_id STRING,
+           updated_at TIMESTAMP""",
     ),
 )}
 

@@ -29,13 +29,14 @@ def latest_positions(couriers: DataFrame) -> DataFrame:
     very many rows costs no more than any other.  On a stream it runs in update mode with one
     state row per courier.
     """
-    newest = F.max_by(F.struct(*_POSITION, EVENT_TIME),
+    newest = F.max_by(F.struct(*_POSITION, EVENT_TIME, "event_id"),
                       F.struct(F.col(EVENT_TIME), F.col("event_id"))).alias("row")
     return couriers.groupBy("courier_id").agg(newest).select(
         "courier_id",
         *[F.col(f"row.{c}").cast("double").alias(c) if c == "speed_kmh" else F.col(f"row.{c}")
           for c in _POSITION],
         F.col(f"row.{EVENT_TIME}").alias("position_time"),
+        F.col("row.event_id").alias("position_event_id"),
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonepulse.config import DEFAULTS, MetricConfig
-from zonepulse.functions.expressions import health_ratio, health_status
+from zonepulse.functions.expressions import approx_distinct, health_ratio, health_status
 from zonepulse.functions.windows import EVENT_TIME, ensure_watermark, flatten_window, tumbling
 from zonepulse.model import PENDING_STATES
 
@@ -56,12 +56,12 @@ def supply_windows(couriers: DataFrame, cfg: MetricConfig = DEFAULTS,
 def demand_windows_approx(orders: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
     """Demand from a HyperLogLog sketch: one shuffle, constant state per window and zone."""
     return _count(_pending(orders, cfg), cfg.health_minutes,
-                  F.approx_count_distinct("order_id").alias("pending_demand"))
+                  approx_distinct("order_id").alias("pending_demand"))
 
 
 def supply_windows_approx(couriers: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
     return _count(_idle(couriers, cfg), cfg.health_minutes,
-                  F.approx_count_distinct("courier_id").alias("available_supply"))
+                  approx_distinct("courier_id").alias("available_supply"))
 
 
 def demand_event_windows(orders: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
@@ -128,7 +128,7 @@ def both_sides(orders: DataFrame, couriers: DataFrame, cfg: MetricConfig, size:
         both = both.unionByName(side(again, "order_id", "demand"))
     if both.isStreaming and cfg.stream_distinct == "approx":
         def ids(label: str) -> Column:
-            return F.approx_count_distinct(F.when(F.col("side") == label, F.col("id")))
+            return approx_distinct(F.when(F.col("side") == label, F.col("id")))
         return both.groupBy("window", "zone_id").agg(
             ids("demand").alias("pending_demand"), ids("supply").alias("available_supply"))
     return both.dropDuplicates(["window", "zone_id", "side", "id"]).groupBy(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonepulse.config import DEFAULTS, MetricConfig
-from zonepulse.functions.expressions import fraud_flags, fraud_rules
+from zonepulse.functions.expressions import approx_distinct, fraud_flags, fraud_rules
 from zonepulse.functions.windows import ensure_watermark, flatten_window, tumbling
 from zonepulse.model import METRIC_TABLES
 
@@ -47,7 +47,7 @@ def device_activity(orders: DataFrame, cfg: MetricConfig = DEFAULTS,
     mode = distinct or (cfg.stream_distinct if rows.isStreaming else "exact")
     if mode == "approx":
         agg = rows.groupBy(*keys).agg(
-            F.approx_count_distinct("customer_id").alias("distinct_customer_ids"), *_measures())
+            approx_distinct("customer_id").alias("distinct_customer_ids"), *_measures())
     elif rows.isStreaming:
         markers = (
             rows.filter(F.col("customer_id").isNotNull()).select(*keys, "customer_id")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonepulse.functions.expressions import nan_to_null as _nan_to_null
-from zonepulse.model import METRIC_TABLES
+from zonepulse.model import METRIC_TABLES, MetricTable
 
 Rule = Callable[[Column, Column], Column]
 
@@ -85,8 +85,9 @@ def merge_by_rules(current: DataFrame, delta: DataFrame, keys: Sequence[str],
 
 
 def _merge_table(name: str, current: DataFrame, delta: DataFrame, rules: dict[str, Rule],
-                 derived: dict[str, Callable] | None = None) -> DataFrame:
-    table = METRIC_TABLES[name]
+                 derived: dict[str, Callable] | None = None,
+                 contract: MetricTable | None = None) -> DataFrame:
+    table = contract or METRIC_TABLES[name]
     return merge_by_rules(nan_to_null(current), nan_to_null(delta), table.keys, rules, derived)
 
 
@@ -109,13 +110,15 @@ def merge_demand(current: DataFrame, delta: DataFrame) -> DataFrame:
     return _merge_table("_demand_staging", current, delta, {"pending_demand": add})
 
 
-def merge_restaurant_sla(current: DataFrame, delta: DataFrame) -> DataFrame:
-    """The order count adds up, percentiles and breach are replaced, descriptions stay."""
+def merge_restaurant_sla(current: DataFrame, delta: DataFrame,
+                         contract: MetricTable | None = None) -> DataFrame:
+    """The order count adds up, percentiles and breach are replaced, descriptions stay, and so does
+    the zone where the ``contract`` has it not in its key."""
     return _merge_table("restaurant_sla", current, delta, {
-        "restaurant_name": first, "cuisine": first, "sla_tier": first,
+        "zone_id": first, "restaurant_name": first, "cuisine": first, "sla_tier": first,
         "order_count": add,
         "p50_prep": newest, "p95_prep": newest, "p99_prep": newest, "sla_breached": newest,
-    })
+    }, contract=contract)
 
 
 def merge_delivery_anomalies(current: DataFrame, delta: DataFrame) -> DataFrame:
@@ -146,13 +149,12 @@ def merge_health(current: DataFrame, delta: DataFrame) -> DataFrame:
 
 
 def merge_courier_positions(current: DataFrame, delta: DataFrame) -> DataFrame:
-    """The newer position of the two wins; of two with equal times the greater one by its values, so
-    that the answer does not depend on which side is the delta."""
-    values = [c for c in current.columns if c != "courier_id"]
-
+    """The newer position of the two wins, of two with equal times the one with the greater event
+    id, so that the answer does not depend on which side is the delta."""
     def pick(c: str):
         def ranked(side) -> Column:
-            return F.struct(side("position_time"), *[side(v) for v in values])
+            return F.struct(side("position_time"), side("position_event_id"))
         return lambda old, new: F.when(ranked(old) > ranked(new), old(c)).otherwise(new(c))
 
+    values = [c for c in current.columns if c != "courier_id"]
     return merge_by_rules(current, delta, ["courier_id"], {}, {c: pick(c) for c in values})

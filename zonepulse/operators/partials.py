@@ -20,7 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonepulse.config import DEFAULTS, MetricConfig
-from zonepulse.functions.expressions import fraud_flags, fraud_rules, sla_breached
+from zonepulse.functions.expressions import (
+    HLL_LG_K,
+    fraud_flags,
+    fraud_rules,
+    sla_breached,
+)
 from zonepulse.functions.windows import ensure_watermark, flatten_window, tumbling
 from zonepulse.model import METRIC_TABLES, PENDING_STATES
 from zonepulse.operators import anomaly, sla
@@ -28,8 +33,6 @@ from zonepulse.operators.merge import Rule, add, add_or_zero, merge_by_rules
 
 KLL_K = 400
 KLL_RANK_ERROR = 0.01
-HLL_LG_K = 12
-HLL_ERROR = 1.04 / 2 ** (HLL_LG_K / 2)
 
 _ZONE_KEYS = ("window_start", "window_end", "zone_id")
 _SLA_KEYS = ("window_start", "window_end", "restaurant_id", "zone_id")

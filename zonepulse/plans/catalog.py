@@ -176,22 +176,9 @@ def demand_windows(spark, sf_dir):
     return demand_supply.demand_windows(_orders(spark, sf_dir))
 
 
-def _beside_sketch(exact: DataFrame, sketch: DataFrame, count: str) -> DataFrame:
-    """Exact rows, each with whether the sketch has it too and is within four standard errors.
-
-    A standard error is 5 % of the count; collisions in the sketch may cost a small count up to 3.
-    """
-    keys = [c for c in ("window_start", "window_end", "zone_id", "device_id") if c in exact.columns]
-    near = F.abs(F.col("_sketch") - F.col(count)) <= F.greatest(F.lit(3.0), 0.2 * F.col(count))
-    return exact.join(sketch.select(*keys, F.col(count).alias("_sketch")), keys, "full_outer").select(
-        *exact.columns, F.coalesce(near, F.lit(False)).alias("within_error"))
-
-
 @query
 def demand_windows_approx(spark, sf_dir):
-    orders = _orders(spark, sf_dir)
-    return _beside_sketch(demand_supply.demand_windows(orders),
-                          demand_supply.demand_windows_approx(orders), "pending_demand")
+    return demand_supply.demand_windows_approx(_orders(spark, sf_dir))
 
 
 @query
@@ -206,9 +193,7 @@ def supply_windows(spark, sf_dir):
 
 @query
 def supply_windows_approx(spark, sf_dir):
-    fleet = _couriers(spark, sf_dir)
-    return _beside_sketch(demand_supply.supply_windows(fleet),
-                          demand_supply.supply_windows_approx(fleet), "available_supply")
+    return demand_supply.supply_windows_approx(_couriers(spark, sf_dir))
 
 
 @query
@@ -284,10 +269,7 @@ def fraud_windows(spark, sf_dir):
 
 @query
 def fraud_windows_approx(spark, sf_dir):
-    orders = _orders(spark, sf_dir)
-    return _beside_sketch(fraud.device_activity(orders),
-                          fraud.device_activity(orders, distinct="approx"),
-                          "distinct_customer_ids")
+    return fraud.device_activity(_orders(spark, sf_dir), distinct="approx")
 
 
 @query

@@ -1,37 +1,39 @@
 """Keyed upserts on plain Parquet.
 
-Every micro-batch writes the rows it changed into the folder of its run and batch id.  A replayed
-batch overwrites its own folder, so nothing is counted twice; a query that starts over from a new
-checkpoint is a new run, whose batches are newer than all of the runs before it.  Readers take the
-newest row per key; ``compact`` folds finished batches into a snapshot so that reads stay short,
-and deletes what the snapshot before it had covered.
+Every micro-batch writes the rows it changed into the folder of its run and batch id, and then
+enters it in the table's manifest.  A repeated batch that is entered already adds nothing; a query
+that starts over from a new checkpoint is a new run, whose batches are newer than all of the runs
+before it.  Readers take the newest row per key of what the manifest names; ``compact`` folds the
+batches into a snapshot, so that reads stay short.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonepulse.model import MetricTable
 from zonepulse.sinks import batches
-
-_RUNS = T.StructType([T.StructField("run", T.LongType()), T.StructField("run_id", T.StringType())])
-_LOG = T.StructType([T.StructField("run", T.LongType()), T.StructField("upto", T.LongType())])
+from zonepulse.sinks.manifest import Folder, Manifest
 
 Version = tuple[int, int]
 
 
 class ChangelogTable:
-    """Changelog of one keyed table below ``path``; one query at a time writes to it."""
+    """Changelog of one keyed table below ``path``; one query at a time writes to it.
+
+    The manifest names the runs, the last snapshot, the batches since, and what the snapshot
+    replaced.  A crash between any two steps leaves folders that nothing names.
+    """
 
     def __init__(self, path: str, keys: Sequence[str], schema: T.StructType):
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.schema = schema
+        self._manifest = Manifest(f"{self.path}/manifest")
 
     @classmethod
     def of(cls, table: MetricTable, path: str) -> ChangelogTable:
@@ -48,71 +50,52 @@ class ChangelogTable:
         checkpoint; batches outside of a query belong to one run of their own.
         """
         spark = df.sparkSession
-        run = self._run(spark, run_id or batches.run_id(spark))
+        version = self._version(spark, batch_id, run_id)
+        known = self._state(spark)
+        if version in known["batches"] or (known["snapshot"] and version <= known["snapshot"]):
+            return
         (df.select(*self.schema.fieldNames()).write.mode("overwrite")
-           .parquet(self._folder((run, batch_id))))
+           .parquet(f"{self.path}/{self._folder(version)}"))
+        self._manifest.update(spark, lambda m: {**m, "batches": [*m.get("batches", []), version]})
 
     def written(self, spark: SparkSession, batch_id: int, run_id: str | None = None) -> DataFrame:
         """The rows of a batch as stored, for sinks beside the changelog."""
-        run = self._run(spark, run_id or batches.run_id(spark))
-        return spark.read.schema(self.schema).parquet(self._folder((run, batch_id)))
-
-    def _folder(self, version: Version) -> str:
-        return f"{self.path}/changes/run={version[0]}/batch_id={version[1]}"
-
-    def _small_table(self, spark: SparkSession, name: str, schema: T.StructType) -> list:
-        try:
-            return spark.read.schema(schema).parquet(f"{self.path}/{name}").collect()
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return []
-            raise
-
-    def _run(self, spark: SparkSession, run_id: str) -> int:
-        """The number of a run; a new run gets the next one before it writes anything."""
-        known = {r.run_id: r.run for r in self._small_table(spark, "runs", _RUNS)}
-        if run_id not in known:
-            known[run_id] = max(known.values(), default=-1) + 1
-            (spark.createDataFrame([(known[run_id], run_id)], _RUNS).coalesce(1)
-             .write.mode("append").parquet(f"{self.path}/runs"))
-        return known[run_id]
-
-    def _fs(self, spark: SparkSession, path: str):
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _finished(self, spark: SparkSession) -> list[Version]:
-        """Versions whose folder is complete, in order; as many as batches since the compaction."""
-        pattern, fs = self._fs(spark, f"{self.path}/changes/run=*/batch_id=*/_SUCCESS")
-        found = []
-        for status in fs.globStatus(pattern) or []:
-            batch = status.getPath().getParent()
-            found.append((int(batch.getParent().getName().removeprefix("run=")),
-                          int(batch.getName().removeprefix("batch_id="))))
-        return sorted(found)
-
-    def _snapshots(self, spark: SparkSession) -> list[Version]:
-        """Published snapshots, by the last version they cover."""
-        return sorted({(r.run, r.upto) for r in self._small_table(spark, "snapshot_log", _LOG)})
-
-    def _snapshot_folder(self, version: Version) -> str:
-        return f"{self.path}/snapshots/run={version[0]}-upto={version[1]}"
-
-    def _versions(self, spark: SparkSession, upto: Version | None = None) -> DataFrame:
-        """Rows of the last snapshot and of newer finished batches, with ``run`` and ``batch_id``."""
-        snapshots = self._snapshots(spark)
-        since = snapshots[-1] if snapshots else (-1, -1)
-        newer = [v for v in self._finished(spark) if v > since and (upto is None or v <= upto)]
+        version = self._version(spark, batch_id, run_id)
+        return spark.read.schema(self.schema).parquet(f"{self.path}/{self._folder(version)}")
+
+    @staticmethod
+    def _folder(version: Version) -> str:
+        return f"changes/run={version[0]}/batch_id={version[1]}"
+
+    @staticmethod
+    def _snapshot_folder(version: Version) -> str:
+        return f"snapshots/run={version[0]}-upto={version[1]}"
+
+    def _state(self, spark: SparkSession) -> dict:
+        now = self._manifest.read(spark)[1]
+        return {"batches": sorted(tuple(v) for v in now.get("batches", [])),
+                "snapshot": tuple(now["snapshot"]) if now.get("snapshot") else None,
+                "replaced": now.get("replaced", [])}
+
+    def _version(self, spark: SparkSession, batch_id: int, run_id: str | None) -> Version:
+        """The run's number and the batch; a new run gets the next number before it writes."""
+        name = run_id or batches.run_id(spark)
+        runs = self._manifest.update(spark, lambda m: None if name in m.get("runs", {}) else {
+            **m, "runs": {**m.get("runs", {}), name: len(m.get("runs", {}))}})["runs"]
+        return runs[name], batch_id
+
+    def _versions(self, spark: SparkSession, state: dict) -> DataFrame:
+        """Rows of the snapshot and of the batches since, with ``run`` and ``batch_id``."""
         fields = [*self.schema.fields, T.StructField("run", T.LongType()),
                   T.StructField("batch_id", T.LongType())]
-        rows = spark.createDataFrame([], T.StructType(fields))
-        if newer:
+        rows, since = spark.createDataFrame([], T.StructType(fields)), state["snapshot"]
+        if state["batches"]:
             rows = (spark.read.schema(T.StructType(fields))
                     .option("basePath", f"{self.path}/changes")
-                    .parquet(*[self._folder(v) for v in newer]))
-        if not snapshots:
+                    .parquet(*[f"{self.path}/{self._folder(v)}" for v in state["batches"]]))
+        if not since:
             return rows
-        snapshot = spark.read.schema(self.schema).parquet(self._snapshot_folder(since))
+        snapshot = spark.read.schema(self.schema).parquet(f"{self.path}/{self._snapshot_folder(since)}")
         return snapshot.withColumns({"run": F.lit(since[0]).cast("long"),
                                      "batch_id": F.lit(since[1]).cast("long")}).unionByName(rows)
 
@@ -123,33 +106,31 @@ class ChangelogTable:
 
     def latest(self, spark: SparkSession) -> DataFrame:
         """Newest row per key."""
-        return self._newest(self._versions(spark))
+        return self._newest(self._versions(spark, self._state(spark)))
 
     def folders(self, spark: SparkSession) -> int:
-        """Complete batch folders on disk."""
-        return len(self._finished(spark))
+        """Batch folders on disk."""
+        return len(Folder(spark, self.path).matching("changes/run=*/batch_id=*"))
 
     def compact(self, spark: SparkSession) -> Version | None:
         """Write the latest rows as a snapshot and publish it; returns the last version it covers.
 
-        May run beside the writer: only finished batches up to a fixed one take part, and the
-        snapshot is complete before the log names it.  Deleted are the batches and the snapshot
-        that the snapshot before this one had replaced, so a reader that has just started is not
-        disturbed by one compaction.
+        May run beside the writer: only the batches entered so far take part.  What the snapshot
+        replaces is deleted by the next compaction, so a reader that has just planned is not
+        disturbed; what a compaction that died has left is deleted too.
         """
-        snapshots, finished = self._snapshots(spark), self._finished(spark)
-        before = snapshots[-1] if snapshots else None
-        if not finished or (before and finished[-1] <= before):
-            return before
-        upto = finished[-1]
-        (self._newest(self._versions(spark, upto)).write.mode("overwrite")
-         .parquet(self._snapshot_folder(upto)))
-        (spark.createDataFrame([upto], _LOG).coalesce(1).write.mode("append")
-         .parquet(f"{self.path}/snapshot_log"))
-        if before:
-            old = [self._folder(v) for v in finished if v <= before]
-            old += [self._snapshot_folder(v) for v in snapshots[:-1]]
-            for folder in old:
-                path, fs = self._fs(spark, folder)
-                fs.delete(path, True)
+        state, folder = self._state(spark), Folder(spark, self.path)
+        if not state["batches"]:
+            return state["snapshot"]
+        kept = {self._snapshot_folder(state["snapshot"])} if state["snapshot"] else set()
+        lost = {f"snapshots/{n}" for n in folder.names("snapshots")} - kept
+        for name in {*state["replaced"], *lost}:
+            folder.delete(name)
+        upto = state["batches"][-1]
+        (self._newest(self._versions(spark, state)).write.mode("overwrite")
+         .parquet(f"{self.path}/{self._snapshot_folder(upto)}"))
+        replaced = sorted(kept) + [self._folder(v) for v in state["batches"]]
+        self._manifest.update(spark, lambda m: {
+            **m, "snapshot": upto, "replaced": replaced,
+            "batches": [v for v in m["batches"] if tuple(v) > upto]})
         return upto

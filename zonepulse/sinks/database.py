@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonepulse.model import MetricTable
 
 _SQL_TYPES = {
     T.TimestampType: "TIMESTAMPTZ", T.StringType: "TEXT", T.LongType: "BIGINT",
-    T.DoubleType: "DOUBLE PRECISION", T.BooleanType: "BOOLEAN",
+    T.IntegerType: "INTEGER", T.DoubleType: "DOUBLE PRECISION", T.BooleanType: "BOOLEAN",
 }
 
 
@@ -51,16 +52,19 @@ class Database:
     """A relational database as sink of the metrics.
 
     ``connect`` opens a DB-API connection on the driver; rows go from the executors over JDBC.
+    ``contracts`` are tables that exist there with another key than ours, by name; rows that such a
+    key does not tell apart become one before they are staged.
     """
 
     url: str
     properties: dict[str, str]
     connect: Callable[[], object]
     connections: int = 8
+    contracts: Mapping[str, MetricTable] = field(default_factory=dict)
 
     def create_tables(self, tables: Iterable[MetricTable]) -> None:
         """Make what is missing; once, at start-up."""
-        self._run([create_table_sql(t) for t in tables])
+        self._run([create_table_sql(self.contracts.get(t.name, t)) for t in tables])
 
     def _run(self, statements: list[str]) -> None:
         connection = self.connect()
@@ -73,11 +77,20 @@ class Database:
             connection.close()
 
     def sink(self, table: MetricTable, query: str) -> Callable[[DataFrame, int], None]:
-        return upsert_sink(table, self, f"{query}_staging")
+        return upsert_sink(self.contracts.get(table.name, table), self, f"{query}_staging",
+                           [k for k in table.keys if k not in self.contracts.get(table.name, table).keys])
 
 
-def upsert_sink(table: MetricTable, database: Database,
-                staging: str) -> Callable[[DataFrame, int], None]:
+def one_per_key(df: DataFrame, table: MetricTable, more: Sequence[str]) -> DataFrame:
+    """The row with the greatest ``more`` (the rest of a longer key) for each key of ``table``."""
+    if not more:
+        return df
+    last = F.max_by(F.struct(*table.values), F.struct(*more)).alias("last")
+    return df.groupBy(*table.keys).agg(last).select(*table.keys, "last.*").select(*table.columns)
+
+
+def upsert_sink(table: MetricTable, database: Database, staging: str,
+                more: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` writer: stage the batch from the executors, then upsert it on the server.
 
     Only the upsert statement runs on the driver's connection.  ``staging`` belongs to one query:
@@ -86,7 +99,7 @@ def upsert_sink(table: MetricTable, database: Database,
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
-        write_staging(df, table, database.url, staging, database.properties, database.connections)
+        write_staging(one_per_key(df, table, more), table, database.url, staging, database.properties, database.connections)
         database._run([upsert_sql(table, staging)])
 
     return write
