@@ -36,7 +36,8 @@ orders_raw AS (
          round(value + 5, 2) AS order_value_eur,
          CASE WHEN NOT canc AND seq >= 1 THEN prep + k % 3 END AS estimated_prep_minutes,
          CASE WHEN NOT canc AND seq >= 3 THEN prep END AS actual_prep_minutes,
-         CASE WHEN seq = 6 THEN deliv WHEN seq = 8 THEN 20 END AS actual_delivery_minutes,
+         CASE WHEN seq = 6 AND k % 125 = 3 THEN 0 WHEN seq = 6 AND k % 125 = 4 THEN 150
+              WHEN seq = 6 THEN deliv WHEN seq = 8 THEN 20 END AS actual_delivery_minutes,
          CASE WHEN k % 37 = 0 THEN NULL
               WHEN u < 12 THEN concat('DEV-FRAUD-', CAST(u // 4 AS STRING))
               ELSE concat('DEV-', CAST(u AS STRING)) END AS device_id,
@@ -317,6 +318,11 @@ SELECT * FROM (
   FROM (SELECT *, lag(battery_pct) OVER (PARTITION BY courier_id ORDER BY event_time, event_id) AS before
         FROM c)) WHERE quality_flags <> ''"""
 
+_IMPOSSIBLE = """
+SELECT event_id, order_id, zone_id, event_time AS event_timestamp, actual_delivery_minutes,
+       CASE WHEN actual_delivery_minutes < 1 THEN 'TOO_SHORT' ELSE 'TOO_LONG' END AS kind
+FROM o WHERE status = 'DELIVERED' AND (actual_delivery_minutes < 1 OR actual_delivery_minutes > 120)"""
+
 _LIFE_STEPS = "status IN ('PLACED', 'READY_FOR_PICKUP', 'PICKED_UP', 'DELIVERED')"
 
 
@@ -435,6 +441,7 @@ SELECT event_id, order_id, x.zone_id, event_time AS event_timestamp, actual_deli
 FROM o x JOIN ({anomalies()}) a
   ON a.zone_id = x.zone_id AND event_time >= window_start AND event_time < window_end
 WHERE status = 'DELIVERED' AND actual_delivery_minutes > anomaly_threshold""",
+    "impossible_deliveries": _IMPOSSIBLE, "stream_impossible_deliveries": _IMPOSSIBLE,
     "fraud_windows": fraud(),
     "fraud_multi_account": _multi_account(),
     "stream_fraud_multi_account": _multi_account(),
@@ -584,6 +591,10 @@ _SESSION = ("courier_id", "session_start", "session_end", "event_count")
 _HOURLY = ("year", "month", "day", "hour", "event_count")
 
 _COLUMNS: dict[str, tuple[str, ...]] = {
+    "impossible_deliveries": ("event_id", "order_id", "zone_id", "event_timestamp",
+        "actual_delivery_minutes", "kind"),
+    "stream_impossible_deliveries": ("event_id", "order_id", "zone_id", "event_timestamp",
+        "actual_delivery_minutes", "kind"),
     "stream_rows_set_aside": ("event_id", "status", "event_time"),
     "stream_fraud_multi_account": ("window_start", "window_end", "device_id",
         "distinct_customer_ids", "placed_count", "cancellation_count", "cancellation_rate"),

@@ -257,6 +257,13 @@ def test_config(tmp_path):
     assert RECOMMENDED_CONF["spark.sql.adaptive.enabled"] == "true"
 
 
+def test_impossible_deliveries(orders):
+    rows = [{"status": "DELIVERED", "actual_delivery_minutes": m, "event_id": f"d{m}"}
+            for m in (0, 1, 60, 120, 121, None)] + [{"status": "PLACED", "actual_delivery_minutes": 0}]
+    assert {r.event_id: r.kind for r in anomaly.impossible_deliveries(orders(*rows)).collect()} == {
+        "d0": "TOO_SHORT", "d121": "TOO_LONG"}
+
+
 def test_outputs_follow_the_table_contracts(orders, couriers, restaurants):
     """Names, order and types: a sink may bind by position."""
     feeds = Feeds(orders({}), couriers({}), restaurants)

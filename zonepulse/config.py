@@ -50,6 +50,9 @@ class MetricConfig:
     )
     anomaly_minutes_limit: int = 60
     anomaly_sigmas: float = 2.0
+    # Delivery times that no courier makes: below the first, above the second.
+    shortest_delivery_minutes: int = 1
+    longest_delivery_minutes: int = 120
 
     fraud_cancellations: int = 3
     fraud_customers: int = 2

@@ -276,6 +276,9 @@ LIVE_TABLES: dict[str, MetricTable] = {t.name: t for t in (
     _table("courier_sessions", ("courier_id", "session_start"),
            "courier_id STRING, session_start TIMESTAMP, session_end TIMESTAMP, "
            "event_count BIGINT"),
+    _table("impossible_deliveries", ("event_id",),
+           "event_id STRING, order_id STRING, zone_id STRING, event_timestamp TIMESTAMP, "
+           "actual_delivery_minutes BIGINT, kind STRING"),
     _table("fraud_multi_account", ("window_start", "window_end", "device_id"),
            "window_start TIMESTAMP, window_end TIMESTAMP, device_id STRING, "
            "distinct_customer_ids BIGINT, placed_count BIGINT, cancellation_count BIGINT, "

@@ -67,6 +67,19 @@ def delivery_anomalies(orders: DataFrame, cfg: MetricConfig = DEFAULTS,
         *METRIC_TABLES["delivery_anomalies"].columns)
 
 
+def impossible_deliveries(orders: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
+    """Deliveries that took next to no time, or hours: one row each, without a shuffle.
+
+    No window is needed to tell them, so a window with few deliveries hides none.
+    """
+    rows = delivered_with_time(ensure_watermark(orders, cfg.orders_watermark))
+    kind = (F.when(F.col(_VALUE) < cfg.shortest_delivery_minutes, "TOO_SHORT")
+            .when(F.col(_VALUE) > cfg.longest_delivery_minutes, "TOO_LONG"))
+    return rows.select("event_id", "order_id", "zone_id", EVENT_TIME,
+                       F.col(_VALUE).cast("long").alias(_VALUE), kind.alias("kind")).filter(
+        F.col("kind").isNotNull())
+
+
 def flag_deliveries(orders: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
     """Deliveries above the threshold of a window that covers them, one row per such window.
 

@@ -262,6 +262,11 @@ def anomaly_flagged_deliveries(spark, sf_dir):
     return anomaly.flag_deliveries(_orders(spark, sf_dir))
 
 
+@query
+def impossible_deliveries(spark, sf_dir):
+    return anomaly.impossible_deliveries(_orders(spark, sf_dir))
+
+
 @query
 def fraud_windows(spark, sf_dir):
     return fraud.fraud_alerts(_orders(spark, sf_dir))
@@ -572,6 +577,11 @@ def stream_anomaly(spark, sf_dir):
     return _stream_metric(spark, sf_dir, "delivery_anomalies")
 
 
+@query
+def stream_impossible_deliveries(spark, sf_dir):
+    return _stream_metric(spark, sf_dir, "impossible_deliveries")
+
+
 @query
 def stream_fraud_multi_account(spark, sf_dir):
     return _stream_metric(spark, sf_dir, "fraud_multi_account")

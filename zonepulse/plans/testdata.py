@@ -83,7 +83,8 @@ _ORDER_COLUMNS = {
     "estimated_prep_minutes": "IF(NOT canc AND step.seq >= 1, CAST(prep + k % 3 AS INT), NULL)",
     "actual_prep_minutes": "IF(NOT canc AND step.seq >= 3, CAST(prep AS INT), NULL)",
     "estimated_delivery_minutes": "CAST(NULL AS INT)",
-    "actual_delivery_minutes": "CAST(CASE step.seq WHEN 6 THEN deliv WHEN 8 THEN 20 END AS INT)",
+    "actual_delivery_minutes": "CAST(CASE WHEN step.seq = 6 AND k % 125 IN (3, 4) THEN (k % 125 - 3) * 150 "
+                               "WHEN step.seq = 6 THEN deliv WHEN step.seq = 8 THEN 20 END AS INT)",
     "cancellation_reason": "IF(step.status = 'CANCELLED', 'CUSTOMER_REQUEST', NULL)",
     "device_id": "CASE WHEN k % 37 = 0 THEN NULL WHEN u < 12 THEN concat('DEV-FRAUD-', u div 4) "
                  "ELSE concat('DEV-', u) END",

@@ -75,6 +75,9 @@ JOBS: dict[str, MetricJob] = {j.name: j for j in (
     # Sessions that have ended only: a session is told once, when the watermark is past its gap.
     _job("courier_sessions", "courier_sessions", lambda f, c: couriers.gap_sessions(f.couriers, c),
          (), ("courier_id",), "append"),
+    _job("impossible_deliveries", "impossible_deliveries",
+         lambda f, c: anomaly.impossible_deliveries(f.orders, c),
+         ("order_id", "zone_id", "status", "actual_delivery_minutes"), (), "append"),
     _job("fraud_multi_account", "fraud_multi_account",
          lambda f, c: fraud.multi_account_devices(f.orders, c),
          ("device_id", "customer_id", "status", "order_value_eur")),
