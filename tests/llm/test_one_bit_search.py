@@ -84,3 +84,10 @@ def test_fewer_neighbours(spark, k):
                                "vec_id long, embedding array<double>")
     found = by_query(S.search(df, F.col("id") == 20, k=k))
     assert [i for i, _ in found[20]] == [29, 28, 27][:k]
+
+
+def test_vectors_of_another_length_take_no_part(spark):
+    rows = [(0, [1.0, 2.0]), (1, [3.0]), (2, [1.0, 1.0]), (3, [5.0, 5.0, 5.0]), (4, [0.0, 9.0]),
+            (20, [7.0]), (4, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert by_query(S.search(df, F.col("id") % 20 == 0)) == {0: [(4, 18.0), (2, 3.0)]}

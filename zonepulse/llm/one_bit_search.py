@@ -233,15 +233,18 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id",
     ``is_query`` is a condition on ``id``.  Null and zero vectors and those with null or non-finite
     components take no part; nor does a query with itself.  Ties go to the smaller id, repeated
     rows of one id are one vector, a query with fewer candidates gets all of them, an empty table
-    gives no rows, other columns are not looked at.  Vectors must have one length.
+    gives no rows, other columns are not looked at.  An inner product needs two vectors of one
+    length: those of another length than most (of lengths as frequent, the greatest) take no part.
 
     All vectors are indexed; centroids alone come from a bounded sample.  A large list is dealt to
     pieces and many queries to blocks, so no group grows with the table.
     """
     kind = vectors.schema[id_col].dataType
     # Of vectors with one id the least counts.
-    rows = written(usable(vectors, id_col, vector_col).groupBy("id").agg(F.min("v").alias("v")),
-                   "usable")
+    fit = usable(vectors, id_col, vector_col)
+    usual = fit.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
+    rows = written(fit.filter(F.size("v") == (usual.n if usual else 0))
+                   .groupBy("id").agg(F.min("v").alias("v")), "usable")
     head = rows.select(F.size("v").alias("n")).first()
     schema = (f"query_id {kind.simpleString()}, vec_id {kind.simpleString()}, score double, "
               "part int")

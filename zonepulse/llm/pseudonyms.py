@@ -21,6 +21,9 @@ ROUNDS = 10
 # Steps of a walk through a larger domain; a longer walk has a chance below 1e-20.
 WALK_STEPS = 200
 
+# Steps of a walk through dates or telephone numbers of which well over half qualify.
+SHORT_WALK = 100
+
 # Dates are permuted within these days, both included.
 FIRST_DAY, LAST_DAY = "1900-01-01", "2099-12-31"
 _DAYS = (date.fromisoformat(LAST_DAY) - date.fromisoformat(FIRST_DAY)).days + 1
@@ -75,16 +78,38 @@ def _stream(key: str, tweak: str, round_no: Column, source: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), F.lit(tweak), round_no.cast("string"), source), 256)
 
 
+# Runs of code points that are all letters of one script and one case.
+LETTERS: tuple[tuple[int, int], ...] = (
+    (0x00C0, 0x00D6), (0x00D8, 0x00DE), (0x00DF, 0x00F6), (0x00F8, 0x00FF),   # Latin-1
+    (0x0391, 0x03A1), (0x03A3, 0x03A9), (0x03B1, 0x03C9),                     # Greek
+    (0x0400, 0x042F), (0x0430, 0x045F),                                       # Cyrillic
+    (0x0531, 0x0556), (0x0561, 0x0586), (0x05D0, 0x05EA),                     # Armenian, Hebrew
+    (0x0621, 0x063A), (0x0641, 0x064A), (0x0905, 0x0939), (0x0E01, 0x0E30),   # Arabic, Devanagari, Thai
+    (0x10D0, 0x10FA), (0x3041, 0x3096), (0x30A1, 0x30FA),                     # Georgian, Kana
+    (0x4E00, 0x9FFF), (0xAC00, 0xD7A3),                                       # Han, Hangul
+)
+
+
 def _shifted(char: Column, by: Column) -> Column:
-    """A character moved on within its class: digits, small or capital letters; others stay."""
+    """A character moved on within its class: digits, small or capital letters, or one of the runs
+    of ``LETTERS``; others stay."""
     code = F.ascii(char)
 
+    def on(first: int, size: int) -> Column:
+        return F.lit(first) + F.pmod(code - first + by, F.lit(size))
+
     def within(first: str, size: int) -> Column:
-        return F.char(F.lit(ord(first)) + F.pmod(code - ord(first) + by, F.lit(size)))
+        return F.char(on(ord(first), size))
 
+    moved = F.lit(None).cast("int")
+    for first, last in reversed(LETTERS):
+        moved = F.when(code.between(first, last), on(first, last - first + 1)).otherwise(moved)
+    other = let(moved, lambda point: F.when(point.isNull(), char).otherwise(
+        F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")))
     return (F.when(char.between("0", "9"), within("0", 10))
             .when(char.between("a", "z"), within("a", 26))
-            .when(char.between("A", "Z"), within("A", 26)).otherwise(char))
+            .when(char.between("A", "Z"), within("A", 26))
+            .when(code < LETTERS[0][0], char).otherwise(other))
 
 
 def permute_text(value: Column, key: str, tweak: str) -> Column:
@@ -93,7 +118,7 @@ def permute_text(value: Column, key: str, tweak: str) -> Column:
     def moved(target: Column, source: Column, round_no: Column) -> Column:
         def of(stream: Column) -> Column:
             def one(i: Column) -> Column:
-                pair = F.substring(stream, F.pmod(i - 1, F.lit(32)) * 2 + 1, F.lit(2))
+                pair = F.substring(stream, F.pmod(i - 1, F.lit(31)) * 2 + 1, F.lit(4))
                 return _shifted(F.substring(target, i, F.lit(1)),
                                 F.conv(pair, 16, 10).cast("int"))
             return F.array_join(F.transform(
@@ -175,15 +200,27 @@ def _ip(m: Column, key: str) -> Column:
 
 
 def _date(m: Column, key: str) -> Column:
-    def in_format(pattern: str) -> Column:
+    """With slashes the month comes first, unless the first number is above 12: then the day does,
+    and the pseudonym is such a date too, so that no two dates become one."""
+    first = F.lit(FIRST_DAY).cast("date")
+
+    def moved(day: Column) -> Column:
+        number = permute_number(F.datediff(day, first), _DAYS, key, "date")
+        return F.date_add(first, number.cast("int"))
+
+    def in_format(pattern: str, change: Callable[[Column], Column] = moved) -> Column:
         day = F.try_to_timestamp(m, F.lit(pattern)).cast("date")
-        inside = day.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date"))
-        moved = permute_number(F.datediff(day, F.lit(FIRST_DAY).cast("date")), _DAYS, key, "date")
-        return F.when(inside, F.date_format(
-            F.date_add(F.lit(FIRST_DAY).cast("date"), moved.cast("int")), pattern)).otherwise(m)
+        inside = day.between(first, F.lit(LAST_DAY).cast("date"))
+        return F.when(inside, F.date_format(change(day), pattern)).otherwise(m)
+
+    def past_the_twelfth(day: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.lit(SHORT_WALK)), moved(day), lambda d, _: F.when(
+            F.dayofmonth(d) > 12, d).otherwise(moved(d)))
 
     return (F.when(m.contains("-"), in_format("yyyy-MM-dd"))
-            .when(m.contains("."), in_format("dd.MM.yyyy")).otherwise(in_format("MM/dd/yyyy")))
+            .when(m.contains("."), in_format("dd.MM.yyyy"))
+            .when(F.substring(m, 1, 2) > "12", in_format("dd/MM/yyyy", past_the_twelfth))
+            .otherwise(in_format("MM/dd/yyyy")))
 
 
 def _luhn(digits: Column) -> Column:
@@ -251,12 +288,25 @@ def _iban(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
+    """A country code stays.  Numbers with one must be of 7 to 15 digits.  A number with neither
+    country code nor brackets must be a North American one, whose area and exchange codes begin
+    with 2 to 9; its pseudonym is one too."""
     def of(prefix: Column) -> Column:
         rest = F.substring(m, F.length(prefix) + 1, F.length(m))
         return F.concat(prefix, let(rest, lambda r: refilled(r, permute_text(
             digits_of(r), key, "phone"))))
 
-    return let(F.regexp_extract(m, r"^\+\d{1,3}(?=[ .(-])", 0), of)
+    def bare(d: Column) -> Column:
+        walked = F.aggregate(
+            F.sequence(F.lit(1), F.lit(SHORT_WALK)), permute_text(d, key, "bare phone"),
+            lambda v, _: F.when(v.rlike(american), v).otherwise(permute_text(v, key, "bare phone")))
+        return F.when(d.rlike(american), refilled(m, walked)).otherwise(m)
+
+    american = r"^[2-9]\d{2}[2-9]\d{6}$"
+    marked = let(F.regexp_extract(m, r"^\+\d{1,3}(?=[ .(-])", 0), of)
+    length = F.length(digits_of(m))
+    return (F.when(m.startswith("+"), F.when(length.between(7, 15), marked).otherwise(m))
+            .when(m.contains("("), marked).otherwise(let(digits_of(m), bare)))
 
 
 _MAKERS: dict[str, Callable[[Column, str], Column]] = {
@@ -280,8 +330,10 @@ def pseudonymise(docs: DataFrame, key: str, counts: bool = False) -> DataFrame:
 
     With ``counts``, a column ``pii_counts`` (kind to number of values replaced) is added.  Null
     texts stay null, empty and clean ones stay as they are, rows are kept one by one, repeated ones
-    and null ids too, and no other column is touched.  A date, number or address that its check
-    rejects is left in place; secrets that are no one's number (tokens, digests) are too.
+    and null ids too, and no other column is touched, but for one that is called ``pii_counts``
+    where that is asked for.  A date, number or address that its check rejects is left in place;
+    secrets that are no one's number (tokens, digests) are too, and so are the domains of mail
+    addresses, which name a provider.
     """
     text = docs["text"].cast("string")
 
@@ -307,11 +359,18 @@ def pseudonymise(docs: DataFrame, key: str, counts: bool = False) -> DataFrame:
         return let(kinds, of)
 
     has_any = F.coalesce(text.rlike(PATTERN), F.lit(False))
-    columns = {"text": F.when(has_any, let(found(), joined)).otherwise(text)}
-    if counts:
-        columns["pii_counts"] = F.when(has_any, let(found(), tally)).otherwise(
-            F.create_map().cast("map<string,int>"))
-    return docs.withColumns(columns)
+    if not counts:
+        return docs.withColumn("text", F.when(has_any, let(found(), joined)).otherwise(text))
+    none = F.create_map().cast("map<string,int>")
+    # Both columns come from one array of matches, so that each is permuted once.
+    both = F.when(has_any, let(found(), lambda m: F.struct(
+        joined(m).alias("text"), tally(m).alias("counts")))).otherwise(
+        F.struct(text.alias("text"), none.alias("counts")))
+    made = "_made"
+    while made in docs.columns:
+        made += "_"
+    return docs.withColumn(made, both).withColumns({
+        "text": F.col(made)["text"], "pii_counts": F.col(made)["counts"]}).drop(made)
 
 
 def _equals(kind: str) -> Callable[[Column], Column]:
