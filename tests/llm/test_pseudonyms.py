@@ -134,7 +134,7 @@ def plain_number(value, size, key, tweak):
 def test_networks_against_a_plain_version(spark):
     values = ["a", "ab", "0", "12345678901", "Ab.9-z_", "иван", "réeux", "山田太郎", "x" * 70, "Ж9é", "-._", "ಕ"]
     df = spark.createDataFrame([(v, 7 * i) for i, v in enumerate(values)], "v string, n long")
-    rows = df.select("v", "n", P.permute_text(F.col("v"), "k", "t").alias("text"),
+    rows = df.select("v", "n", P.permute_text(F.col("v"), "k", "t", True).alias("text"),
                      P.permute_number(F.col("n"), 90, "k", "u").alias("number"),
                      P.permute_number(F.col("n"), 1 << 20, "k", "u").alias("wide")).collect()
     for r in rows:

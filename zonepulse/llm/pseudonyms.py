@@ -90,37 +90,39 @@ LETTERS: tuple[tuple[int, int], ...] = (
 )
 
 
-def _shifted(char: Column, by: Column) -> Column:
-    """A character moved on within its class: digits, small or capital letters, or one of the runs
-    of ``LETTERS``; others stay."""
+def _shifted(char: Column, by: Column, any_script: bool) -> Column:
+    """A character moved on within its class: digits, small or capital letters and, in any script,
+    one of the runs of ``LETTERS``; others stay."""
     code = F.ascii(char)
 
-    def on(first: int, size: int) -> Column:
-        return F.lit(first) + F.pmod(code - first + by, F.lit(size))
-
     def within(first: str, size: int) -> Column:
-        return F.char(on(ord(first), size))
-
-    moved = F.lit(None).cast("int")
-    for first, last in reversed(LETTERS):
-        moved = F.when(code.between(first, last), on(first, last - first + 1)).otherwise(moved)
-    other = let(moved, lambda point: F.when(point.isNull(), char).otherwise(
-        F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")))
+        return F.char(F.lit(ord(first)) + F.pmod(code - ord(first) + by, F.lit(size)))
+
+    def elsewhere(run: Column) -> Column:
+        point = run["first"] + F.pmod(code - run["first"] + by, run["last"] - run["first"] + 1)
+        return F.when(run.isNull(), char).otherwise(
+            F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32"))
+
+    other = char
+    if any_script:
+        runs = F.array(*[F.struct(F.lit(a).alias("first"), F.lit(b).alias("last")) for a, b in LETTERS])
+        here = F.get(F.filter(runs, lambda r: code.between(r["first"], r["last"])), 0)
+        other = F.when(code < LETTERS[0][0], char).otherwise(let(here, elsewhere))
     return (F.when(char.between("0", "9"), within("0", 10))
             .when(char.between("a", "z"), within("a", 26))
-            .when(char.between("A", "Z"), within("A", 26))
-            .when(code < LETTERS[0][0], char).otherwise(other))
+            .when(char.between("A", "Z"), within("A", 26)).otherwise(other))
 
 
-def permute_text(value: Column, key: str, tweak: str) -> Column:
+def permute_text(value: Column, key: str, tweak: str, any_script: bool = False) -> Column:
     """Feistel network over characters: in turn each half is moved on by a stream made from the
-    other.  Length and the class of every character stay."""
+    other.  Length and the class of every character stay; ``any_script`` moves letters beyond
+    ASCII too."""
     def moved(target: Column, source: Column, round_no: Column) -> Column:
         def of(stream: Column) -> Column:
             def one(i: Column) -> Column:
                 pair = F.substring(stream, F.pmod(i - 1, F.lit(31)) * 2 + 1, F.lit(4))
                 return _shifted(F.substring(target, i, F.lit(1)),
-                                F.conv(pair, 16, 10).cast("int"))
+                                F.conv(pair, 16, 10).cast("int"), any_script)
             return F.array_join(F.transform(
                 F.sequence(F.lit(1), F.length(target)), one), "")
         made = let(_stream(key, tweak, round_no, source), of)
@@ -182,7 +184,7 @@ def refilled(form: Column, digits: Column) -> Column:
 
 def _email(m: Column, key: str) -> Column:
     local = F.substring_index(m, "@", 1)
-    return F.concat(permute_text(local, key, "email"), F.lit("@"), F.substring_index(m, "@", -1))
+    return F.concat(permute_text(local, key, "email", any_script=True), F.lit("@"), F.substring_index(m, "@", -1))
 
 
 def _ip(m: Column, key: str) -> Column:
@@ -208,19 +210,26 @@ def _date(m: Column, key: str) -> Column:
         number = permute_number(F.datediff(day, first), _DAYS, key, "date")
         return F.date_add(first, number.cast("int"))
 
-    def in_format(pattern: str, change: Callable[[Column], Column] = moved) -> Column:
-        day = F.try_to_timestamp(m, F.lit(pattern)).cast("date")
-        inside = day.between(first, F.lit(LAST_DAY).cast("date"))
-        return F.when(inside, F.date_format(change(day), pattern)).otherwise(m)
+    def walked(day: Column) -> Column:
+        """One step, and where the day comes first as many as it takes to pass the twelfth."""
+        return F.aggregate(
+            F.when(day_first, F.sequence(F.lit(1), F.lit(SHORT_WALK))).otherwise(F.array(F.lit(1))),
+            F.struct(day.alias("d"), F.lit(False).alias("done")), step, lambda acc: acc["d"])
 
-    def past_the_twelfth(day: Column) -> Column:
-        return F.aggregate(F.sequence(F.lit(1), F.lit(SHORT_WALK)), moved(day), lambda d, _: F.when(
-            F.dayofmonth(d) > 12, d).otherwise(moved(d)))
+    def step(acc: Column, _: Column) -> Column:
+        def of(d: Column) -> Column:
+            return F.struct(d.alias("d"), (~day_first | (F.dayofmonth(d) > 12)).alias("done"))
+        return F.when(acc["done"], acc).otherwise(let(moved(acc["d"]), of))
+
+    day_first = m.contains("/") & (F.substring(m, 1, 2) > "12")
+    form = (F.when(m.contains("-"), "yyyy-MM-dd").when(m.contains("."), "dd.MM.yyyy")
+            .when(day_first, "dd/MM/yyyy").otherwise("MM/dd/yyyy"))
+
+    def of_day(day: Column) -> Column:
+        inside = day.between(first, F.lit(LAST_DAY).cast("date"))
+        return F.when(inside, F.call_function("date_format", walked(day).cast("timestamp"), form)).otherwise(m)
 
-    return (F.when(m.contains("-"), in_format("yyyy-MM-dd"))
-            .when(m.contains("."), in_format("dd.MM.yyyy"))
-            .when(F.substring(m, 1, 2) > "12", in_format("dd/MM/yyyy", past_the_twelfth))
-            .otherwise(in_format("MM/dd/yyyy")))
+    return let(F.try_to_timestamp(m, form).cast("date"), of_day)
 
 
 def _luhn(digits: Column) -> Column:
@@ -305,8 +314,9 @@ def _phone(m: Column, key: str) -> Column:
     american = r"^[2-9]\d{2}[2-9]\d{6}$"
     marked = let(F.regexp_extract(m, r"^\+\d{1,3}(?=[ .(-])", 0), of)
     length = F.length(digits_of(m))
-    return (F.when(m.startswith("+"), F.when(length.between(7, 15), marked).otherwise(m))
-            .when(m.contains("("), marked).otherwise(let(digits_of(m), bare)))
+    plus = m.startswith("+")
+    return (F.when(plus & ~length.between(7, 15), m).when(plus | m.contains("("), marked)
+            .otherwise(let(digits_of(m), bare)))
 
 
 _MAKERS: dict[str, Callable[[Column, str], Column]] = {
