@@ -366,14 +366,15 @@ FROM (SELECT window_start, window_end, zone_id, pending_demand,
       FROM ({demand()})) LEFT JOIN ({supply()}) USING (window_start, window_end, zone_id)"""
 
 
-# Rows whose 5-minute window the watermark had not passed: half-hour drops, one second of delay; the
+# Rows whose 5-minute window the watermark had not passed: hourly drops, one second of delay; the
 # watermark of a drop follows from the drops before it.
 _IN_TIME = """(
-  SELECT o.* FROM (SELECT *, epoch_us(ingestion_time) // 1800000000 AS drop_no FROM o) o
+  SELECT o.* FROM (SELECT *, (epoch_us(ingestion_time) + 150000000) // 3600000000 AS drop_no FROM o) o
   JOIN (SELECT drop_no, max(newest) OVER (ORDER BY drop_no ROWS BETWEEN UNBOUNDED PRECEDING
                                           AND 1 PRECEDING) - INTERVAL 1 SECOND AS watermark
-        FROM (SELECT epoch_us(ingestion_time) // 1800000000 AS drop_no,
-                     date_trunc('millisecond', max(event_time)) AS newest FROM o GROUP BY 1)) w
+        FROM (SELECT (epoch_us(ingestion_time) + 150000000) // 3600000000 AS drop_no,
+                     date_trunc('millisecond', max(event_time)) AS newest FROM o
+              WHERE status IN ('PLACED', 'CONFIRMED') GROUP BY 1)) w
   ON o.drop_no = w.drop_no
   WHERE w.watermark IS NULL
      OR time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE > w.watermark)"""

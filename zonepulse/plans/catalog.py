@@ -35,7 +35,7 @@ from zonepulse.sinks.changelog import ChangelogTable
 from zonepulse.sources import files, kafka
 from zonepulse.sources.decode import decode_json, encode_json
 from zonepulse.streaming.jobs import JOBS, Feeds, clean_stream, start_metric
-from zonepulse.streaming.late import WINDOWED, LateRows
+from zonepulse.streaming.late import LateRows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -654,52 +654,63 @@ def stream_revenue_per_hour(spark, sf_dir):
     return _stream_metric(spark, sf_dir, "revenue_per_hour")
 
 
-def _short_drops(spark, sf_dir, name: str, cfg: MetricConfig) -> tuple[DataFrame, LateRows]:
-    """A metric over half-hour drops, one per micro-batch of one continuous query, and what came
-    too late for it."""
-    job, root = JOBS[name], new_work_dir(spark, f"short-{name}")
+@query
+def stream_fraud_short_drops(spark, sf_dir):
+    """Hourly windows that no single micro-batch holds: half-hour drops, one per micro-batch of one
+    continuous query."""
+    job, root = JOBS["fraud_alerts"], new_work_dir(spark, "short-fraud")
     zone = DropZone(testdata.orders_feed(spark, sf_dir), f"{root}/orders",
                     list(dict.fromkeys((*_FEED_COLUMNS, *job.order_columns))), drop_seconds=1800)
     session = streaming_session(
         spark, conf={"spark.sql.streaming.noDataMicroBatches.enabled": "false"})
-    table = ChangelogTable.of(job.table, f"{root}/out/{name}")
-    late = LateRows(name, f"{root}/checkpoints/{name}", f"{root}/late", zone.schema,
-                    cfg) if name in WINDOWED else None
+
+    def start():
+        rows = clean_stream(zone.stream(session, max_files=1), DEFAULTS.orders_watermark)
+        return start_metric(job, Feeds(rows), f"{root}/out", f"{root}/checkpoints",
+                            available_now=True)
+
+    replay_in_batches(zone, start)
+    return ChangelogTable.of(job.table, f"{root}/out/{job.name}").latest(spark)
+
+
+def _impatient_kpis(spark, sf_dir) -> tuple[DataFrame, LateRows]:
+    """KPIs with a watermark shorter than the lateness, and the rows that came too late for them.
+
+    Hourly drops end in the midst of a window, and the query runs once for each; so rows of the
+    window before a drop's end are dropped where they arrive after it.
+    """
+    job, root = JOBS["kpi_tumbling"], new_work_dir(spark, "late-kpis")
+    cfg = MetricConfig(orders_watermark="1 second")
+    zone = DropZone(testdata.orders_feed(spark, sf_dir), f"{root}/orders",
+                    list(dict.fromkeys((*_FEED_COLUMNS, *job.order_columns))), drop_seconds=3600,
+                    early_seconds=150)
+    session = streaming_session(spark)
+    table = ChangelogTable.of(job.table, f"{root}/out/{job.name}")
+    late = LateRows(job.name, f"{root}/checkpoints/{job.name}", f"{root}/late", zone.schema, cfg)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         table.write_batch(batch, batch_id)
-        if late:
-            late.write(batch.sparkSession, batch_id)
+        late.write(batch.sparkSession, batch_id)
 
     def start():
-        rows = clean_stream(zone.stream(session, max_files=1), cfg.orders_watermark)
+        rows = clean_stream(zone.stream(session), cfg.orders_watermark)
         return start_metric(job, Feeds(rows), f"{root}/out", f"{root}/checkpoints", cfg,
                             available_now=True, write_batch=write)
 
-    replay_in_batches(zone, start)
+    replay(session, [zone], start)
     return table.latest(spark), late
 
 
-@query
-def stream_fraud_short_drops(spark, sf_dir):
-    """Hourly windows that no single micro-batch holds."""
-    return _short_drops(spark, sf_dir, "fraud_alerts", DEFAULTS)[0]
-
-
-_IMPATIENT = MetricConfig(orders_watermark="1 second")
-
-
 @query
 def stream_kpi_late_rows(spark, sf_dir):
-    """A watermark shorter than the lateness: rows of windows it has passed are dropped."""
-    return _short_drops(spark, sf_dir, "kpi_tumbling", _IMPATIENT)[0]
+    """KPIs of the rows that were in time."""
+    return _impatient_kpis(spark, sf_dir)[0]
 
 
 @query
 def stream_rows_set_aside(spark, sf_dir):
     """The rows that ``stream_kpi_late_rows`` drops: with those it counts they are the feed."""
-    late = _short_drops(spark, sf_dir, "kpi_tumbling", _IMPATIENT)[1]
-    return late.read(spark).select("event_id", "status", "event_time")
+    return _impatient_kpis(spark, sf_dir)[1].read(spark).select("event_id", "status", "event_time")
 
 
 @query

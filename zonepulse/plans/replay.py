@@ -19,12 +19,15 @@ DROP_SECONDS = 8 * 3600
 
 
 class DropZone:
-    """Stages a bounded feed once and releases it drop by drop into a stream's input folder."""
+    """Stages a bounded feed once and releases it drop by drop into a stream's input folder.
+
+    Drops are ``drop_seconds`` of arrivals; the first begins ``early_seconds`` before the epoch.
+    """
 
     def __init__(self, feed: DataFrame, root: str, columns: Sequence[str],
-                 drop_seconds: int = DROP_SECONDS):
+                 drop_seconds: int = DROP_SECONDS, early_seconds: int = 0):
         self.stage, self.inbox = f"{root}/stage", f"{root}/inbox"
-        drop = F.floor(F.unix_seconds(F.col("ingestion_time")) / drop_seconds)
+        drop = F.floor((F.unix_seconds(F.col("ingestion_time")) + early_seconds) / drop_seconds)
         kept = feed.select(*columns, drop.alias("drop"))
         self.schema = T.StructType([f for f in kept.schema.fields if f.name != "drop"])
         self.spark = feed.sparkSession

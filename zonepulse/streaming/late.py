@@ -1,8 +1,10 @@
 """The rows a windowed metric dropped because its watermark had passed their window.
 
-Spark drops them without a word.  What a micro-batch read, and the watermark it ran with, stand in
-the checkpoint of its query before the batch runs; so the same batch can set aside exactly the rows
-whose window had ended by then, whatever else other queries see and when.
+Spark drops them without a word.  What a micro-batch read, and the watermarks of all batches, stand
+in the checkpoint of its query before the batch runs.  A window is let go at the end of a batch by
+the watermark which that batch ran with; so a row is dropped if its window had ended by the
+watermark of the batch before its own, and the same batch can set aside exactly those rows, whatever
+other queries see and when.
 """
 
 from __future__ import annotations
@@ -64,10 +66,10 @@ class LateRows:
         return json.loads(about)["batchWatermarkMs"], json.loads(source)["logOffset"]
 
     def files(self, spark: SparkSession, batch_id: int) -> tuple[int, list[str]]:
-        """The watermark that a batch ran with, and the files it read."""
+        """The watermark that closed windows before a batch, and the files it read."""
         folder = Folder(spark, self._checkpoint)
-        watermark, upto = self._offsets(folder, batch_id)
-        since = self._offsets(folder, batch_id - 1)[1]
+        upto = self._offsets(folder, batch_id)[1]
+        watermark, since = self._offsets(folder, batch_id - 1)
         found = {}
         for entry in range(since + 1, upto + 1):
             text = folder.read(f"sources/0/{entry}") or folder.read(f"sources/0/{entry}.compact") or ""
