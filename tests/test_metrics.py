@@ -214,6 +214,23 @@ def test_orphaned_deliveries(orders, couriers):
     assert {r.order_id for r in fleet.orphaned_deliveries(o, c).collect()} == {"lost", "done"}
 
 
+def test_orphaned_deliveries_however_far_from_the_drop(spark, orders, couriers, monkeypatch):
+    from zonepulse.plans import catalog
+
+    def step(order, status, minute):
+        return {"order_id": order, "status": status, "event_time": at(minute)}
+
+    o = orders(step("saved", "IN_TRANSIT", 5), step("saved", "DELIVERED", 400),
+               step("slow", "IN_TRANSIT", 1), step("lost", "IN_TRANSIT", 190))
+    c = couriers(*[{"order_id": i, "status": "OFFLINE", "offline_reason": "MID_DELIVERY_DROP",
+                    "event_time": at(200)} for i in ("saved", "slow", "lost")])
+    monkeypatch.setattr(catalog, "_orders", lambda *_: o)
+    monkeypatch.setattr(catalog, "_couriers", lambda *_: c)
+    got = catalog.QUERIES["orphaned_deliveries"](spark, "")
+    assert {r.order_id for r in got.collect()} == {"slow", "lost"}
+    assert {r.order_id for r in fleet.orphaned_deliveries(o, c).collect()} == {"lost"}
+
+
 def test_utilisation_repeats_panes_not_rows(couriers):
     df = fleet.utilisation(couriers({"status": "ONLINE_IDLE"}))
     plan = df._jdf.queryExecution().executedPlan().toString()
