@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tests.conftest import at
 from tests.test_streaming import two_feeds
 from zonepulse import MetricConfig
-from zonepulse.operators import couriers, kpis, quality
+from zonepulse.operators import couriers, kpis, lifecycles, quality
 from zonepulse.session import streaming_session
 from zonepulse.sinks.manifest import Folder
 from zonepulse.streaming.jobs import JOBS
@@ -155,3 +155,35 @@ def test_rows_counted_and_rows_set_aside_are_the_feed(spark, raw_orders, restaur
     assert len(aside) == len(set(aside)) > 5
     assert kept + len(aside) == len(feed)
     assert Folder(spark, f"{tmp_path}/cp/{name}").names("offsets")
+
+
+class _Bucket:
+    """Stands in for the state of a bucket at a watermark."""
+
+    exists = hasTimedOut = False
+
+    def getCurrentWatermarkMs(self):
+        return 50_000
+
+    def update(self, values):
+        self.kept = values
+
+    def setTimeoutTimestamp(self, at_ms):
+        self.due_ms = at_ms
+
+
+def test_one_call_follows_all_keys_of_a_bucket():
+    import pandas as pd
+
+    n = 20_000
+    ids = [f"o{i}" for i in range(n)]
+    rows = [pd.DataFrame({"order_id": ids, "placed": [1_000_000] * n, "ready": None, "picked_up": None,
+                          "delivered": None, "last": [1_000_000] * n}),
+            pd.DataFrame({"order_id": ids, "placed": None, "ready": None, "picked_up": None,
+                          "delivered": range(49_990_001, 49_990_001 + n),
+                          "last": range(49_990_001, 49_990_001 + n)})]
+    state = _Bucket()
+    told = pd.concat(lifecycles._follow_orders(3_600_000, (0,), rows, state))
+    # A delivery before the watermark is told, one at or after it waits.
+    assert len(told) == 9_999 and told["ready_to_pickup_min"].isna().all()
+    assert len(state.kept[0]) == n - 9_999 and state.due_ms == 50_001

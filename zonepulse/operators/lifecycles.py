@@ -1,47 +1,69 @@
 """Metrics that follow one shift, courier or order over a stream, with timers on event time.
 
 Each keeps a small state per key and answers by the watermark: what is told at the end is what the
-batch metric of the same name says of all rows that were in time.  The functions below see the rows
-of one key in one micro-batch.
+batch metric of the same name says of all rows that were in time.  Keys are dealt into ``BUCKETS`` by
+hash, so that a call works on the columns of many keys at once; the functions below see the rows of
+one bucket in one micro-batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import partial
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonepulse.config import DEFAULTS, MetricConfig
 from zonepulse.functions.windows import EVENT_TIME, ensure_watermark
-from zonepulse.operators.couriers import flag_names
 
 _HOUR_MS, _MINUTE_US = 3_600_000, 60_000_000
+# What a bucket's state is kept under; like the partitions, for the life of a checkpoint.
+BUCKETS = 256
 
 
-def _micros(column: pd.Series) -> list[int | None]:
-    known = column.notna()
-    values = column.astype("datetime64[us]").astype("int64")
-    return [int(v) if k else None for v, k in zip(values, known, strict=True)]
+def _bucket(*key: str) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).cast("int").alias("bucket")
 
 
-def _times(values: Iterable[int | None]) -> pd.Series:
-    return pd.to_datetime(pd.Series(list(values), dtype="Int64"), unit="us")
+def _micros(column: str) -> Column:
+    return F.unix_micros(column)
 
 
-def _least(*values: int | None) -> int | None:
-    return min((v for v in values if v is not None), default=None)
+def _times(values: pd.Series) -> pd.Series:
+    return pd.to_datetime(values.astype("Int64"), unit="us")
 
 
-def _greatest(*values: int | None) -> int | None:
-    return max((v for v in values if v is not None), default=None)
+def _state_frame(state, columns: dict[str, str]) -> pd.DataFrame:
+    """The bucket's keys as kept, column by column."""
+    kept = state.get if state.exists else [[] for _ in columns]
+    return pd.DataFrame({name: pd.array(list(values), dtype=kind)
+                         for (name, kind), values in zip(columns.items(), kept, strict=True)})
 
 
-def _set_timer(state, at_ms: int) -> None:
-    """A timer may not lie at or before the watermark."""
-    state.setTimeoutTimestamp(max(at_ms, state.getCurrentWatermarkMs() + 1))
+def _arrived(batches: Iterable[pd.DataFrame], columns: dict[str, str]) -> pd.DataFrame:
+    rows = [pdf[list(columns)].astype(columns) for pdf in batches]
+    return pd.concat(rows, ignore_index=True) if rows else pd.DataFrame(
+        {name: pd.array([], dtype=kind) for name, kind in columns.items()})
+
+
+def _keep(state, left: pd.DataFrame, due_ms: int | None) -> None:
+    """Store a bucket's keys and wake up at ``due_ms``; a timer may not lie at or before the
+    watermark.  A bucket without keys is forgotten."""
+    if not len(left):
+        if state.exists:
+            state.remove()
+        return
+    state.update(tuple([None if v is pd.NA else v for v in left[c].tolist()] for c in left))
+    if due_ms is not None:
+        state.setTimeoutTimestamp(max(int(due_ms), state.getCurrentWatermarkMs() + 1))
+
+
+def _state_schema(columns: dict[str, str]) -> str:
+    kinds = {"Int64": "long", "Float64": "double", "boolean": "boolean", "string": "string"}
+    return ", ".join(f"{name} array<{kinds[kind]}>" for name, kind in columns.items())
 
 
 # --- shifts ------------------------------------------------------------------------------------
@@ -49,7 +71,9 @@ def _set_timer(state, at_ms: int) -> None:
 _SHIFT = ("active_session_id string, courier_id string, session_start timestamp, "
           "session_end timestamp, event_count long, session_minutes double, is_closed boolean, "
           "is_over boolean")
-_SHIFT_STATE = "first long, last long, declared long, offline long, n long"
+_SHIFT_KEY = ["active_session_id", "courier_id"]
+_SHIFT_COLUMNS = {"active_session_id": "string", "courier_id": "string", "first": "Int64",
+                  "last": "Int64", "declared": "Int64", "offline": "Int64", "n": "Int64"}
 
 
 def shift_sessions(couriers: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
@@ -59,104 +83,117 @@ def shift_sessions(couriers: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFra
     the courier comes back in the same shift; an open shift is given up after
     ``cfg.shift_silence_hours`` without a word.  Then it is told once more, as over.
     """
+    at = _micros(EVENT_TIME)
     rows = ensure_watermark(couriers, cfg.couriers_watermark).filter(
         F.col("active_session_id").isNotNull()).select(
-        "active_session_id", "courier_id", EVENT_TIME, "session_start_time", "status")
-    return rows.groupBy("active_session_id", "courier_id").applyInPandasWithState(
-        partial(_follow_shift, cfg.shift_linger_hours * _HOUR_MS, cfg.shift_silence_hours * _HOUR_MS),
-        _SHIFT, _SHIFT_STATE, "update", "EventTimeTimeout")
-
-
-def _follow_shift(linger_ms: int, silence_ms: int, key, batches, state) -> Iterator[pd.DataFrame]:
-    first, last, declared, offline, n = state.get if state.exists else (None, None, None, None, 0)
-    over = state.hasTimedOut
-    if over:
-        state.remove()
-    else:
-        for pdf in batches:
-            times = _micros(pdf[EVENT_TIME])
-            gone = [t for t, s in zip(times, pdf["status"], strict=True) if s == "OFFLINE"]
-            first, last = _least(first, *times), _greatest(last, *times)
-            declared = _least(declared, *_micros(pdf["session_start_time"]))
-            offline, n = _greatest(offline, *gone), n + len(times)
-        state.update((first, last, declared, offline, n))
-        _set_timer(state, last // 1000 + (linger_ms if offline == last else silence_ms))
-    start = _least(first, declared)
-    yield pd.DataFrame({
-        "active_session_id": [key[0]], "courier_id": [key[1]], "session_start": _times([start]),
-        "session_end": _times([last]), "event_count": [n],
-        "session_minutes": [(last - start) / _MINUTE_US], "is_closed": [offline is not None],
-        "is_over": [over]})
+        _bucket(*_SHIFT_KEY), *_SHIFT_KEY, EVENT_TIME, at.alias("first"), at.alias("last"),
+        _micros("session_start_time").alias("declared"),
+        F.when(F.col("status") == "OFFLINE", at).alias("offline"), F.lit(1).cast("long").alias("n"))
+    return rows.groupBy("bucket").applyInPandasWithState(
+        partial(_follow_shifts, cfg.shift_linger_hours * _HOUR_MS, cfg.shift_silence_hours * _HOUR_MS),
+        _SHIFT, _state_schema(_SHIFT_COLUMNS), "update", "EventTimeTimeout")
+
+
+def _follow_shifts(linger_ms: int, silence_ms: int, key, batches, state) -> Iterator[pd.DataFrame]:
+    known = _state_frame(state, _SHIFT_COLUMNS)
+    new = _arrived([] if state.hasTimedOut else batches, _SHIFT_COLUMNS)
+    both = pd.concat([known.assign(changed=False), new.assign(changed=True)], ignore_index=True)
+    shifts = both.groupby(_SHIFT_KEY, sort=False, dropna=False).agg(
+        {"first": "min", "last": "max", "declared": "min", "offline": "max", "n": "sum",
+         "changed": "max"}).reset_index()
+    lingers = (shifts["offline"] == shifts["last"]).fillna(False).astype(bool)
+    due = shifts["last"] // 1000 + np.where(lingers, linger_ms, silence_ms)
+    # A shift that has just changed waits for the next batch.
+    changed = shifts["changed"].astype(bool)
+    over = ~changed & (due < state.getCurrentWatermarkMs()).astype(bool)
+    left = shifts[~over]
+    _keep(state, left[list(_SHIFT_COLUMNS)], due[~over].min() if len(left) else None)
+    told = shifts[changed | over]
+    if len(told):
+        start = told["first"].where(~(told["declared"] < told["first"]).fillna(False), told["declared"])
+        yield pd.DataFrame({
+            "active_session_id": told["active_session_id"], "courier_id": told["courier_id"],
+            "session_start": _times(start), "session_end": _times(told["last"]),
+            "event_count": told["n"], "session_minutes": (told["last"] - start) / _MINUTE_US,
+            "is_closed": told["offline"].notna(), "is_over": over[told.index]})
 
 
 # --- suspicious courier rows -------------------------------------------------------------------
 
 _FLAGGED = ("event_id string, courier_id string, zone_id string, event_timestamp timestamp, "
             "speed_kmh double, location_accuracy_meters double, battery_pct int, quality_flags string")
-# Rows that the watermark has not passed, column by column, and the battery of the last one it has.
-_WAITING = ("event_id", "zone_id", "at", "speed_kmh", "location_accuracy_meters", "battery_pct",
-            "is_offline")
-_FLAGGED_STATE = ("event_id array<string>, zone_id array<string>, at array<long>, "
-                  "speed_kmh array<double>, location_accuracy_meters array<double>, "
-                  "battery_pct array<int>, is_offline array<boolean>, previous int")
+# Rows that the watermark has not passed, and of each courier the last one that it has.
+_FLAGGED_COLUMNS = {"courier_id": "string", "event_id": "string", "zone_id": "string", "at": "Int64",
+                    "speed_kmh": "Float64", "location_accuracy_meters": "Float64",
+                    "battery_pct": "Int64", "is_offline": "boolean", "told": "boolean"}
 
 
 def quality_flags(couriers: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
     """Suspicious courier rows, each told once when the watermark has passed it (append mode).
 
-    Only then is it certain which row came before it.  A courier's rows wait in its state till
-    then, in any order of arrival; of the rows told before, the last battery level stays.
+    Only then is it certain which row came before it.  A courier's rows wait in the state of its
+    bucket till then, in any order of arrival; of the rows told before, the last one stays.
     """
     rows = ensure_watermark(couriers, cfg.couriers_watermark).select(
-        "courier_id", "event_id", "zone_id", EVENT_TIME,
-        F.col("speed_kmh").cast("double").alias("speed_kmh"),
+        _bucket("courier_id"), "courier_id", "event_id", "zone_id", EVENT_TIME,
+        _micros(EVENT_TIME).alias("at"), F.col("speed_kmh").cast("double").alias("speed_kmh"),
         F.col("location_accuracy_meters").cast("double").alias("location_accuracy_meters"),
-        "battery_pct", (F.col("status") == "OFFLINE").alias("is_offline"))
-    return rows.groupBy("courier_id").applyInPandasWithState(
-        partial(_follow_courier, cfg), _FLAGGED, _FLAGGED_STATE, "append", "EventTimeTimeout")
-
-
-def _plain(values: Iterable) -> list:
-    """Nulls as None, whatever pandas made of them."""
-    return [None if pd.isna(v) else v for v in values]
-
-
-def _follow_courier(cfg: MetricConfig, key, batches, state) -> Iterator[pd.DataFrame]:
-    *waiting, previous = state.get if state.exists else (*[[] for _ in _WAITING], None)
-    rows = list(zip(*[list(w) for w in waiting], strict=True))
-    if not state.hasTimedOut:
-        for pdf in batches:
-            rows += zip(_plain(pdf["event_id"]), _plain(pdf["zone_id"]), _micros(pdf[EVENT_TIME]),
-                        _plain(pdf["speed_kmh"]), _plain(pdf["location_accuracy_meters"]),
-                        _plain(pdf["battery_pct"]), _plain(pdf["is_offline"]), strict=True)
-    rows.sort(key=lambda r: (r[2], r[0]))
-    watermark, out = state.getCurrentWatermarkMs(), []
-    passed = sum(r[2] // 1000 + 1 < watermark for r in rows)
-    for event_id, zone, at, speed, accuracy, battery, offline in rows[:passed]:
-        flags = flag_names(speed, accuracy, previous if offline else None, cfg)
-        if flags:
-            out.append((event_id, key[0], zone, at, speed, accuracy, battery, flags))
-        previous = None if battery is None else int(battery)
-    left = rows[passed:]
-    state.update((*[list(c) for c in zip(*left, strict=True)], previous) if left
-                 else (*[[] for _ in _WAITING], previous))
-    if left:
-        _set_timer(state, left[0][2] // 1000 + 1)
-    if out:
-        names = ["event_id", "courier_id", "zone_id", "event_timestamp", "speed_kmh",
-                 "location_accuracy_meters", "battery_pct", "quality_flags"]
-        pdf = pd.DataFrame(out, columns=names)
-        pdf["event_timestamp"] = _times(pdf["event_timestamp"])
-        pdf["battery_pct"] = pdf["battery_pct"].astype("Int32")
-        yield pdf
+        F.col("battery_pct").cast("long").alias("battery_pct"),
+        (F.col("status") == "OFFLINE").alias("is_offline"), F.lit(False).alias("told"))
+    return rows.groupBy("bucket").applyInPandasWithState(
+        partial(_follow_couriers, cfg), _FLAGGED, _state_schema(_FLAGGED_COLUMNS), "append",
+        "EventTimeTimeout")
+
+
+def _follow_couriers(cfg: MetricConfig, key, batches, state) -> Iterator[pd.DataFrame]:
+    known = _state_frame(state, _FLAGGED_COLUMNS)
+    new = _arrived([] if state.hasTimedOut else batches, _FLAGGED_COLUMNS)
+    rows = pd.concat([known, new], ignore_index=True)
+    # A row that was told comes before all others of its courier.
+    rows = rows.assign(later=~rows["told"].astype(bool)).sort_values(
+        ["courier_id", "later", "at", "event_id"], ignore_index=True)
+    watermark_us = state.getCurrentWatermarkMs() * 1000
+    passed = (rows["at"] < watermark_us).astype(bool) | ~rows["later"]
+    same = rows["courier_id"] == rows["courier_id"].shift()
+    same = same.fillna(False).astype(bool) | (
+        rows["courier_id"].isna() & rows["courier_id"].shift().isna() & (rows.index > 0))
+    before = rows["battery_pct"].shift().where(same)
+    flags = flag_names(rows, before, cfg)
+    out = rows[passed & rows["later"] & (flags != "")]
+    # Of the rows that were passed, the last one of each courier stays.
+    ends = passed & ~(same & passed).shift(-1, fill_value=False)
+    left = rows[~passed | ends].assign(told=passed)
+    waiting = rows["at"][~passed]
+    _keep(state, left[list(_FLAGGED_COLUMNS)], waiting.min() // 1000 if len(waiting) else None)
+    if len(out):
+        yield pd.DataFrame({
+            "event_id": out["event_id"], "courier_id": out["courier_id"], "zone_id": out["zone_id"],
+            "event_timestamp": _times(out["at"]), "speed_kmh": out["speed_kmh"],
+            "location_accuracy_meters": out["location_accuracy_meters"],
+            "battery_pct": out["battery_pct"].astype("Int32"), "quality_flags": flags[out.index]})
+
+
+def flag_names(rows: pd.DataFrame, battery_before: pd.Series, cfg: MetricConfig) -> pd.Series:
+    """The flags of ``couriers.quality_flags`` for the rows of a frame."""
+    rules = {
+        "IMPOSSIBLE_SPEED": rows["speed_kmh"] >= cfg.impossible_speed_kmh,
+        "POOR_ACCURACY": rows["location_accuracy_meters"] > cfg.poor_accuracy_meters,
+        "LOW_BATTERY_OFFLINE": rows["is_offline"] & (battery_before <= cfg.low_battery_pct),
+    }
+    names = pd.Series("", index=rows.index, dtype=object)
+    for name, holds in rules.items():
+        here = holds.fillna(False).astype(bool)
+        names[here] = names[here].map(lambda old, name=name: f"{old}, {name}" if old else name)
+    return names
 
 
 # --- orders ------------------------------------------------------------------------------------
 
-_STEPS = ("PLACED", "READY_FOR_PICKUP", "PICKED_UP", "DELIVERED")
+_STEPS = {"PLACED": "placed", "READY_FOR_PICKUP": "ready", "PICKED_UP": "picked_up",
+          "DELIVERED": "delivered"}
 _DURATIONS = ("order_id string, placed_to_delivered_min double, ready_to_pickup_min double, "
               "pickup_to_delivered_min double")
-_ORDER_STATE = "placed long, ready long, picked_up long, delivered long, last long"
+_ORDER_COLUMNS = {"order_id": "string", **{step: "Int64" for step in _STEPS.values()}, "last": "Int64"}
 
 
 def order_durations(orders: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
@@ -165,35 +202,32 @@ def order_durations(orders: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFram
     An order is over when the watermark has passed its delivery, or when nothing was heard of it
     for ``cfg.order_silence_hours``.  A step that never came gives null.
     """
+    at = _micros(EVENT_TIME)
     rows = ensure_watermark(orders, cfg.orders_watermark).filter(
         F.col("status").isin(*_STEPS) & F.col("order_id").isNotNull()).select(
-        "order_id", "status", EVENT_TIME)
-    return rows.groupBy("order_id").applyInPandasWithState(
-        partial(_follow_order, cfg.order_silence_hours * _HOUR_MS), _DURATIONS, _ORDER_STATE,
-        "append", "EventTimeTimeout")
-
-
-def _follow_order(silence_ms: int, key, batches, state) -> Iterator[pd.DataFrame]:
-    *steps, last = state.get if state.exists else (None,) * 5
-    if not state.hasTimedOut:
-        for pdf in batches:
-            times = _micros(pdf[EVENT_TIME])
-            for i, step in enumerate(_STEPS):
-                steps[i] = _least(steps[i], *[t for t, s in zip(times, pdf["status"], strict=True)
-                                              if s == step])
-            last = _greatest(last, *times)
-        state.update((*steps, last))
-        delivered = steps[-1]
-        _set_timer(state, delivered // 1000 + 1 if delivered is not None else last // 1000 + silence_ms)
-        return
-    state.remove()
-    placed, ready, picked_up, delivered = steps
-
-    def minutes(a: int | None, b: int | None) -> pd.Series:
-        known = a is not None and b is not None
-        return pd.Series([(b - a) / _MINUTE_US if known else None], dtype="float64")
-
-    yield pd.DataFrame({
-        "order_id": [key[0]], "placed_to_delivered_min": minutes(placed, delivered),
-        "ready_to_pickup_min": minutes(ready, picked_up),
-        "pickup_to_delivered_min": minutes(picked_up, delivered)})
+        _bucket("order_id"), "order_id", EVENT_TIME,
+        *[F.when(F.col("status") == s, at).alias(name) for s, name in _STEPS.items()],
+        at.alias("last"))
+    return rows.groupBy("bucket").applyInPandasWithState(
+        partial(_follow_orders, cfg.order_silence_hours * _HOUR_MS), _DURATIONS,
+        _state_schema(_ORDER_COLUMNS), "append", "EventTimeTimeout")
+
+
+def _follow_orders(silence_ms: int, key, batches, state) -> Iterator[pd.DataFrame]:
+    known = _state_frame(state, _ORDER_COLUMNS)
+    new = _arrived([] if state.hasTimedOut else batches, _ORDER_COLUMNS)
+    steps = pd.concat([known, new], ignore_index=True).groupby("order_id", sort=False).agg(
+        {**{step: "min" for step in _STEPS.values()}, "last": "max"}).reset_index()
+    due = steps["delivered"].fillna(steps["last"] + silence_ms * 1000)
+    over = (due < state.getCurrentWatermarkMs() * 1000).astype(bool)
+    left = steps[~over]
+    _keep(state, left[list(_ORDER_COLUMNS)], due[~over].min() // 1000 if len(left) else None)
+    told = steps[over]
+    if len(told):
+        def minutes(a: str, b: str) -> pd.Series:
+            return ((told[b] - told[a]) / _MINUTE_US).astype("Float64")
+
+        yield pd.DataFrame({
+            "order_id": told["order_id"], "placed_to_delivered_min": minutes("placed", "delivered"),
+            "ready_to_pickup_min": minutes("ready", "picked_up"),
+            "pickup_to_delivered_min": minutes("picked_up", "delivered")})
