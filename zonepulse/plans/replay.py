@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from zonepulse.sinks.manifest import Folder
 from zonepulse.sources.files import stream_parquet
 
 DROP_SECONDS = 8 * 3600
@@ -22,6 +23,7 @@ class DropZone:
     """Stages a bounded feed once and releases it drop by drop into a stream's input folder.
 
     Drops are ``drop_seconds`` of arrivals; the first begins ``early_seconds`` before the epoch.
+    A drop is a folder that is moved, so a stream sees it whole or not at all.
     """
 
     def __init__(self, feed: DataFrame, root: str, columns: Sequence[str],
@@ -33,23 +35,18 @@ class DropZone:
         self.spark = feed.sparkSession
         kept.write.partitionBy("drop").parquet(self.stage)
         # The input folder must exist before the first query starts.
-        self.spark.createDataFrame([], self.schema).write.parquet(self.inbox)
+        self.spark.createDataFrame([], self.schema).write.parquet(f"{self.inbox}/none")
 
     def drops(self) -> list[int]:
-        """Drop numbers in arrival order, from the partition folders."""
-        rows = self._staged().select("drop").distinct().collect()
-        return sorted(r[0] for r in rows)
-
-    def _staged(self) -> DataFrame:
-        schema = T.StructType([*self.schema.fields, T.StructField("drop", T.LongType())])
-        return self.spark.read.schema(schema).parquet(self.stage)
+        """Numbers of the drops still to be released in arrival order, from the partition folders."""
+        names = Folder(self.spark, self.stage).names()
+        return sorted(int(n.removeprefix("drop=")) for n in names if n.startswith("drop="))
 
     def release(self, drop: int) -> None:
-        (self._staged().filter(F.col("drop") == drop).drop("drop")
-         .write.mode("append").parquet(self.inbox))
+        Folder(self.spark, self.stage).move(f"drop={drop}", f"{self.inbox}/drop-{drop}")
 
-    def stream(self, spark: SparkSession, max_files: int | None = None) -> DataFrame:
-        return stream_parquet(spark, self.inbox, self.schema, max_files)
+    def stream(self, spark: SparkSession) -> DataFrame:
+        return stream_parquet(spark, f"{self.inbox}/*", self.schema)
 
 
 def replay(spark: SparkSession, zones: Sequence[DropZone], start: Callable[[], StreamingQuery]) -> None:
@@ -66,14 +63,14 @@ def replay(spark: SparkSession, zones: Sequence[DropZone], start: Callable[[], S
 
 
 def replay_in_batches(zone: DropZone, start: Callable[[], StreamingQuery]) -> None:
-    """Release all drops, one file each, and run a query that takes one file per micro-batch.
-
-    Files are read in the order they were written, so each micro-batch is a drop.
-    """
-    for drop in zone.drops():
-        (zone._staged().filter(F.col("drop") == drop).drop("drop").coalesce(1)
-         .write.mode("append").parquet(zone.inbox))
+    """Release drop after drop to one query that runs on, so that each micro-batch is a drop."""
+    first, *others = zone.drops()
+    zone.release(first)
     query = start()
-    query.awaitTermination()
-    if query.exception():
-        raise query.exception()
+    try:
+        query.processAllAvailable()
+        for drop in others:
+            zone.release(drop)
+            query.processAllAvailable()
+    finally:
+        query.stop()
