@@ -9,6 +9,14 @@ from zonepulse.session import streaming_session
 SF_DIR = "/root/testdata/sf0.001"
 
 
+def test_json_files_are_small_and_many(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "new_work_dir", lambda *_: f"{tmp_path}/json")
+    rows = catalog.QUERIES["scan_json_files"](spark, SF_DIR).count()
+    files = list(Path(f"{tmp_path}/json").glob("part-*"))
+    assert len(files) > 1 and rows > 500
+    assert sum(f.stat().st_size for f in files) < 200 * rows
+
+
 def test_a_drop_is_written_once_by_many_tasks_and_moved_whole(spark, tmp_path):
     feed = testdata.orders_feed(spark, SF_DIR, spread=True)
     zone = DropZone(feed, f"{tmp_path}", ["event_id", "ingestion_time"])
