@@ -354,3 +354,27 @@ def test_hand_over_numbers_go_on_with_a_new_checkpoint(spark, raw_orders, tmp_pa
     held.report(spark, "slow", 6)
     held.write(raw_orders({"event_id": "e8"}), 8)
     assert [int(n) for n in Folder(spark, held.path).names()] == [6, 7, 8]
+
+
+def test_state_of_utilisation_does_not_grow_with_the_couriers(spark, tmp_path, raw_couriers):
+    """Two batches of one window: the same couriers again, one of them busy by now, and a new one."""
+    cfg, job = MetricConfig(utilisation_buckets=3), JOBS["courier_utilisation"]
+    session, inbox = streaming_session(spark, 2), f"{tmp_path}/in"
+    first = [{"courier_id": f"c{i}", "event_time": at(1)} for i in range(300)]
+    again = [{"courier_id": f"c{i}", "event_time": at(2)} for i in range(300)]
+    again += [{"courier_id": "c7", "status": "HEADING_TO_CUSTOMER", "event_time": at(3)},
+              {"courier_id": "new", "event_time": at(3)}, {"courier_id": None, "event_time": at(4)},
+              {"courier_id": "c1", "event_time": at(60)}]
+    updated = []
+    for batch in (first, again):
+        raw_couriers(*batch).write.mode("append").parquet(inbox)
+        rows = clean_stream(stream_parquet(session, inbox, COURIERS.schema), cfg.couriers_watermark)
+        query = start_metric(job, Feeds(couriers=rows), f"{tmp_path}/out", f"{tmp_path}/cp", cfg,
+                             available_now=True)
+        query.awaitTermination()
+        assert query.exception() is None
+        updated += [o["numRowsUpdated"] for p in query.recentProgress for o in p["stateOperators"]]
+    told = ChangelogTable.of(job.table, f"{tmp_path}/out/{job.name}").latest(spark).collect()
+    assert len(told) == 3
+    assert {(r.online_couriers, r.busy_couriers) for r in told} == {(302, 1)}
+    assert max(updated) <= 6 * 3
