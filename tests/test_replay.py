@@ -2,6 +2,8 @@
 
 from pathlib import Path
 
+import pytest
+
 from zonepulse.plans import catalog, testdata
 from zonepulse.plans.replay import DropZone
 from zonepulse.session import streaming_session
@@ -32,3 +34,11 @@ def test_a_drop_is_written_once_by_many_tasks_and_moved_whole(spark, tmp_path):
         "released").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
     query.awaitTermination()
     assert sum(p["numInputRows"] for p in query.recentProgress) == feed.count()
+
+
+@pytest.mark.parametrize("name", ["stream_orphaned_deliveries", "stream_demand_supply"])
+def test_a_drop_does_not_start_from_every_write_of_the_drops_before(spark, tmp_path, monkeypatch, name):
+    monkeypatch.setattr(catalog, "new_work_dir", lambda *_: f"{tmp_path}/run")
+    catalog.QUERIES[name](spark, SF_DIR).collect()
+    state = [p.suffix for p in Path(f"{tmp_path}/run/checkpoints").glob("*/state/*/*/**/*.*")]
+    assert ".zip" in state and ".changelog" not in state
