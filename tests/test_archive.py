@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import at
 from zonepulse.model import ORDERS
+from zonepulse.session import streaming_session
 from zonepulse.sinks import archive, manifest
 from zonepulse.sinks.archive import Archive
 from zonepulse.sinks.manifest import KEPT_VERSIONS, Folder, Manifest
@@ -71,6 +72,47 @@ def test_an_empty_batch_and_an_empty_archive(spark, rows, tmp_path):
     assert stored.keys(spark) == [] and ids(stored, spark) == Counter()
 
 
+def test_a_batch_is_read_once(spark, rows, tmp_path):
+    stored, read = Archive(str(tmp_path / "raw")), spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            read.add(len(frame))
+            yield frame
+
+    df = rows("a", 10)
+    stored.write_batch(df.mapInPandas(counted, df.schema), 0, "run")
+    assert read.value == 10
+    assert ids(stored, spark) == Counter(f"a{i}" for i in range(10))
+
+
+def test_a_streaming_batch_is_written_without_a_sort(spark, rows, tmp_path):
+    stored, session = Archive(str(tmp_path / "raw")), streaming_session(spark)
+    rows("a").write.parquet(f"{tmp_path}/in")
+    rows("b").write.mode("append").parquet(f"{tmp_path}/in")
+    archive.archive_stream(session.readStream.schema(ORDERS.schema).parquet(f"{tmp_path}/in"), stored,
+                           f"{tmp_path}/cp", "unsorted", available_now=True).awaitTermination()
+    assert ids(stored, spark) == Counter(f"{n}{i}" for n in "ab" for i in range(4))
+    assert int(session.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 8
+    assert not Folder(spark, stored.path).names("incoming")
+
+
+@pytest.mark.parametrize(("name", "call", "when"), [
+    ("move", 1, "before"), ("move", 1, "after"), ("move", 2, "before"), ("move", 2, "after")])
+def test_a_batch_that_dies_while_it_is_moved_is_repeated_without_loss(
+        spark, rows, tmp_path, monkeypatch, name, call, when):
+    stored = Archive(str(tmp_path / "raw"))
+    _dies(monkeypatch, Folder, name, call, when)
+    with pytest.raises(Crash):
+        stored.write_batch(rows("a"), 0, "run")
+    monkeypatch.undo()
+    assert all(n == 1 for n in ids(stored, spark).values())
+    stored.write_batch(rows("a"), 0, "run")
+    stored.write_batch(rows("a"), 0, "run")
+    assert ids(stored, spark) == Counter(f"a{i}" for i in range(4))
+    assert not Folder(spark, stored.path).names("incoming")
+
+
 # Where a batch or a compaction dies: (what is patched, on which call, before or after it).
 CRASHES = [("update", n, when) for n in (1, 2) for when in ("before", "after")]
 

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from zonepulse.sinks.manifest import Folder
-from zonepulse.sources.files import stream_parquet
+from zonepulse.sources.files import PLAIN_COLUMNS, stream_parquet
 
 DROP_SECONDS = 8 * 3600
 
@@ -33,9 +33,9 @@ class DropZone:
         kept = feed.select(*columns, drop.alias("drop"))
         self.schema = T.StructType([f for f in kept.schema.fields if f.name != "drop"])
         self.spark = feed.sparkSession
-        kept.write.partitionBy("drop").parquet(self.stage)
+        kept.write.options(**PLAIN_COLUMNS).partitionBy("drop").parquet(self.stage)
         # The input folder must exist before the first query starts.
-        self.spark.createDataFrame([], self.schema).write.parquet(f"{self.inbox}/none")
+        kept.drop("drop").limit(0).write.parquet(f"{self.inbox}/none")
 
     def drops(self) -> list[int]:
         """Numbers of the drops still to be released in arrival order, from the partition folders."""

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from zonepulse.sinks.batches import run_id
 from zonepulse.sinks.manifest import Folder, Manifest, newest_versions
+from zonepulse.sources.files import PLAIN_COLUMNS
 
 RAW_PARTITIONS = ("year", "month", "day", "hour")
 METRIC_PARTITIONS = ("year", "month", "day")
@@ -45,9 +46,9 @@ class Archive:
     manifest per partition that names the folders that count (``live``).  Readers plan from the
     manifests, so what is half written, left by a crash or already replaced is never read:
 
-    - A batch writes its folders and then enters them, partition by partition.  Its repetition
-      leaves out the partitions that have it, also where it has been compacted since, and writes
-      the others anew.
+    - A batch writes its folders aside (``incoming``), then moves and enters them, partition by
+      partition.  Its repetition leaves out the partitions that have it, also where it has been
+      compacted since, and puts the others in anew.
     - Compaction writes the rows of the small folders into one new folder and then swaps the names
       in one step.  A crash before that leaves a folder that no one names; the next compaction
       removes it.  Folders that were replaced stay until then, for readers that planned from them.
@@ -79,35 +80,39 @@ class Archive:
         parts = zip(self.partitions, key.split("-"), strict=True)
         return "/".join([self._data, *[f"{name}={int(value)}" for name, value in parts]])
 
-    def _key(self) -> Column:
-        widths = {"year": 4}
-        return F.concat_ws("-", *[F.lpad(F.col(p).cast("string"), widths.get(p, 2), "0")
-                                  for p in self.partitions])
+    def _keys_in(self, folder: Folder) -> dict[str, str]:
+        """The folders of the partitions that lie in ``folder``, by key."""
+        found = folder.matching("/".join(f"{p}=*" for p in self.partitions))
+        names = [p.split("/")[-len(self.partitions):] for p in found]
+        values = [[int(n.split("=")[1]) for n in parts] for parts in names]
+        return {f"{v[0]:04d}" + "".join(f"-{n:02d}" for n in v[1:]): "/".join(parts)
+                for v, parts in zip(values, names, strict=True)}
 
     def write_batch(self, df: DataFrame, batch_id: int, run: str | None = None) -> None:
         """Add a micro-batch, exactly once however often it is repeated.
 
-        ``df`` is read twice, so cache it.  The driver gets the partitions that the batch touches.
+        ``df`` is read once: its rows are written aside, and the folder of each partition that does
+        not have the batch yet is moved into place.  The driver gets the partitions it touches.
         """
         spark = df.sparkSession
         run = run or run_id(spark)
-        rows, label = self._with_partitions(df), f"{run}.{batch_id}"
-        keys = sorted(r[0] for r in rows.select(self._key()).distinct().collect())
-        pending = [k for k in keys
-                   if self._manifest(k).read(spark)[1].get("runs", {}).get(run, -1) < batch_id]
-        if not pending:
-            return
-        if len(pending) < len(keys):
-            rows = rows.filter(self._key().isin(pending))
-        (rows.withColumn(BATCH, F.lit(label)).hint("rebalance", *self.partitions)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*self.partitions, BATCH).parquet(self._data))
-        for key in pending:
+        label, aside = f"{run}.{batch_id}", Folder(spark, f"{self.path}/incoming/{run}")
+        (self._with_partitions(df).hint("rebalance", *self.partitions)
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").options(**PLAIN_COLUMNS)
+         .partitionBy(*self.partitions).parquet(aside.path))
+        for key, folder in sorted(self._keys_in(aside).items()):
+            if self._manifest(key).read(spark)[1].get("runs", {}).get(run, -1) >= batch_id:
+                continue
+            there, name = Folder(spark, self._folder(key)), f"{BATCH}={label}"
+            there.delete(name)  # of a try that died before the batch was entered
+            if not aside.move(folder, f"{there.path}/{name}"):
+                raise RuntimeError(f"{aside.path}/{folder} could not be moved to {there.path}/{name}")
             now = self._manifest(key).update(spark, lambda m, key=key: {
                 **m, "key": key, "live": [*m.get("live", []), label],
                 "runs": {**m.get("runs", {}), run: batch_id}})
             if self.compact_at and len(self._small(now)) >= self.compact_at:
                 self.compact(spark, key)
+        aside.delete("")
 
     @staticmethod
     def _small(manifest: dict) -> list[str]:
@@ -126,7 +131,8 @@ class Archive:
         full = f"{_FULL}{version}"
         rows = spark.read.option("mergeSchema", "true").parquet(
             *[f"{here.path}/{BATCH}={b}" for b in small])
-        rows.hint("rebalance").write.mode("overwrite").parquet(f"{here.path}/{BATCH}={full}")
+        (rows.hint("rebalance").write.mode("overwrite").options(**PLAIN_COLUMNS)
+         .parquet(f"{here.path}/{BATCH}={full}"))
         self._manifest(key).update(spark, lambda m: {
             **m, "live": [full, *[b for b in m["live"] if b not in small]], "replaced": small})
         return True
@@ -181,13 +187,6 @@ def write_dead_letters(df: DataFrame, path: str, batch_id: int) -> None:
 def archive_stream(df: DataFrame, archive: Archive, checkpoint: str, name: str,
                    available_now: bool = False, interval: str = "1 minute"):
     """Append every event of a stream to an archive, exactly once."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            archive.write_batch(batch, batch_id)
-        finally:
-            batch.unpersist()
-
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    return (df.writeStream.queryName(name).foreachBatch(write)
+    return (df.writeStream.queryName(name).foreachBatch(archive.write_batch)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())

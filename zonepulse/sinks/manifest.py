@@ -46,12 +46,14 @@ class Folder:
     def delete(self, name: str) -> None:
         self._fs.delete(self._at(name), True)
 
-    def move(self, name: str, to: str) -> None:
-        """Move what is there to a path on the same store; nothing if it does not exist any more."""
+    def move(self, name: str, to: str) -> bool:
+        """Move what is there to a path on the same store; false if that failed, or if it does not
+        exist any more."""
         target = self._hadoop.Path(to)
-        if self._fs.exists(self._at(name)):
-            self._fs.mkdirs(target.getParent())
-            self._fs.rename(self._at(name), target)
+        if not self._fs.exists(self._at(name)):
+            return False
+        self._fs.mkdirs(target.getParent())
+        return self._fs.rename(self._at(name), target)
 
     def read(self, name: str) -> str | None:
         """A small file's text; null if it does not exist any more."""

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from zonepulse.model import RESTAURANT_SCHEMA, Feed
 from zonepulse.sources.decode import _normalise_times
 
+# Ids and times hardly repeat, so a Parquet writer would build their dictionaries for nothing.
+PLAIN_COLUMNS = {f"parquet.enable.dictionary#{c}": "false"
+                 for c in ("event_id", "event_time", "ingestion_time")}
+
 
 def read_json_files(spark: SparkSession, path: str, feed: Feed,
                     multiline: bool = False) -> DataFrame:
