@@ -3,6 +3,7 @@
 from pathlib import Path
 
 import pytest
+from pyarrow.parquet import ParquetFile
 
 from zonepulse.plans import catalog, testdata
 from zonepulse.plans.replay import DropZone
@@ -42,3 +43,22 @@ def test_a_drop_does_not_start_from_every_write_of_the_drops_before(spark, tmp_p
     catalog.QUERIES[name](spark, SF_DIR).collect()
     state = [p.suffix for p in Path(f"{tmp_path}/run/checkpoints").glob("*/state/*/*/**/*.*")]
     assert ".zip" in state and ".changelog" not in state
+
+
+def test_staged_ids_and_times_have_no_dictionary(spark, tmp_path):
+    feed = testdata.orders_feed(spark, SF_DIR, spread=True)
+    zone = DropZone(feed, f"{tmp_path}", ["event_id", "event_time", "status", "ingestion_time"])
+    group = ParquetFile(next(Path(zone.stage).glob("drop=*/*.parquet"))).metadata.row_group(0)
+    encodings = {group.column(i).path_in_schema: group.column(i).encodings
+                 for i in range(group.num_columns)}
+    plain = {c for c, found in encodings.items() if not any("DICTIONARY" in e for e in found)}
+    assert {"event_id", "event_time", "ingestion_time"} <= plain and "status" not in plain
+
+
+def test_short_drops_look_their_state_up_on_the_heap(spark, tmp_path, monkeypatch):
+    drops = DropZone.drops
+    monkeypatch.setattr(catalog, "new_work_dir", lambda *_: f"{tmp_path}/run")
+    monkeypatch.setattr(DropZone, "drops", lambda zone: drops(zone)[:4])
+    catalog.QUERIES["stream_fraud_short_drops"](spark, SF_DIR).collect()
+    state = {p.suffix for p in Path(f"{tmp_path}/run/checkpoints").glob("*/state/*/*/**/*.*")}
+    assert ".delta" in state and not state & {".zip", ".changelog"}
