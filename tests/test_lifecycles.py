@@ -187,3 +187,95 @@ def test_one_call_follows_all_keys_of_a_bucket():
     # A delivery before the watermark is told, one at or after it waits.
     assert len(told) == 9_999 and told["ready_to_pickup_min"].isna().all()
     assert len(state.kept[0]) == n - 9_999 and state.due_ms == 50_001
+
+
+class _Values(dict):
+    """Stands in for the state of one key: a value under ``None``, or a map."""
+
+    def get(self, key=None):
+        return dict.get(self, key)
+
+    getValue = get
+
+    def update(self, value):
+        self[None] = value
+
+    def updateValue(self, key, value):
+        self[key] = value
+
+    def removeKey(self, key):
+        del self[key]
+
+
+class _Handle:
+    def __init__(self):
+        self.states, self.timers = {}, set()
+
+    def getValueState(self, name, *schemas):
+        return self.states.setdefault(name, _Values())
+
+    getMapState = getValueState
+
+    def registerTimer(self, at_ms):
+        self.timers.add(at_ms)
+
+    def deleteTimer(self, at_ms):
+        self.timers.remove(at_ms)
+
+
+def _watermark(ms):
+    from pyspark.sql.streaming.stateful_processor import TimerValues
+    return TimerValues(0, ms)
+
+
+def _expire(follower, handle, ms):
+    """What the timers tell that a watermark of ``ms`` has reached."""
+    told = []
+    for timer in sorted(t for t in handle.timers if t <= ms):
+        told += follower.handleExpiredTimer((0,), _watermark(ms), None)
+        handle.timers.remove(timer)
+    return told
+
+
+@pytest.mark.parametrize("piece_rows", [100, 2_000, 100_000])
+def test_no_call_or_state_holds_all_that_a_bucket_got(piece_rows):
+    """Half of the rows are one courier's, and half have no courier; they come in any order."""
+    import numpy as np
+    import pandas as pd
+
+    n, minute_us = 24_000, 60_000_000
+    rng = np.random.default_rng(3)
+    rows = pd.DataFrame({
+        "bucket": 0, "courier_id": np.where(rng.random(n) < 0.5, "hot", None),
+        "event_id": [f"e{i:05}" for i in range(n)], "zone_id": "Z1",
+        "at": rng.integers(0, 480, n) * minute_us, "speed_kmh": rng.integers(0, 202, n) * 1.0,
+        "location_accuracy_meters": np.nan, "battery_pct": rng.choice([5.0, 10.0, 11.0, np.nan], n),
+        "is_offline": rng.random(n) < 0.3})
+    ordered = rows.sort_values(["at", "event_id"])
+    before = ordered.groupby("courier_id", dropna=False)["battery_pct"].shift().sort_index()
+    fast, low = rows["speed_kmh"] >= 200, rows["is_offline"] & (before <= 10)
+    want = {e: ", ".join(["IMPOSSIBLE_SPEED"] * f + ["LOW_BATTERY_OFFLINE"] * b)
+            for e, f, b in zip(rows["event_id"], fast, low, strict=True) if f or b}
+
+    seen = []
+
+    class Watched(lifecycles.CourierRows):
+        def _told(self, rows, lasts):
+            seen.append(len(rows))
+            return super()._told(rows, lasts)
+
+    follower, handle = Watched(MetricConfig(), piece_rows, slot_us=10 * minute_us), _Handle()
+    follower.init(handle)
+    got, sizes = {}, []
+    # The second batch comes after watermarks that passed part of the first.
+    for batch, watermark in ((rows[rows["at"] < 300 * minute_us], 200 * 60_000),
+                             (rows[rows["at"] >= 300 * minute_us], 481 * 60_000)):
+        follower.handleInputRows((0,), (batch[i:i + 500] for i in range(0, len(batch), 500)), None)
+        sizes += [len(lifecycles._unpacked(rows)) for rows, in handle.states["waiting"].values()]
+        for ms in (watermark - 7 * 60_000, watermark):
+            told = _expire(follower, handle, ms)
+            assert all((t["event_timestamp"] < pd.Timestamp(ms, unit="ms")).all() for t in told)
+            got |= {e: f for t in told for e, f in zip(t["event_id"], t["quality_flags"], strict=True)}
+    assert got == want and len(want) > 1_000
+    assert sum(seen) == n and not handle.states["waiting"] and not handle.timers
+    assert max(sizes) < piece_rows + 500 and max(seen) < piece_rows + 2 * n // 48

@@ -13,8 +13,11 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from zonepulse.config import DEFAULTS, MetricConfig
 from zonepulse.functions.windows import EVENT_TIME, ensure_watermark
@@ -122,68 +125,169 @@ def _follow_shifts(linger_ms: int, silence_ms: int, key, batches, state) -> Iter
 
 _FLAGGED = ("event_id string, courier_id string, zone_id string, event_timestamp timestamp, "
             "speed_kmh double, location_accuracy_meters double, battery_pct int, quality_flags string")
-# Rows that the watermark has not passed, and of each courier the last one that it has.
-_FLAGGED_COLUMNS = {"courier_id": "string", "event_id": "string", "zone_id": "string", "at": "Int64",
-                    "speed_kmh": "Float64", "location_accuracy_meters": "Float64",
-                    "battery_pct": "Int64", "is_offline": "boolean", "told": "boolean"}
+_COURIER_ROW = pa.schema([
+    ("courier_id", pa.string()), ("event_id", pa.string()), ("zone_id", pa.string()),
+    ("at", pa.int64()), ("speed_kmh", pa.float64()), ("location_accuracy_meters", pa.float64()),
+    ("battery_pct", pa.float64()), ("is_offline", pa.bool_())])
+_LAST_BATTERY = pa.schema([("courier_id", pa.string()), ("battery_pct", pa.float64())])
+# Rows of a bucket that a task holds at a time, and the time that a piece of its state spans where
+# there are more.
+PIECE_ROWS, SLOT_US = 1 << 16, 10 * _MINUTE_US
 
 
 def quality_flags(couriers: DataFrame, cfg: MetricConfig = DEFAULTS) -> DataFrame:
     """Suspicious courier rows, each told once when the watermark has passed it (append mode).
 
     Only then is it certain which row came before it.  A courier's rows wait in the state of its
-    bucket till then, in any order of arrival; of the rows told before, the last one stays.
+    bucket till then, in any order of arrival; of the rows told before, the last battery stays.
     """
     rows = ensure_watermark(couriers, cfg.couriers_watermark).select(
         _bucket("courier_id"), "courier_id", "event_id", "zone_id", EVENT_TIME,
         _micros(EVENT_TIME).alias("at"), F.col("speed_kmh").cast("double").alias("speed_kmh"),
         F.col("location_accuracy_meters").cast("double").alias("location_accuracy_meters"),
-        F.col("battery_pct").cast("long").alias("battery_pct"),
-        (F.col("status") == "OFFLINE").alias("is_offline"), F.lit(False).alias("told"))
-    return rows.groupBy("bucket").applyInPandasWithState(
-        partial(_follow_couriers, cfg), _FLAGGED, _state_schema(_FLAGGED_COLUMNS), "append",
-        "EventTimeTimeout")
-
-
-def _follow_couriers(cfg: MetricConfig, key, batches, state) -> Iterator[pd.DataFrame]:
-    known = _state_frame(state, _FLAGGED_COLUMNS)
-    new = _arrived([] if state.hasTimedOut else batches, _FLAGGED_COLUMNS)
-    rows = pd.concat([known, new], ignore_index=True)
-    # A row that was told comes before all others of its courier.
-    rows = rows.assign(later=~rows["told"].astype(bool)).sort_values(
-        ["courier_id", "later", "at", "event_id"], ignore_index=True)
-    watermark_us = state.getCurrentWatermarkMs() * 1000
-    passed = (rows["at"] < watermark_us).astype(bool) | ~rows["later"]
-    same = rows["courier_id"] == rows["courier_id"].shift()
-    same = same.fillna(False).astype(bool) | (
-        rows["courier_id"].isna() & rows["courier_id"].shift().isna() & (rows.index > 0))
-    before = rows["battery_pct"].shift().where(same)
-    flags = flag_names(rows, before, cfg)
-    out = rows[passed & rows["later"] & (flags != "")]
-    # Of the rows that were passed, the last one of each courier stays.
-    ends = passed & ~(same & passed).shift(-1, fill_value=False)
-    left = rows[~passed | ends].assign(told=passed)
-    waiting = rows["at"][~passed]
-    _keep(state, left[list(_FLAGGED_COLUMNS)], waiting.min() // 1000 if len(waiting) else None)
-    if len(out):
-        yield pd.DataFrame({
+        F.col("battery_pct").cast("double").alias("battery_pct"),
+        (F.col("status") == "OFFLINE").alias("is_offline"))
+    return rows.groupBy("bucket").transformWithStateInPandas(
+        CourierRows(cfg), _FLAGGED, "append", "EventTime")
+
+
+class CourierRows(StatefulProcessor):
+    """The rows of a bucket's couriers, in pieces of state that are read in the order of time.
+
+    What arrives is stored in pieces of about ``piece_rows`` rows at most; where a call has more,
+    each piece holds one slot of time.  Pieces that the watermark has reached are taken up one after
+    the other, so that no call and no value of state holds all that arrived in a micro-batch: a task
+    holds about ``piece_rows`` rows and those that share a slot with them.
+    """
+
+    def __init__(self, cfg: MetricConfig, piece_rows: int = PIECE_ROWS, slot_us: int = SLOT_US):
+        self.cfg, self.piece_rows, self.slot_us = cfg, piece_rows, slot_us
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        # For each piece no row is before ``first``; the timer stands at the least of them.
+        self.pieces = handle.getValueState("pieces", "piece array<long>, first array<long>")
+        self.waiting = handle.getMapState("waiting", "piece long", "rows binary")
+        self.lasts = handle.getValueState("lasts", "rows binary")
+
+    def handleInputRows(self, key, rows, timerValues):
+        before = self._pieces()
+        pieces, held = dict(before), []
+        for pdf in rows:
+            held.append(pa.Table.from_pandas(pdf, _COURIER_ROW, preserve_index=False))
+            if sum(map(len, held)) >= self.piece_rows:
+                self._store(pieces, pa.concat_tables(held))
+                held = []
+        if held:
+            self._store(pieces, pa.concat_tables(held))
+        self._keep(pieces, min(before.values(), default=None))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        pieces = self._pieces()
+        due = sorted((p for p in pieces if pieces[p] < watermark), key=pieces.get)
+        kept = self.lasts.get()
+        known = _unpacked(kept[0]) if kept else _LAST_BATTERY.empty_table()
+        lasts = dict(zip(known["courier_id"].to_pylist(), known["battery_pct"].to_pylist(), strict=True))
+        held = []
+        for piece, after in zip(due, [*due[1:], None]):
+            end = watermark if after is None else pieces[after]
+            held.append(_unpacked(self.waiting.getValue((piece,))[0]))
+            self.waiting.removeKey((piece,))
+            # All rows before ``end`` are at hand, as the pieces to come begin there.
+            if after is None or (sum(map(len, held)) >= self.piece_rows and end > pieces[piece]):
+                rows = pa.concat_tables(held)
+                passed = pc.less(rows["at"], end)
+                ready, held = rows.filter(passed), [rows.filter(pc.invert(passed))]
+                if len(ready):
+                    yield self._told(ready, lasts)
+            del pieces[piece]
+        if held and len(held[0]):
+            self._store(pieces, held[0])
+        if lasts:
+            self.lasts.update((_packed(pa.table([list(lasts), list(lasts.values())], _LAST_BATTERY)),))
+        # The timer that has run out is deleted after this call.
+        self._keep(pieces, None)
+
+    def _pieces(self) -> dict[int, int]:
+        kept = self.pieces.get()
+        return dict(zip(*kept, strict=True)) if kept else {}
+
+    def _keep(self, pieces: dict[int, int], timer_us: int | None) -> None:
+        """Note the pieces, and wake up when the watermark has passed the first of them; the timer
+        so far stands at ``timer_us``."""
+        if not pieces:
+            self.pieces.clear()
+            return
+        self.pieces.update((list(pieces), list(pieces.values())))
+        first = min(pieces.values())
+        if first != timer_us:
+            if timer_us is not None:
+                self.handle.deleteTimer(timer_us // 1000 + 1)
+            self.handle.registerTimer(first // 1000 + 1)
+
+    def _store(self, pieces: dict[int, int], rows: pa.Table) -> None:
+        """Put rows into state as one piece, or a piece per slot where they are many."""
+        at = rows["at"].to_numpy()
+        if len(rows) < self.piece_rows:
+            parts = [(int(at.min()), rows)]
+        else:
+            slots = at // self.slot_us
+            order = np.argsort(slots, kind="stable")
+            rows, slots = rows.take(order), slots[order]
+            starts = [0, *(np.flatnonzero(np.diff(slots)) + 1).tolist(), len(rows)]
+            parts = [(max(int(slots[a]) * self.slot_us, int(at.min())), rows.slice(a, b - a))
+                     for a, b in zip(starts, starts[1:])]
+        for first, part in parts:
+            piece = max(pieces, default=-1) + 1
+            pieces[piece] = first
+            self.waiting.updateValue((piece,), (_packed(part),))
+
+    def _told(self, rows: pa.Table, lasts: dict[str | None, float]) -> pd.DataFrame:
+        """The suspicious ones among rows that the watermark has passed; ``lasts`` has the battery
+        on the last row of each courier, before the call and after it."""
+        rows = rows.sort_by([("courier_id", "ascending"), ("at", "ascending"), ("event_id", "ascending")])
+        rows = rows.combine_chunks()
+        courier = rows["courier_id"].combine_chunks()
+        code = courier.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        heads = np.flatnonzero(np.diff(code, prepend=-1))
+        ids = courier.take(heads).to_pylist()
+        battery = rows["battery_pct"].to_numpy()
+        before = np.concatenate([[np.nan], battery[:-1]])[:len(rows)]
+        before[heads] = [np.nan if (v := lasts.get(i)) is None else v for i in ids]
+        lasts.update(zip(ids, battery[np.append(heads[1:], len(rows)) - 1].tolist(), strict=True))
+        names = flag_names(rows, before, self.cfg)
+        out = rows.filter(names != "").to_pandas()
+        return pd.DataFrame({
             "event_id": out["event_id"], "courier_id": out["courier_id"], "zone_id": out["zone_id"],
             "event_timestamp": _times(out["at"]), "speed_kmh": out["speed_kmh"],
             "location_accuracy_meters": out["location_accuracy_meters"],
-            "battery_pct": out["battery_pct"].astype("Int32"), "quality_flags": flags[out.index]})
+            "battery_pct": out["battery_pct"].astype("Int32"), "quality_flags": names[names != ""]})
+
+
+def _packed(rows: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_table(rows.combine_chunks())
+    return out.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(bytes(data)).read_all()
 
 
-def flag_names(rows: pd.DataFrame, battery_before: pd.Series, cfg: MetricConfig) -> pd.Series:
-    """The flags of ``couriers.quality_flags`` for the rows of a frame."""
+def flag_names(rows: pa.Table, battery_before: np.ndarray, cfg: MetricConfig) -> np.ndarray:
+    """The flags of ``couriers.quality_flags`` for the rows of a table."""
     rules = {
-        "IMPOSSIBLE_SPEED": rows["speed_kmh"] >= cfg.impossible_speed_kmh,
-        "POOR_ACCURACY": rows["location_accuracy_meters"] > cfg.poor_accuracy_meters,
-        "LOW_BATTERY_OFFLINE": rows["is_offline"] & (battery_before <= cfg.low_battery_pct),
+        "IMPOSSIBLE_SPEED": rows["speed_kmh"].to_numpy() >= cfg.impossible_speed_kmh,
+        "POOR_ACCURACY": rows["location_accuracy_meters"].to_numpy() > cfg.poor_accuracy_meters,
+        "LOW_BATTERY_OFFLINE": rows["is_offline"].fill_null(False).to_numpy()
+            & (battery_before <= cfg.low_battery_pct),
     }
-    names = pd.Series("", index=rows.index, dtype=object)
+    names = np.full(len(rows), "", dtype=object)
     for name, holds in rules.items():
-        here = holds.fillna(False).astype(bool)
-        names[here] = names[here].map(lambda old, name=name: f"{old}, {name}" if old else name)
+        names[holds] = [f"{old}, {name}" if old else name for old in names[holds]]
     return names
 
 
